@@ -26,4 +26,4 @@ def query(name: str, sql: str | None = None):
 
 
 def load_all() -> None:
-    from . import identity  # noqa: F401
+    from . import identity, rules, texts  # noqa: F401

@@ -8,13 +8,21 @@ from pyspark.sql import functions as F
 from ..constants import WS
 from ..functions import text as tx
 from ..functions.patterns import strip
-from ..operators.rules import complete
+from ..operators.rules import prepare
 
 NOW = "2024-01-31 00:00:00"
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    df = spark.read.parquet(f"{sf}/{name}.parquet")
+    zoned = {f.name: F.col(f.name).cast("timestamp") for f in df.schema if f.dataType.typeName() == "timestamp_ntz"}
+    return df.withColumns(zoned) if zoned else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of an input with fewer splits than cores, dealt out for heavy text work. Inputs of any size stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def now():
@@ -26,7 +34,7 @@ TITLE = r"^([^.!?\n]*)"
 
 def articles(spark: SparkSession, sf: str) -> DataFrame:
     """documents as articles: first sentence as title, lines as paragraphs."""
-    return table(spark, sf, "documents").withColumns(
+    return spread(table(spark, sf, "documents")).withColumns(
         {"title": strip(F.regexp_extract("text", TITLE, 1)), "paragraphs": tx.paragraphs(F.col("text"))}
     )
 
@@ -60,7 +68,7 @@ def items(spark: SparkSession, sf: str) -> DataFrame:
     labels = table(spark, sf, "labels")
     d = dated(spark, sf).join(labels, "doc_id", "left")
     col = F.col
-    return complete(
+    return prepare(
         d.select(
             "doc_id", col("doc_id").cast("string").alias("id"), "title", "text", "lang", "value", "event_type", "user_id", "quality", "toxic", "n_chars",
             F.coalesce(F.try_element_at("paragraphs", F.lit(1)), F.lit("")).alias("lead"),

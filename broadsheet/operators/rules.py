@@ -1,6 +1,7 @@
 """CL*: rule packs. Each pack is an ``array<string>`` of issue codes, so one pass over the table gives all flags.
 
-The rules read the item columns by name. ``complete`` adds the ones a table does not have as nulls.
+The rules read the item columns by name and the joined texts that ``prepare`` adds. Those texts are columns of their own,
+so that a row is joined and cleaned once, however many rules look at it.
 """
 
 from __future__ import annotations
@@ -47,17 +48,28 @@ def _any_code(arr: Column, *wanted: str) -> Column:
     return F.arrays_overlap(arr, F.array(*[F.lit(w) for w in wanted]))
 
 
-def all_text() -> Column:
-    return squeeze(F.concat_ws(" ", _c("title"), _c("lead"), F.array_join(_list("paragraphs"), " "), F.array_join(_list("key_points"), " "), F.col("angle")))
-
-
 def rule_text(*names: str) -> Column:
-    """Non-empty fields joined by a blank; array fields are joined first."""
-    parts = []
-    for name in names:
-        col = F.array_join(_list(name), " ") if ITEM_COLUMNS[name].startswith("array") else _c(name)
-        parts.append(F.when(col != "", col))
-    return F.concat_ws(" ", *parts)
+    """Non-empty fields joined by a blank."""
+    return F.concat_ws(" ", *[F.nullif(F.col(n), F.lit("")) for n in names])
+
+
+def prepare(df: DataFrame) -> DataFrame:
+    """Add missing item columns and the texts the rules work on."""
+    full = complete(df)
+    full = full.withColumns(
+        {
+            "_title": strip(_c("title")), "_lead": strip(_c("lead")), "_body": F.array_join(_list("paragraphs"), " "),
+            "_parts": F.transform(_list("paragraphs"), compact), "_points": F.array_join(_list("key_points"), " "),
+        }
+    )
+    return full.withColumns(
+        {
+            "_chars": F.length(F.array_join("_parts", "")),
+            "_all": squeeze(F.concat_ws(" ", "title", "lead", "_body", "_points", "angle")),
+            "_read": rule_text("title", "lead", "_body", "angle", "radar_clinical"),
+            "_audit": rule_text("title", "lead", "_body", "_points", "angle", "radar_clinical", "radar_owner", "radar_evidence"),
+        }
+    )
 
 
 def content_tier() -> Column:
@@ -69,13 +81,13 @@ def content_tier() -> Column:
         F.when(explicit.isin(*C.CONTENT_TIERS), explicit)
         .when((F.lower(_c("tier")) == "brief") | (_c("category") == "brief"), F.lit("brief"))
         .when(evidence, F.lit("evidence"))
-        .when((tx.body_char_count(_list("paragraphs")) >= C.ANALYSIS_MIN_CHARS) & judged, F.lit("analysis"))
+        .when((F.col("_chars") >= C.ANALYSIS_MIN_CHARS) & judged, F.lit("analysis"))
         .otherwise(F.lit("brief"))
     )
 
 
-def _is_sentence(value: Column) -> Column:
-    v = strip(value)
+def _is_sentence(v: Column) -> Column:
+    """Whether a trimmed text reads as a sentence."""
     clean = (v != "") & matches(v, C.HANGUL) & ~matches(v, C.FOREIGN_SCRIPT) & ~matches(v, C.INTERNAL_ASCII)
     return clean & (matches(v, C.SENTENCE_END) | matches(v, C.HANGUL_TAIL))
 
@@ -87,12 +99,9 @@ def _title_mismatch(title: Column, body: Column) -> Column:
 
 def quality_issues(skip: tuple[str, ...] = ()) -> Column:
     """CL1. Quality codes in order; briefs get the shared ones and their own two length checks."""
-    title, lead, parts = strip(_c("title")), strip(_c("lead")), _list("paragraphs")
-    body, everything = F.array_join(parts, " "), all_text()
-    chars, lowered = tx.body_char_count(parts), F.lower(everything)
-    banned = F.lit(False)
-    for term in C.BANNED_TERMS:
-        banned = banned | F.contains(lowered, F.lit(term.lower()))
+    title, lead, parts = F.col("_title"), F.col("_lead"), _list("paragraphs")
+    body, everything, chars, plain = F.col("_body"), F.col("_all"), F.col("_chars"), F.col("_parts")
+    banned = matches(everything, "(?i)" + "|".join(C.BANNED_TERMS))
     source = F.coalesce(*[F.nullif(_c(n), F.lit("")) for n in ("source_url", "final_url", "source_url_raw")], F.lit(""))
     shared = [
         (title == "", "title-missing"),
@@ -114,8 +123,8 @@ def quality_issues(skip: tuple[str, ...] = ()) -> Column:
     full = [
         (F.size(parts) < 3, "paragraphs-too-few"),
         (chars < C.ANALYSIS_MIN_CHARS, "body-too-short"),
-        (F.exists(parts, lambda p: F.length(compact(p)) < 40), "paragraph-too-short"),
-        (F.size(F.array_distinct(F.transform(parts, compact))) != F.size(parts), "duplicate-paragraph"),
+        (F.exists(plain, lambda p: F.length(p) < 40), "paragraph-too-short"),
+        (F.size(F.array_distinct(plain)) != F.size(plain), "duplicate-paragraph"),
         (~_is_sentence(title), "title-not-korean-sentence"),
         (~_is_sentence(opening), "lead-not-korean-sentence"),
         (F.exists(parts, lambda p: ~_is_sentence(p)), "body-not-korean-sentence"),
@@ -144,7 +153,7 @@ def workflow_status(legacy: bool = False, draft: bool = False) -> Column:
 def clinical_risk() -> Column:
     """CL7."""
     explicit = F.lower(_c("clinical_risk"))
-    body = rule_text("title", "lead", "paragraphs", "angle", "radar_clinical")
+    body = F.col("_read")
     return (
         F.when(explicit.isin(*C.RISKS), explicit)
         .when(matches(body, C.HIGH_RISK), F.lit("high"))
@@ -157,7 +166,7 @@ def clinical_risk() -> Column:
 def required_role() -> Column:
     """CL9."""
     risk = F.lower(F.coalesce(F.nullif(F.col("clinical_risk"), F.lit("")), F.lit("low")))
-    acts = matches(rule_text("title", "lead", "paragraphs", "radar_clinical"), C.CLINICAL_ACTION)
+    acts = matches(rule_text("title", "lead", "_body", "radar_clinical"), C.CLINICAL_ACTION)
     return F.when((risk == "high") | ((risk == "medium") & acts), F.lit("vet")).otherwise(F.lit("editor"))
 
 
@@ -230,7 +239,7 @@ def contract_issues() -> Column:
 
 def safety_issues(patterns: tuple[str, ...] = C.UNSAFE_PHRASES) -> Column:
     """CL11. The unsafe-phrase patterns that occur."""
-    body = rule_text("title", "lead", "paragraphs", "key_points", "angle", "radar_clinical")
+    body = rule_text("title", "lead", "_body", "_points", "angle", "radar_clinical")
     return F.array_compact(F.array(*[F.when(matches(body, f"(?i){p}"), F.lit(p)) for p in patterns]))
 
 
@@ -299,19 +308,14 @@ def numeric_issues(lead: Column, body: Column, key_points: Column, radar: Column
 
 def item_numeric_issues() -> Column:
     return numeric_issues(
-        _c("lead"), F.array_join(_list("paragraphs"), " "), F.array_join(_list("key_points"), " "),
-        rule_text("radar_clinical", "radar_evidence", "radar_owner"),
+        _c("lead"), F.col("_body"), F.col("_points"), rule_text("radar_clinical", "radar_evidence", "radar_owner"),
     )
 
 
-def audit_text() -> Column:
-    return rule_text("title", "lead", "paragraphs", "key_points", "angle", "radar_clinical", "radar_owner", "radar_evidence")
-
-
 def language_warnings(known: tuple[str, ...] = C.KNOWN_ERRORS) -> Column:
     """CL14. Language audit. The superlative code keeps the ASCII word boundary of the rule; see ``superlative``."""
-    body, parts = audit_text(), _list("paragraphs")
-    plain = F.transform(parts, tx.normalize_title)
+    body, parts = F.col("_audit"), _list("paragraphs")
+    plain = F.transform(parts, lambda p: tx.normalize_title(p))
     pairs = [(matches(body, C.INTERNAL_ASCII), "korean-internal-ascii")]
     pairs += [(F.contains(body, F.lit(k)), f"known-error:{k}") for k in known]
     pairs += [
@@ -328,12 +332,12 @@ def language_blocker(warnings: Column) -> Column:
 
 def superlative() -> Column:
     """Corrected variant of the superlative check: the words anywhere, not only beside ASCII letters."""
-    return codes((matches(audit_text(), C.SUPERLATIVE_ANY), "superlative"))
+    return codes((matches(F.col("_audit"), C.SUPERLATIVE_ANY), "superlative"))
 
 
 def claim_warnings() -> Column:
     """CL15."""
-    body = audit_text()
+    body = F.col("_audit")
     studied = F.transform(F.split(_c("species_studied"), "[,/·]"), strip)
     has_both = (_c("species_studied") != "") & (F.size(_list("species")) > 0)
     return F.concat(
@@ -348,7 +352,7 @@ def claim_warnings() -> Column:
 
 def claim(warnings: Column) -> Column:
     """CL15. The structured claim of an item."""
-    numbers = tx.plain_numbers(audit_text())
+    numbers = tx.plain_numbers(F.col("_audit"))
     return F.struct(
         F.coalesce(*[F.nullif(_c(n), F.lit("")) for n in ("radar_clinical", "lead", "title")], F.lit("")).alias("claim"),
         F.when((_c("doi") != "") | (_c("journal") != ""), F.lit("paper-metadata")).when(_c("source_url") != "", F.lit("source-page")).otherwise(F.lit("not-available")).alias("evidence_type"),
@@ -397,7 +401,7 @@ def warning_triage(warning: Column, original: Column) -> Column:
 def claim_triage(warnings: Column) -> Column:
     """CL18. Class of a claim row."""
     joined = F.array_join(warnings, ",")
-    body = rule_text("title", "lead", "paragraphs", "key_points")
+    body = rule_text("title", "lead", "_body", "_points")
     found = F.transform(F.regexp_extract_all(body, F.lit(java(C.UNIT_NUMBER)), F.lit(0)), lambda t: F.lower(F.regexp_replace(t, f"[0-9,.{C.WS}-]", "")))
     units = F.array_distinct(F.filter(found, lambda u: u != ""))
     mixed = (F.size(units) > 1) & matches(F.array_join(units, " "), "(?i)mg|mL|IU|kg|mmHg")
@@ -411,7 +415,7 @@ def claim_triage(warnings: Column) -> Column:
 
 def missing_context(warnings: Column, claim_col: Column) -> Column:
     """CL18. First context field that is missing."""
-    body = F.concat_ws(" ", rule_text("title", "lead", "paragraphs"), claim_col["claim"])
+    body = F.concat_ws(" ", rule_text("title", "lead", "_body"), claim_col["claim"])
     url = text(claim_col["evidence_url"])
     numeric = F.exists(warnings, lambda w: F.contains(F.lower(w), F.lit("numeric")))
     return (
