@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import constants as C
+from ..functions.patterns import matches, settle
 from ..operators import aggregate, topk, windows
 from ..operators import joins as J
 from ..operators import rules as R
@@ -118,7 +119,8 @@ def _(spark, sf):
 
 @query("cl1_repeated_word")
 def _(spark, sf):
-    return items(spark, sf).where(F.array_contains(R.quality_issues(), "repeated-word")).select("doc_id", "lang")
+    found = settle(items(spark, sf).select("doc_id", "lang", "_all"), repeated=matches(F.col("_all"), C.REPEATED_WORD))
+    return found.where("repeated").select("doc_id", "lang")
 
 
 @query("cl2_publish_issues", with_sql(ITEMS_Q, "SELECT doc_id, array_to_string(publish_codes, ',') AS codes FROM iq"))
@@ -259,7 +261,7 @@ SQL_LANGUAGE = sql_codes(
 
 @query("cl14_language_audit", with_sql(ITEMS_Q, f", l AS (SELECT doc_id, {SQL_LANGUAGE} AS w FROM iq) SELECT doc_id, array_to_string(w, ',') AS warnings, len([x for x in w if regexp_matches(x, 'known-error|korean-internal-ascii')]) > 0 AS blocker FROM l WHERE len(w) > 0"))
 def _(spark, sf):
-    w = items(spark, sf).select("doc_id", R.language_warnings(KNOWN_DEMO).alias("w")).where(F.size("w") > 0)
+    w = settle(items(spark, sf), w=R.language_warnings(KNOWN_DEMO)).where(F.size("w") > 0)
     return w.select("doc_id", joined("w").alias("warnings"), R.language_blocker(F.col("w")).alias("blocker"))
 
 
@@ -304,7 +306,7 @@ def _(spark, sf):
 
 @query("cl18_claim_triage")
 def _(spark, sf):
-    c = items(spark, sf).withColumn("w", R.claim_warnings()).where(F.size("w") > 0)
+    c = settle(items(spark, sf), w=R.claim_warnings()).where(F.size("w") > 0)
     c = c.withColumn("claim", R.claim(F.col("w")))
     return c.select("doc_id", R.claim_triage(F.col("w")).alias("classification"), R.missing_context(F.col("w"), F.col("claim")).alias("context"))
 

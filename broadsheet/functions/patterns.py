@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import WS
@@ -60,3 +60,12 @@ def joined(*cols: Column) -> Column:
 def codes(*pairs: tuple[Column, str]) -> Column:
     """``array<string>`` of the codes whose condition holds, in order; null conditions count as false."""
     return F.array_compact(F.array(*[F.when(cond, F.lit(code)) for cond, code in pairs]))
+
+
+def settle(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add computed columns behind a one-row generator.
+
+    Catalyst copies a filter on a computed column down to the scan and evaluates the whole expression there again; it
+    does not push filters through a generator, so expensive rule codes are computed once.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
