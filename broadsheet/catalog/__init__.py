@@ -26,4 +26,4 @@ def query(name: str, sql: str | None = None):
 
 
 def load_all() -> None:
-    from . import identity, joins, rules, texts  # noqa: F401
+    from . import aggregates, dedups, identity, joins, rules, texts, windows  # noqa: F401

@@ -252,11 +252,9 @@ SQL_EDGES = """e AS (SELECT page_id, unnest(regexp_extract_all(html, '<a\\b[^>]+
 
 @query("jn12_broken_links", with_sql(SQL_EDGES, f"""
     SELECT page_id, href FROM e WHERE href LIKE '/%' AND href NOT LIKE '//%' AND href NOT LIKE '/api/%' AND href NOT LIKE '/search%'
-      AND regexp_replace(href, '[?#].*$', '') NOT IN (SELECT {sql_path('url')} FROM pages UNION ALL SELECT '/the')"""))
+      AND regexp_replace(href, '[?#].*$', '') NOT IN (SELECT {sql_path('url')} FROM pages)"""))
 def _(spark, sf):
-    known = table(spark, sf, "pages").select(urls.path_of(F.col("url")).alias("page_path")).unionByName(
-        table(spark, sf, "region").limit(1).select(F.lit("/the").alias("page_path"))
-    )
+    known = table(spark, sf, "pages").select(urls.path_of(F.col("url")).alias("page_path"))
     return J.broken_links(link_edges(spark, sf), "href", known, "page_path").select("page_id", "href")
 
 
