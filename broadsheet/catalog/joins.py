@@ -11,11 +11,11 @@ from ..operators import filters as FL
 from ..operators import joins as J
 from ..operators import rules as R
 from ..operators import setops, similarity
+from ..operators.pages import with_meta
 from . import query
 from .identity import registry_domains, sql_tokens
 from .rules import DEMO_TOPICS
 from .tables import ART, DATED, ITEMS, NOW, articles, dated, items, now, spread, sql_host, sql_normal_url, sql_path, table, with_sql
-from .texts import page_meta
 
 
 @query("fl1_social_rule", "SELECT event_id FROM events WHERE event_type NOT IN ('error', 'signup') AND user_id % 2 = 0 AND value >= 20 AND length(props) * 20 >= 150")
@@ -264,7 +264,7 @@ def _(spark, sf):
 def _(spark, sf):
     p = table(spark, sf, "pages")
     listed = p.select("page_id", F.when(F.col("page_id") % 5 == 0, F.concat("url", F.lit("/gone"))).otherwise(F.col("url")).alias("loc"))
-    meta = page_meta(p).select(F.col("url").alias("page_url"), "robots", "canonical").dropDuplicates(["page_url"])
+    meta = with_meta(p).select(F.col("url").alias("page_url"), "robots", "canonical").dropDuplicates(["page_url"])
     return J.sitemap_issues(listed, "loc", meta).select("page_id", F.array_join("reasons", ",").alias("reasons"))
 
 

@@ -8,6 +8,7 @@ from ..constants import BIBLIOGRAPHIC_MARKERS, NARRATIVE, NUMBER_TOKEN, WS
 from ..functions import html as H
 from ..functions import text as tx
 from ..functions.patterns import count
+from ..operators.pages import with_meta
 from . import query
 from .tables import ART, articles, sql_path, sql_squeeze, sql_strip, sql_url, table, with_sql
 
@@ -72,21 +73,7 @@ SQL_PAGE_TITLE = sql_strip("regexp_extract(html, '<title>((?s:.*?))</title>', 1,
 
 @query("tx5_extract_page_meta", f"SELECT page_id, {SQL_PAGE_TITLE} AS title, '' AS description, '' AS canonical, '' AS robots, '' AS og_url FROM pages")
 def _(spark, sf):
-    return page_meta(table(spark, sf, "pages")).select("page_id", "title", "description", "canonical", "robots", "og_url")
-
-
-def page_meta(pages):
-    """TX5 for a table with ``html``: head values, read from the tags in any attribute order."""
-    with_tags = pages.withColumns({"_metas": H.tag_attributes(F.col("html"), "meta"), "_links": H.tag_attributes(F.col("html"), "link")})
-    m = F.col("_metas")
-    return with_tags.withColumns(
-        {
-            "title": H.page_title(F.col("html")), "description": H.meta_content(m, "name", "description"),
-            "canonical": H.canonical_url(F.col("_links")), "robots": F.lower(H.meta_content(m, "name", "robots")),
-            "og_url": H.meta_content(m, "property", "og:url"), "og_title": H.meta_content(m, "property", "og:title"),
-            "og_description": H.meta_content(m, "property", "og:description"), "og_image": H.meta_content(m, "property", "og:image"),
-        }
-    ).drop("_metas", "_links")
+    return with_meta(table(spark, sf, "pages")).select("page_id", "title", "description", "canonical", "robots", "og_url")
 
 
 @query("tx6_extract_jsonld")

@@ -73,12 +73,13 @@ def related(items: DataFrame, item: str, topics: str, entities: str, category: s
     lists = ranked.groupBy("current").agg(F.array_sort(F.collect_list(F.struct("rank", "item", "score"))).alias("list"))
     # A list that stays short is filled with the newest items that share nothing (score 0); 2k + 1 of them always suffice.
     fill = pool.orderBy(*newest).limit(2 * k + 1).agg(F.array_sort(F.collect_list(F.struct((-F.unix_micros("ts")).alias("o"), "item")))).scalar()
-    full = own.select("current").join(lists, "current", "left")
-    held = F.when(F.col("list").isNull(), F.slice(_zero_scored(fill), 1, 0)).otherwise(
+    full = own.select("current").join(lists, "current", "left").withColumn("fill", fill)
+    unlinked = _zero_scored(F.col("fill"))
+    held = F.when(F.col("list").isNull(), F.slice(unlinked, 1, 0)).otherwise(
         F.transform("list", lambda x: F.struct(x["item"].alias("item"), x["score"].cast("long").alias("score")))
     )
     held_ids = F.transform(held, lambda x: x["item"])
-    extra = F.filter(_zero_scored(fill), lambda x: (x["item"] != F.col("current")) & ~F.array_contains(held_ids, x["item"]))
+    extra = F.filter(unlinked, lambda x: (x["item"] != F.col("current")) & ~F.array_contains(held_ids, x["item"]))
     chosen = full.select("current", F.posexplode(F.slice(F.concat(held, extra), 1, k)).alias("pos", "x"))
     return chosen.select(F.col("current").alias(item), (F.col("pos") + 1).alias("rank"), F.col("x.item").alias("related"), F.col("x.score").alias("score"))
 
