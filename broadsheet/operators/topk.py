@@ -36,52 +36,55 @@ def selection_score(age_days: Column, description: Column, title: Column, has_ca
     return 0.40 * recency + 0.25 * substance + 0.20 * relevance + 0.10 * canonical + 0.05 * trust
 
 
-def _zero_scored(newest: Column) -> Column:
-    return F.transform(newest, lambda x: F.struct(x["item"].alias("item"), F.lit(0).cast("long").alias("score")))
+# Feature sets up to this size are matched by their sub-sets, larger ones by single features.
+MAX_SUBSET_FEATURES = 10
+
+
+def _subsets(features: Column) -> Column:
+    """All sub-sets of a sorted feature array as joined keys, the empty one included."""
+    masks = F.sequence(F.lit(0), F.pow(F.lit(2), F.size(features)).cast("int") - 1)
+    return F.transform(masks, lambda m: F.array_join(F.filter(features, lambda _, i: F.pmod((m / F.pow(F.lit(2), i)).cast("int"), F.lit(2)) == 1), "\u0001"))
+
+
+def _points(shared: Column) -> Column:
+    weight = lambda f: F.when(F.startswith(f, F.lit("e:")), 18).when(F.startswith(f, F.lit("t:")), 10).otherwise(3)
+    return F.aggregate(shared, F.lit(0), lambda acc, f: acc + weight(f))
 
 
 def related(items: DataFrame, item: str, topics: str, entities: str, category: str, eligible: str, ts: str, k: int = 5) -> DataFrame:
     """TK4. The ``k`` best related items: 10 per shared topic, 18 per shared entity, 3 for the category; newest first.
 
-    The score depends on (topics, entities, category) only. Items with the same combination form a profile; profiles are
-    compared through an inverted index, and from each partner profile only its newest ``k + 1`` items can win, so the
-    work grows with the number of profiles and not with the square of a hot topic.
+    No pairs of a topic are built. Items with the same features form a profile. For every sub-set of features only the
+    ``k + 1`` newest items holding it are kept: an item that shares exactly this sub-set and is not among them is beaten by
+    ``k`` newer items that share at least as much. So the candidates of a profile are the short lists of its sub-sets.
     """
-    keyed = items.select(
-        F.col(item).alias("item"), F.col(ts).alias("ts"), F.col(eligible).alias("eligible"),
-        F.array_sort(F.array_distinct(F.col(topics))).alias("topics"), F.array_sort(F.array_distinct(F.col(entities))).alias("entities"),
-        F.coalesce(F.col(category), F.lit("")).alias("category"),
-    ).withColumn("profile", F.sha2(F.to_json(F.struct("topics", "entities", "category")), 256))
-    newest = [F.col("ts").desc_nulls_last(), F.col("item")]
-    pool = keyed.where("eligible").withColumn("place", F.row_number().over(Window.partitionBy("profile").orderBy(*newest))).where(F.col("place") <= k + 1)
     features = F.concat(
-        F.transform("topics", lambda t: F.struct(F.concat(F.lit("t:"), t).alias("key"), F.lit(10).alias("points"))),
-        F.transform("entities", lambda e: F.struct(F.concat(F.lit("e:"), e).alias("key"), F.lit(18).alias("points"))),
-        F.array(F.struct(F.concat(F.lit("c:"), F.col("category")).alias("key"), F.lit(3).alias("points"))),
+        F.transform(F.col(topics), lambda t: F.concat(F.lit("t:"), t)), F.transform(F.col(entities), lambda e: F.concat(F.lit("e:"), e)),
+        F.array(F.concat(F.lit("c:"), F.coalesce(F.col(category), F.lit("")))),
     )
-    profiles = keyed.select("profile", features.alias("features")).dropDuplicates(["profile"])
-    live = profiles.join(pool.select("profile").distinct(), "profile", "left_semi")
-    mine = profiles.select("profile", F.explode("features").alias("f")).select("profile", "f.key", "f.points")
-    theirs = live.select(F.col("profile").alias("partner"), F.explode("features").alias("f")).select("partner", F.col("f.key").alias("key"))
-    scored = mine.join(theirs, "key").groupBy("profile", "partner").agg(F.sum("points").alias("score"))
+    keyed = items.select(F.col(item).alias("item"), F.col(ts).alias("ts"), F.col(eligible).alias("eligible"), F.array_sort(F.array_distinct(features)).alias("features"))
+    keyed = keyed.withColumn("profile", F.sha2(F.array_join("features", "\u0001"), 256))
+    newest = [F.col("ts").desc_nulls_last(), F.col("item")]
+
+    def shortlist_by(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
+        return df.withColumn("place", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where(F.col("place") <= k + 1).drop("place")
+
+    pool = shortlist_by(keyed.where("eligible"), "profile", newest).select("item", "ts", F.col("features").alias("theirs"))
+    profiles = keyed.select("profile", "features").dropDuplicates(["profile"])
+    is_wide = lambda c: F.size(c) > MAX_SUBSET_FEATURES
+    keys = lambda c: F.when(is_wide(c), F.array(F.lit(""))).otherwise(_subsets(F.col(c)))
+    by_subset = shortlist_by(pool.withColumn("subset", F.explode(keys("theirs"))), "subset", newest)
+    candidates = profiles.withColumn("subset", F.explode(keys("features"))).join(by_subset, "subset").drop("subset")
+    # Feature sets too large for sub-sets meet their partners feature by feature.
+    single_p, single_i = profiles.withColumn("f", F.explode("features")), pool.withColumn("f", F.explode("theirs"))
+    wide = single_p.where(is_wide("features")).join(single_i, "f").unionByName(single_p.where(~is_wide("features")).join(single_i.where(is_wide("theirs")), "f"))
+    candidates = candidates.unionByName(wide.drop("f")).dropDuplicates(["profile", "item"])
+    scored = candidates.withColumn("score", _points(F.array_intersect("features", "theirs"))).select("profile", "item", "ts", "score")
     best = [F.col("score").desc(), F.col("ts").desc_nulls_last(), F.col("item")]
-    linked = scored.join(pool.select(F.col("profile").alias("partner"), "item", "ts"), "partner")
-    shortlist = linked.withColumn("place", F.row_number().over(Window.partitionBy("profile").orderBy(*best))).where(F.col("place") <= k + 1)
     own = keyed.select("profile", F.col("item").alias("current"))
-    pairs = own.join(shortlist.select("profile", "item", "score", "ts"), "profile").where(F.col("item") != F.col("current"))
+    pairs = own.join(shortlist_by(scored, "profile", best), "profile").where(F.col("item") != F.col("current"))
     ranked = pairs.withColumn("rank", F.row_number().over(Window.partitionBy("current").orderBy(*best))).where(F.col("rank") <= k)
-    lists = ranked.groupBy("current").agg(F.array_sort(F.collect_list(F.struct("rank", "item", "score"))).alias("list"))
-    # A list that stays short is filled with the newest items that share nothing (score 0); 2k + 1 of them always suffice.
-    fill = pool.orderBy(*newest).limit(2 * k + 1).agg(F.array_sort(F.collect_list(F.struct((-F.unix_micros("ts")).alias("o"), "item")))).scalar()
-    full = own.select("current").join(lists, "current", "left").withColumn("fill", fill)
-    unlinked = _zero_scored(F.col("fill"))
-    held = F.when(F.col("list").isNull(), F.slice(unlinked, 1, 0)).otherwise(
-        F.transform("list", lambda x: F.struct(x["item"].alias("item"), x["score"].cast("long").alias("score")))
-    )
-    held_ids = F.transform(held, lambda x: x["item"])
-    extra = F.filter(unlinked, lambda x: (x["item"] != F.col("current")) & ~F.array_contains(held_ids, x["item"]))
-    chosen = full.select("current", F.posexplode(F.slice(F.concat(held, extra), 1, k)).alias("pos", "x"))
-    return chosen.select(F.col("current").alias(item), (F.col("pos") + 1).alias("rank"), F.col("x.item").alias("related"), F.col("x.score").alias("score"))
+    return ranked.select(F.col("current").alias(item), "rank", F.col("item").alias("related"), "score")
 
 
 def weekly_top(items: DataFrame, day: str, order: list[Column], k: int = 12, minimum: int = 3) -> DataFrame:
