@@ -38,17 +38,7 @@ def _(spark, sf):
     SELECT doc_id, CASE WHEN exact IS NOT NULL THEN 'exact-duplicate' WHEN prior IS NOT NULL THEN 'update-of-existing' ELSE 'unique' END AS status, coalesce(exact, prior) AS duplicate_of FROM s"""))
 def _(spark, sf):
     a = articles(spark, sf).select("doc_id", F.array_sort(tx.title_tokens(F.col("title"))).alias("words"), F.array(F.md5("text")).alias("keys"))
-    return classify_entries(a, "doc_id", "doc_id", "keys", "words").select("doc_id", "status", "duplicate_of")
-
-
-def classify_entries(entries, row, ordinal, keys, words):
-    """DD2. exact-duplicate (latest earlier holder of the first key that was seen), update-of-existing or unique."""
-    claims = entries.select(row, ordinal, F.posexplode(keys).alias("_pos", "_key"))
-    held = dedup.latest_earlier_holder(claims, "_key", ordinal, row)
-    exact = held.where(F.col("prior").isNotNull()).groupBy(row).agg(F.min_by("prior.id", "_pos").alias("_exact"))
-    seen = similarity.earliest_similar(entries, row, ordinal, words, 0.9).join(exact, row, "left")
-    status = F.when(F.col("_exact").isNotNull(), "exact-duplicate").when(F.col("similar_to").isNotNull(), "update-of-existing").otherwise("unique")
-    return seen.withColumns({"status": status, "duplicate_of": F.coalesce("_exact", "similar_to")}).drop("_exact", "similar_to")
+    return similarity.classify_entries(a, "doc_id", "doc_id", "keys", "words").select("doc_id", "status", "duplicate_of")
 
 
 @query("dd3_newest_good_copy", with_sql(ITEMS, """

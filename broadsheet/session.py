@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,3 +43,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` on the shared checkpoint folder, so later rounds do not replay it."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def shared_folder(spark: SparkSession, purpose: str) -> str:
+    """A new folder below the shared checkpoint folder, for tables that streams hand over."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{purpose}-{uuid.uuid4().hex}"
