@@ -26,4 +26,4 @@ def query(name: str, sql: str | None = None):
 
 
 def load_all() -> None:
-    from . import aggregates, dedups, identity, joins, rules, sources, streams, texts, topks, windows  # noqa: F401
+    from . import aggregates, dedups, identity, jobs, joins, rules, sources, streams, texts, topks, windows  # noqa: F401

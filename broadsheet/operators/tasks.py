@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.patterns import codes, text
+from ..functions.patterns import codes, settle, text
 
 TASK = ("id", "type", "label", "priority", "article_id", "title", "indexable", "risk", "required_role", "blocker", "reason", "source_label", "evidence")
 
@@ -37,7 +37,7 @@ def editorial_tasks(review: DataFrame) -> DataFrame:
     high, medium = F.coalesce(high, F.lit(False)), F.coalesce(medium, F.lit(False))
     needed = F.col("reviewer_needed") & F.col("indexable") & (high | medium)
     numeric = F.size("numeric_codes") > 0
-    rows = review.where(correction | needed | F.col("re_review") | numeric)
+    rows = settle(review, _open=correction | needed | F.col("re_review") | numeric).where("_open")
     reasons = F.concat(
         codes((correction, "correction"), (high, "high risk"), (medium, "medium risk"), (needed, "no reviewer"), (F.col("re_review"), "text changed")),
         F.col("numeric_codes"),

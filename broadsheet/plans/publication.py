@@ -7,21 +7,25 @@ from pyspark.sql import functions as F
 
 from ..constants import DAILY_MINIMUM, DAILY_TARGET
 from ..functions.patterns import settle
+from ..functions.urls import image_key
 from ..operators import aggregate, dedup, rules, topk, windows
+from ..session import cut_lineage
 
 
-def repair(items: DataFrame, key: str, order: list[Column], skip: tuple[str, ...] = ()) -> DataFrame:
+def repair(items: DataFrame, row: str, key: str, order: list[Column], skip: tuple[str, ...] = ()) -> DataFrame:
     """JB3. Reasons to suppress each visible item: its own codes, or an earlier good copy of the same source. A bad copy
-    does not claim the source."""
-    seen = settle(items.where(F.coalesce("visibility", F.lit("")) != "suppressed"), codes=rules.publish_issues(skip))
-    good = dedup.flag_later_copies(seen.where(F.size("codes") == 0), key, order, "_copy")
+    does not claim the source.
+
+    The codes are computed once and stored without the texts; the rest of the job moves only ids, keys and codes.
+    """
     place = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])
-    # A bad row is a duplicate too when a good holder comes before it.
-    holders = good.where("not _copy").groupBy(key).agg(F.min(place).alias("_holder"))
-    bad = seen.where(F.size("codes") > 0).join(holders, key, "left").withColumn("_copy", F.coalesce(F.col("_holder") < place, F.lit(False))).drop("_holder")
-    both = good.unionByName(bad)
-    dup = F.when(F.col("_copy"), F.array(F.lit("duplicate-source"))).otherwise(F.array().cast("array<string>"))
-    return both.withColumn("reasons", F.array_distinct(F.concat("codes", dup))).where(F.size("reasons") > 0).drop("_copy", "codes")
+    visible = items.where(F.coalesce("visibility", F.lit("")) != "suppressed")
+    coded = cut_lineage(visible.select(row, key, place.alias("_place"), rules.publish_issues(skip).alias("codes")))
+    holders = coded.where((F.size("codes") == 0) & (F.col(key) != "")).groupBy(key).agg(F.min("_place").alias("_holder"))
+    copy = F.coalesce(F.col("_holder") < F.col("_place"), F.lit(False))
+    dup = F.when(copy, F.array(F.lit("duplicate-source"))).otherwise(F.array().cast("array<string>"))
+    marked = coded.join(holders, key, "left").select(row, key, F.array_distinct(F.concat("codes", dup)).alias("reasons"))
+    return marked.where(F.size("reasons") > 0)
 
 
 def repair_report(repaired: DataFrame) -> DataFrame:
@@ -29,15 +33,21 @@ def repair_report(repaired: DataFrame) -> DataFrame:
     return aggregate.histogram(repaired, "reasons", "reason")
 
 
-def build_index(items: DataFrame, key: str, day: str, order: list[Column], skip: tuple[str, ...] = ()) -> DataFrame:
-    """JB4. Every page with title and body: repeated images cleared, later copies flagged, index decision made."""
-    from ..functions.urls import image_key
+def build_index(items: DataFrame, row: str, key: str, order: list[Column], keep: list[str], skip: tuple[str, ...] = ()) -> DataFrame:
+    """JB4. Every page with title and body: repeated images cleared, later copies flagged, index decision made.
 
-    pages = items.where((F.col("title") != "") & (F.size("paragraphs") > 0)).withColumn("_image", image_key(F.col("image_url")))
-    pages = dedup.clear_repeated(pages, "_image", "image_url").drop("_image", "duplicate")
-    flagged = dedup.flag_later_copies(pages, key, order, "duplicate")
-    coded = settle(flagged, publish_codes=rules.publish_issues(skip))
-    return coded.withColumn("indexable", rules.indexable(F.col("publish_codes")))
+    Copies and images are decided on narrow selections, the rules on the full rows without any shuffle; the three results
+    meet by id, so no text is moved.
+    """
+    pages = items.where((F.col("title") != "") & (F.size("paragraphs") > 0))
+    place = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])
+    copies = dedup.flag_later_copies(pages.select(row, key, place.alias("_at")), key, [F.col("_at")], "duplicate").select(row, "duplicate")
+    images = dedup.clear_repeated(pages.select(row, "image_url", image_key(F.col("image_url")).alias("_image")), "_image", "image_url").select(row, "image_url")
+    alone = pages.withColumn("duplicate", F.lit(False))
+    coded = settle(alone, publish_codes=rules.publish_issues(skip)).select(row, *keep, "publish_codes", rules.indexable(F.col("publish_codes")).alias("_fits"))
+    out = coded.join(copies, row).join(images, row)
+    dup = F.when(F.col("duplicate"), F.array(F.lit("duplicate-source"))).otherwise(F.array().cast("array<string>"))
+    return out.withColumns({"publish_codes": F.concat("publish_codes", dup), "indexable": F.col("_fits") & ~F.col("duplicate")}).drop("_fits")
 
 
 def topic_hubs(indexed: DataFrame, topics: str, minimum: int = 5) -> DataFrame:
@@ -54,28 +64,29 @@ def weeklies(items: DataFrame, day: str, order: list[Column], skip: tuple[str, .
 def evaluate_release(drafts: DataFrame, published: DataFrame, day: str, official: Column, order_by: Column, skip: tuple[str, ...] = ()) -> DataFrame:
     """JB10. Outcome of every draft of a day: already out today, out on another day, or the evaluation status.
 
-    Drafts have id, ``day`` and source_key; an id counts once. Published items have id, ``day`` and source_key.
+    Drafts have id, ``day``, source_key and the item columns; an id counts once. Published items have id, ``day`` and
+    source_key. The drafts are judged once, before any join, and go on without their texts.
     """
-    once = dedup.first_per_key(drafts, ["id"], [order_by])
+    judged = drafts.select("id", day, "source_key", "selection_score", order_by.alias("_order"), rules.release_evaluation(official, skip).alias("e"))
+    once = cut_lineage(dedup.first_per_key(judged, ["id"], [F.col("_order")]))
     today_ids = published.select(F.col("id"), F.col(day), F.lit(True).alias("_id_today")).distinct()
     keyed = published.where(F.col("source_key") != "")
     today_keys = keyed.select(F.col("source_key"), F.col(day), F.lit(True).alias("_key_today")).distinct()
     # A key is out on another day if its first or its last day differs from the draft's day.
-    days = keyed.groupBy("source_key").agg(F.min(day).alias("_first"), F.max(day).alias("_last"))
+    days = keyed.groupBy("source_key").agg(F.min(day).alias("_first_day"), F.max(day).alias("_last_day"))
     rows = once.join(today_ids, ["id", day], "left").join(today_keys, ["source_key", day], "left").join(days, "source_key", "left")
-    rows = settle(rows, e=rules.release_evaluation(official, skip))
     outcome = (
         F.when(F.coalesce("_id_today", "_key_today", F.lit(False)), F.lit("published-today"))
-        .when((F.col("_first") != F.col(day)) | (F.col("_last") != F.col(day)), F.lit("published-before"))
+        .when((F.col("_first_day") != F.col(day)) | (F.col("_last_day") != F.col(day)), F.lit("published-before"))
         .otherwise(F.col("e.status"))
     )
     rows = rows.withColumn("outcome", outcome)
     ready = rows.where("outcome = 'ready-public-brief'")
     # The first ready draft of a source claims it.
-    copies = dedup.flag_later_copies(ready, "source_key", [order_by], "_copy")
+    copies = dedup.flag_later_copies(ready.select("id", "source_key", "_order"), "source_key", [F.col("_order")], "_copy")
     later = copies.where("_copy").select("id", F.lit(True).alias("_later"))
     out = rows.join(later, "id", "left").withColumn("outcome", F.when(F.col("_later"), F.lit("published-before")).otherwise(F.col("outcome")))
-    return out.drop("_id_today", "_key_today", "_first", "_last", "_later")
+    return out.drop("_id_today", "_key_today", "_first_day", "_last_day", "_later", "_order")
 
 
 def release(evaluated: DataFrame, existing: DataFrame, day: str, tie: list[Column], target: int = DAILY_TARGET) -> tuple[DataFrame, DataFrame]:

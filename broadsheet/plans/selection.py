@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..constants import CANDIDATES_MAX
 from ..functions import text as tx
+from ..functions.dates import age_days
 from ..functions.patterns import settle
 from ..operators import dedup, filters, rules, similarity, topk, windows
 from ..operators.setops import union_sources
@@ -31,22 +32,21 @@ def collect_candidates(direct: DataFrame, news: DataFrame, social: DataFrame, se
     return filters.drop_seen(unique.orderBy("list_key").limit(CANDIDATES_MAX), "id", F.col("keys"), seen, "key")
 
 
-def ingest(entries: DataFrame, seen: DataFrame, now: Column, limit: int, per_source: int, deep: int, terms: str | None = None) -> DataFrame:
-    """JB2. Classified, relevant, unseen entries by score with a cap per source; the first ``deep`` are marked.
+def ingest(entries: DataFrame, status: DataFrame, seen: DataFrame, now: Column, limit: int, per_source: int, deep: int, terms: str | None = None) -> DataFrame:
+    """JB2. Unique, relevant, unseen entries by score with a cap per source; the first ``deep`` are marked.
 
-    Entries have id, ord, title, description, url_keys, source_id, published_at, has_canonical, priority and
-    duplicate_status (see ``dedup`` and ``similarity``).
+    Entries have id, ord, title, description, url_keys, source_id, published_at, has_canonical and priority; ``status`` is
+    (id, status) of ``similarity.classify_entries``. Entries are scored first, so their texts stay out of the joins.
     """
-    from ..functions.dates import age_days
-
     body = F.concat_ws(" ", "title", "description")
     relevant = tx.any_term(body, terms) if terms else tx.any_term(body)
-    kept = settle(entries.where("duplicate_status = 'unique'"), _relevant=relevant).where("_relevant").drop("_relevant")
-    fresh = filters.drop_seen(kept, "id", F.col("url_keys"), seen, "key")
     age = age_days(F.col("published_at"), now)
     score = F.round(topk.selection_score(age, F.col("description"), F.col("title"), F.col("has_canonical"), F.col("priority")), 4)
+    slim = settle(entries, _relevant=relevant, selection_score=score).where("_relevant").select("id", "ord", "source_id", "url_keys", "selection_score")
+    unique = slim.join(status.where("status = 'unique'").select("id"), "id", "left_semi")
+    fresh = filters.drop_seen(unique, "id", F.col("url_keys"), seen, "key")
     order = [F.col("selection_score").desc(), F.col("ord")]
-    picked = windows.capped_pick(settle(fresh, selection_score=score), "source_id", order, per_source, limit)
+    picked = windows.capped_pick(fresh, "source_id", order, per_source, limit)
     return windows.mark_deep(picked, "id", order, deep)
 
 
@@ -74,12 +74,9 @@ def detect_updates(candidates: DataFrame, prior: DataFrame) -> DataFrame:
     p = old.select(F.col("id").alias("match_id"), F.col("words").alias("p_words"), F.col("url").alias("p_url"), F.col("numbers").alias("p_numbers"))
     full = joined.join(p, "match_id", "left")
     same_source = (F.col("url") != "") & F.col("url").eqNullSafe(F.col("p_url"))
-    title_score = F.coalesce(similarity_of(F.col("words"), F.col("p_words")), F.lit(0.0))
+    title_score = F.coalesce(tx.overlap_similarity(F.col("words"), F.col("p_words")), F.lit(0.0))
     return full.select(
         "id", "match_id", F.round(title_score, 3).alias("title_similarity"), same_source.alias("same_source"),
         rules.update_class(F.col("match_id").isNotNull(), F.col("verified"), same_source, F.col("numbers") == F.col("p_numbers"), title_score, F.col("body")).alias("class"),
     )
 
-
-def similarity_of(a: Column, b: Column) -> Column:
-    return tx.overlap_similarity(a, b)
