@@ -10,7 +10,7 @@ from ..operators import dedup, similarity
 from . import query
 from .identity import sql_tokens
 from .joins import SQL_SIM
-from .tables import ART, ITEMS, articles, items, spread, sql_normal_url, table, with_sql
+from .tables import ART, ITEMS, articles, items, sql_normal_url, table, with_sql
 from .texts import SQL_PAGE_TITLE
 
 
@@ -77,7 +77,7 @@ def _(spark, sf):
     SELECT field, value, count(*) AS n_rows, min(page_id) AS first_row, CASE WHEN field = 'canonical' THEN 'critical' ELSE 'warning' END AS severity FROM v WHERE value <> '' GROUP BY field, value HAVING count(*) > 1""")
 def _(spark, sf):
     values = {"title": html.page_title(F.col("html")), "canonical": urls.normalize_url(F.col("url")), "description": F.regexp_extract("html", "<h1>([^<]*)", 1)}
-    return dedup.repeated_values(spread(table(spark, sf, "pages")), "page_id", values)
+    return dedup.repeated_values(table(spark, sf, "pages"), "page_id", values)
 
 
 @query("dd8_repeated_paragraph", with_sql(ART, "SELECT doc_id, len(list_distinct([regexp_replace(p, '\\s', '', 'g') for p in paragraphs])) < len(paragraphs) AS repeated FROM art"))

@@ -15,7 +15,7 @@ from . import query
 from .identity import sql_tokens
 from .joins import SQL_COVER, SQL_KEYWORDS, keywords
 from .rules import ITEMS_Q, SKIP, SQL_CLAIMS, SQL_DIAGNOSTIC, SQL_INDEXABLE, joined, rx, sql_codes
-from .tables import ART, DATED, ITEMS, articles, dated, items, now, spread, sql_normal_url, sql_path, sql_strip, table, with_sql
+from .tables import ART, DATED, ITEMS, articles, dated, items, now, sql_normal_url, sql_path, sql_strip, table, with_sql
 from .texts import SQL_PAGE_TITLE, sql_paras
 
 
@@ -24,7 +24,7 @@ from .texts import SQL_PAGE_TITLE, sql_paras
 
 def headed_pages(spark, sf):
     """pages with a head by page number: complete, without description, noindex with another canonical, or none."""
-    p, n = spread(table(spark, sf, "pages")), F.col("page_id") % 4
+    p, n = table(spark, sf, "pages"), F.col("page_id") % 4
     url = F.concat(F.lit("https://news.example.com/article/"), F.col("page_id").cast("string"))
     title = F.concat(F.lit("<title>Page number "), F.col("page_id").cast("string"), F.lit("</title>"))
     og = F.concat(F.lit('<meta content="'), url, F.lit('" property="og:url"><meta property="og:title" content="T"><meta property="og:description" content="D"><meta property="og:image" content="https://i.example.com/a.png">'))
@@ -59,7 +59,7 @@ def _(spark, sf):
 def _(spark, sf):
     n = F.col("page_id") % 3
     inline = F.when(n == 0, '<script id="vm-issue" type="application/json">{"count": 3, "articles": [{}, {}]}</script>').when(n == 1, '<script id="vm-issue">{bad</script>').otherwise("")
-    p = spread(table(spark, sf, "pages")).select("page_id", F.concat(inline, "html").alias("html"))
+    p = table(spark, sf, "pages").select("page_id", F.concat(inline, "html").alias("html"))
     return pages.homepage_checks(p).select("page_id", joined("codes").alias("codes"))
 
 
@@ -253,7 +253,7 @@ def _(spark, sf):
       AND regexp_replace(href, '[?#].*$', '') NOT IN (SELECT {sql_path('url')} FROM pages) GROUP BY href
     UNION ALL SELECT 'canonical-mismatch', url, '' FROM pages WHERE page_id % 2 = 0 UNION ALL SELECT 'target-missing', url || '/gone', '' FROM pages WHERE page_id % 2 = 1""")
 def _(spark, sf):
-    p = spread(table(spark, sf, "pages"))
+    p = table(spark, sf, "pages")
     sitemap = p.select(F.when(F.col("page_id") % 2 == 0, F.col("url")).otherwise(F.concat("url", F.lit("/gone"))).alias("loc"))
     return audits.validate_pages(p, sitemap)
 
@@ -420,6 +420,6 @@ b AS (SELECT page_id, url, title, CASE WHEN length(substr(array_to_string(parts,
 
 @query("jb15_extract_pages", with_sql(SQL_BODY, f"SELECT page_id, {sql_normal_url('url')} AS normal_url, 'v1_' || substr(sha256({sql_normal_url('url')}), 1, 16) AS item_id, title, body FROM b"))
 def _(spark, sf):
-    return audits.extract_pages(spread(table(spark, sf, "pages"))).drop("verdict")
+    return audits.extract_pages(table(spark, sf, "pages")).drop("verdict")
 
 

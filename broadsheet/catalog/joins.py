@@ -15,7 +15,7 @@ from ..operators.pages import with_meta
 from . import query
 from .identity import registry_domains, sql_tokens
 from .rules import DEMO_TOPICS
-from .tables import ART, DATED, ITEMS, NOW, articles, dated, items, now, spread, sql_host, sql_normal_url, sql_path, table, with_sql
+from .tables import ART, DATED, ITEMS, NOW, articles, dated, items, now, sql_host, sql_normal_url, sql_path, table, with_sql
 
 
 @query("fl1_social_rule", "SELECT event_id FROM events WHERE event_type NOT IN ('error', 'signup') AND user_id % 2 = 0 AND value >= 20 AND length(props) * 20 >= 150")
@@ -244,7 +244,7 @@ def _(spark, sf):
 def link_edges(spark, sf):
     from ..functions import html
 
-    return spread(table(spark, sf, "pages")).select("page_id", F.explode(html.links(F.col("html"))).alias("href"))
+    return table(spark, sf, "pages").select("page_id", F.explode(html.links(F.col("html"))).alias("href"))
 
 
 SQL_EDGES = """e AS (SELECT page_id, unnest(regexp_extract_all(html, '<a\\b[^>]+href=["'']([^"'']+)["'']', 1, 'i')) AS href FROM pages)"""

@@ -15,6 +15,8 @@ NOW = "2024-01-31 00:00:00"
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     df = spark.read.parquet(f"{sf}/{name}.parquet")
+    if name in ("documents", "pages", "conversations"):
+        df = spread(df)
     zoned = {f.name: F.col(f.name).cast("timestamp") for f in df.schema if f.dataType.typeName() == "timestamp_ntz"}
     return df.withColumns(zoned) if zoned else df
 
@@ -34,7 +36,7 @@ TITLE = r"^([^.!?\n]*)"
 
 def articles(spark: SparkSession, sf: str) -> DataFrame:
     """documents as articles: first sentence as title, lines as paragraphs."""
-    return spread(table(spark, sf, "documents")).withColumns(
+    return table(spark, sf, "documents").withColumns(
         {"title": strip(F.regexp_extract("text", TITLE, 1)), "paragraphs": tx.paragraphs(F.col("text"))}
     )
 

@@ -25,14 +25,19 @@ def body_paragraphs(fragment: Column) -> Column:
 
 def extract_body(html: Column, accept: int = 800) -> Column:
     """TX3. Narrowest scope with enough prose, else the longest; capped at 7000, null when it stays at 400 or less."""
-    scopes = [body_paragraphs(_scope(html, "article")), body_paragraphs(_scope(html, "main")), body_paragraphs(html)]
-    sized = F.transform(
-        F.array(*scopes), lambda s, i: F.struct(F.length(F.array_join(s, "")).alias("n"), (-i).alias("rank"), s.alias("parts"))
-    )
-    enough = F.filter(sized, lambda s: s["n"] >= accept)
-    longest = F.array_max(F.transform(sized, lambda s: F.struct(s["n"].alias("n"), s["rank"].alias("rank"), s["parts"].alias("parts"))))
-    chosen = F.when(F.size(enough) > 0, F.get(enough, F.lit(0))["parts"]).otherwise(longest["parts"])
-    body = F.substring(F.array_join(chosen, "\n"), 1, 7000)
+    article, main = body_paragraphs(_scope(html, "article")), body_paragraphs(_scope(html, "main"))
+
+    def pick(first: Column) -> Column:
+        sized = F.transform(
+            F.array(first, main, body_paragraphs(html)),
+            lambda s, i: F.struct(F.length(F.array_join(s, "")).alias("n"), (-i).alias("rank"), s.alias("parts")),
+        )
+        enough = F.filter(sized, lambda s: s["n"] >= accept)
+        return F.when(F.size(enough) > 0, F.get(enough, F.lit(0))["parts"]).otherwise(F.array_max(sized)["parts"])
+
+    # The lambda binds the article scope, so that it is read once and the wider scopes only when it is too short.
+    bound = F.transform(F.array(article), lambda a: F.when(F.length(F.array_join(a, "")) >= accept, a).otherwise(pick(a)))
+    body = F.substring(F.array_join(F.get(bound, F.lit(0)), "\n"), 1, 7000)
     return F.when(F.length(body) > 400, body)
 
 

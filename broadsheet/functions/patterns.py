@@ -2,18 +2,53 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import WS
 
-_ASCII_WORD = "A-Za-z0-9_"
-_BOUNDARY = f"(?:(?<=[{_ASCII_WORD}])(?![{_ASCII_WORD}])|(?<![{_ASCII_WORD}])(?=[{_ASCII_WORD}]))"
+_WORD = "[A-Za-z0-9_]"
+_AFTER = f"(?<!{_WORD})"
+_BEFORE = f"(?!{_WORD})"
+_EDGE = f"(?:(?<={_WORD}){_BEFORE}|{_AFTER}(?={_WORD}))"
+# One-word-class start of whatever follows a boundary, directly or as every branch of a flat group.
+_STARTS_WORD = re.compile(r"(?:\\d|[A-Za-z0-9])")
+_FLAT_GROUP = re.compile(r"\((?:\?:)?([^()]*)\)")
+
+
+def _branches_are(pattern: str, at: int, check) -> bool:
+    group = _FLAT_GROUP.match(pattern, at)
+    return bool(group) and all(check(branch) for branch in group.group(1).split("|"))
 
 
 def java(pattern: str) -> str:
-    """Make ``\\b`` an ASCII word boundary and ``\\s`` cover Unicode space for Spark's Java regex."""
-    return pattern.replace(r"\b", _BOUNDARY).replace(r"[\s", f"[{WS}").replace(r"\s", f"[{WS}]")
+    """Make ``\\b`` an ASCII word boundary and ``\\s`` cover Unicode space for Spark's Java regex.
+
+    Beside an ASCII word character a boundary is a single look-around, which is much cheaper than the general form.
+    """
+    out, i = [], 0
+    while i < len(pattern):
+        if not pattern.startswith(r"\b", i):
+            step = 2 if pattern[i] == "\\" else 1
+            out.append(pattern[i : i + step])
+            i += step
+            continue
+        after = i + 2
+        done = "".join(out)
+        opened = done.rfind("(")
+        ends_word = bool(re.search(r"(?:^|[^\\])[A-Za-z0-9]$", done)) or (
+            done.endswith(")") and opened >= 0 and _branches_are(done, opened, lambda b: bool(re.search(r"[A-Za-z0-9]$", b)))
+        )
+        if _STARTS_WORD.match(pattern, after) or _branches_are(pattern, after, lambda b: bool(_STARTS_WORD.match(b))):
+            out.append(_AFTER)
+        elif ends_word:
+            out.append(_BEFORE)
+        else:
+            out.append(_EDGE)
+        i = after
+    return "".join(out).replace(r"[\s", f"[{WS}").replace(r"\s", f"[{WS}]")
 
 
 def matches(col: Column, pattern: str) -> Column:

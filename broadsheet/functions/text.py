@@ -97,7 +97,8 @@ def body_char_count(parts: Column) -> Column:
 
 def numeric_tokens(value: Column) -> Column:
     """TX12. Numeric claims (number with unit, ``n=``, percent), in order of appearance."""
-    return F.transform(find_all(text(value), NUMBER_TOKEN), lambda t: F.lower(squeeze(t)))
+    # The look-ahead skips all characters that no token starts with.
+    return F.transform(find_all(text(value), f"(?=[nNsS표대0-9]){NUMBER_TOKEN}"), lambda t: F.lower(squeeze(t)))
 
 
 def plain_numbers(value: Column) -> Column:

@@ -240,7 +240,9 @@ def contract_issues() -> Column:
 def safety_issues(patterns: tuple[str, ...] = C.UNSAFE_PHRASES) -> Column:
     """CL11. The unsafe-phrase patterns that occur."""
     body = rule_text("title", "lead", "_body", "_points", "angle", "radar_clinical")
-    return F.array_compact(F.array(*[F.when(matches(body, f"(?i){p}"), F.lit(p)) for p in patterns]))
+    found = F.array_compact(F.array(*[F.when(matches(body, f"(?i){p}"), F.lit(p)) for p in patterns]))
+    # Hardly any row has one, so one scan for all of them decides first.
+    return F.when(matches(body, "(?i)" + "|".join(patterns)), found).otherwise(F.array().cast("array<string>"))
 
 
 def publication_policy() -> Column:
@@ -298,7 +300,8 @@ def indexable(publish: Column) -> Column:
 def numeric_issues(lead: Column, body: Column, key_points: Column, radar: Column) -> Column:
     """CL13. Numeric claims that the body does not contain."""
     held = tx.numeric_tokens(body)
-    missing = lambda c: F.size(F.array_except(tx.numeric_tokens(c), held)) > 0
+    # The body is only searched when the short field has a number at all.
+    missing = lambda c: F.when(F.size(tx.numeric_tokens(c)) > 0, F.size(F.array_except(tx.numeric_tokens(c), held)) > 0)
     return codes(
         (missing(lead), "numeric-lead-body-mismatch"),
         (missing(key_points), "numeric-keypoints-body-mismatch"),

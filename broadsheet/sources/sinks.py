@@ -79,7 +79,7 @@ def publish_blockers(items: DataFrame, contract: Column, publish: Column, now: C
             F.when(F.col("scheduled_at") > now, F.lit("scheduled-later")),
         )
     )
-    return items.withColumn("reasons", reasons)
+    return settle(items, reasons=reasons)
 
 
 def stamp_published(items: DataFrame, now: Column) -> DataFrame:
