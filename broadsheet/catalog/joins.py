@@ -149,12 +149,14 @@ SQL_SIM = "round(len(list_intersect(a.words, b.words)) / greatest(len(a.words),
 
 
 @query("jn6_similar_titles", with_sql(SQL_SETS, f"""
-    SELECT a.doc_id AS left_id, b.doc_id AS right_id, {SQL_SIM} AS similarity FROM su a JOIN su b ON a.doc_id < b.doc_id AND len(list_intersect(a.words, b.words)) > 0 WHERE {SQL_SIM} >= 0.62"""))
-def _(spark, sf):
-    """Distinct titles at least 0.62 alike, each pair once."""
-    sets = title_sets(spark, sf).where(F.size("words") > 0).groupBy("words").agg(F.min("doc_id").alias("doc_id"))
-    pairs = similarity.similar_pairs(sets, sets, "doc_id", "doc_id", "words", "words", 0.62)
-    return pairs.where("left_id < right_id")
+    , a0 AS (SELECT words, min(doc_id) AS doc_id FROM ts WHERE len(words) > 0 AND doc_id % 2 = 0 GROUP BY words), b0 AS (SELECT words, min(doc_id) AS doc_id FROM ts WHERE len(words) > 0 AND doc_id % 2 = 1 GROUP BY words),
+    p AS (SELECT a.doc_id AS left_id, b.doc_id AS right_id, {SQL_SIM} AS similarity FROM a0 a JOIN b0 b ON len(list_intersect(a.words, b.words)) > 0 WHERE {SQL_SIM} >= 0.5),
+    r AS (SELECT *, row_number() OVER (PARTITION BY left_id ORDER BY similarity DESC, right_id) AS rn FROM p) SELECT left_id, right_id, similarity FROM r WHERE rn = 1"""))
+def _(spark, sf):
+    """For each title of an even document the most similar title of an odd one, at least 0.5 alike."""
+    sets = title_sets(spark, sf).where(F.size("words") > 0)
+    one = lambda rest: sets.where(F.col("doc_id") % 2 == rest).groupBy("words").agg(F.min("doc_id").alias("doc_id"))
+    return similarity.best_similar(one(0), one(1), "doc_id", "doc_id", "doc_id", "words", 0.5)
 
 
 @query("jn6_earliest_similar", with_sql(SQL_SETS, f"""

@@ -232,7 +232,7 @@ def _(spark, sf):
 @query("sk6_bounded_seen", "SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem ORDER BY l_shipdate DESC, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice LIMIT 20000")
 def _(spark, sf):
     order = [F.col("l_shipdate").desc()] + [F.col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")]
-    return sinks.bounded_seen(table(spark, sf, "lineitem"), order).select("l_orderkey", "l_linenumber", "l_partkey")
+    return sinks.bounded_seen(table(spark, sf, "lineitem"), F.to_date("l_shipdate"), order).select("l_orderkey", "l_linenumber", "l_partkey")
 
 
 @query("sk7_upsert_decisions", """

@@ -62,10 +62,9 @@ def detect_updates(candidates: DataFrame, prior: DataFrame) -> DataFrame:
     cand, old = sets(candidates), sets(prior)
     firsts = dedup.first_per_key(old.where(F.size("words") > 0), ["words"], [F.col("ord")])
     wanted = cand.where(F.size("words") > 0).groupBy("words").agg(F.min("id").alias("set_id"))
-    by_title = similarity.similar_pairs(wanted, firsts, "set_id", "id", "words", "words", 0.72)
-    by_title = by_title.join(firsts.select(F.col("id").alias("right_id"), F.col("ord").alias("prior_ord")), "right_id")
-    best_set = similarity.best_match(by_title, [F.col("similarity").desc(), F.col("prior_ord")])
-    set_match = wanted.join(best_set, wanted["set_id"] == best_set["left_id"]).select("words", F.col("right_id").alias("t_id"), F.col("similarity").alias("t_score"), F.col("prior_ord").alias("t_ord"))
+    best = similarity.best_similar(wanted, firsts, "set_id", "id", "ord", "words", 0.72)
+    best = best.join(firsts.select(F.col("id").alias("right_id"), F.col("ord").alias("t_ord")), "right_id")
+    set_match = wanted.join(best, wanted["set_id"] == best["left_id"]).select("words", F.col("right_id").alias("t_id"), F.col("similarity").alias("t_score"), "t_ord")
     by_url = dedup.first_per_key(old.where(F.col("url") != ""), ["url"], [F.col("ord")]).select("url", F.col("id").alias("u_id"), F.col("ord").alias("u_ord"))
     joined = cand.join(set_match, "words", "left").join(by_url, "url", "left")
     # A shared URL counts as a score of 1; among equals the earlier article in the list wins.

@@ -6,7 +6,7 @@ The DataFrame functions say what the new state is; the ``write_*`` functions onl
 from __future__ import annotations
 
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import RUN_HISTORY, SEEN_LIMIT
@@ -51,9 +51,14 @@ def bounded_history(history: DataFrame, run: DataFrame, run_ts: str, keep: int =
     return rows.join(last, run_ts, "left_semi")
 
 
-def bounded_seen(seen: DataFrame, order: list[Column], keep: int = SEEN_LIMIT) -> DataFrame:
-    """SK6. The newest keys."""
-    return seen.orderBy(*order).limit(keep)
+def bounded_seen(seen: DataFrame, bucket: Column, order: list[Column], keep: int = SEEN_LIMIT) -> DataFrame:
+    """SK6. The newest keys. ``bucket`` is a coarse time, such as the day, that the order starts with: counts per bucket
+    tell which ones can hold the newest keys, so that not every task sends ``keep`` rows to the last one."""
+    counts = seen.groupBy(bucket.alias("_bucket")).agg(F.count("*").alias("_n"))
+    newer = Window.partitionBy(F.lit(0)).orderBy(F.col("_bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    needed = counts.withColumn("_newer", F.coalesce(F.sum("_n").over(newer), F.lit(0))).where(F.col("_newer") < keep)
+    oldest = needed.agg(F.min("_bucket")).scalar()
+    return seen.where(bucket >= oldest).orderBy(*order).limit(keep)
 
 
 def write_by_day(rows: DataFrame, day: str, path: str) -> None:

@@ -155,3 +155,19 @@ def test_streak_resets_and_is_capped(spark):
     df = spark.createDataFrame(rows, "feed string, o long, ok boolean")
     got = {r.feed: r.consecutive_successes for r in windows.success_streak(df, "feed", "o", "ok").collect()}
     assert got == {"a": 2, "b": 20, "c": 0}
+
+
+def test_best_similar_equals_brute_force(spark):
+    rnd = random.Random(8)
+    sets = sorted({tuple(t) for t in families(rnd, 160)}, key=lambda t: rnd.random())
+    half = len(sets) // 2
+    left, right = list(enumerate(sets[:half])), list(enumerate(sets[half:]))
+    want = {}
+    for i, a in left:
+        best = min(((-sim(a, b), j) for j, b in right if sim(a, b) >= 0.72), default=None)
+        if best:
+            want[i] = (best[1], -best[0])
+    schema = "id long, words array<string>"
+    frame = lambda rows: spark.createDataFrame([(i, list(t)) for i, t in rows], schema)
+    got = similarity.best_similar(frame(left), frame(right), "id", "id", "id", "words", 0.72).collect()
+    assert {r.left_id: (r.right_id, r.similarity) for r in got} == want and len(got) == len(want)
