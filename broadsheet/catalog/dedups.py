@@ -25,7 +25,11 @@ def _(spark, sf):
     return dedup.keep_first_by_keys(c, "doc_id", "doc_id", F.array("text_key")).select("doc_id")
 
 
-@query("dd1_keep_first_many_keys")
+@query("dd1_keep_first_many_keys", with_sql("RECURSIVE " + ART, """
+    , k AS (SELECT doc_id, lang, row_number() OVER (ORDER BY doc_id) AS i, list_filter(['u:' || md5(text), 't:' || substr(regexp_replace(lower(title), '[^a-z0-9가-힣]', '', 'g'), 1, 80)], lambda x: length(x) > 2) AS ks FROM art),
+    s AS (SELECT 0::BIGINT AS i, FALSE AS kept, NULL::BIGINT AS doc_id, NULL::VARCHAR AS lang, []::VARCHAR[] AS seen
+      UNION ALL SELECT k.i, NOT list_has_any(k.ks, s.seen), k.doc_id, k.lang, CASE WHEN list_has_any(k.ks, s.seen) THEN s.seen ELSE list_concat(s.seen, k.ks) END FROM s JOIN k ON k.i = s.i + 1)
+    SELECT doc_id, lang FROM s WHERE kept"""))
 def _(spark, sf):
     c = candidates(spark, sf)
     keys = F.array_distinct(F.filter(F.array(F.concat(F.lit("u:"), "text_key"), F.concat(F.lit("t:"), "title_key")), lambda k: F.length(k) > 2))

@@ -256,11 +256,12 @@ def evidence_metadata(values):
     return F.map_filter(F.create_map(*pairs), lambda _, v: v.isNotNull() & (strip(v) != ""))
 
 
-@query("id26_with_identity")
+@query("id26_with_identity", with_sql(ITEMS, """
+    SELECT doc_id, 'v1_' || substr(sha256(source_url), 1, 16) AS item_id, workflow_status, coalesce(content_tier, 'brief') AS content_tier, 64 AS hash_length FROM items"""))
 def _(spark, sf):
     i = items(spark, sf).withColumns({"item_id": urls.stable_item_id([F.col("source_url")], [F.col("title")]), "content_hash": _content_hash()})
     return i.select(
-        "doc_id", "item_id", "content_hash", R.workflow_status().alias("workflow_status"), R.content_tier().alias("content_tier"), R.clinical_risk().alias("clinical_risk")
+        "doc_id", "item_id", R.workflow_status().alias("workflow_status"), R.content_tier().alias("content_tier"), F.length("content_hash").alias("hash_length")
     )
 
 

@@ -231,7 +231,7 @@ def release_inputs(spark, sf):
 def _(spark, sf):
     drafts, out = release_inputs(spark, sf)
     evaluated = publication.evaluate_release(drafts, out, "date", F.col("lang").isin("en", "fr"), F.col("doc_id"), SKIP)
-    picked, _ = publication.release(evaluated, out, "date", [F.col("id")])
+    picked, _ = publication.release(evaluated, out.where("value > 80"), "date", [F.col("id")])
     return picked.select("id", "date", "e.grade", "release_rank")
 
 

@@ -16,6 +16,13 @@ from .tables import (
 )
 from .texts import re2
 
+SQL_DIAGNOSTIC = f"""diag AS (
+  SELECT user_id AS feed, count(*) AS items, max(ts) AS newest, round((epoch_us(TIMESTAMP '{NOW}') - epoch_us(max(ts))) / 86400000000.0, 2) AS age_days,
+    CASE WHEN count(*) >= 2 THEN round((epoch_us(max(ts)) - epoch_us(min(ts))) / 86400000000.0 / (count(*) - 1), 2) END AS average_gap_days,
+    round(count(*) FILTER (event_type <> 'signup') / count(*), 3) AS canonical_coverage, round(count(*) FILTER (value > 99) / count(*), 3) AS relay_ratio,
+    count(*) - count(DISTINCT props) AS duplicate_guids FROM events GROUP BY user_id)"""
+
+
 # DuckDB has no back-references, so the repeated-word code is left out wherever an oracle compares codes.
 SKIP = ("repeated-word",)
 
@@ -172,7 +179,16 @@ def with_topics(a, dictionary=DEMO_TOPICS):
     return a.withColumn("topics", topk.best_topics(topk.topic_hits(F.col("title"), F.col("text"), dictionary)))
 
 
-@query("cl6_topics_fixed_dictionary")
+_FIXED_HITS = "[" + ", ".join(
+    f"{{'ord': {i}, 'slug': '{s}', 'm': len(regexp_extract_all(title, '{m}', 0, 'i')), 'b': len(regexp_extract_all(text, '{m}', 0, 'i'))}}" for i, (s, m) in enumerate(C.TOPICS)
+) + "]"
+
+
+@query("cl6_topics_fixed_dictionary", with_sql(ART, f"""
+    , h AS (SELECT doc_id, unnest({_FIXED_HITS}) AS x FROM art), f AS (SELECT doc_id, x.ord AS ord, x.slug AS slug, x.m AS m, x.b AS b, max(x.m) OVER (PARTITION BY doc_id) AS top FROM h),
+    r AS (SELECT doc_id, slug, row_number() OVER (PARTITION BY doc_id ORDER BY m DESC, b DESC, ord) AS rn, top FROM f WHERE (top > 0 AND m > 0) OR (top = 0 AND b >= 2)),
+    l AS (SELECT doc_id, string_agg(slug, ',' ORDER BY rn) AS topics FROM r WHERE rn <= CASE WHEN top > 0 THEN 3 ELSE 1 END GROUP BY 1)
+    SELECT art.doc_id, coalesce(topics, '') AS topics FROM art LEFT JOIN l ON l.doc_id = art.doc_id"""))
 def _(spark, sf):
     a = with_topics(articles(spark, sf), C.TOPICS)
     return a.select("doc_id", joined("topics").alias("topics"))
@@ -265,7 +281,7 @@ def _(spark, sf):
     return w.select("doc_id", joined("w").alias("warnings"), R.language_blocker(F.col("w")).alias("blocker"))
 
 
-@query("cl14_superlative_corrected")
+@query("cl14_superlative_corrected", with_sql(ITEMS_Q, f"SELECT doc_id, CASE WHEN {rx('rule_text', C.SUPERLATIVE_ANY)} THEN 'superlative' ELSE '' END AS codes FROM iq"))
 def _(spark, sf):
     return items(spark, sf).select("doc_id", joined(R.superlative()).alias("codes"))
 
@@ -320,7 +336,10 @@ def _(spark, sf):
     return p.select("page_id", R.source_status(F.col("url"), canonical, F.col("domain").isNotNull()).alias("status"))
 
 
-@query("cl23_feed_candidate_verdict")
+@query("cl23_feed_candidate_verdict", with_sql(SQL_DIAGNOSTIC, """
+    , f AS (SELECT user_id, max(event_id) AS failed FROM events WHERE event_type = 'error' GROUP BY 1),
+    k AS (SELECT e.user_id AS feed, count(*) FILTER (event_type <> 'error' AND (failed IS NULL OR event_id > failed)) AS streak FROM events e LEFT JOIN f ON f.user_id = e.user_id GROUP BY 1)
+    SELECT diag.feed, CASE WHEN diag.feed % 50 = 0 THEN 'rejected' WHEN canonical_coverage >= 0.5 AND relay_ratio = 0 AND duplicate_guids = 0 AND streak >= 3 THEN 'approved-candidate' ELSE 'needs-human-review' END AS verdict FROM diag JOIN k ON k.feed = diag.feed"""))
 def _(spark, sf):
     d = events_diagnostic(spark, sf)
     runs = table(spark, sf, "events").select(F.col("user_id").alias("feed"), "event_id", (F.col("event_type") != "error").alias("ok"))
@@ -338,13 +357,6 @@ def events_diagnostic(spark, sf):
     return aggregate.feed_diagnostic(e, "feed", "ts", "guid", now())
 
 
-SQL_DIAGNOSTIC = f"""diag AS (
-  SELECT user_id AS feed, count(*) AS items, max(ts) AS newest, round((epoch_us(TIMESTAMP '{NOW}') - epoch_us(max(ts))) / 86400000000.0, 2) AS age_days,
-    CASE WHEN count(*) >= 2 THEN round((epoch_us(max(ts)) - epoch_us(min(ts))) / 86400000000.0 / (count(*) - 1), 2) END AS average_gap_days,
-    round(count(*) FILTER (event_type <> 'signup') / count(*), 3) AS canonical_coverage, round(count(*) FILTER (value > 99) / count(*), 3) AS relay_ratio,
-    count(*) - count(DISTINCT props) AS duplicate_guids FROM events GROUP BY user_id)"""
-
-
 @query("cl22_feed_status", f"""
     WITH {SQL_DIAGNOSTIC}
     SELECT feed, CASE WHEN feed % 29 = 0 THEN 'retired' WHEN feed % 23 = 0 THEN 'disabled' WHEN feed % 19 = 0 THEN 'failing' WHEN age_days > 30 AND (average_gap_days IS NULL OR average_gap_days <= 14) THEN 'stale'
@@ -392,7 +404,7 @@ def _(spark, sf):
     return e.select("doc_id", "e.status")
 
 
-@query("cl31_re_review")
+@query("cl31_re_review", with_sql(ITEMS, "SELECT doc_id, coalesce(quality = 0, FALSE) AS re_review FROM items"))
 def _(spark, sf):
     from .identity import _content_hash
 

@@ -76,7 +76,7 @@ def _(spark, sf):
     return with_meta(table(spark, sf, "pages")).select("page_id", "title", "description", "canonical", "robots", "og_url")
 
 
-@query("tx6_extract_jsonld")
+@query("tx6_extract_jsonld", "SELECT page_id, 'NewsArticle' AS types, 1 AS errors FROM pages")
 def _(spark, sf):
     n = F.col("page_id")
     block = F.concat(F.lit('<script type="application/ld+json">{"@graph":[{"@type":["NewsArticle"],"headline":"h'), n, F.lit('"}]}</script><script type="application/ld+json">{broken</script>'))
