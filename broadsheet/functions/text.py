@@ -24,7 +24,7 @@ def title_key(title: Column) -> Column:
 
 def normalize_title(title: Column, fold=None) -> Column:
     """ID5. Lower-case words of a title. ``fold`` may add NFKC folding (see ``unicode.nfkc``) before lower-casing."""
-    plain = F.regexp_replace(F.regexp_replace(text(title), "<[^>]+>", " "), "(?i)&(?:amp|nbsp|quot|#39);", " ")
+    plain = F.regexp_replace(text(title), "(?i)<[^>]+>|&(?:amp|nbsp|quot|#39);", " ")
     plain = F.lower(fold(plain) if fold else plain)
     return F.trim(F.regexp_replace(plain, "[^a-z0-9가-힣]+", " "))
 

@@ -24,7 +24,7 @@ def keep_first_by_keys(df: DataFrame, row: str, ordinal: str, keys: Column, max_
     ``ordinal`` must be unique. Rows without keys are kept.
     """
     base = df.select(F.col(row).alias("_row"), F.col(ordinal).alias("_ord"), keys.alias("_keys"))
-    claims = base.select("_row", "_ord", F.explode("_keys").alias("_key"))
+    claims = cut_lineage(base.select("_row", "_ord", F.explode("_keys").alias("_key")))
     # A key held by one row decides nothing; dropping it here keeps the rounds to rows that do collide.
     shared = claims.groupBy("_key").agg(F.count("*").alias("_n")).where("_n > 1").select("_key")
     open_claims = cut_lineage(claims.join(shared, "_key", "left_semi"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.urls import host_of, host_suffixes
+from ..session import cut_lineage
 from .dedup import first_per_key
 
 
@@ -85,7 +86,7 @@ def covering_documents(keywords: DataFrame, docs: DataFrame, keyword: str, token
         ).alias("token"),
     )
     word_tokens = pieces.join(wanted, "token")
-    doc_tokens = (
+    doc_tokens = cut_lineage(
         docs.select(doc, F.explode(F.array_distinct(F.col(words))).alias("word")).join(word_tokens, "word").select(doc, "token").distinct()
     )
     frequency = doc_tokens.groupBy("token").agg(F.count("*").alias("df"))

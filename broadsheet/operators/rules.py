@@ -62,7 +62,7 @@ def prepare(df: DataFrame) -> DataFrame:
             "_parts": F.transform(_list("paragraphs"), compact), "_points": F.array_join(_list("key_points"), " "),
         }
     )
-    return full.withColumns(
+    joined = full.withColumns(
         {
             "_chars": F.length(F.array_join("_parts", "")),
             "_all": squeeze(F.concat_ws(" ", "title", "lead", "_body", "_points", "angle")),
@@ -70,6 +70,7 @@ def prepare(df: DataFrame) -> DataFrame:
             "_audit": rule_text("title", "lead", "_body", "_points", "angle", "radar_clinical", "radar_owner", "radar_evidence"),
         }
     )
+    return joined.withColumns({"_risk": _infer_risk(), "_role": _infer_role()})
 
 
 def content_tier() -> Column:
@@ -151,7 +152,11 @@ def workflow_status(legacy: bool = False, draft: bool = False) -> Column:
 
 
 def clinical_risk() -> Column:
-    """CL7."""
+    """CL7. Stated or inferred risk, read from the column that ``prepare`` adds."""
+    return F.col("_risk")
+
+
+def _infer_risk() -> Column:
     explicit = F.lower(_c("clinical_risk"))
     body = F.col("_read")
     return (
@@ -164,7 +169,11 @@ def clinical_risk() -> Column:
 
 
 def required_role() -> Column:
-    """CL9."""
+    """CL9. Role that has to review the item, read from the column that ``prepare`` adds."""
+    return F.col("_role")
+
+
+def _infer_role() -> Column:
     risk = F.lower(F.coalesce(F.nullif(F.col("clinical_risk"), F.lit("")), F.lit("low")))
     acts = matches(rule_text("title", "lead", "_body", "radar_clinical"), C.CLINICAL_ACTION)
     return F.when((risk == "high") | ((risk == "medium") & acts), F.lit("vet")).otherwise(F.lit("editor"))
@@ -433,13 +442,13 @@ def missing_context(warnings: Column, claim_col: Column) -> Column:
     )
 
 
-def update_class(has_match: Column, verified: Column, same_source: Column, same_numbers: Column, title_score: Column, body: Column) -> Column:
+def update_class(has_match: Column, verified: Column, same_source: Column, same_numbers: Column, title_score: Column, corrects: Column) -> Column:
     """CL19."""
     close = title_score >= 0.9
     return (
         F.when(~has_match, F.when(verified, F.lit("separate-story")).otherwise(F.lit("unresolved")))
         .when(same_source & same_numbers, F.when(close, F.lit("duplicate")).otherwise(F.lit("minor-update")))
-        .when(same_source & matches(body, C.CORRECTION_WORDS), F.lit("correction"))
+        .when(same_source & corrects, F.lit("correction"))
         .when(same_source, F.lit("substantive-update"))
         .when(close, F.lit("duplicate"))
         .otherwise(F.lit("unresolved"))

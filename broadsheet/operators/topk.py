@@ -9,6 +9,7 @@ from ..constants import BRIEF_MIN_RELEVANCE, BRIEFS_PER_ISSUE, ITEMS_PER_ISSUE,
 from ..functions.dates import iso_week
 from ..functions.patterns import text
 from ..functions.text import term_count, term_hits
+from ..session import cut_lineage
 from .dedup import first_per_key
 
 
@@ -63,7 +64,8 @@ def related(items: DataFrame, item: str, topics: str, entities: str, category: s
         F.array(F.concat(F.lit("c:"), F.coalesce(F.col(category), F.lit("")))),
     )
     keyed = items.select(F.col(item).alias("item"), F.col(ts).alias("ts"), F.col(eligible).alias("eligible"), F.array_sort(F.array_distinct(features)).alias("features"))
-    keyed = keyed.withColumn("profile", F.sha2(F.array_join("features", "\u0001"), 256))
+    # Topics usually come from a text; the features are stored, since three branches read them.
+    keyed = cut_lineage(keyed.withColumn("profile", F.sha2(F.array_join("features", "\u0001"), 256)))
     newest = [F.col("ts").desc_nulls_last(), F.col("item")]
 
     def shortlist_by(df: DataFrame, key: str, order: list[Column]) -> DataFrame:

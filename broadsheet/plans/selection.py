@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import CANDIDATES_MAX
+from ..constants import CANDIDATES_MAX, CORRECTION_WORDS
 from ..functions import text as tx
 from ..functions.dates import age_days
-from ..functions.patterns import settle
+from ..functions.patterns import matches, settle
 from ..operators import dedup, filters, rules, similarity, topk, windows
 from ..operators.setops import union_sources
+from ..session import cut_lineage
 
 
 def collect_candidates(direct: DataFrame, news: DataFrame, social: DataFrame, seen: DataFrame, segment: Column) -> DataFrame:
@@ -56,10 +57,12 @@ def detect_updates(candidates: DataFrame, prior: DataFrame) -> DataFrame:
     Both have id, title, url, body; candidates also verified, prior also ord. Equal titles of earlier articles are
     collapsed to the first one, so a hot title is one row.
     """
-    def sets(df: DataFrame) -> DataFrame:
-        return df.withColumns({"words": F.array_sort(tx.title_tokens(F.col("title"))), "numbers": F.array_join(tx.plain_numbers(F.col("body")), "|")})
+    def slim(df: DataFrame, *keep: str) -> DataFrame:
+        """What the comparison needs of the texts, read from them once."""
+        words, numbers = F.array_sort(tx.title_tokens(F.col("title"))), F.array_join(tx.plain_numbers(F.col("body")), "|")
+        return cut_lineage(df.select("id", "url", *keep, words.alias("words"), numbers.alias("numbers"), matches(F.col("body"), CORRECTION_WORDS).alias("corrects")))
 
-    cand, old = sets(candidates), sets(prior)
+    cand, old = slim(candidates, "verified"), slim(prior, "ord")
     firsts = dedup.first_per_key(old.where(F.size("words") > 0), ["words"], [F.col("ord")])
     wanted = cand.where(F.size("words") > 0).groupBy("words").agg(F.min("id").alias("set_id"))
     best = similarity.best_similar(wanted, firsts, "set_id", "id", "ord", "words", 0.72)
@@ -76,6 +79,6 @@ def detect_updates(candidates: DataFrame, prior: DataFrame) -> DataFrame:
     title_score = F.coalesce(tx.overlap_similarity(F.col("words"), F.col("p_words")), F.lit(0.0))
     return full.select(
         "id", "match_id", F.round(title_score, 3).alias("title_similarity"), same_source.alias("same_source"),
-        rules.update_class(F.col("match_id").isNotNull(), F.col("verified"), same_source, F.col("numbers") == F.col("p_numbers"), title_score, F.col("body")).alias("class"),
+        rules.update_class(F.col("match_id").isNotNull(), F.col("verified"), same_source, F.col("numbers") == F.col("p_numbers"), title_score, F.col("corrects")).alias("class"),
     )
 

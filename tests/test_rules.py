@@ -101,7 +101,7 @@ def test_images(spark):
 
 def test_update_classes(spark):
     def cls(match, verified, same, numbers, score, body):
-        c = rules.update_class(F.lit(match), F.lit(verified), F.lit(same), F.lit(numbers), F.lit(score), F.lit(body))
+        c = rules.update_class(F.lit(match), F.lit(verified), F.lit(same), F.lit(numbers), F.lit(score), rules.matches(F.lit(body), C.CORRECTION_WORDS))
         return spark.range(1).select(c.alias("x")).first().x
 
     assert cls(False, True, False, False, 0.0, "") == "separate-story"
