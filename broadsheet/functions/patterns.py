@@ -13,8 +13,9 @@ _WORD = "[A-Za-z0-9_]"
 _AFTER = f"(?<!{_WORD})"
 _BEFORE = f"(?!{_WORD})"
 _EDGE = f"(?:(?<={_WORD}){_BEFORE}|{_AFTER}(?={_WORD}))"
-# One-word-class start of whatever follows a boundary, directly or as every branch of a flat group.
+# What a boundary stands beside, directly or as every branch of a flat group.
 _STARTS_WORD = re.compile(r"(?:\\d|[A-Za-z0-9])")
+_STARTS_HANGUL = re.compile("[가-힣]")
 _FLAT_GROUP = re.compile(r"\((?:\?:)?([^()]*)\)")
 
 
@@ -41,10 +42,17 @@ def java(pattern: str) -> str:
         ends_word = bool(re.search(r"(?:^|[^\\])[A-Za-z0-9]$", done)) or (
             done.endswith(")") and opened >= 0 and _branches_are(done, opened, lambda b: bool(re.search(r"[A-Za-z0-9]$", b)))
         )
+        ends_hangul = bool(re.search("[가-힣]$", done)) or (
+            done.endswith(")") and opened >= 0 and _branches_are(done, opened, lambda b: bool(re.search("[가-힣]$", b)))
+        )
         if _STARTS_WORD.match(pattern, after) or _branches_are(pattern, after, lambda b: bool(_STARTS_WORD.match(b))):
             out.append(_AFTER)
         elif ends_word:
             out.append(_BEFORE)
+        elif _STARTS_HANGUL.match(pattern, after) or _branches_are(pattern, after, lambda b: bool(_STARTS_HANGUL.match(b))):
+            out.append(f"(?<={_WORD})")
+        elif ends_hangul:
+            out.append(f"(?={_WORD})")
         else:
             out.append(_EDGE)
         i = after

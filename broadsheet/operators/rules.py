@@ -6,6 +6,8 @@ so that a row is joined and cleaned once, however many rules look at it.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,6 +46,11 @@ def _list(name: str) -> Column:
     return F.coalesce(F.col(name), F.array().cast("array<string>"))
 
 
+def _needs_hangul(pattern: str) -> bool:
+    """Whether a literal or a pattern without top-level alternatives holds a Hangul character, so that a match must."""
+    return "|" not in re.sub(r"\([^()]*\)", "", pattern) and bool(re.search("[가-힣]", re.sub(r"\([^()]*\)[?*]?", "", pattern)))
+
+
 def _any_code(arr: Column, *wanted: str) -> Column:
     return F.arrays_overlap(arr, F.array(*[F.lit(w) for w in wanted]))
 
@@ -70,7 +77,8 @@ def prepare(df: DataFrame) -> DataFrame:
             "_audit": rule_text("title", "lead", "_body", "_points", "angle", "radar_clinical", "radar_owner", "radar_evidence"),
         }
     )
-    return joined.withColumns({"_risk": _infer_risk(), "_role": _infer_role()})
+    # Rules that cannot match without Hangul ask this first.
+    return joined.withColumns({"_hangul": matches(F.col("_audit"), C.HANGUL), "_risk": _infer_risk(), "_role": _infer_role()})
 
 
 def content_tier() -> Column:
@@ -112,8 +120,8 @@ def quality_issues(skip: tuple[str, ...] = ()) -> Column:
         (banned, "banned-term"),
         (matches(everything, C.GARBLED), "garbled-text"),
         (matches(everything, C.TEMPLATE), "template-text"),
-        (matches(everything, C.INTERNAL_ASCII), "internal-ascii"),
-        (matches(everything, C.BAD_PARTICLE), "particle-error"),
+        (F.col("_hangul") & matches(everything, C.INTERNAL_ASCII), "internal-ascii"),
+        (F.col("_hangul") & matches(everything, C.BAD_PARTICLE), "particle-error"),
         (matches(everything, C.REPEATED_WORD), "repeated-word"),
     ]
     brief = [
@@ -251,7 +259,8 @@ def safety_issues(patterns: tuple[str, ...] = C.UNSAFE_PHRASES) -> Column:
     body = rule_text("title", "lead", "_body", "_points", "angle", "radar_clinical")
     found = F.array_compact(F.array(*[F.when(matches(body, f"(?i){p}"), F.lit(p)) for p in patterns]))
     # Hardly any row has one, so one scan for all of them decides first.
-    return F.when(matches(body, "(?i)" + "|".join(patterns)), found).otherwise(F.array().cast("array<string>"))
+    guard = F.col("_hangul") if all(_needs_hangul(p) for p in patterns) else F.lit(True)
+    return F.when(guard & matches(body, "(?i)" + "|".join(patterns)), found).otherwise(F.array().cast("array<string>"))
 
 
 def publication_policy() -> Column:
@@ -328,11 +337,12 @@ def language_warnings(known: tuple[str, ...] = C.KNOWN_ERRORS) -> Column:
     """CL14. Language audit. The superlative code keeps the ASCII word boundary of the rule; see ``superlative``."""
     body, parts = F.col("_audit"), _list("paragraphs")
     plain = F.transform(parts, lambda p: tx.normalize_title(p))
-    pairs = [(matches(body, C.INTERNAL_ASCII), "korean-internal-ascii")]
-    pairs += [(F.contains(body, F.lit(k)), f"known-error:{k}") for k in known]
+    hangul = F.col("_hangul")
+    pairs = [(hangul & matches(body, C.INTERNAL_ASCII), "korean-internal-ascii")]
+    pairs += [((hangul if _needs_hangul(k) else F.lit(True)) & F.contains(body, F.lit(k)), f"known-error:{k}") for k in known]
     pairs += [
         (matches(_c("title"), C.TITLE_ENGLISH), "untranslated-title"),
-        (matches(body, C.SUPERLATIVE), "claim-superlative-review"),
+        (hangul & matches(body, C.SUPERLATIVE), "claim-superlative-review"),
         ((F.size(parts) > 1) & (F.size(F.array_distinct(plain)) < F.size(parts)), "repeated-paragraph"),
     ]
     return codes(*pairs)
@@ -356,7 +366,7 @@ def claim_warnings() -> Column:
         item_numeric_issues(),
         codes(
             (matches(_c("study_type"), C.CASE_REPORT) & matches(body, C.GENERALISING), "case-report-generalization"),
-            (matches(body, C.SUPERLATIVE) & ~matches(_c("source_title"), C.SUPERLATIVE), "unsupported-claim"),
+            (F.col("_hangul") & matches(body, C.SUPERLATIVE) & ~matches(_c("source_title"), C.SUPERLATIVE), "unsupported-claim"),
             (has_both & ~F.arrays_overlap(studied, _list("species")), "species-mismatch"),
         ),
     )
