@@ -121,14 +121,14 @@ def clean_image_url(url: Column, base: Column) -> Column:
         .when(F.startswith(raw, F.lit("/")), F.concat(scheme, F.lit("://"), authority, raw))
         .otherwise(F.concat(scheme, F.lit("://"), authority, folder, raw))
     )
-    generic = F.regexp_like(host_of(resolved), F.lit(GENERIC_IMAGE_HOST)) | F.regexp_like(
-        path_of(resolved), F.lit(GENERIC_IMAGE_PATH)
-    )
-    usable = (raw != "") & F.regexp_like(resolved, F.lit(_URL)) & ~generic
-    secure = F.concat(
-        F.lit("https://"), F.lower(url_part(resolved, 2)), path_of(resolved), url_part(resolved, 4), url_part(resolved, 5)
-    )
-    return F.when(usable, secure)
+
+    def secure(u: Column) -> Column:
+        generic = F.regexp_like(host_of(u), F.lit(GENERIC_IMAGE_HOST)) | F.regexp_like(path_of(u), F.lit(GENERIC_IMAGE_PATH))
+        whole = F.concat(F.lit("https://"), F.lower(url_part(u, 2)), path_of(u), url_part(u, 4), url_part(u, 5))
+        return F.when(F.regexp_like(u, F.lit(_URL)) & ~generic, whole)
+
+    # The lambda binds the resolved URL, which the checks read many times.
+    return F.when(raw != "", F.get(F.transform(F.array(resolved), secure), F.lit(0)))
 
 
 def image_key(url: Column) -> Column:

@@ -29,7 +29,7 @@ def collect_candidates(direct: DataFrame, news: DataFrame, social: DataFrame, se
     # Duplicates are judged in list order; the id breaks ties, so that the order is total.
     listed = listed.withColumn("list_key", F.struct("list_key.*", F.col("id").alias("c")))
     all_keys = F.array_distinct(F.concat("keys", F.array(F.concat(F.lit("t:"), tx.title_key(F.col("title"))))))
-    unique = dedup.keep_first_by_keys(listed, "id", "list_key", F.filter(all_keys, lambda k: k != "t:"))
+    unique = cut_lineage(dedup.keep_first_by_keys(listed, "id", "list_key", F.filter(all_keys, lambda k: k != "t:")))
     return filters.drop_seen(unique.orderBy("list_key").limit(CANDIDATES_MAX), "id", F.col("keys"), seen, "key")
 
 
@@ -44,8 +44,8 @@ def ingest(entries: DataFrame, status: DataFrame, seen: DataFrame, now: Column,
     age = age_days(F.col("published_at"), now)
     score = F.round(topk.selection_score(age, F.col("description"), F.col("title"), F.col("has_canonical"), F.col("priority")), 4)
     slim = settle(entries, _relevant=relevant, selection_score=score).where("_relevant").select("id", "ord", "source_id", "url_keys", "selection_score")
-    unique = slim.join(status.where("status = 'unique'").select("id"), "id", "left_semi")
-    fresh = filters.drop_seen(unique, "id", F.col("url_keys"), seen, "key")
+    unique = cut_lineage(slim.join(status.where("status = 'unique'").select("id"), "id", "left_semi"))
+    fresh = cut_lineage(filters.drop_seen(unique, "id", F.col("url_keys"), seen, "key"))
     order = [F.col("selection_score").desc(), F.col("ord")]
     picked = windows.capped_pick(fresh, "source_id", order, per_source, limit)
     return windows.mark_deep(picked, "id", order, deep)
