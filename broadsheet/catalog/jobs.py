@@ -58,7 +58,7 @@ def _(spark, sf):
       || CASE WHEN regexp_matches(html, 'href=["'']/(article|issues/)[^"'']+', 'i') THEN '' ELSE ',homepage-article-links-missing' END AS codes FROM pages""")
 def _(spark, sf):
     n = F.col("page_id") % 3
-    inline = F.when(n == 0, '<script id="vm-issue" type="application/json">{"count": 3, "articles": [{}, {}]}</script>').when(n == 1, '<script id="vm-issue">{bad</script>').otherwise("")
+    inline = F.when(n == 0, f'<script id="{C.HOME_DATA_ID}" type="application/json">' + '{"count": 3, "articles": [{}, {}]}</script>').when(n == 1, f'<script id="{C.HOME_DATA_ID}">' + '{bad</script>').otherwise("")
     p = table(spark, sf, "pages").select("page_id", F.concat(inline, "html").alias("html"))
     return pages.homepage_checks(p).select("page_id", joined("codes").alias("codes"))
 
@@ -155,6 +155,18 @@ def _(spark, sf):
     return selection.collect_candidates(direct, news, social, seen, F.floor(F.col("ord") / 1000)).select("id")
 
 
+@query("jb1_score_and_split", with_sql(ART, """
+    , s AS (SELECT a.doc_id, md5(a.text) AS url, CASE WHEN quality IS NULL THEN NULL ELSE quality * 4 + toxic * 3 END AS relevance FROM art a LEFT JOIN labels l ON l.doc_id = a.doc_id),
+    d AS (SELECT *, 'deep' AS tier FROM s WHERE coalesce(relevance, 0) >= 5 ORDER BY relevance DESC, doc_id LIMIT 42),
+    b AS (SELECT *, 'brief' AS tier FROM s WHERE relevance >= 3 AND relevance < 5 AND url NOT IN (SELECT url FROM d) ORDER BY relevance DESC, doc_id LIMIT 90)
+    SELECT doc_id, tier, relevance FROM d UNION ALL SELECT doc_id, tier, relevance FROM b"""))
+def _(spark, sf):
+    """The labels stand in for the outside scorer."""
+    a = articles(spark, sf).select("doc_id", F.md5("text").alias("url"))
+    labels = table(spark, sf, "labels").select("doc_id", (F.col("quality") * 4 + F.col("toxic") * 3).alias("relevance"))
+    return selection.score_and_split(a, lambda df: labels.join(df, "doc_id", "left_semi"), "doc_id", "url", [F.col("doc_id")]).select("doc_id", "tier", "relevance")
+
+
 SQL_INGEST = DATED + f""",
 w AS (SELECT *, md5(text) AS k, list_sort({sql_tokens('title')}) AS words FROM dated),
 e AS (SELECT *, lag(doc_id) OVER (PARTITION BY k ORDER BY doc_id) AS exact FROM w),

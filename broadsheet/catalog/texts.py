@@ -162,6 +162,15 @@ def _(spark, sf):
     )
 
 
+@query("tx14_rule_hits", """
+    SELECT doc_id, r.rule AS rule, CAST(r.hits AS INTEGER) AS hits FROM (SELECT doc_id, unnest([{'rule': 'the', 'hits': len(regexp_extract_all(text, '\\bthe\\b', 0, 'i'))},
+      {'rule': 'une', 'hits': len(regexp_extract_all(text, '\\bune\\b', 0, 'i'))}, {'rule': 'owner', 'hits': len(regexp_extract_all(text, '\\bowner\\b', 0, 'i'))}]) AS r FROM documents) WHERE r.hits > 0""")
+def _(spark, sf):
+    rules = [(rf"(?i)\b{w}\b", "") for w in ("the", "une", "owner")]
+    hits = table(spark, sf, "documents").select("doc_id", F.explode(tx.rule_hits(F.col("text"), rules)).alias("r"))
+    return hits.select("doc_id", F.regexp_extract("r.rule", r"\\b([a-z]+)\\b", 1).alias("rule"), "r.hits")
+
+
 @query("tx15_article_text_quality", with_sql(ART, f"""
     , m AS (SELECT doc_id, text, length(text) AS n, len(regexp_extract_all(text, '[{{}};=<>|&$]')) AS symbols,
        regexp_extract_all(text, '[A-Za-z][A-Za-z''-]*') AS words, len(regexp_extract_all(text, '[.!?]["'')\\]]?(?:[{WS}]|$)')) AS sentences,

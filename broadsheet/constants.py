@@ -132,6 +132,8 @@ SUPERLATIVE = r"\b(최초|입증|완치)\b"
 SUPERLATIVE_ANY = r"최초|입증|완치"
 CASE_REPORT = r"(?i)증례|case report"
 GENERALISING = r"모든|일반적으로|입증|효과가 있다"
+# Known errors with a safe replacement: (text, class, confidence).
+SAFE_REPLACEMENTS = (("병원ugeom", "typo", 0.99), ("조객 참여", "terminology", 0.97), ("라신County", "spacing", 0.99))
 COMMON_ACRONYMS = (
     "AI", "API", "CBC", "CGM", "CT", "DNA", "DOI", "ETCO2", "FDA", "FIV", "GP", "H5N1", "HCT", "IDEXX", "ILE", "IU",
     "KPI", "mL", "MRI", "NSAID", "PIMS", "PLE", "RSS", "SII", "STT", "TTA", "WHO", "X-ray",
@@ -162,6 +164,9 @@ PRIMARY_TYPES = {
     "page": ("WebPage", "AboutPage", "CollectionPage"),
 }
 
+# Element id of the edition data inside a homepage.
+HOME_DATA_ID = "vm-issue"
+
 # --- Fixed values: keywords -------------------------------------------------------------------------
 KEYWORD_STOPWORDS = ("관리", "방법", "정보", "추천", "가격", "비용", "종류", "증상", "원인", "치료")
 KEYWORD_CONTEXT = r"강아지|고양이|반려|애완|동물병원|수의|펫|댕댕|냥이|견종|말티즈|푸들|포메|시츄|리트리버|비숑|치와와|진돗개|고냥|묘|犬"

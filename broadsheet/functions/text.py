@@ -121,6 +121,12 @@ def apply_rewrites(value: Column, rules=REWRITE_RULES) -> Column:
     return out
 
 
+def rule_hits(value: Column, rules=REWRITE_RULES) -> Column:
+    """TX14. (rule, hits) of the rules that occur, as an array; ``explode`` gives one row per rule."""
+    counted = F.array(*[F.struct(F.lit(pattern).alias("rule"), count(text(value), pattern).alias("hits")) for pattern, _ in rules])
+    return F.filter(counted, lambda r: r["hits"] > 0)
+
+
 def article_text_quality(body: Column, title: Column) -> Column:
     """TX15. Verdict on extracted text."""
     value = text(body)

@@ -409,12 +409,11 @@ def warning_triage(warning: Column, original: Column) -> Column:
     def verdict(kind: str, confidence: float, human: bool) -> Column:
         return F.struct(F.lit(kind).alias("classification"), F.lit(confidence).alias("confidence"), F.lit(human).alias("human"))
 
+    triage = F.when(ascii_inside & acronym, verdict("false-positive", 0.98, False))
+    for term, kind, confidence in C.SAFE_REPLACEMENTS:
+        triage = triage.when(known == term, verdict(kind, confidence, False))
     return (
-        F.when(known == "병원ugeom", verdict("typo", 0.99, False))
-        .when(known == "조객 참여", verdict("terminology", 0.97, False))
-        .when(known == "라신County", verdict("spacing", 0.99, False))
-        .when(ascii_inside & acronym, verdict("false-positive", 0.98, False))
-        .when(ascii_inside & F.regexp_like(token, F.lit("[A-Za-z]{2,}")), verdict("untranslated-fragment", 0.86, True))
+        triage.when(ascii_inside & F.regexp_like(token, F.lit("[A-Za-z]{2,}")), verdict("untranslated-fragment", 0.86, True))
         .when(warning == "claim-superlative-review", verdict("title-body-mismatch", 0.8, True))
         .otherwise(verdict("ambiguous", 0.6, True))
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +35,13 @@ def collect_candidates(direct: DataFrame, news: DataFrame, social: DataFrame, se
     return filters.drop_seen(unique.orderBy("list_key").limit(CANDIDATES_MAX), "id", F.col("keys"), seen, "key")
 
 
+def score_and_split(candidates: DataFrame, score_fn: Callable[[DataFrame], DataFrame], row: str, url: str, tie: list[Column]) -> DataFrame:
+    """JB1. Deep and brief items by an outside scorer: ``score_fn`` returns (row, relevance) for the candidates it could
+    score; the others count as 0."""
+    scored = candidates.join(score_fn(candidates).select(row, "relevance"), row, "left")
+    return topk.tier_split(scored, url, "relevance", tie)
+
+
 def ingest(entries: DataFrame, status: DataFrame, seen: DataFrame, now: Column, limit: int, per_source: int, deep: int, terms: str | None = None) -> DataFrame:
     """JB2. Unique, relevant, unseen entries by score with a cap per source; the first ``deep`` are marked.
 
