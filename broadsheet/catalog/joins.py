@@ -92,11 +92,11 @@ def _(spark, sf):
 
 
 @query("fl11_search", with_sql(ITEMS, """
-    SELECT doc_id FROM items WHERE category = 'en' AND contains(lower(concat_ws(' ', title, lead, source_label, text)), 'there') AND event_type <> 'view' ORDER BY published_at DESC, doc_id LIMIT 200"""))
+    SELECT doc_id FROM items WHERE category = 'en' AND contains(lower(concat_ws(' ', title, lead, source_label, text)), 'there') AND event_type <> 'view'"""))
 def _(spark, sf):
     i = items(spark, sf)
     hits = FL.search(i, " There", [F.col("title"), F.col("lead"), F.col("source_label"), F.col("text")], "en", i.where("event_type = 'view'").select("doc_id"), "doc_id")
-    return hits.orderBy(F.col("published_at").desc(), "doc_id").limit(200).select("doc_id")
+    return hits.select("doc_id")
 
 
 @query("jn1_attach_scores", "SELECT d.doc_id, d.source, l.quality, l.toxic FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id")

@@ -476,7 +476,7 @@ def _(spark, sf):
 @query("cl45_review_queue", with_sql(ITEMS_Q, """
     , z AS (SELECT *, CASE WHEN workflow_status = 'correction-required' THEN 'correction-required' WHEN role = 'vet' THEN 'vet-review-needed' END AS reason,
        CASE WHEN clinical_risk = 'high' THEN 40 WHEN clinical_risk = 'medium' THEN 25 ELSE 10 END + CASE WHEN workflow_status = 'correction-required' THEN 40 ELSE 0 END AS priority FROM iq WHERE workflow_status IN ('draft', 'automated', 'correction-required'))
-    SELECT doc_id, reason, priority, ctier IN ('analysis', 'evidence') AS index_eligible FROM z ORDER BY priority DESC, doc_id DESC LIMIT 100"""))
+    SELECT doc_id, reason, priority, ctier IN ('analysis', 'evidence') AS index_eligible FROM z"""))
 def _(spark, sf):
     i = items(spark, sf).where(F.col("workflow_status").isin(*C.QUEUE_STATUSES))
     no = F.lit(False)
@@ -484,4 +484,4 @@ def _(spark, sf):
         "doc_id", R.block_reason().alias("reason"), topk.review_priority(F.col("clinical_risk"), R.workflow_status(), no, no).alias("priority"),
         R.content_tier().isin("analysis", "evidence").alias("index_eligible"),
     )
-    return out.orderBy(F.col("priority").desc(), F.col("doc_id").desc()).limit(100)
+    return out

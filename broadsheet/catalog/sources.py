@@ -24,10 +24,10 @@ def sql_xml_safe(col):
 
 
 def feed_payloads(spark, sf):
-    """One feed payload per source, language and block of a thousand ids: RSS for English, Atom for the others."""
+    """One feed payload per source, language and block of a hundred ids: RSS for English, Atom for the others."""
     d = dated(spark, sf)
     rss = F.col("lang") == "en"
-    title, body = xml_safe(F.col("title")), xml_safe(F.substring("text", 1, 1500))
+    title, body = xml_safe(F.col("title")), xml_safe(F.col("text"))
     link = F.concat(F.lit("https://"), "lang", F.lit(".example.com/a/"), "doc_id", F.lit("?utm_source=feed#x"))
     entry = F.when(
         rss,
@@ -38,7 +38,7 @@ def feed_payloads(spark, sf):
         F.concat(F.lit("<entry><title type=\"text\">"), title, F.lit("</title><link rel=\"alternate\" href=\""), link, F.lit("\"/><id>g"), "doc_id", F.lit("</id><updated>"),
                  F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z</updated><summary>"), body, F.lit("</summary></entry>"))
     )
-    grouped = d.withColumn("e", entry).groupBy("source", "lang", F.floor(F.col("doc_id") / 1000).alias("block")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "e"))), lambda x: x["e"]), "").alias("es"))
+    grouped = d.withColumn("e", entry).groupBy("source", "lang", F.floor(F.col("doc_id") / 100).alias("block")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "e"))), lambda x: x["e"]), "").alias("es"))
     xml = F.when(F.col("lang") == "en", F.concat(F.lit('<?xml version="1.0"?><rss version="2.0" xmlns:dc="http://purl.org/dc/elements/1.1/"><channel><title>t</title>'), "es", F.lit("</channel></rss>"))).otherwise(
         F.concat(F.lit('<?xml version="1.0"?><feed xmlns="http://www.w3.org/2005/Atom"><title>t</title>'), "es", F.lit("</feed>"))
     )
@@ -51,30 +51,30 @@ def feed_payloads(spark, sf):
 @query("sc2_read_feeds", with_sql(DATED, f"""
     SELECT source AS source_id, 'g' || doc_id AS guid, {sql_squeeze(sql_xml_safe('title'))} AS title, 'https://' || lang || '.example.com/a/' || doc_id AS url, strftime(ts, '%Y-%m-%d %H:%M:%S') AS published,
       CASE WHEN lang = 'en' THEN '10.1234/' || doc_id END AS doi, CASE WHEN lang = 'en' THEN 'https://en.example.com/a/' || doc_id END AS canonical_url,
-      substr({sql_squeeze(sql_xml_safe('substr(text, 1, 1500)'))}, 1, 1200) AS description, lang IN ('en', 'fr') AS official FROM dated WHERE trim({sql_squeeze(sql_xml_safe('title'))}) <> ''"""))
+      substr({sql_squeeze(sql_xml_safe('text'))}, 1, 1200) AS description, lang IN ('en', 'fr') AS official FROM dated WHERE trim({sql_squeeze(sql_xml_safe('title'))}) <> ''"""))
 def _(spark, sf):
     e = feeds.read_feeds(feed_payloads(spark, sf))
     return e.select("source_id", "guid", "title", "url", F.date_format("published_at", "yyyy-MM-dd HH:mm:ss").alias("published"), "doi", "canonical_url", "description", "official")
 
 
 @query("sc3_read_news_feeds", with_sql(DATED, f"""
-    , e AS (SELECT doc_id, source, lang, ts, {sql_squeeze(sql_xml_safe('title'))} AS title, length({sql_squeeze(sql_xml_safe('substr(text, 1, 1500)'))}) AS n_body,
-       {sql_squeeze(sql_xml_safe('substr(text, 1, 1500)'))} AS body, 'https://' || lang || '.example.com/a/' || doc_id || '?utm_source=feed#x' AS url FROM dated),
+    , e AS (SELECT doc_id, source, lang, ts, {sql_squeeze(sql_xml_safe('title'))} AS title, length(substr({sql_squeeze(sql_xml_safe('text'))}, 1, 4000)) AS n_body,
+       substr({sql_squeeze(sql_xml_safe('text'))}, 1, 4000) AS body, 'https://' || lang || '.example.com/a/' || doc_id || '?utm_source=feed#x' AS url FROM dated),
     f AS (SELECT *, CASE WHEN lang = 'en' THEN regexp_replace(title, '\\s+-\\s+[^-]+$', '') ELSE title END AS short FROM e WHERE date_trunc('second', ts) >= TIMESTAMP '2024-01-02' AND NOT regexp_matches(body, 'members only|log in/register', 'i')),
-    r AS (SELECT *, row_number() OVER (PARTITION BY source, lang, doc_id // 1000 ORDER BY doc_id) AS rn FROM f WHERE short <> '')
-    SELECT substr(md5(url), 1, 10) AS id, source AS source_id, CASE WHEN lang = 'en' THEN 'Paper ' || source ELSE upper(source) END AS source_label, short AS title, url, strftime(ts, '%Y-%m-%d %H:%M:%S') AS published, n_body FROM r WHERE rn <= 10"""))
+    r AS (SELECT *, row_number() OVER (PARTITION BY source, lang, doc_id // 100 ORDER BY doc_id) AS rn FROM f WHERE short <> '')
+    SELECT substr(md5(url), 1, 10) AS id, source AS source_id, CASE WHEN lang = 'en' THEN 'Paper ' || source ELSE upper(source) END AS source_label, short AS title, url, strftime(ts, '%Y-%m-%d %H:%M:%S') AS published, n_body FROM r WHERE rn <= 2"""))
 def _(spark, sf):
-    p = feed_payloads(spark, sf).withColumns({"max_age_days": F.lit(2), "max_items": F.lit(10)})
+    p = feed_payloads(spark, sf).withColumns({"max_age_days": F.lit(2), "max_items": F.lit(2)})
     e = feeds.read_news_feeds(p, F.lit("2024-01-04").cast("timestamp"))
     return e.select("id", "source_id", "source_label", "title", "url", F.date_format("published_at", "yyyy-MM-dd HH:mm:ss").alias("published"), F.length("body").alias("n_body"))
 
 
 @query("sc4_read_papers", with_sql(DATED, f"""
-    , p AS (SELECT doc_id, source, ts, {sql_squeeze(sql_xml_safe('title'))} AS title, 'Aim: ' || {sql_squeeze(sql_xml_safe('substr(text, 1, 4000)'))} || chr(10) || 'n=5' AS abstract FROM dated)
+    , p AS (SELECT doc_id, source, ts, {sql_squeeze(sql_xml_safe('title'))} AS title, 'Aim: ' || {sql_squeeze(sql_xml_safe('text'))} || chr(10) || 'n=5' AS abstract FROM dated)
     SELECT doc_id::VARCHAR AS pmid, title, upper(source) AS journal, substr(abstract, 1, 6000) AS abstract, '10.99/' || doc_id AS doi, strftime(ts, '%Y-%m-') || lpad(least(28, day(ts))::VARCHAR, 2, '0') AS published FROM p WHERE length(abstract) > 150 AND title <> ''"""))
 def _(spark, sf):
     d = dated(spark, sf)
-    title, body = squeeze(xml_safe(F.col("title"))), squeeze(xml_safe(F.substring("text", 1, 4000)))
+    title, body = squeeze(xml_safe(F.col("title"))), squeeze(xml_safe(F.col("text")))
     xml = F.concat(
         F.lit("<PubmedArticle><MedlineCitation><PMID Version=\"1\">"), F.col("doc_id").cast("string"), F.lit("</PMID><Article><Journal><Title>"), F.upper("source"),
         F.lit("</Title><JournalIssue><PubDate><Year>"), F.date_format("ts", "yyyy"), F.lit("</Year><Month>"), F.date_format("ts", "MMM"), F.lit("</Month><Day>"), F.date_format("ts", "d"),

@@ -73,18 +73,18 @@ def _(spark, sf):
 
 @query("tk6_recent_items", with_sql(ITEMS, """
     , m AS (SELECT max(date) AS d FROM items), o AS (SELECT i.*, row_number() OVER (PARTITION BY source_url ORDER BY date DESC, doc_id) AS rn FROM items i, m WHERE date <> d),
-    p AS (SELECT DISTINCT category FROM items, m WHERE date = d AND doc_id % 7 = 0) SELECT doc_id, CASE WHEN category IN (SELECT category FROM p) THEN 1 ELSE 0 END AS preferred FROM o WHERE rn = 1 ORDER BY 2 DESC, date DESC, doc_id LIMIT 50"""))
+    p AS (SELECT DISTINCT category FROM items, m WHERE date = d AND doc_id % 7 = 0) SELECT doc_id, CASE WHEN category IN (SELECT category FROM p) THEN 1 ELSE 0 END AS preferred FROM o WHERE rn = 1 ORDER BY 2 DESC, date DESC, doc_id LIMIT 6"""))
 def _(spark, sf):
     i = items(spark, sf)
     newest = i.agg(F.max("date")).scalar()
     preferred = i.where((F.col("date") == newest) & (F.col("doc_id") % 7 == 0)).select("category")
-    return K.recent_items(i, "source_url", newest, "date", "category", preferred, [F.col("date").desc(), F.col("doc_id")], 50).select("doc_id", "preferred")
+    return K.recent_items(i, "source_url", newest, "date", "category", preferred, [F.col("date").desc(), F.col("doc_id")]).select("doc_id", "preferred")
 
 
-@query("tk7_release_order", "SELECT o_orderkey FROM orders ORDER BY o_orderstatus = 'F' DESC, o_orderpriority = '1-URGENT' DESC, o_totalprice DESC, o_orderkey LIMIT 500")
+@query("tk7_release_order", "SELECT o_orderkey FROM orders ORDER BY o_orderstatus = 'F' DESC, o_orderpriority = '1-URGENT' DESC, o_totalprice DESC, o_orderkey LIMIT 40")
 def _(spark, sf):
     order = K.release_order(F.col("o_orderstatus") == "F", F.col("o_orderpriority") == "1-URGENT", F.col("o_totalprice"), [F.col("o_orderkey")])
-    return table(spark, sf, "orders").orderBy(*order).limit(500).select("o_orderkey")
+    return table(spark, sf, "orders").orderBy(*order).limit(40).select("o_orderkey")
 
 
 @query("tk8_distinct_newest", with_sql(ITEMS, """
@@ -135,7 +135,7 @@ def _(spark, sf):
 @query("tk12_packet", with_sql(ITEMS, """
     , q AS (SELECT id, 'correction' AS type, 120 AS score, 0 AS o FROM items WHERE workflow_status = 'correction-required' UNION ALL SELECT id, 'high-risk', 110, 1 FROM items WHERE clinical_risk = 'high'
       UNION ALL SELECT id, 'low-risk-draft', 100, 2 FROM items WHERE clinical_risk = 'low' AND source_status = 'verified' UNION ALL SELECT id, 'medium-risk', 90, 3 FROM items WHERE clinical_risk = 'medium'),
-    r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, o) AS rn FROM q) SELECT id, type, score FROM r WHERE rn = 1 ORDER BY score DESC, id LIMIT 300"""))
+    r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, o) AS rn FROM q) SELECT id, type, score FROM r WHERE rn = 1 ORDER BY score DESC, id LIMIT 10"""))
 def _(spark, sf):
     i = items(spark, sf)
 
@@ -145,7 +145,7 @@ def _(spark, sf):
     return K.packet([
         queue("workflow_status = 'correction-required'", "correction", 120, 0), queue("clinical_risk = 'high'", "high-risk", 110, 1),
         queue("clinical_risk = 'low' AND source_status = 'verified'", "low-risk-draft", 100, 2), queue("clinical_risk = 'medium'", "medium-risk", 90, 3),
-    ], 300).select("id", "type", "score")
+    ]).select("id", "type", "score")
 
 
 @query("tk13_topic_lists", with_sql(SQL_TOPICS, """
