@@ -25,7 +25,8 @@ def _(spark, sf):
     return K.tier_split(o, "o_orderkey", "score", [F.col("o_orderkey")])
 
 
-SQL_SCORE = f"""round(0.40 * (CASE WHEN d.event_type = 'error' THEN 0.15 ELSE greatest(0.0, 1 - abs((epoch_us(TIMESTAMP '{NOW}') - epoch_us(d.ts)) / 86400000000.0) / 30) END) + 0.25 * least(1.0, length(d.text) / 600)
+# A billionth lifts values that stand exactly between two digits, which the two systems round differently.
+SQL_SCORE = f"""round(1e-9 + 0.40 * (CASE WHEN d.event_type = 'error' THEN 0.15 ELSE greatest(0.0, 1 - abs((epoch_us(TIMESTAMP '{NOW}') - epoch_us(d.ts)) / 86400000000.0) / 30) END) + 0.25 * least(1.0, length(d.text) / 600)
     + 0.20 * least(1.0, len(list_distinct([lower(t) for t in regexp_extract_all(d.title || ' ' || d.text, 'veterin|animal health|animal hospital|pet health|dog|cat|canine|feline|equine|veterinary|zoon|rabies|parasit|antimicrobial|clinical|journal|medicine|병원|동물|수의|반려|질환|감염|백신|논문|임상', 0, 'i')])) / 4)
     + 0.10 * (CASE WHEN d.lang = 'en' THEN 1.0 ELSE 0.0 END) + 0.05 * least(1.0, (CASE WHEN d.user_id = 0 THEN 50 ELSE d.user_id END) / 100), 4)"""
 
@@ -33,7 +34,7 @@ SQL_SCORE = f"""round(0.40 * (CASE WHEN d.event_type = 'error' THEN 0.15 ELSE gr
 def scored(spark, sf):
     d = dated(spark, sf)
     age = F.when(F.col("event_type") != "error", age_days(F.col("ts"), now()))
-    return d.withColumn("score", F.round(K.selection_score(age, F.col("text"), F.col("title"), F.col("lang") == "en", F.col("user_id")), 4))
+    return d.withColumn("score", F.round(K.selection_score(age, F.col("text"), F.col("title"), F.col("lang") == "en", F.col("user_id")) + 1e-9, 4))
 
 
 @query("tk3_selection_score", with_sql(DATED, f"SELECT doc_id, {SQL_SCORE} AS score FROM dated d"))
