@@ -1,4 +1,4 @@
 """Loads every operator of this folder, which registers its query."""
 
-from . import exact  # noqa: F401
+from . import exact, quality  # noqa: F401
 from .queries import ORACLES, QUERIES  # noqa: F401
