@@ -1,4 +1,4 @@
 """Loads every operator of this folder, which registers its query."""
 
-from . import bpe, exact, packing, quality  # noqa: F401
+from . import bpe, exact, ngram_join, packing, quality  # noqa: F401
 from .queries import ORACLES, QUERIES  # noqa: F401
