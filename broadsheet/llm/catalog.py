@@ -1,4 +1,4 @@
 """Loads every operator of this folder, which registers its query."""
 
-from . import bpe, exact, ngram_join, packing, quality, substrings  # noqa: F401
+from . import boosted, bpe, exact, ngram_join, packing, quality, substrings, toxicity  # noqa: F401
 from .queries import ORACLES, QUERIES  # noqa: F401
