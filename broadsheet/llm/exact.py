@@ -91,7 +91,8 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """``docs`` without the rows that :func:`exact_groups` drops, all columns unchanged; of rows that repeat an id one is left."""
     kept = exact_groups(docs, id_col, text_col).where("kept").groupBy(F.col("doc_id").alias("_kept")).agg(F.count("*").alias("_times"))
     kept = store(kept, "exact-kept")
-    out = docs.join(kept.select("_kept"), docs[id_col].cast("long").eqNullSafe(F.col("_kept")), "left_semi")
+    ids = kept.select("_kept")
+    out = docs.join(ids, docs[id_col].cast("long").eqNullSafe(ids["_kept"]), "left_semi")
     if kept.where("_times > 1").isEmpty():
         return out
     return out.dropDuplicates([id_col])

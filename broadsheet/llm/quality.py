@@ -181,7 +181,7 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least
 def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that :func:`judge` rejects, all columns unchanged; a document without an id goes."""
     good = judge(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(good, docs[id_col].cast("long") == F.col("_kept"), "left_semi")
+    return docs.join(good, docs[id_col].cast("long") == good["_kept"], "left_semi")
 
 
 @query("op7_quality_rules")

@@ -235,7 +235,7 @@ def cut_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", t
     the new text where there is such a column. No row goes, also when all its words do.
     """
     found = repeats(texts(docs, id_col, text_col), window).select(F.col("doc_id").alias("_repeats_id"), F.col("spans").alias("_repeats_spans"))
-    joined = docs.join(found, docs[id_col].cast("long") == F.col("_repeats_id"), "left").drop("_repeats_id")
+    joined = docs.join(found, docs[id_col].cast("long") == found["_repeats_id"], "left").drop(found["_repeats_id"])
     place, schema = docs.columns.index(text_col), docs.schema
 
     def run(batches):
