@@ -1,6 +1,9 @@
 """Self-join of documents on the Jaccard similarity of their word n-grams, and the groups that the links form.
 
-Equal sets are one set from the start. n-grams are ordered rare first; two sets that are similar enough share an n-gram
+Most documents have no partner, and their n-grams say so: a set that has more n-grams of its own than a link may miss can't
+link. One hash class of the n-grams is counted over all documents; sets with enough n-grams of their own in it are settled.
+
+Of the others, equal sets are one set from the start. n-grams are ordered rare first; two sets that are similar enough share an n-gram
 among the first few of either (the prefix), so rows meet on prefix n-grams only. Where they meet, the length filter, the
 positional filter and a bound on the Hamming distance of the remaining sets (the suffix filter, from a bitmap of element
 parities) decide inside the join whether the pair goes on. Each remaining pair is verified once, on the whole sets.
@@ -28,6 +31,8 @@ LEAST = 85
 #: Buckets of the frequency sketch that orders n-grams; it is what reaches the driver and the tasks.
 SKETCH_BITS = 16
 WORDS_OF_BITS = 8
+#: One in so many hash classes of n-grams is counted to settle sets without partners.
+CLASSES = 4
 _U = np.uint64
 
 
@@ -74,39 +79,58 @@ def _sketch(docs: DataFrame, n: int) -> np.ndarray:
     return out
 
 
+def _prints(own: np.ndarray) -> tuple[int, int]:
+    return np.sum(mix(own), dtype=_U), np.sum(mix(own ^ _U(0xA5A5F00D12345677)), dtype=_U)
+
+
+def fingerprints(docs: DataFrame, n: int = N) -> DataFrame:
+    """Per row of (doc_id, text): the size of its set and the set's 128-bit fingerprint."""
+
+    def run(batches):
+        for ids, raw in slices(batches):
+            made = [(len(own), *_prints(own)) for own in ngram_sets(raw, n)]
+            size, a, b = zip(*made)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(size, pa.int64()), long(np.array(a, dtype=_U)), long(np.array(b, dtype=_U))], names=["doc_id", "size", "print_a", "print_b"])
+
+    return docs.mapInArrow(run, "doc_id long, size long, print_a long, print_b long")
+
+
+def _own_grams(docs: DataFrame, n: int) -> DataFrame:
+    """(doc_id, own): how many n-grams of the counted hash class no other row has."""
+
+    def run(batches):
+        for ids, raw in slices(batches):
+            chosen = [own[(own >> _U(20)) % _U(CLASSES) == 0] for own in ngram_sets(raw, n)]
+            keys = pa.array(ids, pa.int64()).take(pa.array(np.repeat(np.arange(len(ids)), [len(c) for c in chosen])))
+            yield pa.RecordBatch.from_arrays([long(np.concatenate(chosen)), keys], names=["gram", "doc_id"])
+
+    rows = docs.mapInArrow(run, "gram long, doc_id long").groupBy("gram").agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id"))
+    return rows.where("n = 1").groupBy("doc_id").agg(F.count("*").alias("own"))
+
+
 _BITS = [f"bits{k}" for k in range(WORDS_OF_BITS)]
 
 
 def features(docs: DataFrame, n: int = N, least: int = LEAST) -> DataFrame:
-    """Per row of (doc_id, text): size of its set, the set's fingerprint, its prefix rare first, and the bitmap of parities."""
+    """Per row of (doc_id, text): its set, its prefix rare first, and the bitmap of parities."""
     counts = docs.sparkSession.sparkContext.broadcast(_sketch(docs, n))
     width = 64 * WORDS_OF_BITS
 
     def run(batches):
         for ids, raw in slices(batches):
-            sizes, first, second, prefixes, bits = [], [], [], [], []
+            sizes, grams, prefixes, bits = [], [], [], []
             for own in ngram_sets(raw, n):
                 sizes.append(len(own))
-                first.append(np.sum(mix(own), dtype=_U))
-                second.append(np.sum(mix(own ^ _U(0xA5A5F00D12345677)), dtype=_U))
+                grams.append(own.tobytes())
                 order = np.argsort(counts.value[(own >> _U(64 - SKETCH_BITS)).astype(np.int64)], kind="stable")
                 prefixes.append(own[order[: prefix_length(len(own), least) if len(own) else 0]])
                 bits.append(np.packbits((np.bincount((own & _U(width - 1)).astype(np.int64), minlength=width) & 1).astype(np.uint8)).view(np.int64))
             ends = np.cumsum([0, *map(len, prefixes)]).astype(np.int32)
-            arrays = [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), long(np.array(first, dtype=_U)), long(np.array(second, dtype=_U))]
-            arrays.append(pa.ListArray.from_arrays(pa.array(ends), long(np.concatenate(prefixes))))
+            arrays = [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(grams, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), long(np.concatenate(prefixes)))]
             arrays += [pa.array(column) for column in np.stack(bits).T.copy()]
-            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "size", "print_a", "print_b", "prefix", *_BITS])
-
-    return docs.mapInArrow(run, "doc_id long, size long, print_a long, print_b long, prefix array<long>, " + ", ".join(f"{b} long" for b in _BITS))
+            yield pa.RecordBatch.from_arrays(arrays, names=["id", "size", "grams", "prefix", *_BITS])
 
-
-def _sets(docs: DataFrame, n: int) -> DataFrame:
-    def run(batches):
-        for ids, raw in slices(batches):
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([s.tobytes() for s in ngram_sets(raw, n)], pa.binary())], names=["id", "grams"])
-
-    return docs.mapInArrow(run, "id long, grams binary")
+    return docs.mapInArrow(run, "id long, size long, grams binary, prefix array<long>, " + ", ".join(f"{b} long" for b in _BITS))
 
 
 # ---------------------------------------------------------------- candidates
@@ -128,8 +152,10 @@ def _may_link(a: str, b: str, least: int) -> Column:
 
 def _verified(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar enough."""
-    left = sets.select(F.col("id").alias("a"), F.col("grams").alias("grams_a"))
-    right = sets.select(F.col("id").alias("b"), F.col("grams").alias("grams_b"))
+    ids = store(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "ngram-pair-ids")
+    needed = sets.select("id", "grams").join(ids, "id", "left_semi")
+    left = needed.select(F.col("id").alias("a"), F.col("grams").alias("grams_a"))
+    right = needed.select(F.col("id").alias("b"), F.col("grams").alias("grams_b"))
 
     def run(batches):
         for batch in batches:
@@ -155,26 +181,27 @@ def classes(docs: DataFrame, n: int = N, least: int = LEAST, id_col: str = "doc_
     nothing and has no component. Rows that share an id count as one document. An empty table gives no rows.
     """
     base = texts(docs, id_col, text_col)
-    made = store(features(base, n, least), "ngram-features")
     prints = ["size", "print_a", "print_b"]
+    made = store(fingerprints(base, n), "ngram-prints")
     full = made.where("size > 0 AND doc_id IS NOT NULL")
-    leaders = full.groupBy(*prints).agg(F.min("doc_id").alias("id"))  # equal sets are one set from here on
-    leaders = store(leaders, "ngram-leaders")
-    sets = full.join(leaders.select(F.col("id"), *[F.col(p).alias(f"l_{p}") for p in prints]), (F.col("doc_id") == F.col("id")) & (F.col("print_a") == F.col("l_print_a")) & (F.col("print_b") == F.col("l_print_b")))
+    leaders = store(full.groupBy(*prints).agg(F.min("doc_id").alias("id")), "ngram-leaders")  # equal sets are one set from here on
+
+    own = _own_grams(base.where("doc_id IS NOT NULL"), n).withColumnRenamed("doc_id", "id")
+    longest = F.col("size") - F.ceil(F.col("size") * least / 100) + 1
+    unsure = store(leaders.join(own, "id", "left").where(F.coalesce("own", F.lit(0)) < longest).select(F.col("id").alias("doc_id")), "ngram-unsure")
+    sets = store(features(store(base.join(unsure, "doc_id", "left_semi"), "ngram-texts"), n, least), "ngram-sets")
 
     rows = sets.select("id", "size", F.posexplode("prefix").alias("pos", "gram"))
     often = rows.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
     met = store(rows.join(often, "gram", "left_semi"), "ngram-met")  # prefix n-grams of at least two sets
-    own = met.groupBy("id", "size").agg(F.count("*").alias("n")).select("id", (F.col("n") / (F.col("size") - F.ceil(F.col("size") * least / 100) + 1)).alias("central"))
-    held = sets.select("id", *_BITS)
-    met = store(met.join(own.join(held, "id"), "id"), "ngram-rows")
-    whole = store(_sets(base.join(own.select(F.col("id").alias("doc_id")), "doc_id", "left_semi"), n), "ngram-sets")
+    central = met.groupBy("id", "size").agg(F.count("*").alias("n")).select("id", (F.col("n") / longest).alias("central"))
+    met = store(met.join(central, "id").join(sets.select("id", *_BITS), "id"), "ngram-rows")
 
     hubs = met.groupBy("gram").agg(F.max(F.struct("central", (-F.col("id")).alias("order"), "size", "pos", *_BITS)).alias("h"))
     hubs = hubs.select("gram", (-F.col("h.order")).alias("id"), *[F.col(f"h.{c}").alias(c) for c in ("size", "pos", *_BITS)])
     x, y = met.alias("x"), hubs.alias("y")
     starred = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.id") != F.col("y.id")) & _may_link("x", "y", least))
-    links = store(_verified(store(_pairs(starred, "x", "y"), "ngram-star"), whole, least), "ngram-links")
+    links = store(_verified(store(_pairs(starred, "x", "y"), "ngram-star"), sets, least), "ngram-links")
     parts = components(links)
 
     def with_part(df: DataFrame) -> DataFrame:
@@ -186,7 +213,7 @@ def classes(docs: DataFrame, n: int = N, least: int = LEAST, id_col: str = "doc_
     still = store(placed.join(open_grams, "gram"), "ngram-open")
     x, y = still.where("component != main").alias("x"), still.alias("y")
     across = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.component") != F.col("y.component")) & _may_link("x", "y", least))
-    more = store(_verified(store(_pairs(across, "x", "y"), "ngram-across"), whole, least), "ngram-more")
+    more = store(_verified(store(_pairs(across, "x", "y"), "ngram-across"), sets, least), "ngram-more")
     if not more.isEmpty():
         parts = components(parts.where("node != component").select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
 
@@ -199,7 +226,7 @@ def classes(docs: DataFrame, n: int = N, least: int = LEAST, id_col: str = "doc_
 def keep_one(docs: DataFrame, n: int = N, least: int = LEAST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the document of the smallest id of each component, all columns unchanged; documents without an id stay."""
     gone = classes(docs, n, least, id_col, text_col).where("doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col].cast("long") == F.col("_gone"), "left_anti")
+    return docs.join(gone, docs[id_col].cast("long") == gone["_gone"], "left_anti")
 
 
 @query("op9_ngram_join")
