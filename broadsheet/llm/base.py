@@ -43,7 +43,7 @@ def text_bytes(column: pa.Array) -> Iterator[bytes]:
         yield value.as_py() or b""
 
 
-def slices(batches, size: int = 1 << 21) -> Iterator[tuple[list[int], list[bytes]]]:
+def slices(batches, size: int = 1 << 20) -> Iterator[tuple[list[int], list[bytes]]]:
     """Ids and UTF-8 texts of (doc_id, text) batches in slices of about ``size`` bytes; a longer text is a slice of its own."""
     ids: list = []
     raw: list[bytes] = []
@@ -77,7 +77,7 @@ def _power(seed: int, n: int) -> tuple[np.ndarray, np.ndarray]:
             p[0] = 1
             out.append(np.multiply.accumulate(p))
         have = (out[0], out[1])
-        if size <= 1 << 22:
+        if size <= 1 << 21:
             _powers[seed] = have
     return have[0][:n], have[1][:n]
 

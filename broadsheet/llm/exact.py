@@ -71,7 +71,9 @@ def exact_groups(
     depth = directory_depth(entries, capacity)
 
     # Most points, then the smallest id, as one number: a decimal stays in the hash aggregate's fixed-size buffer.
-    rank = F.col("points").cast("decimal(10,0)") * _big(1 << 64) - F.coalesce("doc_id", F.lit(_NO_ID)).cast("decimal(20,0)")
+    # Rows without an id come after all others.
+    points = F.col("points") - F.when(F.col("doc_id").isNull(), F.lit(1 << 32)).otherwise(F.lit(0))
+    rank = points.cast("decimal(11,0)") * _big(1 << 64) - F.coalesce("doc_id", F.lit(_NO_ID)).cast("decimal(20,0)")
     place = bucket(F.col("key"), depth).alias("bucket")
     chains = (  # bytes are compared here: the text itself is a grouping key
         keyed.select(place, "key", "norm", rank.cast("decimal(38,0)").alias("rank"))
