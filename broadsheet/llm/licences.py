@@ -159,7 +159,7 @@ def _examples(lines: list[str]) -> list[tuple[np.ndarray, int]]:
                 size = rng.randint(8, len(words))
                 at = rng.randint(0, len(words) - size)
                 words = words[at : at + size]
-            before, after = (rng.choices(spare, k=rng.choice([0, 0, 2, 6, 10])) for _ in "ab") if k else ([], [])
+            before, after = (rng.choices(spare, k=rng.choice([0, 0, 4, 10, 14])) for _ in "ab") if k else ([], [])
             out.append((_words([" ".join([*before, *words, *after]).encode()])[1][: 2 * WINDOW], label))
     rng.shuffle(out)
     return out

@@ -4,7 +4,7 @@ Every rule looks at counts of one document and votes good, votes bad or abstains
 a histogram of vote patterns, which has at most 3 to the power of the number of rules rows. On it,
 expectation-maximisation estimates the share of good documents and of each kind of bad ones, and how often each rule casts
 each vote for each of them (its accuracy). There is one kind of bad document per rule, since spam in capitals and a page
-of symbols have little in common; a kind is held to its rule's bad vote. A document's verdict is its posterior probability
+of symbols have little in common; a kind is held to its rule's bad vote, so a document without bad votes is good. A document's verdict is its posterior probability
 of being good.
 
 Only DataFrame functions; the counts of a document come from array functions inside its row, so nothing is shuffled but
@@ -27,12 +27,14 @@ MOST_REPEATED = 50
 #: A document stays when its posterior reaches this.
 LEAST_POSTERIOR = 0.5
 #: Start of the estimation: rates of (bad, good) votes in good documents, in bad ones, and in those a rule stands for.
-START = {"good": (0.01, 0.7), "bad": (0.03, 0.65), "own": (0.98, 0.01)}
+START = {"good": (0.001, 0.7), "bad": (0.03, 0.65), "own": (0.999998, 1e-6)}
 START_GOOD = 0.8
 #: A rule is held to casting at most this share of bad votes on good documents, or a large kind of bad ones would pass as good.
-MOST_ERRORS = 0.02
+MOST_ERRORS = 0.001
+#: Share of the corpus that each kind of bad documents is given at least.
+LEAST_SHARE = 0.005
 #: Documents that the start weighs in every estimate.
-START_WEIGHT = 25.0
+START_WEIGHT = 5.0
 ROUNDS = 100
 
 
@@ -146,7 +148,8 @@ def estimate(histogram: list[tuple[list[int], int]], n_rules: int, rounds: int =
             kinds[k + 1][k] = start[1][k + 1][k]
             if (bad := kinds[0][k][-1]) > MOST_ERRORS:
                 kinds[0][k] = {v: MOST_ERRORS if v == -1 else p * (1 - MOST_ERRORS) / (1 - bad) for v, p in kinds[0][k].items()}
-        before, model = model, ([m / (total + START_WEIGHT) for m in mass], kinds)
+        shares = [max(LEAST_SHARE, m / (total + START_WEIGHT)) for m in mass]
+        before, model = model, ([x / sum(shares) for x in shares], kinds)
         if abs(before[0][0] - model[0][0]) < 1e-12:
             break
     return model

@@ -54,7 +54,7 @@ Transducer = dict[str, dict[str, tuple[str, float]]]
 
 INSULT: Transducer = {"none": {"insult": ("seen", 1.0)}, "seen": {"insult": ("seen", 1.2)}}
 THREAT: Transducer = {"none": {"threat": ("seen", 1.0)}, "seen": {"threat": ("seen", 1.2), "target": ("aimed", 1.5)}}
-TARGET: Transducer = {"none": {"target": ("named", 1.0)}, "named": {"insult": ("named", 1.3), "threat": ("named", 1.3)}}
+TARGET: Transducer = {"none": {"target": ("named", 1.0)}, "named": {"insult": ("named", 1.3)}}
 NEGATION: Transducer = {"plain": {"negation": ("negated", 1.0)}, "negated": {"insult": ("plain", 0.6), "threat": ("plain", 0.4), "negation": ("plain", 1.0)}}
 REPORT: Transducer = {"direct": {"report": ("reported", 1.0)}, "reported": {"insult": ("reported", 0.7), "threat": ("reported", 0.7)}}
 MARKS = ("insult", "threat", "target", "negation", "report")
@@ -82,12 +82,16 @@ GRAMMAR, START = compose(INSULT, THREAT, TARGET, NEGATION, REPORT)
 
 
 def clause_score(marks: list[tuple[str, float]]) -> float:
-    """Weight of one clause, given its marks in order, each with its lexicon weight (used for insults and threats)."""
-    state, total = START, 0.0
+    """Weight of one clause, given its marks in order, each with its lexicon weight (used for insults and threats). A target
+    after a threat adds to that threat."""
+    state, total, threat = START, 0.0, 0.0
     for mark, weight in marks:
         state, factor = GRAMMAR[state][mark]
         if mark in ("insult", "threat"):
             total += weight * factor
+            threat = weight * factor if mark == "threat" else threat
+        elif mark == "target":
+            total += threat * (factor - 1)
     return total
 
 
