@@ -8,7 +8,7 @@ from ..functions import html, urls
 from ..functions import text as tx
 from ..operators import dedup, similarity
 from . import query
-from .identity import sql_tokens
+from .identity import sql_title_key, sql_tokens
 from .joins import SQL_SIM
 from .tables import ART, ITEMS, articles, items, sql_normal_url, table, with_sql
 from .texts import SQL_PAGE_TITLE
@@ -26,7 +26,7 @@ def _(spark, sf):
 
 
 @query("dd1_keep_first_many_keys", with_sql("RECURSIVE " + ART, """
-    , k AS (SELECT doc_id, lang, row_number() OVER (ORDER BY doc_id) AS i, list_filter(['u:' || md5(text), 't:' || substr(regexp_replace(lower(title), '[^a-z0-9가-힣]', '', 'g'), 1, 80)], lambda x: length(x) > 2) AS ks FROM art),
+    , k AS (SELECT doc_id, lang, row_number() OVER (ORDER BY doc_id) AS i, list_filter(['u:' || md5(text), 't:' || """ + sql_title_key("title") + """], lambda x: length(x) > 2) AS ks FROM art),
     s AS (SELECT 0::BIGINT AS i, FALSE AS kept, NULL::BIGINT AS doc_id, NULL::VARCHAR AS lang, []::VARCHAR[] AS seen
       UNION ALL SELECT k.i, NOT list_has_any(k.ks, s.seen), k.doc_id, k.lang, CASE WHEN list_has_any(k.ks, s.seen) THEN s.seen ELSE list_concat(s.seen, k.ks) END FROM s JOIN k ON k.i = s.i + 1)
     SELECT doc_id, lang FROM s WHERE kept"""))

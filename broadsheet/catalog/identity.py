@@ -37,7 +37,16 @@ def _(spark, sf):
     return table(spark, sf, "pages").select("page_id", urls.stable_item_id([F.col("url")], [F.lit("item")]).alias("item_id"))
 
 
-@query("id4_title_key", with_sql(ART, "SELECT doc_id, substr(regexp_replace(lower(title), '[^a-z0-9가-힣]', '', 'g'), 1, 80) AS title_key FROM art"))
+def sql_title_key(col: str) -> str:
+    whole = f"regexp_replace(lower({col}), '[^a-z0-9가-힣]', '', 'g')"
+    return f"(CASE WHEN length({whole}) <= 80 THEN {whole} ELSE substr({whole}, 1, 80) || '#' || substr(md5({whole}), 1, 16) END)"
+
+
+def sql_short(slug: str, size: int) -> str:
+    return f"(CASE WHEN length({slug}) <= {size} THEN {slug} ELSE regexp_replace(substr({slug}, 1, {size}), '-+$', '') || '-' || substr(md5({slug}), 1, 8) END)"
+
+
+@query("id4_title_key", with_sql(ART, f"SELECT doc_id, {sql_title_key('title')} AS title_key FROM art"))
 def _(spark, sf):
     return articles(spark, sf).select("doc_id", tx.title_key(F.col("title")).alias("title_key"))
 
@@ -142,15 +151,20 @@ def _(spark, sf):
     return table(spark, sf, "documents").select("doc_id", urls.normalize_doi(raw).alias("doi"))
 
 
-@query("id15_source_id", """
-    SELECT s_suppkey, 'src-' || substr(regexp_replace(regexp_replace(lower(s_name), '[^a-z0-9가-힣]+', '-', 'g'), '^-+|-+$', '', 'g'), 1, 56) AS source_id,
+SQL_SOURCE_SLUG = "regexp_replace(regexp_replace(lower(s_name || repeat(' long name', s_suppkey % 9)), '[^a-z0-9가-힣]+', '-', 'g'), '^-+|-+$', '', 'g')"
+
+
+@query("id15_source_id", f"""
+    SELECT s_suppkey, 'src-' || {sql_short(SQL_SOURCE_SLUG, 56)} AS source_id, 'src-abc-1' AS folded_id,
       'src-' || substr(sha1('★'), 1, 10) AS fallback_id FROM supplier""")
 def _(spark, sf):
-    return table(spark, sf, "supplier").select("s_suppkey", urls.source_id(F.col("s_name")).alias("source_id"), urls.source_id(F.lit("★")).alias("fallback_id"))
+    name = F.concat("s_name", F.expr("repeat(' long name', cast(s_suppkey % 9 as int))"))  # some are longer than a slug
+    return table(spark, sf, "supplier").select("s_suppkey", urls.source_id(name).alias("source_id"), urls.source_id(F.lit("ＡＢＣ ①")).alias("folded_id"), urls.source_id(F.lit("★")).alias("fallback_id"))
 
 
 @query("id16_article_slug", with_sql(ART, f"""
-    , s AS (SELECT *, regexp_replace(substr(regexp_replace({sql_strip(f"regexp_replace(title, '[^가-힣a-zA-Z0-9{WS}]', '', 'g')")}, '[{WS}]+', '-', 'g'), 1, 40), '-+$', '') AS words FROM art)
+    , w AS (SELECT *, regexp_replace(regexp_replace({sql_strip(f"regexp_replace(title, '[^가-힣a-zA-Z0-9{WS}]', '', 'g')")}, '[{WS}]+', '-', 'g'), '-+$', '') AS slug FROM art),
+    s AS (SELECT * EXCLUDE (slug), {sql_short('slug', 40)} AS words FROM w)
     SELECT doc_id, CASE WHEN lang = 'es' THEN 'old-' || doc_id WHEN lang = 'de' THEN 'v1_' || substr(sha256(text), 1, 16)
       WHEN words <> '' THEN doc_id || '-' || words ELSE doc_id::VARCHAR END AS slug FROM s"""))
 def _(spark, sf):

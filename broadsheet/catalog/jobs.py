@@ -164,7 +164,7 @@ def _(spark, sf):
     """The labels stand in for the outside scorer."""
     a = articles(spark, sf).select("doc_id", F.md5("text").alias("url"))
     labels = table(spark, sf, "labels").select("doc_id", (F.col("quality") * 4 + F.col("toxic") * 3).alias("relevance"))
-    return selection.score_and_split(a, lambda df: labels.join(df, "doc_id", "left_semi"), "doc_id", "url", [F.col("doc_id")]).select("doc_id", "tier", "relevance")
+    return selection.score_and_split(a, lambda df: labels.join(df, "doc_id", "left_semi"), "doc_id", "url", [F.col("doc_id")], C.ITEMS_PER_ISSUE, C.BRIEFS_PER_ISSUE).select("doc_id", "tier", "relevance")
 
 
 SQL_INGEST = DATED + f""",
@@ -172,13 +172,13 @@ w AS (SELECT *, md5(text) AS k, list_sort({sql_tokens('title')}) AS words FROM d
 e AS (SELECT *, lag(doc_id) OVER (PARTITION BY k ORDER BY doc_id) AS exact FROM w),
 u AS (SELECT * FROM e WHERE exact IS NULL AND NOT EXISTS (SELECT 1 FROM w b WHERE b.doc_id < e.doc_id AND len(b.words) > 0 AND len(e.words) > 0 AND round(len(list_intersect(e.words, b.words)) / greatest(len(e.words), len(b.words)), 3) >= 0.9)),
 r AS (SELECT * FROM u WHERE regexp_matches(title || ' ' || text, 'cat|tion', 'i') AND 'https://example.com/' || k NOT IN (SELECT 'https://example.com/' || md5(text) FROM documents WHERE doc_id % 11 = 0)),
-s AS (SELECT *, round(0.40 * greatest(0.0, 1 - abs((epoch_us(TIMESTAMP '2024-01-05') - epoch_us(ts)) / 86400000000.0) / 30) + 0.25 * least(1.0, length(text) / 600)
-   + 0.20 * least(1.0, len(list_distinct([lower(t) for t in regexp_extract_all(title || ' ' || text, '{C.RELEVANCE_TERMS}', 0, 'i')])) / 4) + 0.10 * (CASE WHEN lang = 'en' THEN 1.0 ELSE 0.0 END) + 0.05 * 0.5, 4) AS score FROM r),
+s AS (SELECT *, 0.40 * greatest(0.0, 1 - abs((epoch_us(TIMESTAMP '2024-01-05') - epoch_us(ts)) / 86400000000.0) / 30) + 0.25 * least(1.0, length(text) / 600)
+   + 0.20 * least(1.0, len(list_distinct([lower(t) for t in regexp_extract_all(title || ' ' || text, '{C.RELEVANCE_TERMS}', 0, 'i')])) / 4) + 0.10 * (CASE WHEN lang = 'en' THEN 1.0 ELSE 0.0 END) + 0.05 * 0.5 AS score FROM r),
 q AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY score DESC, doc_id) AS rn FROM s),
 t AS (SELECT * FROM q WHERE rn <= 8 ORDER BY score DESC, doc_id LIMIT 100)"""
 
 
-@query("jb2_ingest", with_sql(SQL_INGEST, "SELECT doc_id AS id, score AS selection_score, row_number() OVER (ORDER BY score DESC, doc_id) <= 15 AS deep FROM t"))
+@query("jb2_ingest", with_sql(SQL_INGEST, "SELECT doc_id AS id, round(score, 4) AS selection_score, row_number() OVER (ORDER BY score DESC, doc_id) <= 15 AS deep FROM t"))
 def _(spark, sf):
     d = dated(spark, sf).select(
         F.col("doc_id").alias("id"), F.col("doc_id").alias("ord"), "title", F.col("text").alias("description"), F.col("source").alias("source_id"), F.col("ts").alias("published_at"),
@@ -218,7 +218,8 @@ def _(spark, sf):
 
 
 @query("jb4_build_index", with_sql(ITEMS_Q, f"""
-    , x AS (SELECT *, row_number() OVER (PARTITION BY source_url ORDER BY date DESC, doc_id) > 1 AS duplicate, CASE WHEN count(*) OVER (PARTITION BY image_url) > 1 THEN NULL ELSE image_url END AS image FROM iq WHERE title <> '' AND len(paragraphs) > 0)
+    , m AS (SELECT *, CASE WHEN count(*) OVER (PARTITION BY image_url) > 1 THEN NULL ELSE image_url END AS image FROM iq),
+    x AS (SELECT *, row_number() OVER (PARTITION BY source_url ORDER BY date DESC, doc_id) > 1 AS duplicate FROM m WHERE title <> '' AND len(paragraphs) > 0)
     SELECT doc_id, duplicate, image, {SQL_INDEXABLE} AND NOT duplicate AS indexable FROM x"""))
 def _(spark, sf):
     i = publication.build_index(items(spark, sf), "doc_id", "source_url", [-F.unix_date("date"), F.col("doc_id")], ["date", "source_label"], SKIP)
@@ -427,7 +428,7 @@ def _(spark, sf):
 
 SQL_BODY = f"""s AS (SELECT page_id, url, {SQL_PAGE_TITLE} AS title, {sql_paras("regexp_extract(html, '<article[^>]*>((?s:.*?))</article>', 1, 'i')")} AS a, {sql_paras('html')} AS w FROM pages),
 c AS (SELECT page_id, url, title, CASE WHEN length(array_to_string(a, '')) >= 800 THEN a WHEN length(array_to_string(w, '')) >= 800 THEN w WHEN length(array_to_string(a, '')) >= length(array_to_string(w, '')) THEN a ELSE w END AS parts FROM s),
-b AS (SELECT page_id, url, title, CASE WHEN length(substr(array_to_string(parts, chr(10)), 1, 7000)) > 400 THEN substr(array_to_string(parts, chr(10)), 1, 7000) END AS body FROM c)"""
+b AS (SELECT page_id, url, title, CASE WHEN length(array_to_string(parts, chr(10))) > 400 THEN array_to_string(parts, chr(10)) END AS body FROM c)"""
 
 
 @query("jb15_extract_pages", with_sql(SQL_BODY, f"SELECT page_id, {sql_normal_url('url')} AS normal_url, 'v1_' || substr(sha256({sql_normal_url('url')}), 1, 16) AS item_id, title, body FROM b"))

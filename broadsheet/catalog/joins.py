@@ -12,6 +12,7 @@ from ..operators import joins as J
 from ..operators import rules as R
 from ..operators import setops, similarity
 from ..operators.pages import with_meta
+from ..sources.feeds import official
 from . import query
 from .identity import registry_domains, sql_tokens
 from .rules import DEMO_TOPICS
@@ -177,16 +178,19 @@ def _(spark, sf):
     return j.select("left_key", "right_key", F.abs(F.date_diff("left_day", "right_day")).cast("long").alias("gap"))
 
 
-@query("jn7_resolve_sources", with_sql(SQL_SETS.replace("SELECT doc_id, source, list_sort", "SELECT doc_id, source, ts, list_sort").replace("FROM art)", "FROM dated)").replace(ART, DATED), f"""
-    , c AS (SELECT a.doc_id, b.doc_id AS candidate, {SQL_SIM} AS similarity, round(abs(epoch_us(a.ts) - epoch_us(b.ts)) / 86400000000.0, 1) AS gap FROM ts a JOIN ts b ON a.doc_id % 2 = 0 AND b.doc_id % 2 = 1
+@query("jn7_resolve_sources", with_sql(SQL_SETS.replace("SELECT doc_id, source, list_sort", "SELECT doc_id, source, lang, ts, list_sort").replace("FROM art)", "FROM dated)").replace(ART, DATED), f"""
+    , c AS (SELECT a.doc_id, b.doc_id AS candidate, {SQL_SIM} AS similarity, round(abs(epoch_us(a.ts) - epoch_us(b.ts)) / 86400000000.0, 1) AS gap FROM ts a JOIN ts b ON a.doc_id % 2 = 0 AND b.doc_id % 2 = 1 AND a.lang = b.lang AND b.lang IN ('en', 'fr')
        AND len(a.words) > 0 AND len(b.words) > 0 AND len(list_intersect(a.words, b.words)) > 0 WHERE {SQL_SIM} >= 0.62),
     r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY similarity DESC, gap, candidate) AS rn FROM c)
     SELECT doc_id, candidate, similarity, gap, rn AS place FROM r WHERE rn <= 5"""))
 def _(spark, sf):
-    """Five best direct candidates (odd ids) for each relay item (even ids): most similar first, then nearest in time."""
-    d = dated(spark, sf).select("doc_id", "ts", F.array_sort(tx.title_tokens(F.col("title"))).alias("words"))
-    relay, direct = d.where("doc_id % 2 = 0"), d.where("doc_id % 2 = 1")
-    pairs = similarity.similar_pairs(relay, direct, "doc_id", "doc_id", "words", "words", 0.62)
+    """Five best direct candidates (odd ids) for each relay item (even ids) of the same source label (the language), on an
+    official domain: most similar first, then nearest in time. The text before the first mark stands for the title."""
+    url = F.concat(F.lit("https://"), "lang", F.lit(".example.com/a/"), F.col("doc_id").cast("string"))
+    d = dated(spark, sf).select("doc_id", F.col("lang").alias("label"), "ts", url.alias("url"), F.array_sort(tx.title_tokens(F.col("title"))).alias("words"))
+    domains = F.array(F.lit("en.example.com"), F.lit("fr.example.com"))
+    relay, direct = d.where("doc_id % 2 = 0"), d.where("doc_id % 2 = 1").where(official(F.col("url"), domains))
+    pairs = similarity.similar_pairs(relay, direct, "doc_id", "doc_id", "words", "words", 0.62, ["label"])
     pairs = pairs.join(relay.select(F.col("doc_id").alias("left_id"), F.col("ts").alias("lt")), "left_id").join(direct.select(F.col("doc_id").alias("right_id"), F.col("ts").alias("rt")), "right_id")
     pairs = pairs.withColumn("gap", F.round(F.abs(F.unix_micros("lt") - F.unix_micros("rt")) / F.lit(86400000000.0), 1))
     top = J.top_per_key(pairs, "left_id", [F.col("similarity").desc(), F.col("gap"), F.col("right_id")], 5)

@@ -466,7 +466,7 @@ def _(spark, sf):
     , n AS (SELECT conv_id, turn, source_text, text || ' Seen ' || length(text) || ' times.' AS d FROM t),
     x AS (SELECT conv_id, turn, [replace(q, ',', '') for q in regexp_extract_all(d, '\\d+(?:[.,]\\d+)?')] AS dn, [replace(q, ',', '') for q in regexp_extract_all(source_text, '\\d+(?:[.,]\\d+)?')] AS sn,
        [k for k in [regexp_replace(lower(q), '[.\\-]+$', '') for q in regexp_extract_all(d, '[A-Z][A-Za-z.\\-]{2,}')] if length(k) >= 3 AND NOT contains(lower(source_text), k)] AS names FROM n)
-    SELECT conv_id, turn, least(12, len(list_distinct([q for q in dn if NOT list_contains(sn, q)]))) AS n_numbers, least(10, len(list_distinct(names))) AS n_names FROM x"""))
+    SELECT conv_id, turn, len(list_distinct([q for q in dn if NOT list_contains(sn, q)])) AS n_numbers, len(list_distinct(names)) AS n_names FROM x"""))
 def _(spark, sf):
     derived = F.concat("text", F.lit(" Seen "), F.length("text").cast("string"), F.lit(" times."))
     f = turns(spark, sf).withColumn("f", R.derived_findings(derived, F.col("source_text")))

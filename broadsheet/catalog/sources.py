@@ -51,15 +51,15 @@ def feed_payloads(spark, sf):
 @query("sc2_read_feeds", with_sql(DATED, f"""
     SELECT source AS source_id, 'g' || doc_id AS guid, {sql_squeeze(sql_xml_safe('title'))} AS title, 'https://' || lang || '.example.com/a/' || doc_id AS url, strftime(ts, '%Y-%m-%d %H:%M:%S') AS published,
       CASE WHEN lang = 'en' THEN '10.1234/' || doc_id END AS doi, CASE WHEN lang = 'en' THEN 'https://en.example.com/a/' || doc_id END AS canonical_url,
-      substr({sql_squeeze(sql_xml_safe('text'))}, 1, 1200) AS description, lang IN ('en', 'fr') AS official FROM dated WHERE trim({sql_squeeze(sql_xml_safe('title'))}) <> ''"""))
+      {sql_squeeze(sql_xml_safe('text'))} AS description, lang IN ('en', 'fr') AS official FROM dated WHERE trim({sql_squeeze(sql_xml_safe('title'))}) <> ''"""))
 def _(spark, sf):
     e = feeds.read_feeds(feed_payloads(spark, sf))
     return e.select("source_id", "guid", "title", "url", F.date_format("published_at", "yyyy-MM-dd HH:mm:ss").alias("published"), "doi", "canonical_url", "description", "official")
 
 
 @query("sc3_read_news_feeds", with_sql(DATED, f"""
-    , e AS (SELECT doc_id, source, lang, ts, {sql_squeeze(sql_xml_safe('title'))} AS title, length(substr({sql_squeeze(sql_xml_safe('text'))}, 1, 4000)) AS n_body,
-       substr({sql_squeeze(sql_xml_safe('text'))}, 1, 4000) AS body, 'https://' || lang || '.example.com/a/' || doc_id || '?utm_source=feed#x' AS url FROM dated),
+    , e AS (SELECT doc_id, source, lang, ts, {sql_squeeze(sql_xml_safe('title'))} AS title, length({sql_squeeze(sql_xml_safe('text'))}) AS n_body,
+       {sql_squeeze(sql_xml_safe('text'))} AS body, 'https://' || lang || '.example.com/a/' || doc_id || '?utm_source=feed#x' AS url FROM dated),
     f AS (SELECT *, CASE WHEN lang = 'en' THEN regexp_replace(title, '\\s+-\\s+[^-]+$', '') ELSE title END AS short FROM e WHERE date_trunc('second', ts) >= TIMESTAMP '2024-01-02' AND NOT regexp_matches(body, 'members only|log in/register', 'i')),
     r AS (SELECT *, row_number() OVER (PARTITION BY source, lang, doc_id // 100 ORDER BY doc_id) AS rn FROM f WHERE short <> '')
     SELECT substr(md5(url), 1, 10) AS id, source AS source_id, CASE WHEN lang = 'en' THEN 'Paper ' || source ELSE upper(source) END AS source_label, short AS title, url, strftime(ts, '%Y-%m-%d %H:%M:%S') AS published, n_body FROM r WHERE rn <= 2"""))
@@ -71,7 +71,7 @@ def _(spark, sf):
 
 @query("sc4_read_papers", with_sql(DATED, f"""
     , p AS (SELECT doc_id, source, ts, {sql_squeeze(sql_xml_safe('title'))} AS title, 'Aim: ' || {sql_squeeze(sql_xml_safe('text'))} || chr(10) || 'n=5' AS abstract FROM dated)
-    SELECT doc_id::VARCHAR AS pmid, title, upper(source) AS journal, substr(abstract, 1, 6000) AS abstract, '10.99/' || doc_id AS doi, strftime(ts, '%Y-%m-') || lpad(least(28, day(ts))::VARCHAR, 2, '0') AS published FROM p WHERE length(abstract) > 150 AND title <> ''"""))
+    SELECT doc_id::VARCHAR AS pmid, title, upper(source) AS journal, abstract, '10.99/' || doc_id AS doi, strftime(ts, '%Y-%m-') || lpad(least(28, day(ts))::VARCHAR, 2, '0') AS published FROM p WHERE length(abstract) > 150 AND title <> ''"""))
 def _(spark, sf):
     d = dated(spark, sf)
     title, body = squeeze(xml_safe(F.col("title"))), squeeze(xml_safe(F.col("text")))
@@ -226,13 +226,13 @@ def _(spark, sf):
 def _(spark, sf):
     e = table(spark, sf, "events").withColumn("run", F.date_format("ts", "yyyy-MM-dd HH"))
     newest = F.col("ts") >= F.lit("2024-01-30").cast("timestamp")
-    return sinks.bounded_history(e.where(~newest), e.where(newest), "run").select("event_id", "run")
+    return sinks.bounded_history(e.where(~newest), e.where(newest), "run", 30).select("event_id", "run")
 
 
 @query("sk6_bounded_seen", "SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem ORDER BY l_shipdate DESC, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice LIMIT 20000")
 def _(spark, sf):
     order = [F.col("l_shipdate").desc()] + [F.col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")]
-    return sinks.bounded_seen(table(spark, sf, "lineitem"), F.to_date("l_shipdate"), order).select("l_orderkey", "l_linenumber", "l_partkey")
+    return sinks.bounded_seen(table(spark, sf, "lineitem"), F.to_date("l_shipdate"), order, 20_000).select("l_orderkey", "l_linenumber", "l_partkey")
 
 
 @query("sk7_upsert_decisions", """

@@ -22,9 +22,10 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Rows of an input with fewer splits than cores, dealt out for heavy text work. Inputs of any size stay as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """For local runs on a table of one row group: where the session sets ``spark.broadsheet.spread``, rows are dealt to so
+    many tasks. Off by default, since on a cluster it would shuffle whole texts."""
+    tasks = int(df.sparkSession.conf.get("spark.broadsheet.spread", "0"))
+    return df.repartition(tasks) if tasks else df
 
 
 def now():
@@ -56,13 +57,13 @@ ART = f"""art AS (
 
 
 def dated(spark: SparkSession, sf: str) -> DataFrame:
-    """articles with the time, value and type of the event of the same number."""
+    """articles with the time, value and type of the event of the same number, if there is one."""
     events = table(spark, sf, "events").select(F.col("event_id").alias("doc_id"), "ts", "value", "event_type", "user_id")
-    return articles(spark, sf).join(events, "doc_id")
+    return articles(spark, sf).join(events, "doc_id", "left")
 
 
 DATED = ART + """,
-dated AS (SELECT a.*, e.ts, e.value, e.event_type, e.user_id FROM art a JOIN events e ON e.event_id = a.doc_id)"""
+dated AS (SELECT a.*, e.ts, e.value, e.event_type, e.user_id FROM art a LEFT JOIN events e ON e.event_id = a.doc_id)"""
 
 
 def items(spark: SparkSession, sf: str) -> DataFrame:

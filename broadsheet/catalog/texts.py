@@ -10,6 +10,7 @@ from ..functions import text as tx
 from ..functions.patterns import count
 from ..operators.pages import with_meta
 from . import query
+from .identity import sql_title
 from .tables import ART, articles, sql_path, sql_squeeze, sql_strip, sql_url, table, with_sql
 
 
@@ -51,7 +52,7 @@ def sql_paras(scope: str) -> str:
     n AS (SELECT page_id, a, m, w, length(array_to_string(a, '')) AS na, length(array_to_string(m, '')) AS nm, length(array_to_string(w, '')) AS nw FROM s),
     c AS (SELECT page_id, CASE WHEN na >= 800 THEN a WHEN nm >= 800 THEN m WHEN nw >= 800 THEN w
             WHEN na >= nm AND na >= nw THEN a WHEN nm >= nw THEN m ELSE w END AS parts FROM n)
-    SELECT page_id, CASE WHEN length(substr(array_to_string(parts, chr(10)), 1, 7000)) > 400 THEN substr(array_to_string(parts, chr(10)), 1, 7000) END AS body FROM c""")
+    SELECT page_id, CASE WHEN length(array_to_string(parts, chr(10))) > 400 THEN array_to_string(parts, chr(10)) END AS body FROM c""")
 def _(spark, sf):
     return table(spark, sf, "pages").select("page_id", H.extract_body(F.col("html")).alias("body"))
 
@@ -230,9 +231,7 @@ def _(spark, sf):
     )
 
 
-@query("tx_nfkc_title")
+@query("tx_nfkc_title", with_sql(ART, f"SELECT doc_id, trim('abc 1 ffi ' || {sql_title('title')}) AS normal_title FROM art"))
 def _(spark, sf):
-    from ..functions.unicode import needs_folding, nfkc
-
-    a = articles(spark, sf).withColumn("folded", F.when(needs_folding(F.col("title")), nfkc(F.col("title"))).otherwise(F.col("title")))
-    return a.select("doc_id", tx.normalize_title(F.col("folded")).alias("normal_title"))
+    """Titles that begin with full-width letters, a circled digit inside a tag and a ligature."""
+    return articles(spark, sf).select("doc_id", tx.normalize_title(F.concat(F.lit("ＡＢＣ<b>①</b> ﬃ "), "title")).alias("normal_title"))

@@ -22,7 +22,7 @@ def _(spark, sf):
     b AS (SELECT *, 'brief' AS tier FROM s WHERE score >= 3 AND score < 5 AND o_orderkey NOT IN (SELECT o_orderkey FROM d) ORDER BY score DESC, o_orderkey LIMIT 90) SELECT * FROM d UNION ALL SELECT * FROM b""")
 def _(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", F.floor(F.col("o_totalprice") / 50000).alias("score"))
-    return K.tier_split(o, "o_orderkey", "score", [F.col("o_orderkey")])
+    return K.tier_split(o, "o_orderkey", "score", [F.col("o_orderkey")], 42, 90)
 
 
 # A billionth lifts values that stand exactly between two digits, which the two systems round differently.

@@ -18,15 +18,8 @@ GENERIC_IMAGE_PATH = (
 DOI = r"(?i)^10\.\d{4,9}/\S+$"
 
 # --- Fixed values: feed guards and limits ----------------------------------------------------------
-MAX_FEED_BYTES = 2_000_000
-MAX_FEED_ENTRIES = 1_000
 FEED_MAX_AGE_DAYS = 10
-SEEN_LIMIT = 20_000
-RUN_HISTORY = 30
-FEED_BODY_CHARS = 4000
-DESCRIPTION_CHARS = 1200
 PAPER_MIN_CHARS = 150
-PAPER_MAX_CHARS = 6000
 PAYWALL = r"(?i)members only|log in/register"
 
 # --- Fixed values: selection -----------------------------------------------------------------------
@@ -34,7 +27,6 @@ MIN_RELEVANCE = 5
 BRIEF_MIN_RELEVANCE = 3
 ITEMS_PER_ISSUE = 42
 BRIEFS_PER_ISSUE = 90
-CANDIDATES_MAX = 520
 DAILY_TARGET = 40
 DAILY_MINIMUM = 30
 DAILY_DEEP = 15

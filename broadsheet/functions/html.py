@@ -23,8 +23,8 @@ def body_paragraphs(fragment: Column) -> Column:
     return F.filter(F.transform(found, strip_html), lambda p: F.length(p) > 60)
 
 
-def extract_body(html: Column, accept: int = 800) -> Column:
-    """TX3. Narrowest scope with enough prose, else the longest; capped at 7000, null when it stays at 400 or less."""
+def extract_body(html: Column, accept: int = 800, max_chars: int | None = None) -> Column:
+    """TX3. Narrowest scope with enough prose, else the longest; null when it stays at 400 or less, shortened on demand."""
     article, main = body_paragraphs(_scope(html, "article")), body_paragraphs(_scope(html, "main"))
 
     def pick(first: Column) -> Column:
@@ -37,7 +37,8 @@ def extract_body(html: Column, accept: int = 800) -> Column:
 
     # The lambda binds the article scope, so that it is read once and the wider scopes only when it is too short.
     bound = F.transform(F.array(article), lambda a: F.when(F.length(F.array_join(a, "")) >= accept, a).otherwise(pick(a)))
-    body = F.substring(F.array_join(F.get(bound, F.lit(0)), "\n"), 1, 7000)
+    body = F.array_join(F.get(bound, F.lit(0)), "\n")
+    body = body if max_chars is None else F.substring(body, 1, max_chars)
     return F.when(F.length(body) > 400, body)
 
 
@@ -135,6 +136,40 @@ def jsonld_types(html: Column) -> Column:
     return F.flatten(F.transform(jsonld_objects(html), variant_types))
 
 
+#: Levels of nested objects and lists that are searched in JSON-LD.
+JSONLD_DEPTH = 6
+
+
+def jsonld_nodes(html: Column, depth: int = JSONLD_DEPTH) -> Column:
+    """Every (key, value) of all JSON-LD objects, nested ones included; members of a list have an empty key."""
+    nothing = F.array().cast("array<struct<key:string,value:variant>>")
+
+    def children(v: Column) -> Column:
+        fields = F.transform(F.map_entries(F.try_variant_get(v, "$", "map<string,variant>")), lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value")))
+        members = F.transform(F.try_variant_get(v, "$", "array<variant>"), lambda m: F.struct(F.lit("").alias("key"), m.alias("value")))
+        return F.coalesce(members, fields, nothing)
+
+    def below(nodes: Column, left: int) -> Column:
+        if left == 0:
+            return nodes
+        # Each level is bound once, otherwise the expression would double with every level.
+        deeper = F.transform(F.array(F.flatten(F.transform(nodes, lambda n: children(n["value"])))), lambda level: below(level, left - 1))
+        return F.concat(nodes, F.get(deeper, F.lit(0)))
+
+    parsed = F.filter(F.transform(jsonld_blocks(html), F.try_parse_json), lambda v: v.isNotNull())
+    return below(F.transform(parsed, lambda v: F.struct(F.lit("").alias("key"), v.alias("value"))), depth)
+
+
+def image_urls(v: Column) -> Column:
+    """URLs of an image value: a string, an object with a url, or a list of either."""
+    def one(x: Column) -> Column:
+        plain = F.when(F.schema_of_variant(x) == "STRING", F.try_variant_get(x, "$", "string"))
+        return F.coalesce(plain, F.try_variant_get(x, "$.url", "string"))
+
+    listed = F.transform(F.try_variant_get(v, "$", "array<variant>"), one)
+    return F.array_compact(F.coalesce(listed, F.array(one(v))))
+
+
 def lead_image(html: Column, url: Column) -> Column:
     """TX4. First usable image: Open Graph, Twitter card, image_src link, JSON-LD."""
     metas, link_tags = tag_attributes(html, "meta"), tag_attributes(html, "link")
@@ -145,14 +180,8 @@ def lead_image(html: Column, url: Column) -> Column:
 
     src = F.transform(F.filter(link_tags, lambda m: m["rel"] == "image_src"), lambda m: m["href"])
 
-    def images(v: Column) -> Column:
-        found = []
-        for key in ("image", "contentUrl", "thumbnailUrl"):
-            found.append(F.coalesce(F.try_variant_get(v, f"$.{key}", "array<string>"), F.array_compact(F.array(F.try_variant_get(v, f"$.{key}", "string")))))
-            found.append(F.array_compact(F.array(F.try_variant_get(v, f"$.{key}.url", "string"))))
-        return F.filter(F.concat(*found), lambda u: ~F.startswith(u, F.lit("{")) & ~F.startswith(u, F.lit("[")))
-
-    ld = F.flatten(F.transform(jsonld_objects(html), images))
+    ld = F.transform(F.filter(jsonld_nodes(html), lambda n: n["key"].isin("image", "contentUrl", "thumbnailUrl")), lambda n: image_urls(n["value"]))
+    ld = F.flatten(ld)
     candidates = F.concat(named("og:image"), named("twitter:image"), named("twitter:image:src"), src, ld)
     cleaned = F.filter(F.transform(candidates, lambda u: clean_image_url(u, url)), lambda u: u.isNotNull())
     return F.try_element_at(cleaned, F.lit(1))
@@ -165,7 +194,8 @@ def feed_item_count(xml: Column) -> Column:
 
 def looks_like_feed(xml: Column, content_type: Column) -> Column:
     by_type = F.regexp_like(text(content_type), F.lit("(?i)xml|rss|atom"))
-    return by_type | F.regexp_like(F.substring(text(xml), 1, 5000), F.lit(r"(?i)<(?:rss|feed|rdf:RDF)\b"))
+    # The root element, after declarations and comments.
+    return by_type | F.regexp_like(text(xml), F.lit(r"(?is)^[\s\uFEFF]*(?:<\?.*?\?>\s*|<!--.*?-->\s*|<![^>]*>\s*)*+<(?:rss|feed|rdf:RDF)\b"))
 
 
 def newest_feed_date(xml: Column) -> Column:

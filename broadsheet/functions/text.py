@@ -10,6 +10,7 @@ from ..constants import (
     RELEVANCE_TERMS, REWRITE_RULES, WS,
 )
 from .patterns import compact, count, find_all, java, matches, replace, squeeze, strip, text
+from .unicode import nfkc
 
 _ENTITIES = (
     ("&nbsp;", " "), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">"), ("&#8217;|&rsquo;", "'"),
@@ -18,20 +19,24 @@ _ENTITIES = (
 
 
 def title_key(title: Column) -> Column:
-    """ID4."""
-    return F.substring(F.regexp_replace(F.lower(text(title)), "[^a-z0-9가-힣]", ""), 1, 80)
+    """ID4. A key over 80 characters is cut there and closed with a hash of the whole, so that titles which differ later differ."""
+    whole = F.regexp_replace(F.lower(text(title)), "[^a-z0-9가-힣]", "")
+    return F.when(F.length(whole) <= 80, whole).otherwise(F.concat(F.substring(whole, 1, 80), F.lit("#"), F.substring(F.md5(whole), 1, 16)))
 
 
-def normalize_title(title: Column, fold=None) -> Column:
-    """ID5. Lower-case words of a title. ``fold`` may add NFKC folding (see ``unicode.nfkc``) before lower-casing."""
-    plain = F.regexp_replace(text(title), "(?i)<[^>]+>|&(?:amp|nbsp|quot|#39);", " ")
-    plain = F.lower(fold(plain) if fold else plain)
-    return F.trim(F.regexp_replace(plain, "[^a-z0-9가-힣]+", " "))
+def title_words(plain: Column) -> Column:
+    """Lower-case words of a title without tags, already in NFKC form."""
+    return F.trim(F.regexp_replace(F.lower(plain), "[^a-z0-9가-힣]+", " "))
 
 
-def title_tokens(title: Column, fold=None) -> Column:
+def normalize_title(title: Column) -> Column:
+    """ID5. Lower-case words of a title: tags go first, then NFKC folding, then everything but letters and digits."""
+    return title_words(nfkc(F.regexp_replace(text(title), "(?i)<[^>]+>|&(?:amp|nbsp|quot|#39);", " ")))
+
+
+def title_tokens(title: Column) -> Column:
     """ID6. Distinct title words longer than one character."""
-    return F.array_distinct(F.filter(F.split(normalize_title(title, fold), " "), lambda w: F.length(w) > 1))
+    return F.array_distinct(F.filter(F.split(normalize_title(title), " "), lambda w: F.length(w) > 1))
 
 
 def overlap_similarity(left: Column, right: Column) -> Column:

@@ -9,6 +9,7 @@ from ..constants import (
     DOI, GENERIC_IMAGE_HOST, GENERIC_IMAGE_PATH, RELAY_URL, TRACKING_PARAM, UNSAFE_PATH, WS,
 )
 from .patterns import java, matches, strip, text
+from .unicode import nfkc
 
 _URL = r"(?i)^(https?)://([^/?#]+)([^?#]*)(\?[^#]*)?(#.*)?$"
 
@@ -90,10 +91,16 @@ def normalize_doi(value: Column) -> Column:
     return F.when(F.regexp_like(bare, F.lit(DOI)), F.regexp_replace(bare, r"[.,;)]+$", ""))
 
 
+def _short(slug: Column, size: int) -> Column:
+    """A slug over ``size`` characters is cut there and closed with a hash of the whole."""
+    cut = F.regexp_replace(F.substring(slug, 1, size), "-+$", "")
+    return F.when(F.length(slug) <= size, slug).otherwise(F.concat(cut, F.lit("-"), F.substring(F.md5(slug), 1, 8)))
+
+
 def source_id(label: Column) -> Column:
     """ID15. Readable slug of a label; a label without usable characters falls back to its SHA-1."""
-    slug = F.regexp_replace(F.lower(text(label)), "[^a-z0-9가-힣]+", "-")
-    slug = F.substring(F.regexp_replace(slug, "^-+|-+$", ""), 1, 56)
+    slug = F.regexp_replace(F.lower(nfkc(text(label))), "[^a-z0-9가-힣]+", "-")
+    slug = _short(F.regexp_replace(slug, "^-+|-+$", ""), 56)
     return F.concat(F.lit("src-"), F.when(slug != "", slug).otherwise(F.substring(F.sha1(text(label)), 1, 10)))
 
 
@@ -101,7 +108,7 @@ def article_slug(item_id: Column, title: Column, legacy_slug: Column) -> Column:
     """ID16. Legacy alias, else a stable id alone, else id and title."""
     words = F.regexp_replace(text(title), f"[^가-힣a-zA-Z0-9{WS}]", "")
     words = F.regexp_replace(strip(words), java(r"\s+"), "-")
-    words = F.regexp_replace(F.substring(words, 1, 40), "-+$", "")
+    words = _short(F.regexp_replace(words, "-+$", ""), 40)
     named = F.when(words != "", F.concat(item_id, F.lit("-"), words)).otherwise(item_id)
     return F.coalesce(
         F.nullif(legacy_slug, F.lit("")),

@@ -62,7 +62,7 @@ def flag_later_copies(df: DataFrame, key: str, order: list[Column], name: str =
     return flagged.withColumn(name, F.coalesce(F.col("_first") != F.col("_place"), F.lit(False))).drop("_first", "_place")
 
 
-def first_by_prefix(df: DataFrame, value: str, order: list[Column], chars: int = 24, limit: int = 12) -> DataFrame:
+def first_by_prefix(df: DataFrame, value: str, order: list[Column], chars: int, limit: int) -> DataFrame:
     """DD5. First row per text prefix, then the first ``limit`` rows."""
     keyed = df.withColumn("_prefix", F.substring(value, 1, chars)).where(F.col("_prefix") != "")
     return first_per_key(keyed, ["_prefix"], order).orderBy(*order).limit(limit).drop("_prefix")

@@ -336,7 +336,8 @@ def item_numeric_issues() -> Column:
 def language_warnings(known: tuple[str, ...] = C.KNOWN_ERRORS) -> Column:
     """CL14. Language audit. The superlative code keeps the ASCII word boundary of the rule; see ``superlative``."""
     body, parts = F.col("_audit"), _list("paragraphs")
-    plain = F.transform(parts, lambda p: tx.normalize_title(p))
+    # No folding inside a lambda: paragraphs are compared with each other, and they are in one form.
+    plain = F.transform(parts, lambda p: tx.title_words(F.regexp_replace(p, "(?i)<[^>]+>|&(?:amp|nbsp|quot|#39);", " ")))
     hangul = F.col("_hangul")
     pairs = [(hangul & matches(body, C.INTERNAL_ASCII), "korean-internal-ascii")]
     pairs += [((hangul if _needs_hangul(k) else F.lit(True)) & F.contains(body, F.lit(k)), f"known-error:{k}") for k in known]
@@ -684,20 +685,20 @@ def derived_findings(derived: Column, source: Column) -> Column:
     number = r"\d+(?:[.,]\d+)?"
     bare = lambda c: F.transform(F.regexp_extract_all(text(c), F.lit(number), F.lit(0)), lambda n: F.replace(n, F.lit(","), F.lit("")))
     lowered = F.lower(text(source))
-    numbers = F.slice(F.array_except(bare(derived), bare(source)), 1, 12)
+    numbers = F.array_except(bare(derived), bare(source))
     species = F.array_compact(
         F.array(*[
             F.when(F.contains(text(derived), F.lit(name)) & ~F.exists(F.array(*[F.lit(t) for t in terms]), lambda t: F.contains(lowered, t)), F.lit(name))
             for name, terms in C.SPECIES.items()
         ])
     )
-    directives = F.slice(F.array_distinct(F.regexp_extract_all(text(derived), F.lit(C.DIRECTIVE), F.lit(0))), 1, 8)
+    directives = F.array_distinct(F.regexp_extract_all(text(derived), F.lit(C.DIRECTIVE), F.lit(0)))
     names = F.regexp_extract_all(text(derived), F.lit(r"[A-Z][A-Za-z.\-]{2,}"), F.lit(0))
     keyed = F.transform(names, lambda n: F.struct(F.lower(F.regexp_replace(n, r"[.\-]+$", "")).alias("k"), n.alias("n")))
     keyed = F.filter(keyed, lambda s: F.length(s["k"]) >= 3)
     keys = F.transform(keyed, lambda s: s["k"])
     first = F.filter(keyed, lambda s, i: (F.array_position(keys, s["k"]) == i + 1) & ~F.contains(lowered, s["k"]))
-    latin = F.slice(F.transform(first, lambda s: s["n"]), 1, 10)
+    latin = F.transform(first, lambda s: s["n"])
     return F.struct(numbers.alias("numbers"), species.alias("species"), directives.alias("directives"), latin.alias("names"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..constants import BRIEF_MIN_RELEVANCE, BRIEFS_PER_ISSUE, ITEMS_PER_ISSUE, MIN_RELEVANCE, TOPIC_BODY_MIN_HITS, TOPICS
+from ..constants import BRIEF_MIN_RELEVANCE, MIN_RELEVANCE, TOPIC_BODY_MIN_HITS, TOPICS
 from ..functions.dates import iso_week
 from ..functions.patterns import text
 from ..functions.text import term_count, term_hits
@@ -18,12 +18,12 @@ def above_threshold(df: DataFrame, score: str, minimum: float, tie: list[Column]
     return df.where(F.coalesce(score, F.lit(0)) >= minimum).orderBy(F.col(score).desc(), *tie).limit(limit)
 
 
-def tier_split(df: DataFrame, url: str, score: str, tie: list[Column]) -> DataFrame:
-    """TK2. Deep items, then briefs that are not already deep, marked by ``tier``."""
+def tier_split(df: DataFrame, url: str, score: str, tie: list[Column], deep_items: int, brief_items: int) -> DataFrame:
+    """TK2. The best ``deep_items``, then ``brief_items`` briefs that are not already deep, marked by ``tier``."""
     value = F.coalesce(score, F.lit(0))
-    deep = df.where(value >= MIN_RELEVANCE).orderBy(F.col(score).desc(), *tie).limit(ITEMS_PER_ISSUE)
+    deep = df.where(value >= MIN_RELEVANCE).orderBy(F.col(score).desc(), *tie).limit(deep_items)
     rest = df.where((value >= BRIEF_MIN_RELEVANCE) & (value < MIN_RELEVANCE)).join(deep.select(url), url, "left_anti")
-    brief = rest.orderBy(F.col(score).desc(), *tie).limit(BRIEFS_PER_ISSUE)
+    brief = rest.orderBy(F.col(score).desc(), *tie).limit(brief_items)
     return deep.withColumn("tier", F.lit("deep")).unionByName(brief.withColumn("tier", F.lit("brief")))
 
 

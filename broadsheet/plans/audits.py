@@ -36,10 +36,13 @@ def seo_audit(site: DataFrame) -> DataFrame:
 def operations_summary(items: DataFrame, reviews: DataFrame, index_ids: DataFrame, source_decisions: DataFrame, image_decisions: DataFrame) -> DataFrame:
     """JB7. One row of operation figures: publication, sources, review queue, images, gates."""
     latest = dedup.first_per_key(reviews, ["id"], [F.col("review_ord").desc()]).select("id", F.col("new_status").alias("latest_status"))
+    # Several decisions for one item count once: the last by decision_ord where there is one.
+    last = [F.col("decision_ord").desc()] if "decision_ord" in source_decisions.columns else [F.col("status").desc()]
+    decided = dedup.first_per_key(source_decisions, ["id"], last).select("id", F.col("status").alias("source_decision"))
     flags = (
         items.join(index_ids.select("id", F.lit(True).alias("_idx")).distinct(), "id", "left")
         .join(latest, "id", "left")
-        .join(source_decisions.select("id", F.col("status").alias("source_decision")), "id", "left")
+        .join(decided, "id", "left")
         .join(image_decisions.select("id", F.lit(True).alias("image_decided")).distinct(), "id", "left")
     )
     risk, role = rules.clinical_risk(), rules.required_role()

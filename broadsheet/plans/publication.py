@@ -34,7 +34,8 @@ def repair_report(repaired: DataFrame) -> DataFrame:
 
 
 def build_index(items: DataFrame, row: str, key: str, order: list[Column], keep: list[str], skip: tuple[str, ...] = ()) -> DataFrame:
-    """JB4. Every page with title and body: repeated images cleared, later copies flagged, index decision made.
+    """JB4. Every page with title and body: repeated images cleared (counted over all items), later copies flagged, index
+    decision made.
 
     Copies and images are decided on narrow selections, the rules on the full rows without any shuffle; the three results
     meet by id, so no text is moved.
@@ -42,7 +43,7 @@ def build_index(items: DataFrame, row: str, key: str, order: list[Column], keep:
     pages = items.where((F.col("title") != "") & (F.size("paragraphs") > 0))
     place = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])
     copies = dedup.flag_later_copies(pages.select(row, key, place.alias("_at")), key, [F.col("_at")], "duplicate").select(row, "duplicate")
-    images = dedup.clear_repeated(pages.select(row, "image_url", image_key(F.col("image_url")).alias("_image")), "_image", "image_url").select(row, "image_url")
+    images = dedup.clear_repeated(items.select(row, "image_url", image_key(F.col("image_url")).alias("_image")), "_image", "image_url").select(row, "image_url")
     alone = pages.withColumn("duplicate", F.lit(False))
     coded = settle(alone, publish_codes=rules.publish_issues(skip)).select(row, *keep, "publish_codes", rules.indexable(F.col("publish_codes")).alias("_fits"))
     out = coded.join(copies, row).join(images, row)

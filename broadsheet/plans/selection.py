@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import CANDIDATES_MAX, CORRECTION_WORDS
+from ..constants import CORRECTION_WORDS
 from ..functions import text as tx
 from ..functions.dates import age_days
 from ..functions.patterns import matches, settle
@@ -16,30 +16,34 @@ from ..operators.setops import union_sources
 from ..session import cut_lineage
 
 
-def collect_candidates(direct: DataFrame, news: DataFrame, social: DataFrame, seen: DataFrame, segment: Column) -> DataFrame:
+def collect_candidates(direct: DataFrame, news: DataFrame, social: DataFrame, seen: DataFrame, segment: Column, limit: int | None = None) -> DataFrame:
     """JB1. Direct feeds, then news feeds drawn in turn, then social posts by score; duplicates and seen items go.
 
     Inputs have id, title, keys (array) and ord; news rows also feed and feed_ord, social rows also score. ``segment``
-    cuts the order inside a news feed. The result is capped and keeps its list position in ``list_ord``.
+    cuts the order inside a news feed. Duplicates are judged in the order of collection; only the list of what is left has
+    social posts by score. ``limit`` cuts that list before seen items go.
     """
     turns = windows.round_robin(news, "feed", "feed_ord", segment, [F.col("ord")])
     listed = union_sources(
         direct.withColumn("list_key", F.struct(F.lit(0).alias("part"), F.col("ord").cast("double").alias("a"), F.lit(0.0).alias("b"))),
         turns.drop("draw_key").withColumn("list_key", F.struct(F.lit(1).alias("part"), F.col("turn").cast("double").alias("a"), F.col("feed_ord").cast("double").alias("b"))),
-        social.withColumn("list_key", F.struct(F.lit(2).alias("part"), (-F.col("score")).cast("double").alias("a"), F.col("ord").cast("double").alias("b"))),
+        social.withColumn("list_key", F.struct(F.lit(2).alias("part"), F.col("ord").cast("double").alias("a"), F.lit(0.0).alias("b"))),
     )
-    # Duplicates are judged in list order; the id breaks ties, so that the order is total.
+    # The id breaks ties, so that the order is total.
     listed = listed.withColumn("list_key", F.struct("list_key.*", F.col("id").alias("c")))
     all_keys = F.array_distinct(F.concat("keys", F.array(F.concat(F.lit("t:"), tx.title_key(F.col("title"))))))
     unique = cut_lineage(dedup.keep_first_by_keys(listed, "id", "list_key", F.filter(all_keys, lambda k: k != "t:")))
-    return filters.drop_seen(unique.orderBy("list_key").limit(CANDIDATES_MAX), "id", F.col("keys"), seen, "key")
+    social_first = F.struct(F.col("list_key.part"), F.when(F.col("list_key.part") == 2, -F.col("score")).otherwise(F.col("list_key.a")).alias("a"), F.col("list_key.a").alias("b"), F.col("list_key.b").alias("d"), F.col("id"))
+    unique = unique.withColumn("list_key", social_first)
+    listed = unique if limit is None else unique.orderBy("list_key").limit(limit)
+    return filters.drop_seen(listed, "id", F.col("keys"), seen, "key")
 
 
-def score_and_split(candidates: DataFrame, score_fn: Callable[[DataFrame], DataFrame], row: str, url: str, tie: list[Column]) -> DataFrame:
+def score_and_split(candidates: DataFrame, score_fn: Callable[[DataFrame], DataFrame], row: str, url: str, tie: list[Column], deep_items: int, brief_items: int) -> DataFrame:
     """JB1. Deep and brief items by an outside scorer: ``score_fn`` returns (row, relevance) for the candidates it could
     score; the others count as 0."""
     scored = candidates.join(score_fn(candidates).select(row, "relevance"), row, "left")
-    return topk.tier_split(scored, url, "relevance", tie)
+    return topk.tier_split(scored, url, "relevance", tie, deep_items, brief_items)
 
 
 def ingest(entries: DataFrame, status: DataFrame, seen: DataFrame, now: Column, limit: int, per_source: int, deep: int, terms: str | None = None) -> DataFrame:
@@ -51,13 +55,14 @@ def ingest(entries: DataFrame, status: DataFrame, seen: DataFrame, now: Column,
     body = F.concat_ws(" ", "title", "description")
     relevant = tx.any_term(body, terms) if terms else tx.any_term(body)
     age = age_days(F.col("published_at"), now)
-    score = F.round(topk.selection_score(age, F.col("description"), F.col("title"), F.col("has_canonical"), F.col("priority")), 4)
+    score = topk.selection_score(age, F.col("description"), F.col("title"), F.col("has_canonical"), F.col("priority"))
     slim = settle(entries, _relevant=relevant, selection_score=score).where("_relevant").select("id", "ord", "source_id", "url_keys", "selection_score")
     unique = cut_lineage(slim.join(status.where("status = 'unique'").select("id"), "id", "left_semi"))
     fresh = cut_lineage(filters.drop_seen(unique, "id", F.col("url_keys"), seen, "key"))
     order = [F.col("selection_score").desc(), F.col("ord")]
     picked = windows.capped_pick(fresh, "source_id", order, per_source, limit)
-    return windows.mark_deep(picked, "id", order, deep)
+    # Ranks follow the exact score; the shown one is rounded.
+    return windows.mark_deep(picked, "id", order, deep).withColumn("selection_score", F.round("selection_score", 4))
 
 
 def detect_updates(candidates: DataFrame, prior: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..constants import MONTHS, PAPER_MAX_CHARS, PAPER_MIN_CHARS
+from ..constants import MONTHS, PAPER_MIN_CHARS
 from ..functions.patterns import text
 
 _TEXT = T.StructType([T.StructField("_VALUE", T.StringType())])
@@ -41,14 +41,15 @@ def paper_date(d: Column) -> Column:
     return F.when(year.between(1900, 2100), F.make_date(year, month, day))
 
 
-def flatten_papers(records: DataFrame) -> DataFrame:
-    """SC4. Records of the article shape as candidate rows with enough abstract."""
+def flatten_papers(records: DataFrame, max_chars: int | None = None) -> DataFrame:
+    """SC4. Records of the article shape as candidate rows with enough abstract; ``max_chars`` shortens it."""
     art = F.col("MedlineCitation.Article")
     parts = F.transform(
         art["Abstract"]["AbstractText"],
         lambda p: F.concat(F.when(text(p["_Label"]) != "", F.concat(p["_Label"], F.lit(": "))).otherwise(F.lit("")), text(p["_VALUE"])),
     )
-    abstract = F.substring(F.array_join(F.filter(parts, lambda p: p != ""), "\n"), 1, PAPER_MAX_CHARS)
+    abstract = F.array_join(F.filter(parts, lambda p: p != ""), "\n")
+    abstract = abstract if max_chars is None else F.substring(abstract, 1, max_chars)
     dois = F.filter(F.col("PubmedData.ArticleIdList.ArticleId"), lambda i: i["_IdType"] == "doi")
     pmid, title = text(F.col("MedlineCitation.PMID._VALUE")), text(art["ArticleTitle"]["_VALUE"])
     url = F.concat(F.lit("https://pubmed.ncbi.nlm.nih.gov/"), pmid, F.lit("/"))

@@ -65,21 +65,22 @@ _COMMENTS = T.ArrayType(
 )
 
 
-def read_social(payloads: DataFrame, json: str = "json") -> DataFrame:
-    """SC5. Posts of a listing payload."""
+def read_social(payloads: DataFrame, json: str = "json", max_chars: int | None = None) -> DataFrame:
+    """SC5. Posts of a listing payload; ``max_chars`` shortens their texts."""
     posts = payloads.select(F.explode(F.from_json(json, _LISTING)["data"]["children"]).alias("c")).select("c.data.*")
     return posts.select(
         "id", F.lit("social").alias("source_type"), F.concat(F.lit("r/"), "subreddit").alias("source_label"), "subreddit", "title",
-        F.substring(text(F.col("selftext")), 1, 4000).alias("body"), "score", "num_comments", F.concat(F.lit("https://www.reddit.com"), "permalink").alias("url"),
+        (text(F.col("selftext")) if max_chars is None else F.substring(text(F.col("selftext")), 1, max_chars)).alias("body"), "score", "num_comments", F.concat(F.lit("https://www.reddit.com"), "permalink").alias("url"),
         F.timestamp_micros((F.col("created_utc") * 1000000).cast("long")).alias("published_at"), F.col("over_18").alias("over18"), "stickied", "is_self",
     )
 
 
-def read_comments(payloads: DataFrame, json: str = "json", limit: int = 8) -> DataFrame:
-    """SC5. The first comments of a post page, without pinned and empty ones."""
+def read_comments(payloads: DataFrame, json: str = "json", limit: int | None = None, max_chars: int | None = None) -> DataFrame:
+    """SC5. The comments of a post page, without pinned and empty ones; the first ``limit`` of a page if it is given."""
     children = F.get(F.from_json(json, _COMMENTS), F.lit(1))["data"]["children"]
     kept = F.filter(children, lambda c: (c["kind"] == "t1") & (text(c["data"]["body"]) != "") & ~F.coalesce(c["data"]["stickied"], F.lit(False)))
-    top = F.transform(F.slice(kept, 1, limit), lambda c: F.struct(c["data"]["score"].alias("score"), F.substring(c["data"]["body"], 1, 1500).alias("body")))
+    body = lambda c: c["data"]["body"] if max_chars is None else F.substring(c["data"]["body"], 1, max_chars)
+    top = F.transform(kept if limit is None else F.slice(kept, 1, limit), lambda c: F.struct(c["data"]["score"].alias("score"), body(c).alias("body")))
     keep = [c for c in payloads.columns if c != json]
     return payloads.select(*keep, F.posexplode(top).alias("pos", "c")).select(*keep, "pos", "c.score", "c.body")
 

@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..constants import RUN_HISTORY, SEEN_LIMIT
 from ..functions.patterns import settle
 from ..operators.dedup import first_per_key
 
@@ -44,15 +43,17 @@ def append_events(events: DataFrame, path: str) -> None:
     events.write.mode("append").json(path)
 
 
-def bounded_history(history: DataFrame, run: DataFrame, run_ts: str, keep: int = RUN_HISTORY) -> DataFrame:
-    """SK5. History with the new run, last runs only."""
+def bounded_history(history: DataFrame, run: DataFrame, run_ts: str, keep: int | None = None) -> DataFrame:
+    """SK5. History with the new run; the last ``keep`` runs only if it is given."""
     rows = history.unionByName(run, allowMissingColumns=True)
+    if keep is None:
+        return rows
     last = rows.select(run_ts).distinct().orderBy(F.col(run_ts).desc()).limit(keep)
     return rows.join(last, run_ts, "left_semi")
 
 
-def bounded_seen(seen: DataFrame, bucket: Column, order: list[Column], keep: int = SEEN_LIMIT) -> DataFrame:
-    """SK6. The newest keys. ``bucket`` is a coarse time, such as the day, that the order starts with: counts per bucket
+def bounded_seen(seen: DataFrame, bucket: Column, order: list[Column], keep: int) -> DataFrame:
+    """SK6. The newest ``keep`` keys. ``bucket`` is a coarse time, such as the day, that the order starts with: counts per bucket
     tell which ones can hold the newest keys, so that not every task sends ``keep`` rows to the last one."""
     counts = seen.groupBy(bucket.alias("_bucket")).agg(F.count("*").alias("_n"))
     newer = Window.partitionBy(F.lit(0)).orderBy(F.col("_bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..constants import FEED_MAX_AGE_DAYS, SEEN_LIMIT
+from ..constants import FEED_MAX_AGE_DAYS
 from ..operators.dedup import first_per_key
 from ..operators.monitor import freshness
 
@@ -105,10 +105,10 @@ def read_edition(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     return first_per_key(spark.read.parquet(path), keys, [F.col("batch_id").desc()])
 
 
-def retry_sink(out_path: str, seen_path: str, key: str, ok: str, order: list[Column], keep: int = SEEN_LIMIT) -> Batch:
+def retry_sink(out_path: str, seen_path: str, key: str, ok: str, order: list[Column], keep_batches: int | None = None) -> Batch:
     """ST1, ST9. New rows only; successes are written and recorded as seen, failures stay available for the next poll.
 
-    The seen list is bounded by a count. It is stored per batch, and batch n reads what batch n - 1 left, so a replay of a
+    Seen keys are kept, or those of the last ``keep_batches`` batches where it is given. The list is stored per batch, and batch n reads what batch n - 1 left, so a replay of a
     batch sees the same list and writes the same rows.
     """
 
@@ -121,7 +121,8 @@ def retry_sink(out_path: str, seen_path: str, key: str, ok: str, order: list[Col
             fresh = fresh.join(seen, key, "left_anti")
             slim = fresh.select(key, F.lit(batch_id).alias("seen_batch")).unionByName(seen)
         fresh.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
-        slim.orderBy(F.col("seen_batch").desc(), key).limit(keep).write.mode("overwrite").parquet(f"{seen_path}/after={batch_id}")
+        recent = slim if keep_batches is None else slim.where(F.col("seen_batch") > batch_id - keep_batches)
+        recent.write.mode("overwrite").parquet(f"{seen_path}/after={batch_id}")
 
     return write
 

@@ -12,7 +12,7 @@ from broadsheet.session import build_session  # noqa: E402
 def spark():
     session = build_session(
         "tests", "local[8]",
-        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false"},
+        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false", "spark.broadsheet.spread": "8"},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

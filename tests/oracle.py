@@ -65,7 +65,7 @@ def main() -> int:
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "0.01"
     wanted = tuple(sys.argv[2:])
-    spark = build_session(master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"})
+    spark = build_session(master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g", "spark.broadsheet.spread": "8"})
     spark.sparkContext.setLogLevel("ERROR")
     sf_dir = f"/root/testdata/sf{sf}"
     con, bad = duck(sf_dir), 0

@@ -101,3 +101,24 @@ def test_short_article_falls_back_to_the_whole_page(spark):
     page = "<article><p>" + "a" * 100 + "</p></article>" + "".join(f"<p>{'b' * 100}{i}</p>" for i in range(9))
     body = one(spark, html.extract_body(F.col("h")), h=page)
     assert body.startswith("a" * 100) and body.count("\n") == 9
+
+
+def test_title_folding_and_long_keys(spark):
+    assert one(spark, text.normalize_title(F.col("t")), t="ＡＢＣ <b>①</b> Ｘ") == "abc 1 x"
+    assert one(spark, urls.source_id(F.col("t")), t="ＡＢＣ ①") == "src-abc-1"
+    long = "word " * 30
+    first, second = (one(spark, text.title_key(F.col("t")), t=long + end) for end in ("a", "b"))
+    assert first != second and len(first) == len(second) == 97
+    first, second = (one(spark, urls.source_id(F.col("t")), t=long + end) for end in ("a", "b"))
+    assert first != second
+
+
+def test_nested_images(spark):
+    def image(json):
+        page = f'<script type="application/ld+json">{json}</script>'
+        return one(spark, html.lead_image(F.col("h"), F.lit("https://e.org/a")), h=page)
+
+    assert image('{"@graph": [{"about": {"image": {"url": "https://c.org/n.jpg"}}}]}') == "https://c.org/n.jpg"
+    assert image('{"image": [{"url": "https://c.org/l.jpg"}, "https://c.org/m.jpg"]}') == "https://c.org/l.jpg"
+    assert image('{"image": "https://c.org/s.jpg"}') == "https://c.org/s.jpg"
+    assert image('{"image": 5, "name": "x"}') is None

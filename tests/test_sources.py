@@ -40,6 +40,26 @@ def test_read_news_feeds(spark):
     assert [(r.title, r.source_label) for r in got] == [("Head line", "Paper"), ("Real", "Paper"), ("Undated", "Paper")]
 
 
+def test_polls_of_one_feed_do_not_compete(spark):
+    item = "<item><title>{t}</title><link>https://n.org/{t}</link><pubDate>Tue, 02 Jan 2024 00:00:00 GMT</pubDate><description>b</description></item>"
+    polls = [("s", "L", "f", "us", False, 10, 2, "<rss><channel>" + "".join(item.format(t=f"{p}{k}") for k in range(4)) + "</channel></rss>") for p in "ab"]
+    df = spark.createDataFrame(polls, "source_id string, source_label string, feed_url string, market string, is_news boolean, max_age_days int, max_items int, xml string")
+    now = F.lit("2024-01-05").cast("timestamp")
+    assert sorted(r.title for r in feeds.read_news_feeds(df, now).collect()) == ["a0", "a1", "b0", "b1"]
+    assert feeds.read_news_feeds(df.withColumn("max_items", F.lit(None).cast("int")), now).count() == 8
+
+
+def test_large_feeds_are_read_and_refused_ones_named(spark):
+    schema = "source_id string, source_label string, feed_url string, domains array<string>, xml string"
+    entry = "<item><title>t{k}</title><link>https://n.org/{k}</link><description>" + "word " * 500 + "</description></item>"
+    big = "<rss><channel>" + "".join(entry.replace("{k}", str(k)) for k in range(1001)) + "</channel></rss>"
+    rows = [("s", "L", "big", [], big), ("s", "L", "dtd", [], "<!DOCTYPE x><rss/>"), ("s", "L", "nul", [], "<rss>\x00</rss>"), ("s", "L", "none", [], None), ("s", "L", "page", [], "<html>x</html>")]
+    df = spark.createDataFrame(rows, schema)
+    got = feeds.read_feeds(df).collect()
+    assert len(got) == 1001 and all(len(r.description) == 2499 for r in got)
+    assert {(r.feed_url, r.reason) for r in feeds.refused_payloads(df).collect()} == {("dtd", "document-type"), ("nul", "nul-character"), ("none", "empty"), ("page", "unreadable")}
+
+
 def test_read_sitemap(spark):
     df = spark.createDataFrame([("m", "<urlset><url><loc>https://a/1</loc></url><url><loc>https://a/2</loc></url></urlset>")], "name string, xml string")
     assert [(r.name, r.loc) for r in feeds.read_sitemap(df).collect()] == [("m", "https://a/1"), ("m", "https://a/2")]

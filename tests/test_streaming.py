@@ -35,7 +35,7 @@ def test_retry_sink_keeps_failures_available_and_replays(spark, tmp_path):
 
 
 def test_seen_list_is_bounded(spark, tmp_path):
-    sink = S.retry_sink(f"{tmp_path}/out", f"{tmp_path}/seen", "k", "ok", [F.col("o")], keep=2)
+    sink = S.retry_sink(f"{tmp_path}/out", f"{tmp_path}/seen", "k", "ok", [F.col("o")], keep_batches=2)
     for i in range(3):
         sink(spark.createDataFrame([(f"k{i}", True, i)], "k string, ok boolean, o long"), i)
     assert sorted(r.k for r in spark.read.parquet(f"{tmp_path}/seen/after=2").collect()) == ["k1", "k2"]
