@@ -74,7 +74,7 @@ def _(spark, sf):
     return articles(spark, sf).select("doc_id", F.array_join(F.array_sort(words), " ").alias("tokens"), F.size(words).alias("n_tokens"))
 
 
-@query("id7_content_hash")
+@query("id7_content_hash", with_sql(ITEMS, "SELECT doc_id, sha256(CAST(to_json(struct_pack(title := title, lead := lead, body := paragraphs, angle := '')) AS VARCHAR)) AS content_hash FROM items"))
 def _(spark, sf):
     return items(spark, sf).select("doc_id", _content_hash().alias("content_hash"))
 
@@ -83,7 +83,9 @@ def _content_hash():
     return tx.struct_hash(title=F.col("title"), lead=F.col("lead"), body_=F.col("paragraphs"), key_points_=F.col("key_points"), angle=F.col("angle"))
 
 
-@query("id8_source_hash")
+@query("id8_source_hash", with_sql(ITEMS, """
+    SELECT doc_id, sha256(CAST(to_json(struct_pack(source_url := source_url, source_url_raw := '', source_title := '', source_label := source_label,
+      published_at := regexp_replace(strftime(published_at, '%Y-%m-%d %H:%M:%S.%f'), '\\.?0+$', ''), doi := '')) AS VARCHAR)) AS source_hash FROM items"""))
 def _(spark, sf):
     return items(spark, sf).select(
         "doc_id",

@@ -12,9 +12,9 @@ from ..operators import monitor, pages, similarity
 from ..operators import rules as R
 from ..plans import audits, publication, queue, selection
 from . import query
-from .identity import sql_tokens
+from .identity import sql_title_key, sql_tokens
 from .joins import SQL_COVER, SQL_KEYWORDS, keywords
-from .rules import ITEMS_Q, SKIP, SQL_CLAIMS, SQL_DIAGNOSTIC, SQL_INDEXABLE, joined, rx, sql_codes
+from .rules import ITEMS_Q, SQL_CLAIMS, SQL_DIAGNOSTIC, SQL_INDEXABLE, joined, rx, sql_codes
 from .tables import ART, DATED, ITEMS, articles, dated, items, now, sql_normal_url, sql_path, sql_strip, table, with_sql
 from .texts import SQL_PAGE_TITLE, sql_paras
 
@@ -142,7 +142,14 @@ def _(spark, sf):
 # --- Selection --------------------------------------------------------------------------------------------
 
 
-@query("jb1_collect_candidates")
+@query("jb1_collect_candidates", with_sql("RECURSIVE " + DATED, """
+    , n AS (SELECT *, md5(text) AS h, CAST(regexp_extract(source, '(\\d+)', 1) AS BIGINT) AS feed_ord FROM dated),
+    l AS (SELECT *, CASE lang WHEN 'en' THEN 0 WHEN 'es' THEN 2 ELSE 1 END AS part,
+      CASE WHEN lang IN ('fr', 'de') THEN row_number() OVER (PARTITION BY lang IN ('fr', 'de'), source ORDER BY doc_id) ELSE doc_id END AS a, CASE WHEN lang IN ('fr', 'de') THEN feed_ord ELSE 0 END AS b FROM n),
+    k AS (SELECT doc_id, h, row_number() OVER (ORDER BY part, a, b, 'd' || doc_id) AS i, list_filter(['u:' || h, 't:' || """ + sql_title_key("title") + """], lambda x: length(x) > 2) AS ks FROM l),
+    s AS (SELECT 0::BIGINT AS i, FALSE AS kept, NULL::BIGINT AS doc_id, NULL::VARCHAR AS h, []::VARCHAR[] AS seen
+      UNION ALL SELECT k.i, NOT list_has_any(k.ks, s.seen), k.doc_id, k.h, CASE WHEN list_has_any(k.ks, s.seen) THEN s.seen ELSE list_concat(s.seen, k.ks) END FROM s JOIN k ON k.i = s.i + 1)
+    SELECT 'd' || doc_id AS id FROM s WHERE kept AND h NOT IN (SELECT h FROM n WHERE doc_id % 9 = 0)"""))
 def _(spark, sf):
     a = dated(spark, sf).select(
         F.concat(F.lit("d"), "doc_id").alias("id"), "title", F.array(F.concat(F.lit("https://example.com/"), F.md5("text"))).alias("keys"), F.col("doc_id").alias("ord"), "lang", "source", "value",
@@ -207,13 +214,13 @@ def _(spark, sf):
     d AS (SELECT v.doc_id, v.publish_codes, g.first IS NOT NULL AND g.first < struct_pack(a := -epoch_us(v.published_at), b := v.doc_id) AS dup FROM v LEFT JOIN g ON g.source_url = v.source_url)
     SELECT doc_id, array_to_string(list_sort(list_concat(publish_codes, CASE WHEN dup THEN ['duplicate-source'] ELSE [] END)), ',') AS reasons FROM d WHERE dup OR len(publish_codes) > 0"""))
 def _(spark, sf):
-    out = publication.repair(items(spark, sf), "doc_id", "source_url", [-F.unix_micros("published_at"), F.col("doc_id")], SKIP)
+    out = publication.repair(items(spark, sf), "doc_id", "source_url", [-F.unix_micros("published_at"), F.col("doc_id")])
     return out.select("doc_id", joined(F.array_sort("reasons")).alias("reasons"))
 
 
 @query("jb3_repair_report", with_sql(ITEMS_Q, "SELECT unnest(publish_codes) AS reason, count(*) AS n FROM iq WHERE coalesce(visibility, '') <> 'suppressed' GROUP BY 1"))
 def _(spark, sf):
-    codes = settle(items(spark, sf).where(F.coalesce("visibility", F.lit("")) != "suppressed"), reasons=R.publish_issues(SKIP))
+    codes = settle(items(spark, sf).where(F.coalesce("visibility", F.lit("")) != "suppressed"), reasons=R.publish_issues())
     return publication.repair_report(codes)
 
 
@@ -222,7 +229,7 @@ def _(spark, sf):
     x AS (SELECT *, row_number() OVER (PARTITION BY source_url ORDER BY date DESC, doc_id) > 1 AS duplicate FROM m WHERE title <> '' AND len(paragraphs) > 0)
     SELECT doc_id, duplicate, image, {SQL_INDEXABLE} AND NOT duplicate AS indexable FROM x"""))
 def _(spark, sf):
-    i = publication.build_index(items(spark, sf), "doc_id", "source_url", [-F.unix_date("date"), F.col("doc_id")], ["date", "source_label"], SKIP)
+    i = publication.build_index(items(spark, sf), "doc_id", "source_url", [-F.unix_date("date"), F.col("doc_id")], ["date", "source_label"])
     return i.select("doc_id", "duplicate", F.col("image_url").alias("image"), "indexable")
 
 
@@ -230,7 +237,7 @@ def _(spark, sf):
     , r AS (SELECT doc_id, strftime(date, '%G-W%V') AS week, row_number() OVER (PARTITION BY strftime(date, '%G-W%V') ORDER BY relevance DESC, doc_id) AS rank FROM iq WHERE renderable)
     SELECT doc_id, week, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 12 AND week IN (SELECT week FROM r GROUP BY 1 HAVING count(*) >= 3)"""))
 def _(spark, sf):
-    return publication.weeklies(items(spark, sf), "date", [F.col("relevance").desc(), F.col("doc_id")], SKIP).select("doc_id", "week", "rank")
+    return publication.weeklies(items(spark, sf), "date", [F.col("relevance").desc(), F.col("doc_id")]).select("doc_id", "week", "rank")
 
 
 def release_inputs(spark, sf):
@@ -243,7 +250,7 @@ def release_inputs(spark, sf):
 @query("jb10_release")
 def _(spark, sf):
     drafts, out = release_inputs(spark, sf)
-    evaluated = publication.evaluate_release(drafts, out, "date", F.col("lang").isin("en", "fr"), F.col("doc_id"), SKIP)
+    evaluated = publication.evaluate_release(drafts, out, "date", F.col("lang").isin("en", "fr"), F.col("doc_id"))
     picked, _ = publication.release(evaluated, out.where("value > 80"), "date", [F.col("id")])
     return picked.select("id", "date", "e.grade", "release_rank")
 
@@ -251,7 +258,7 @@ def _(spark, sf):
 @query("jb10_outcomes")
 def _(spark, sf):
     drafts, out = release_inputs(spark, sf)
-    evaluated = publication.evaluate_release(drafts, out, "date", F.col("lang").isin("en", "fr"), F.col("doc_id"), SKIP)
+    evaluated = publication.evaluate_release(drafts, out, "date", F.col("lang").isin("en", "fr"), F.col("doc_id"))
     return evaluated.groupBy("outcome").agg(F.count("*").alias("n"))
 
 
@@ -299,7 +306,7 @@ def editorial_rows(spark, sf, light=False):
     i = items(spark, sf)
     none = F.array().cast("array<string>")
     codes = {"quality_codes": none, "review_codes": none, "numeric_codes": none} if light else {
-        "quality_codes": R.quality_issues(SKIP), "review_codes": R.review_issues(), "numeric_codes": R.item_numeric_issues(),
+        "quality_codes": R.quality_issues(), "review_codes": R.review_issues(), "numeric_codes": R.item_numeric_issues(),
     }
     base = i.select(
         "id", "date", "title", "clinical_risk", "workflow_status", "reviewer_role", "source_label", (F.col("quality") == 1).alias("_idx"), F.col("reviewed_at").isNull().alias("reviewer_needed"),

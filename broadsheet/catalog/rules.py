@@ -23,10 +23,6 @@ SQL_DIAGNOSTIC = f"""diag AS (
     count(*) - count(DISTINCT props) AS duplicate_guids FROM events GROUP BY user_id)"""
 
 
-# DuckDB has no back-references, so the repeated-word code is left out wherever an oracle compares codes.
-SKIP = ("repeated-word",)
-
-
 def rx(col: str, pattern: str) -> str:
     flag = ", 'i'" if pattern.startswith("(?i)") else ""
     return f"regexp_matches({col}, '{re2(pattern.replace('(?i)', '', 1))}'{flag})"
@@ -52,6 +48,7 @@ _SHARED = [
     ("title = ''", "title-missing"), ("lead = '' AND body = ''", "body-missing"), (rx("all_text", C.FOREIGN_SCRIPT), "foreign-script"),
     (rx("all_text", C.UNTRANSLATED), "untranslated-term"), (_BANNED, "banned-term"), (rx("all_text", C.GARBLED), "garbled-text"),
     (rx("all_text", C.TEMPLATE), "template-text"), (rx("all_text", C.INTERNAL_ASCII), "internal-ascii"), (rx("all_text", C.BAD_PARTICLE), "particle-error"),
+    ("repeated", "repeated-word"),
 ]
 _BRIEF = [("length(title) < 10", "brief-title-too-short"), ("body_chars < 250 OR length(lead) < 250", "brief-too-short")]
 _FULL = [
@@ -72,8 +69,10 @@ iq0 AS (
     [w for w in regexp_split_to_array(regexp_replace(title, '[^가-힣A-Za-z0-9{WS}]', ' ', 'g'), '[{WS}]+') if length(w) >= 2] AS title_words,
     array_to_string(list_filter([title, lead, array_to_string(paragraphs, ' '), coalesce(radar_clinical, '')], lambda x: x <> ''), ' ') AS rule_text
   FROM items),
+iqp AS (SELECT doc_id, regexp_extract_all(all_text, '[A-Za-z0-9_]+|[^A-Za-z0-9_]+') AS pieces FROM iq0),  -- neighbours are compared, there are no back-references
+iqr AS (SELECT DISTINCT doc_id FROM (SELECT doc_id, unnest(pieces) AS w, unnest(list_concat(pieces[2:], [''])) AS x, unnest(list_concat(pieces[3:], ['', ''])) AS y FROM iqp) WHERE length(w) > 1 AND x = ' ' AND lower(w) = lower(y) AND regexp_matches(w, '^[A-Za-z]+$')),
 iq1 AS (
-  SELECT *, coalesce(content_tier, 'brief') AS ctier,
+  SELECT *, doc_id IN (SELECT doc_id FROM iqr) AS repeated, coalesce(content_tier, 'brief') AS ctier,
     coalesce(clinical_risk, CASE WHEN {rx('rule_text', C.HIGH_RISK)} THEN 'high' WHEN {rx('rule_text', C.LOW_RISK)} AND NOT {rx('rule_text', C.MEDIUM_RISK)} THEN 'low'
       WHEN {rx('rule_text', C.MEDIUM_RISK)} THEN 'medium' ELSE 'low' END) AS risk,
     CASE WHEN clinical_risk = 'high' OR (clinical_risk = 'medium' AND {rx('rule_text', C.CLINICAL_ACTION)}) THEN 'vet' ELSE 'editor' END AS role
@@ -108,7 +107,7 @@ def checked(spark, sf):
     """items with the rule codes as columns."""
     i = items(spark, sf).withColumns(
         {
-            "quality_codes": R.quality_issues(SKIP), "publish_codes": F.array_sort(R.publish_issues(SKIP)), "ctier": R.content_tier(),
+            "quality_codes": R.quality_issues(), "publish_codes": F.array_sort(R.publish_issues()), "ctier": R.content_tier(),
             "risk": R.clinical_risk(), "role": R.required_role(),
         }
     )
@@ -121,10 +120,10 @@ def joined(col):
 
 @query("cl1_quality_issues", with_sql(ITEMS_Q, "SELECT doc_id, array_to_string(quality_codes, ',') AS codes FROM iq"))
 def _(spark, sf):
-    return items(spark, sf).select("doc_id", joined(R.quality_issues(SKIP)).alias("codes"))
+    return items(spark, sf).select("doc_id", joined(R.quality_issues()).alias("codes"))
 
 
-@query("cl1_repeated_word")
+@query("cl1_repeated_word", with_sql(ITEMS_Q, "SELECT doc_id, lang FROM iq WHERE repeated"))
 def _(spark, sf):
     found = settle(items(spark, sf).select("doc_id", "lang", "_all"), repeated=matches(F.col("_all"), C.REPEATED_WORD))
     return found.where("repeated").select("doc_id", "lang")
@@ -132,7 +131,7 @@ def _(spark, sf):
 
 @query("cl2_publish_issues", with_sql(ITEMS_Q, "SELECT doc_id, array_to_string(publish_codes, ',') AS codes FROM iq"))
 def _(spark, sf):
-    return items(spark, sf).select("doc_id", joined(F.array_sort(R.publish_issues(SKIP))).alias("codes"))
+    return items(spark, sf).select("doc_id", joined(F.array_sort(R.publish_issues())).alias("codes"))
 
 
 @query("cl3_card_renderable", with_sql(ITEMS_Q, "SELECT doc_id, renderable FROM iq"))
@@ -400,7 +399,7 @@ OFFICIAL = "lang IN ('en', 'fr')"
     SELECT doc_id, CASE WHEN duplicate_status <> 'unique' THEN 'duplicate' WHEN NOT sourced THEN 'needs-source-fix' WHEN NOT written OR any_lang THEN 'needs-language-fix' WHEN bad_claim OR len(unsafe) > 0 THEN 'needs-claim-fix'
        WHEN clinical_risk = 'high' THEN 'rejected' WHEN clinical_risk IS NULL OR len(q) > 0 OR lang = 'es' THEN 'needs-claim-fix' ELSE 'ready-public-brief' END AS status FROM b"""))
 def _(spark, sf):
-    e = items(spark, sf).withColumn("e", R.release_evaluation(F.col("lang").isin("en", "fr"), SKIP))
+    e = items(spark, sf).withColumn("e", R.release_evaluation(F.col("lang").isin("en", "fr")))
     return e.select("doc_id", "e.status")
 
 

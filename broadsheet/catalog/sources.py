@@ -8,7 +8,7 @@ from ..functions.patterns import squeeze
 from ..operators import rules as R
 from ..sources import feeds, papers, records, registry, sinks
 from . import query
-from .rules import ITEMS_Q, SKIP
+from .rules import ITEMS_Q
 from .tables import DATED, ITEMS, NOW, dated, items, now, sql_host, sql_squeeze, table, with_sql
 
 # XML 1.0 allows no control characters but tab and line breaks.
@@ -247,7 +247,7 @@ def _(spark, sf):
 
 @query("sk8_latest_edition", with_sql(ITEMS_Q, "SELECT doc_id, strftime(date, '%Y-%m-%d') AS date FROM iq WHERE renderable AND date = (SELECT max(date) FROM iq)"))
 def _(spark, sf):
-    shown = R.card_renderable(R.quality_issues(SKIP))
+    shown = R.card_renderable(R.quality_issues())
     return sinks.latest_edition(items(spark, sf), "date", shown).select("doc_id", F.date_format("date", "yyyy-MM-dd").alias("date"))
 
 
@@ -255,7 +255,7 @@ def _(spark, sf):
     SELECT doc_id, workflow_status <> 'approved' AS not_approved, len(publish_codes) > 0 AS quality_blocked, scheduled_at IS NOT NULL AND scheduled_at > TIMESTAMP '{NOW}' AS later,
       title = '' OR lead = '' OR len(paragraphs) = 0 OR content_tier IS NULL OR clinical_risk IS NULL AS contract_blocked FROM iq"""))
 def _(spark, sf):
-    b = sinks.publish_blockers(items(spark, sf), R.contract_issues(), R.publish_issues(SKIP), now())
+    b = sinks.publish_blockers(items(spark, sf), R.contract_issues(), R.publish_issues(), now())
     has = lambda p: F.exists("reasons", lambda r: F.startswith(r, F.lit(p)))
     return b.select("doc_id", has("workflow-status:").alias("not_approved"), has("quality:").alias("quality_blocked"), has("scheduled").alias("later"), has("contract:").alias("contract_blocked"))
 

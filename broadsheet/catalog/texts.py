@@ -11,7 +11,7 @@ from ..functions.patterns import count
 from ..operators.pages import with_meta
 from . import query
 from .identity import sql_title
-from .tables import ART, articles, sql_path, sql_squeeze, sql_strip, sql_url, table, with_sql
+from .tables import ART, DATED, articles, sql_path, sql_squeeze, sql_strip, sql_url, table, with_sql
 
 
 def re2(pattern: str) -> str:
@@ -108,7 +108,8 @@ def _(spark, sf):
     return table(spark, sf, "pages").select("page_id", H.tag_count(F.col("html"), "h1").alias("h1"), H.tag_count(F.col("html"), "p").alias("paragraphs"))
 
 
-@query("tx10_feed_probe")
+@query("tx10_feed_probe", with_sql(DATED, """
+    SELECT source AS source_id, CAST(count(*) AS INTEGER) AS items, TRUE AS is_feed, strftime(max(date_trunc('second', ts)), '%Y-%m-%d %H:%M:%S') AS newest FROM dated GROUP BY source, lang, doc_id // 100"""))
 def _(spark, sf):
     from .sources import feed_payloads
 
