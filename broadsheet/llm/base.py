@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,8 +24,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def store(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it again: later jobs neither repeat its work nor lose it."""
     path = shared_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
+    release_shuffles(df.sparkSession)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored.stored_at = path
+    return stored
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Shuffle files of finished jobs go when the driver collects the objects that own them. Long jobs of many steps would
+    otherwise hold the files of all steps until the driver happens to need memory."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def discard(*stored: DataFrame) -> None:
+    """Delete tables that :func:`store` wrote and that nothing still to run reads."""
+    for df in stored:
+        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsparkSession.sessionState().newHadoopConf()
+        path = jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        path.getFileSystem(conf).delete(path, True)
 
 
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .base import combine, doc_words, long, mix, slices, store, table, texts
+from .base import combine, discard, doc_words, long, mix, slices, store, table, texts
 from .components import components
 from .queries import query
 
@@ -189,13 +189,17 @@ def classes(docs: DataFrame, n: int = N, least: int = LEAST, id_col: str = "doc_
     own = _own_grams(base.where("doc_id IS NOT NULL"), n).withColumnRenamed("doc_id", "id")
     longest = F.col("size") - F.ceil(F.col("size") * least / 100) + 1
     unsure = store(leaders.join(own, "id", "left").where(F.coalesce("own", F.lit(0)) < longest).select(F.col("id").alias("doc_id")), "ngram-unsure")
-    sets = store(features(store(base.join(unsure, "doc_id", "left_semi"), "ngram-texts"), n, least), "ngram-sets")
+    unsure_texts = store(base.join(unsure, "doc_id", "left_semi"), "ngram-texts")
+    sets = store(features(unsure_texts, n, least), "ngram-sets")
+    discard(unsure_texts)
 
     rows = sets.select("id", "size", F.posexplode("prefix").alias("pos", "gram"))
     often = rows.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
     met = store(rows.join(often, "gram", "left_semi"), "ngram-met")  # prefix n-grams of at least two sets
     central = met.groupBy("id", "size").agg(F.count("*").alias("n")).select("id", (F.col("n") / longest).alias("central"))
-    met = store(met.join(central, "id").join(sets.select("id", *_BITS), "id"), "ngram-rows")
+    narrow = met
+    met = store(narrow.join(central, "id").join(sets.select("id", *_BITS), "id"), "ngram-rows")
+    discard(narrow)
 
     hubs = met.groupBy("gram").agg(F.max(F.struct("central", (-F.col("id")).alias("order"), "size", "pos", *_BITS)).alias("h"))
     hubs = hubs.select("gram", (-F.col("h.order")).alias("id"), *[F.col(f"h.{c}").alias(c) for c in ("size", "pos", *_BITS)])
@@ -208,12 +212,14 @@ def classes(docs: DataFrame, n: int = N, least: int = LEAST, id_col: str = "doc_
         return df.join(parts.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
 
     placed = store(with_part(met), "ngram-placed")
+    discard(met)
     open_grams = placed.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max(F.struct("central", (-F.col("id")).alias("order"), "component")).alias("h"))
     open_grams = open_grams.where("low < high").select("gram", F.col("h.component").alias("main"))
     still = store(placed.join(open_grams, "gram"), "ngram-open")
     x, y = still.where("component != main").alias("x"), still.alias("y")
     across = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.component") != F.col("y.component")) & _may_link("x", "y", least))
     more = store(_verified(store(_pairs(across, "x", "y"), "ngram-across"), sets, least), "ngram-more")
+    discard(sets, placed, still)
     if not more.isEmpty():
         parts = components(parts.where("node != component").select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
 
