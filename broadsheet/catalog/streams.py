@@ -97,15 +97,19 @@ def _(spark, sf):
 
 @query("st10_progress", "SELECT user_id, count(*) AS selected, count(*) FILTER (event_type <> 'signup') AS completed, count(*) FILTER (event_type = 'signup') AS remaining FROM events GROUP BY 1")
 def _(spark, sf):
-    e = table(spark, sf, "events").groupBy("user_id").agg(
+    counts = event_stream(spark, sf).groupBy("user_id").agg(
         F.count("*").alias("s"), F.count_if(F.col("event_type").isin("view", "click", "purchase")).alias("g"), F.count_if(F.col("event_type") == "error").alias("f")
     )
+    e = settled(spark, counts, ["user_id"])
     return e.withColumn("p", S.progress_counters(F.col("s"), F.col("g"), F.col("f"))).select("user_id", "p.selected", "p.completed", "p.remaining")
 
 
 @query("st11_stale_alert", "SELECT strftime(max(ts), '%Y-%m-%d') AS latest, count(*) AS n, CASE WHEN DATE '2024-02-05' - CAST(max(ts) AS DATE) > 3 THEN 'latest-stale' ELSE '' END AS codes FROM events")
 def _(spark, sf):
-    a = S.stale_alert(table(spark, sf, "events"), "ts", F.lit("2024-02-05"))
+    """The alert reads the table that a stream has written."""
+    folder = shared_folder(spark, "sink")
+    S.run_available(event_stream(spark, sf), S.edition_sink(f"{folder}/out"), f"{folder}/checkpoint")
+    a = S.stale_alert(spark.read.parquet(f"{folder}/out"), "ts", F.lit("2024-02-05"))
     return a.select("latest", "n", F.array_join("codes", ",").alias("codes"))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import age_days
@@ -82,10 +83,10 @@ def _(spark, sf):
     return K.recent_items(i, "source_url", newest, "date", "category", preferred, [F.col("date").desc(), F.col("doc_id")]).select("doc_id", "preferred")
 
 
-@query("tk7_release_order", "SELECT o_orderkey FROM orders ORDER BY o_orderstatus = 'F' DESC, o_orderpriority = '1-URGENT' DESC, o_totalprice DESC, o_orderkey LIMIT 40")
+@query("tk7_release_order", "SELECT o_orderkey, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderstatus = 'F' DESC, o_orderpriority = '1-URGENT' DESC, o_totalprice DESC, o_orderkey) AS INTEGER) AS place FROM orders")
 def _(spark, sf):
     order = K.release_order(F.col("o_orderstatus") == "F", F.col("o_orderpriority") == "1-URGENT", F.col("o_totalprice"), [F.col("o_orderkey")])
-    return table(spark, sf, "orders").orderBy(*order).limit(40).select("o_orderkey")
+    return table(spark, sf, "orders").withColumn("place", F.row_number().over(Window.partitionBy("o_custkey").orderBy(*order))).select("o_orderkey", "place")
 
 
 @query("tk8_distinct_newest", with_sql(ITEMS, """
@@ -151,12 +152,10 @@ def _(spark, sf):
 
 @query("tk13_topic_lists", with_sql(SQL_TOPICS, """
     , n AS (SELECT t.slug, t.doc_id, row_number() OVER (PARTITION BY t.slug ORDER BY d.ts DESC, t.doc_id) AS place FROM (SELECT doc_id, unnest(topics) AS slug FROM tl) t JOIN dated d ON d.doc_id = t.doc_id)
-    SELECT slug, CAST(place AS INTEGER) AS place, doc_id FROM n WHERE place <= 20"""))
+    SELECT slug, CAST(place AS INTEGER) AS place, doc_id FROM n"""))
 def _(spark, sf):
-    from pyspark.sql import Window
-
     t = linked(spark, sf).select("doc_id", "ts", F.explode("topics").alias("slug"))
     ranked = t.withColumn("place", F.row_number().over(Window.partitionBy("slug").orderBy(F.col("ts").desc(), "doc_id")))
-    return ranked.where("place <= 20").select("slug", "place", "doc_id")
+    return ranked.select("slug", "place", "doc_id")
 
 
