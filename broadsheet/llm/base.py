@@ -56,6 +56,16 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def keep_decided(docs: DataFrame, id_col: str, decided: DataFrame, purpose: str) -> DataFrame:
+    """``docs`` without the ids of which no row of ``decided`` (doc_id, kept) is kept; all columns unchanged.
+
+    The ids that go are fewer than those that stay, so they are the side that meets the texts. Rows without an id share one
+    decision, as rows that repeat an id do.
+    """
+    gone = store(decided.groupBy("doc_id").agg(F.max(F.col("kept").cast("int")).alias("any")).where("any = 0").select(F.col("doc_id").alias("_gone")), purpose)
+    return docs.join(gone, docs[id_col].cast("long").eqNullSafe(gone["_gone"]), "left_anti")
+
+
 def text_bytes(column: pa.Array) -> Iterator[bytes]:
     """UTF-8 bytes of each text of an Arrow column."""
     for value in column.cast(pa.large_binary()):

@@ -16,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .base import SPACE, store, table, texts
+from .base import SPACE, keep_decided, store, table, texts
 from .queries import query
 
 #: Distinct keys per bucket of the directory.
@@ -91,11 +91,9 @@ def exact_groups(
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that :func:`exact_groups` drops, all columns unchanged; of rows that repeat an id one is left."""
-    kept = exact_groups(docs, id_col, text_col).where("kept").groupBy(F.col("doc_id").alias("_kept")).agg(F.count("*").alias("_times"))
-    kept = store(kept, "exact-kept")
-    ids = kept.select("_kept")
-    out = docs.join(ids, docs[id_col].cast("long").eqNullSafe(ids["_kept"]), "left_semi")
-    if kept.where("_times > 1").isEmpty():
+    decided = exact_groups(docs, id_col, text_col).select("doc_id", "kept")
+    out = keep_decided(docs, id_col, decided, "exact-gone")
+    if decided.where("kept").groupBy("doc_id").count().where("count > 1").isEmpty():
         return out
     return out.dropDuplicates([id_col])
 

@@ -18,7 +18,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .base import SPACE, SPACES, let, store, table, texts
+from .base import SPACE, SPACES, keep_decided, let, store, table, texts
 from .queries import query
 
 #: Base rule: fewest words, and the largest share of words in repeated three-word windows, in percent.
@@ -182,9 +182,8 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least
 
 
 def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that :func:`judge` rejects, all columns unchanged; a document without an id goes."""
-    good = judge(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(good, docs[id_col].cast("long") == good["_kept"], "left_semi")
+    """``docs`` without the documents that :func:`judge` rejects, all columns unchanged."""
+    return keep_decided(docs, id_col, judge(docs, id_col, text_col).select("doc_id", "kept"), "quality-gone")
 
 
 @query("op7_quality_rules")
