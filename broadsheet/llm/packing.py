@@ -12,6 +12,7 @@ from __future__ import annotations
 import functools
 import os
 import re
+import unicodedata
 import zlib
 
 import numpy as np
@@ -49,17 +50,27 @@ def _tokenizer(path: str):
     return made, {}
 
 
+def _stays_letters(word: str) -> bool:
+    """The vocabulary's normalizer turns some letters into a letter and a mark, where its pattern cuts."""
+    return word.isalpha() and (word.isascii() or unicodedata.normalize("NFC", word).lower().isalpha())
+
+
 def _encode_words(tokenizer, words: list[bytes]) -> list[bytes]:
-    """Ids of words without white space. Words of letters only are one piece before the merges: many go into one call."""
+    """Ids of words without white space. Words that are letters only once normalised are one piece before the merges: many
+    go into one call, and those of a call that yields another number of pieces than words are encoded one by one."""
     out: dict[bytes, bytes] = {}
     plain, other = [], []
     for w in words:
-        (plain if w.decode().isalpha() else other).append(w)
+        (plain if _stays_letters(w.decode()) else other).append(w)
     for at in range(0, len(plain), 64):
         some = plain[at : at + 64]
         got = tokenizer.encode(b" ".join(some).decode(), add_special_tokens=False)
         ids = np.array(got.ids, dtype="<u4")
-        ends = np.searchsorted(np.array(got.word_ids), np.arange(len(some) + 1)) * 4
+        pieces_of = np.array(got.word_ids)
+        if len(np.unique(pieces_of)) != len(some):
+            other.extend(some)
+            continue
+        ends = np.searchsorted(pieces_of, np.arange(len(some) + 1)) * 4
         joined = ids.tobytes()
         for word, a, b in zip(some, ends.tolist(), ends[1:].tolist()):
             out[word] = joined[a:b]

@@ -75,6 +75,26 @@ def test_packing(spark, size):
     assert packing.pack(frame(spark, [])).count() == 0
 
 
+def test_packing_of_letters_that_the_normalizer_splits(spark):
+    texts = ["alpha İstanbul beta gamma", "x হয় y z", "क़लम one two", "שּׁ שׁלום three", "four \uac00\u0301 five ǰ ΐ ẞ six", prose(4, 200) + " İ য় " + prose(5, 200)]
+    rows = packing.pack(frame(spark, texts)).collect()
+    assert {(r.doc_id, r.piece): (r.start, r.length, r.ids_crc32) for r in rows} == plain_pieces(texts, 2048)
+
+
+def test_words_are_encoded_as_alone():
+    """Every letter that Unicode's normal forms or lower case take apart, in one call with ordinary words."""
+    import unicodedata
+
+    tokenizer, _ = packing._tokenizer(packing.TOKENIZER)
+    changed = [c for c in map(chr, range(0x80, 0x30000)) if c.isalpha() and len(unicodedata.normalize("NFC", c).lower()) > 1]
+    assert "İ" in changed and "\u09df" in changed
+    words = [w.encode() for c in changed for w in ("alpha", "a" + c + "b", "beta")]
+    alone = [np.array(e.ids, dtype="<u4").tobytes() for e in tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
+    assert packing._encode_words(tokenizer, words) == alone
+    joined = tokenizer.encode(" ".join(w.decode() for w in words), add_special_tokens=False).ids
+    assert b"".join(alone) == np.array(joined, dtype="<u4").tobytes()
+
+
 def test_plan_uses_every_length():
     rng = np.random.default_rng(3)
     for scale in (1, 40):
