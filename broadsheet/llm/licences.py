@@ -1,6 +1,6 @@
 """Licence scan: a trained paragraph classifier, an unknown class with a calibrated bound, and a comparison with templates.
 
-Paragraphs (lines) are cut into windows of words. A window is the set of its word n-grams (one and two words), hashed; a
+Paragraphs and their lines are cut into windows of words. A window is the set of its word n-grams (one and two words), hashed; a
 sparse multinomial logistic regression gives the probability of each licence family and of ordinary text. It is trained on
 notices of the families in changed surroundings and on a bounded sample of lines of the corpus. On a held-out part its
 probabilities are calibrated by a temperature, and a bound is set below which a notice is reported as unknown. A predicted
@@ -108,10 +108,24 @@ def _template_pairs() -> list[tuple[int, np.ndarray]]:
 
 def similarity(words: np.ndarray, family: int | None = None) -> float:
     """The largest share of a template's two-word n-grams that a window holds, over all families or one."""
+    return _nearest(words, family)[0]
+
+
+def _nearest(words: np.ndarray, family: int | None = None) -> tuple[float, int, int]:
+    """The largest share of a template's two-word n-grams that a window holds, and the words from its first to its last one."""
     if len(words) < 2:
-        return 0.0
-    pairs = np.unique(combine([words[:-1], words[1:]]))
-    return max((len(np.intersect1d(pairs, own, assume_unique=True)) / len(own) for f, own in _template_pairs() if family is None or f == family), default=0.0)
+        return 0.0, 0, len(words)
+    placed = combine([words[:-1], words[1:]])
+    pairs = np.unique(placed)
+    shares = [(len(np.intersect1d(pairs, own, assume_unique=True)) / len(own), len(own), k) for k, (f, own) in enumerate(_template_pairs()) if family is None or f == family]
+    if not shares:
+        return 0.0, 0, len(words)
+    held, _, k = max(shares)
+    at = np.flatnonzero(np.isin(placed, _template_pairs()[k][1]))
+    near = np.diff(at) <= 3  # a common pair far from the others is no part of the notice
+    near = at[np.append(near, False) | np.append(False, near)] if len(at) > 1 else at
+    at = near if len(near) else at
+    return held, *((int(at[0]), int(at[-1]) + 2) if len(at) else (0, len(words)))
 
 
 @dataclass(frozen=True)
@@ -217,11 +231,95 @@ def sample_lines(base: DataFrame) -> list[str]:
     return [r["line"] for r in lines.collect()]
 
 
+@dataclass(frozen=True)
+class Notice:
+    start: int
+    end: int
+    family: int
+    probability: float
+    certain: float
+    held: float
+    confirmed: bool
+
+
+def _judge(m: Model, words: np.ndarray, spans: list[tuple[int, int]]) -> list[Notice]:
+    """Those of the windows that are more like a notice than like ordinary text."""
+    if not spans:
+        return []
+    logits = m.logits([words[a:b] for a, b in spans])
+    sure = np.flatnonzero(logits[:, 0] < logits[:, 1:].max(axis=1))
+    out = []
+    for k, p in zip(sure, m.probabilities(logits[sure]) if len(sure) else []):
+        own = int(p[1:].argmax()) + 1
+        family = own if p[own] >= m.bound else 1
+        start, end = spans[k]
+        held = similarity(words[start:end], own if own > 1 else None)
+        out.append(Notice(start, end, family, float(p[family]), float(1 - p[0]), held, held >= CONFIRMED and family > 1))
+    return out
+
+
+def _without(start: int, end: int, taken: list[Notice]) -> list[tuple[int, int]]:
+    """What is left of a window beside the notices, in pieces of two words at least."""
+    out, at = [], start
+    for n in sorted(taken, key=lambda n: n.start):
+        if n.end > at and n.start < end:
+            out.append((at, n.start))
+            at = max(at, n.end)
+    return [(a, b) for a, b in [*out, (at, end)] if b - a > 1]
+
+
+def _apart(found: list[Notice], rank) -> list[Notice]:
+    """The notices that don't overlap a better one."""
+    out: list[Notice] = []
+    for n in sorted(found, key=rank):
+        if all(n.end <= o.start or n.start >= o.end for o in out):
+            out.append(n)
+    return out
+
+
+def notices(m: Model, words: np.ndarray, windows: list[tuple[int, int]]) -> list[Notice]:
+    """The notices in overlapping windows of one paragraph, apart from each other.
+
+    A window that holds a template is cut to it, so that two notices in one window are judged one by one and a notice stands
+    where its words do. What is left of the windows beside confirmed notices is judged again until no more are confirmed.
+    Unconfirmed windows that overlap are one notice per family.
+    """
+    taken: list[Notice] = []
+    todo, seen = windows, set()
+    while todo:
+        spans: set[tuple[int, int]] = set()
+        for n in _judge(m, words, todo):
+            share, a, b = _nearest(words[n.start : n.end])
+            if share >= CONFIRMED:
+                spans.add((n.start + a, n.start + b))
+        new = _apart([n for n in _judge(m, words, sorted(spans)) if n.confirmed], lambda n: (-n.held, -(n.end - n.start), -n.certain, n.start))
+        new = [n for n in new if all(n.end <= o.start or n.start >= o.end for o in taken)]
+        taken += new
+        seen.update(todo)
+        todo = sorted({x for a, b in todo for x in _without(a, b, new)} - seen) if new else []
+    left = sorted({x for a, b in windows for x in _without(a, b, taken)})
+    groups: dict[int, list[list[Notice]]] = {}
+    for n in _judge(m, words, left):
+        if n.confirmed:  # its family's words are there, though not as one run
+            taken += [n] if all(n.end <= o.start or n.start >= o.end for o in taken) else []
+            continue
+        own = groups.setdefault(n.family, [])
+        if own and n.start < max(o.end for o in own[-1]):
+            own[-1].append(n)
+        else:
+            own.append([n])
+    best = [max(run, key=lambda n: (n.certain, n.start - n.end)) for runs in groups.values() for run in runs]
+    known = taken + [n for n in best if n.family > 1]
+    best = [n for n in best if all(n.end <= o.start or n.start >= o.end for o in (known if n.family == 1 else taken))]
+    return sorted(taken + best, key=lambda n: (n.start, n.family))
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per line of ``docs`` that holds a licence notice: doc_id, line (from 0), family, probability, similarity, confirmed.
+    """One row per licence notice in ``docs``: doc_id, line (from 0) where it begins, family, probability, similarity, confirmed.
 
-    ``family`` is ``unknown`` for a notice whose family is not certain enough. Of several windows of a line the most certain
-    one counts. Null, empty and blank texts have no rows, rows that repeat are scanned alike, an empty table gives no rows.
+    Lines without words, such as blank ones and those of comment marks, part paragraphs. Windows run over whole paragraphs,
+    since notices are wrapped, and over single lines. ``family`` is ``unknown`` for a notice whose family is not certain
+    enough. Null, empty and blank texts have no rows, rows that repeat are scanned alike, an empty table gives no rows.
     """
     base = texts(docs, id_col, text_col)
     model = docs.sparkSession.sparkContext.broadcast(train(sample_lines(base)))
@@ -229,34 +327,40 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     def run(batches):
         m = model.value
         for batch in batches:
-            keys, places, lines = [], [], []
+            keys, places, lines, firsts = [], [], [], []
             found: list[tuple] = []
 
             def judge() -> None:
                 offsets, words = _words(lines)
+                first = np.flatnonzero(np.array(firsts, dtype=bool))
+                bounds = np.append(first, len(lines))
                 line, start, end = _windows(offsets)
-                notice = m.hopeful(words, start, end)
-                logits = m.logits([words[start[k] : end[k]] for k in notice])
-                sure = np.flatnonzero(logits[:, 0] < logits[:, 1:].max(axis=1)) if len(notice) else np.empty(0, dtype=int)
-                notice, logits = notice[sure], logits[sure]
-                best: dict[int, tuple] = {}
-                for k, p in zip(notice, m.probabilities(logits) if len(notice) else []):
-                    own = int(p[1:].argmax()) + 1
-                    family = own if p[own] >= m.bound else 1
-                    held = similarity(words[start[k] : end[k]], own if own > 1 else None)
-                    rank = (held >= CONFIRMED and family > 1, float(1 - p[0]))
-                    if line[k] not in best or best[line[k]][0] < rank:
-                        best[line[k]] = (rank, family, float(p[family]), held)
-                for at, (rank, family, p, held) in sorted(best.items()):
-                    found.append((keys[at], places[at], CLASSES[family], p, held, rank[0]))
-                keys.clear(), places.clear(), lines.clear()
+                paragraph = np.searchsorted(first, line, side="right") - 1
+                several, more_start, more_end = _windows(offsets[bounds])
+                wrapped = np.diff(bounds)[several] > 1
+                paragraph = np.concatenate([paragraph, several[wrapped]])
+                start, end = np.concatenate([start, more_start[wrapped]]), np.concatenate([end, more_end[wrapped]])
+                hopeful = m.hopeful(words, start, end)
+                logits = m.logits([words[start[k] : end[k]] for k in hopeful])
+                windows: dict[int, set] = {}
+                for k in hopeful[logits[:, 0] < logits[:, 1:].max(axis=1)] if len(hopeful) else []:
+                    windows.setdefault(int(paragraph[k]), set()).add((int(start[k]), int(end[k])))
+                for _, own in sorted(windows.items()):
+                    for n in notices(m, words, sorted(own)):
+                        at = int(np.searchsorted(offsets, n.start, side="right")) - 1
+                        found.append((keys[at], places[at], CLASSES[n.family], n.probability, n.held, n.confirmed))
+                keys.clear(), places.clear(), lines.clear(), firsts.clear()
 
             size = 0
             for key, raw in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1))):
+                begins = True
                 for place, x in enumerate(raw.split(b"\n")):
-                    if x.strip():
-                        keys.append(key), places.append(place), lines.append(x)
+                    if x.translate(_PUNCTUATION).strip():
+                        keys.append(key), places.append(place), lines.append(x), firsts.append(begins)
                         size += len(x)
+                        begins = False
+                    else:
+                        begins = True
                 if size > 1 << 20:
                     judge()
                     size = 0

@@ -252,6 +252,26 @@ def test_licences(spark):
     assert licences.scan(frame(spark, [])).count() == 0
 
 
+def test_licences_wrapped_and_several(spark):
+    import textwrap
+
+    long = ["Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction.",
+            "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation.",
+            "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met."]
+    texts = [prose(k, 300, 2000).replace(". ", ".\n") for k in range(40)]
+    want = set()
+    for notice, family in zip(long, ["MIT", "GPL", "BSD"]):
+        for width, mark in [(40, ""), (72, " * "), (60, "// ")]:
+            texts.append("/*\n" + "\n".join(mark + x for x in textwrap.wrap(notice, width)) + "\n */\n\n" + prose(len(texts), 80, 2000))
+            want.add((len(texts) - 1, 1, family))
+    texts.append(prose(91, 60, 2000) + " Released under the MIT License. " + prose(92, 90, 2000) + " Licensed under the Apache License, Version 2.0. " + prose(93, 40, 2000))
+    texts.append("Released under the MIT License. Licensed under the Apache License, Version 2.0.")
+    for k in (1, 2):
+        want |= {(len(texts) - k, 0, "MIT"), (len(texts) - k, 0, "Apache-2.0")}
+    rows = licences.scan(frame(spark, texts, clashing=True)).collect()
+    assert {(r.doc_id, r.line, r.family) for r in rows if r.confirmed} == want
+
+
 def test_licence_bound_misses_no_notice():
     model = licences.train([prose(k, 30, 500) for k in range(200)])
     _, words = licences._words([(prose(1, 400, 500) + " released under the mit license " + prose(2, 400, 500)).encode()])
