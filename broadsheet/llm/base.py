@@ -56,14 +56,19 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def keep_decided(docs: DataFrame, id_col: str, decided: DataFrame, purpose: str) -> DataFrame:
+def keep_decided(docs: DataFrame, id_col: str, decided: DataFrame, purpose: str, **also: Column) -> DataFrame:
     """``docs`` without the ids of which no row of ``decided`` (doc_id, kept) is kept; all columns unchanged.
 
-    The ids that go are fewer than those that stay, so they are the side that meets the texts. Rows without an id share one
-    decision, as rows that repeat an id do.
+    The ids that go are fewer than those that stay, so they are the side that meets the texts. Rows that share an id, or have
+    none, are told apart by ``also``: columns of ``decided`` and what equals them in ``docs``. Rows alike in all of it share
+    one decision.
     """
-    gone = store(decided.groupBy("doc_id").agg(F.max(F.col("kept").cast("int")).alias("any")).where("any = 0").select(F.col("doc_id").alias("_gone")), purpose)
-    return docs.join(gone, docs[id_col].cast("long").eqNullSafe(gone["_gone"]), "left_anti")
+    any_kept = decided.groupBy("doc_id", *also).agg(F.max(F.col("kept").cast("int")).alias("any"))
+    gone = store(any_kept.where("any = 0").select(F.col("doc_id").alias("_gone"), *[F.col(k).alias(f"_gone_{k}") for k in also]), purpose)
+    same = docs[id_col].cast("long").eqNullSafe(gone["_gone"])
+    for k, value in also.items():
+        same &= value == gone[f"_gone_{k}"]
+    return docs.join(gone, same, "left_anti")
 
 
 def text_bytes(column: pa.Array) -> Iterator[bytes]:

@@ -65,6 +65,11 @@ def exact_groups(
     repeat an id count one by one in group_size; all of them are marked as kept if their text is the longest of that id.
     An empty table gives no rows. ``key`` is the hash of the normalised text; a weak one only makes chains longer.
     """
+    return _groups(docs, id_col, text_col, capacity, key).drop("points")
+
+
+def _groups(docs: DataFrame, id_col: str, text_col: str, capacity: int = CAPACITY, key: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
+    """:func:`exact_groups` with the code points of each text."""
     base = texts(docs, id_col, text_col).select("doc_id", F.length("text").alias("points"), normalised(F.col("text")).alias("norm"))
     keyed = base.withColumn("key", key(F.col("norm")).cast("long"))
     entries = store(keyed.select("doc_id", "points", "key", F.sha2("norm", 256).alias("text_sha256")), "exact-entries")
@@ -85,17 +90,24 @@ def exact_groups(
     keep = F.pmod(-F.col("best"), _big(1 << 64))  # negative ids are the residues from 2**63 on
     keep = F.when(keep >= _big(1 << 63), keep - _big(1 << 64)).otherwise(keep).cast("long")
     return joined.select(
-        "doc_id", F.when(keep != _NO_ID, keep).alias("keep_id"), "group_size", (F.col("rank") == F.col("best")).alias("kept"), "text_sha256"
+        "doc_id", F.when(keep != _NO_ID, keep).alias("keep_id"), "group_size", (F.col("rank") == F.col("best")).alias("kept"), "text_sha256", "points"
     )
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that :func:`exact_groups` drops, all columns unchanged; of rows that repeat an id one is left."""
-    decided = exact_groups(docs, id_col, text_col).select("doc_id", "kept")
-    out = keep_decided(docs, id_col, decided, "exact-gone")
-    if decided.where("kept").groupBy("doc_id").count().where("count > 1").isEmpty():
+    """``docs`` without the rows that :func:`exact_groups` drops, all columns unchanged.
+
+    Rows that share an id, or have none, are decided one by one: those with different texts stay, of copies one is left.
+    """
+    decided = _groups(docs, id_col, text_col).select("doc_id", "kept", "text_sha256", "points")
+    text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
+    row = {"text_sha256": F.sha2(normalised(text), 256), "points": F.length(text)}
+    out = keep_decided(docs, id_col, decided, "exact-gone", **row)
+    if decided.where("kept").groupBy("doc_id", *row).count().where("count > 1").isEmpty():
         return out
-    return out.dropDuplicates([id_col])
+    own = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    named = out.withColumns({"_exact_id": F.col(id_col).cast("long"), "_exact_sha256": F.sha2(normalised(own), 256), "_exact_points": F.length(own)})
+    return named.dropDuplicates(["_exact_id", "_exact_sha256", "_exact_points"]).drop("_exact_id", "_exact_sha256", "_exact_points")
 
 
 _SQL = """

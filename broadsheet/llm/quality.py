@@ -64,7 +64,7 @@ def _repeated(words: Column) -> Column:
 
 
 def counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs`` with the counts that the rules read; a null or empty text has zeros."""
+    """One row per row of ``docs`` with its text's digest and the counts that the rules read; a null or empty text has zeros."""
     base = texts(docs, id_col, text_col)
     trimmed = F.trim(F.col("text"), F.lit(SPACES))
     words = F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE + "+"))
@@ -81,9 +81,9 @@ def counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         return F.struct(F.size(x).cast("long").alias("n_lines"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"))
 
     return base.select(
-        "doc_id", let(words, of_words).alias("w"), let(lines, of_lines).alias("l"), length_of(SPACE + "+").alias("word_chars"),
+        "doc_id", F.sha2("text", 256).alias("text_sha256"), let(words, of_words).alias("w"), let(lines, of_lines).alias("l"), length_of(SPACE + "+").alias("word_chars"),
         length_of("[^#*$%&|<>]+").alias("n_symbols"), length_of("\\P{Lu}+").alias("n_upper"), length_of("[^!?]+").alias("n_shouts"), length_of("[^0-9]+").alias("n_digits"),
-    ).select("doc_id", "w.*", "l.*", "word_chars", "n_symbols", "n_upper", "n_shouts", "n_digits")
+    ).select("doc_id", "text_sha256", "w.*", "l.*", "word_chars", "n_symbols", "n_upper", "n_shouts", "n_digits")
 
 
 def votes() -> dict[str, Column]:
@@ -182,8 +182,10 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least
 
 
 def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the documents that :func:`judge` rejects, all columns unchanged."""
-    return keep_decided(docs, id_col, judge(docs, id_col, text_col).select("doc_id", "kept"), "quality-gone")
+    """``docs`` without the documents that :func:`judge` rejects, all columns unchanged; rows that share an id, or have none, are judged each
+    by its own text."""
+    digest = F.sha2(F.coalesce(docs[text_col].cast("string"), F.lit("")), 256)
+    return keep_decided(docs, id_col, judge(docs, id_col, text_col).select("doc_id", "kept", "text_sha256"), "quality-gone", text_sha256=digest)
 
 
 @query("op7_quality_rules")

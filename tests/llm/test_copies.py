@@ -81,6 +81,14 @@ def test_drop_copies_keeps_columns(spark):
     assert sorted(r.doc_id for r in got.collect()) == [2, 3, 5]
 
 
+def test_drop_copies_decides_rows_that_share_an_id(spark):
+    rows = [(None, "x"), (None, "y"), (None, "y"), (None, "z"), (7, "z"), (3, "a"), (3, "b"), (3, "b"), (3, "b "), (4, "a")]
+    got = exact.drop_copies(frame(spark, rows, clashing=True)).collect()
+    assert sorted((str(r.doc_id), r.text) for r in got) == [("3", "a"), ("3", "b "), ("7", "z"), ("None", "x"), ("None", "y")]
+    got = exact.drop_copies(frame(spark, [(None, "a b"), (None, "a  b"), (1, "c")])).collect()
+    assert sorted((str(r.doc_id), r.text) for r in got) == [("1", "c"), ("None", "a  b")]
+
+
 # ---------------------------------------------------------------- n-gram join
 
 

@@ -140,6 +140,14 @@ def test_quality_keeps_clean_and_drops_junk(spark):
     assert quality.judge(docs.limit(0)).count() == 0 and quality.keep_good(docs.limit(0)).count() == 0
 
 
+def test_quality_judges_rows_that_share_an_id(spark):
+    clean = [prose(k, 150, 2000) for k in range(60)]
+    junk = [prose(950 + k, 100, 2000).upper().replace(" ", "!! ") for k in range(2)]
+    rows = [*enumerate(clean), (None, clean[0]), (None, junk[0]), (5, junk[1]), (None, None)]
+    got = quality.keep_good(frame(spark, rows, clashing=True)).collect()
+    assert sorted((str(r.doc_id), r.text) for r in got) == sorted([*((str(k), t) for k, t in enumerate(clean)), ("None", clean[0])])
+
+
 def test_quality_estimate_keeps_all_of_a_clean_corpus():
     model = quality.estimate([([1, 1, 0, 1], 5000), ([1, 0, 0, 1], 40), ([0, 1, 1, 1], 10), ([-1, 1, 1, 1], 10)], 4)
     for pattern in ([1, 1, 0, 1], [1, 0, 0, 1], [0, 1, 1, 1], [0, 0, 0, 0]):
