@@ -13,7 +13,7 @@ def test_oracle(spark, name):
     assert compare(spark, duck(SF), name, catalog.QUERIES[name], catalog.ORACLES[name], SF) is None
 
 
-@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - set(catalog.ORACLES) - {"op6_license_scan", "op2_best_fit_packing"}))
+@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - set(catalog.ORACLES) - {"op6_license_scan", "op2_best_fit_packing", "op13_graph_neighbours"}))
 def test_rows(spark, name):
     table = "pages" if name.startswith("op5") else "documents"
     assert catalog.QUERIES[name](spark, SF).count() == spark.read.parquet(f"{SF}/{table}.parquet").count()

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from broadsheet.llm import codes
+from broadsheet.llm import codes, graph
 
 VECTORS = T.StructType([T.StructField("vec_id", T.LongType()), T.StructField("embedding", T.ArrayType(T.FloatType())), T.StructField("label", T.IntegerType())])
 CLASHING = ("part", "entry", "code", "error", "row", "shard", "vec", "_label", "query_id", "rank", "score", "ids")
@@ -88,3 +88,80 @@ def test_codes_of_few_none_and_odd_rows(spark):
     assert [r["vec_id"] for r in codes.compress(frame(spark, [(1, vector(rng), 1), (2, vector(rng, 16), 1)])).collect()] == [1]
     with pytest.raises(ValueError):
         codes.compress(frame(spark, [(1, vector(rng, 20), 1)]))
+
+
+# ---------------------------------------------------------------- graph
+
+
+def brute(rows, queries, k=10):
+    """query -> the exact nearest (distance, id) of other ids."""
+    usable = sorted({(i, tuple(v)) for i, v, _ in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v) and any(v)})
+    x = np.array([v for _, v in usable])
+    out = {}
+    for i, v in usable:
+        if i in queries:
+            away = np.sqrt(((x - np.array(v)) ** 2).sum(axis=1))
+            out[i] = sorted((float(d), j) for d, (j, _) in zip(away, usable) if j != i)[:k]
+    return out
+
+
+def check_answers(got, want, k=10):
+    """Ranks, order and scores are right; the share of true neighbours found."""
+    by_query = {}
+    for r in got:
+        by_query.setdefault(r["query_id"], []).append((r["rank"], r["score"], r["vec_id"]))
+    assert set(by_query) == {q for q, w in want.items() if w}
+    hits = 0
+    for q, rows in by_query.items():
+        rows.sort()
+        assert [r[0] for r in rows] == list(range(1, len(want[q]) + 1))
+        assert [r[1:] for r in rows] == sorted(r[1:] for r in rows) and len({r[2] for r in rows}) == len(rows) and q not in {r[2] for r in rows}
+        hits += len({r[2] for r in rows} & {j for _, j in want[q]})
+        exact = dict((j, d) for d, j in want[q])
+        assert all(math.isclose(s, exact[j], rel_tol=1e-12, abs_tol=1e-15) for _, s, j in rows if j in exact)
+    return hits / max(1, sum(map(len, want.values())))
+
+
+def test_graph_recall_with_copies_and_odd_rows(spark):
+    rng = random.Random(8)
+    centres = [vector(rng, 24) for _ in range(12)]
+    rows = [(k - 50, [float(np.float32(c + rng.gauss(0, 0.4))) for c in rng.choice(centres)], 1) for k in range(1500)]
+    rows += [(5000 + k, rows[7][1], None) for k in range(700)] + [rows[7], rows[9]]  # one very common vector, repeated rows
+    rows += [(9000, None, 1), (9100, [0.0] * 24, 1), (9200, [None] + [1.0] * 23, 1), (9300, [float("nan")] * 24, 1), (None, centres[0], 1), (9400, [], 1), (9500, [float(np.float32(1e30))] * 24, 1)]
+    df = frame(spark, rows, clashing=True).repartition(6)
+    index = graph.build_index(df, shard_rows=400)
+    assert index.select("shard").distinct().count() > 2 and index.agg(F.count("*")).first()[0] == len({tuple(v) for i, v, _ in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v) and any(v)})
+    got = graph.nearest(df, df.where("vec_id % 100 = 0"), index).collect()
+    want = brute(rows, {i for i, _, _ in rows if i is not None and i % 100 == 0})
+    assert check_answers(got, want) >= 0.95
+    common = [r for r in got if r["query_id"] == 5100]
+    assert [r["vec_id"] for r in sorted(common, key=lambda r: r["rank"])] == [rows[7][0], *range(5000, 5009)] and {r["score"] for r in common} == {0.0}
+
+
+def test_graph_of_few_rows_and_other_lengths(spark):
+    rng = random.Random(9)
+    rows = [(0, vector(rng, 8), 1), (1, vector(rng, 8), 1), (100, vector(rng, 8), 1), (200, vector(rng, 5), 1), (201, vector(rng, 5), 1), (300, vector(rng, 3), 1)]
+    df = frame(spark, rows)
+    got = {(r["query_id"], r["rank"]): r["vec_id"] for r in graph.nearest(df, df.where("vec_id % 100 = 0")).collect()}
+    assert {q for q, _ in got} == {0, 100, 200} and got[200, 1] == 201 and len(got) == 5  # none of 300's length
+    assert graph.nearest(frame(spark, []), frame(spark, [])).count() == 0
+    assert graph.nearest(df, df.where("false")).count() == 0
+
+
+def test_every_node_is_reached():
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(size=(300, 4)), rng.normal(size=(300, 4)) * 1e-3 + 50, rng.normal(size=(40, 4)) * 1e-6 - 900])
+    edges, start = graph.build_graph(x, degree=6, beam=12)
+    reached, front = {start}, [start]
+    while front:
+        front = [v for u in front for v in edges[u].tolist() if v < len(x) and v not in reached]
+        front = list(set(front))
+        reached.update(front)
+    assert reached == set(range(len(x)))
+
+
+def test_graph_recall_on_a_whole_table(spark):
+    df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows = [(r["vec_id"], r["embedding"], None) for r in df.collect()]
+    got = graph.nearest(df, df.where("vec_id % 100 = 0"), graph.build_index(df, shard_rows=2000)).collect()
+    assert check_answers(got, brute(rows, set(range(0, 10**6, 100)))) >= 0.95
