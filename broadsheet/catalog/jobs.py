@@ -8,12 +8,12 @@ from .. import constants as C
 from ..functions import text as tx
 from ..functions import urls
 from ..functions.patterns import settle
-from ..operators import monitor, pages, similarity
+from ..operators import coverage, monitor, pages, similarity
 from ..operators import rules as R
 from ..plans import audits, publication, queue, selection
 from . import query
 from .identity import sql_title_key, sql_tokens
-from .joins import SQL_COVER, SQL_KEYWORDS, keywords
+from .joins import DEMANDS, SQL_COVER, SQL_KEYWORDS, keywords, shown_articles
 from .rules import ITEMS_Q, SQL_CLAIMS, SQL_DIAGNOSTIC, SQL_INDEXABLE, joined, rx, sql_codes
 from .tables import ART, DATED, ITEMS, articles, dated, items, now, sql_normal_url, sql_path, sql_strip, table, with_sql
 from .texts import SQL_PAGE_TITLE, sql_paras
@@ -385,22 +385,29 @@ def _(spark, sf):
 SQL_GAPS = f"{ART}, {SQL_KEYWORDS}, {SQL_COVER}, cn AS (SELECT keyword, count(*) AS n FROM cover GROUP BY 1)"
 
 
-def title_words(spark, sf):
-    return articles(spark, sf).select("doc_id", "lang", F.filter(F.split(F.lower("title"), r"[\s]+"), lambda w: w != "").alias("words"))
-
-
 @query("cl42_keyword_gaps", with_sql(SQL_GAPS, """
-    SELECT kw.keyword, volume, coalesce(n, 0) AS articles, CASE WHEN volume >= 100 AND n IS NULL THEN 'gap' WHEN volume >= 100 THEN 'strong' ELSE 'small' END AS verdict FROM kw LEFT JOIN cn ON cn.keyword = kw.keyword"""))
+    SELECT kw.keyword, volume, topic, coalesce(n, 0) AS articles, CASE WHEN volume >= 100 AND n IS NULL THEN 'gap' WHEN volume >= 100 THEN 'strong' ELSE 'small' END AS verdict FROM kw LEFT JOIN cn ON cn.keyword = kw.keyword"""))
 def _(spark, sf):
-    return audits.keyword_gaps(keywords(spark, sf), title_words(spark, sf), "doc_id", "words").select("keyword", "volume", "articles", "verdict")
+    docs = shown_articles(spark, sf).select("doc_id", "title", "lead")
+    return audits.keyword_gaps(keywords(spark, sf), docs, "doc_id", "title", "lead").select("keyword", "volume", "topic", "articles", "verdict")
+
 
+KNOWN_WORDS = "ation|ther|tion|thin|ent|the|on|ci|es"
 
-@query("jb9_content_kit", with_sql(SQL_GAPS, """
-    , r AS (SELECT c.keyword, c.doc_id, row_number() OVER (PARTITION BY c.keyword ORDER BY c.doc_id) AS rank FROM cover c JOIN kw USING (keyword) JOIN art a ON a.doc_id = c.doc_id
-       WHERE volume >= 500 AND len(tokens) >= 2 AND (NOT regexp_matches(c.keyword, 'red') OR a.lang = 'en')) SELECT keyword, doc_id, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 5"""))
+
+@query("jb9_content_kit", with_sql(SQL_GAPS, f"""
+    , kn AS (SELECT keyword, list_distinct(regexp_extract_all(keyword, '{KNOWN_WORDS}')) AS known FROM kw WHERE volume >= 500),
+    r AS (SELECT keyword, doc_id, row_number() OVER (PARTITION BY keyword ORDER BY doc_id) AS rank FROM kn JOIN art ON title <> '' AND n_chars > 1500
+       AND (NOT contains(keyword, 'tion') OR contains(title, 'tion')) AND (NOT contains(keyword, 'es') OR contains(keyword, 'tion') OR contains(title, 'es'))
+       WHERE len(known) >= 2 AND len([t for t in known if NOT contains(title || ' ' || text, t)]) = 0) SELECT keyword, doc_id, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 5"""))
 def _(spark, sf):
-    fits = ~F.regexp_like("keyword", F.lit("red")) | (F.col("lang") == "en")
-    return audits.content_kit(keywords(spark, sf), title_words(spark, sf), "doc_id", "words", [F.col("doc_id")], fits).select("keyword", "doc_id", "rank")
+    """The first five documents with an angle (long ones) for each keyword, over their whole texts."""
+    docs = shown_articles(spark, sf).select(
+        "doc_id", F.concat_ws(" ", "title", "text").alias("haystack"),
+        F.concat(coverage.classes_of(F.col("title"), [(n, p) for n, p, _ in DEMANDS]), F.when(F.col("n_chars") > 1500, F.array(F.lit("angle"))).otherwise(F.array().cast("array<string>"))).alias("classes"),
+    )
+    demands = F.concat(coverage.class_terms(F.col("keyword"), DEMANDS), F.array(F.lit(coverage.CLASS + "angle")))
+    return audits.content_kit(keywords(spark, sf), docs, "doc_id", "haystack", "classes", KNOWN_WORDS, demands)
 
 
 @query("jb11_diagnose_feeds", with_sql(SQL_DIAGNOSTIC, """

@@ -10,8 +10,10 @@ from ..functions.patterns import compact
 from ..operators import filters as FL
 from ..operators import joins as J
 from ..operators import rules as R
-from ..operators import setops, similarity
+from ..operators import coverage, setops, similarity
 from ..operators.pages import with_meta
+from ..plans import audits
+from ..session import cut_lineage
 from ..sources.feeds import official
 from . import query
 from .identity import registry_domains, sql_tokens
@@ -218,25 +220,37 @@ def _(spark, sf):
     return table(spark, sf, "documents").select("doc_id", F.explode(hits).alias("slug"))
 
 
+STOP = ("the", "and", "of", "en", "de", "la")
+CONTEXT = "th|on|re|ci"
+DEMANDS = [("tion", "tion", None), ("es", "es", "tion")]
+
+
 def keywords(spark, sf):
-    """Part names as keywords with a volume, their two words shortened to stems that the texts can contain."""
-    p = table(spark, sf, "part").groupBy(F.col("p_name").alias("keyword")).agg(F.sum("p_size").alias("volume"))
-    stems = F.array_distinct(F.transform(F.split("keyword", " "), lambda w: F.substring(w, 1, 2)))
-    return p.withColumn("tokens", stems)
+    """Neighbouring words of the benchmark passages as keywords, with a volume."""
+    b = table(spark, sf, "benchmark").select("item_id", "text", F.filter(F.split("text", r"\s+"), lambda w: w != "").alias("ws"))
+    pairs = F.transform(F.sequence(F.lit(1), F.size("ws") - 1), lambda i: F.concat_ws(" ", F.element_at("ws", i), F.element_at("ws", i + 1)))
+    volume = (F.length("text") * (F.col("item_id") % 7)).cast("long")
+    return audits.analysed_keywords(b.where(F.size("ws") > 1).select(volume.alias("volume"), F.explode(pairs).alias("keyword")), CONTEXT, DEMO_TOPICS, STOP)
 
 
-SQL_KEYWORDS = "kw AS (SELECT p_name AS keyword, CAST(sum(p_size) AS BIGINT) AS volume, list_distinct([substr(w, 1, 2) for w in string_split(p_name, ' ')]) AS tokens FROM part GROUP BY p_name)"
-SQL_COVER = "cover AS (SELECT keyword, doc_id FROM kw JOIN art ON len([t for t in tokens if NOT contains(lower(title), t)]) = 0)"
+SQL_KEYWORDS = r"""kr AS (SELECT length(text) * (item_id % 7) AS volume, unnest([ws[i] || ' ' || ws[i + 1] for i in range(1, len(ws))]) AS keyword
+  FROM (SELECT *, [w for w in regexp_split_to_array(text, '\s+') if w <> ''] AS ws FROM benchmark)),
+kt AS (SELECT keyword, CAST(max(volume) AS BIGINT) AS volume, [len(regexp_extract_all(keyword, m, 0, 'i')) for m in ['ing', 'tion', 'eau', 'lich|sch']] AS hits,
+  [w for w in regexp_split_to_array(keyword, '[ ·,/]+') if length(w) >= 2 AND w NOT IN ('the', 'and', 'of', 'en', 'de', 'la')] AS tokens FROM kr WHERE regexp_matches(keyword, 'th|on|re|ci') GROUP BY keyword),
+kw AS (SELECT keyword, volume, tokens, CASE WHEN list_max(hits) > 0 THEN ['ing', 'tion', 'eau', 'lich'][list_position(hits, list_max(hits))] END AS topic FROM kt)"""
+SQL_COVER = """cover AS (SELECT keyword, doc_id, title FROM kw JOIN art ON title <> '' AND len(tokens) > 0 AND len([t for t in tokens if NOT contains(title || ' ' || coalesce(paragraphs[1], ''), t)]) = 0)"""
 
 
-def covered(spark, sf):
-    docs = articles(spark, sf).select("doc_id", F.filter(F.split(F.lower("title"), r"[\s]+"), lambda w: w != "").alias("words"))
-    return J.covering_documents(keywords(spark, sf), docs, "keyword", "tokens", "doc_id", "words")
+def shown_articles(spark, sf):
+    """Articles with a title, and their lead."""
+    return articles(spark, sf).where("title <> ''").withColumn("lead", F.try_element_at("paragraphs", F.lit(1)))
 
 
 @query("jn10_covering_documents", with_sql(f"{ART}, {SQL_KEYWORDS}, {SQL_COVER}", "SELECT keyword, count(*) AS n_docs FROM cover GROUP BY keyword"))
 def _(spark, sf):
-    return covered(spark, sf).groupBy("keyword").agg(F.count("*").alias("n_docs"))
+    """Documents whose title and lead hold all words of a keyword."""
+    docs = shown_articles(spark, sf).select("doc_id", F.concat_ws(" ", "title", "lead").alias("shown"))
+    return coverage.counted(coverage.covering(keywords(spark, sf), "keyword", "tokens", docs, "doc_id", "shown"), "keyword")
 
 
 @query("jn11_snapshot_diff", """
@@ -275,11 +289,15 @@ def _(spark, sf):
 
 
 @query("jn14_class_agreement", with_sql(f"{ART}, {SQL_KEYWORDS}, {SQL_COVER}", """
-    SELECT c.keyword, c.doc_id FROM cover c JOIN art a ON a.doc_id = c.doc_id WHERE (NOT regexp_matches(c.keyword, 'red|blue') OR regexp_matches(lower(a.title), 'and|the'))"""))
-def _(spark, sf):
-    text_class = articles(spark, sf).select("doc_id", F.regexp_like(F.lower("title"), F.lit("and|the")).alias("has_class"))
-    pairs = covered(spark, sf).join(text_class, "doc_id")
-    return pairs.where(~F.regexp_like("keyword", F.lit("red|blue")) | F.col("has_class")).select("keyword", "doc_id")
+    SELECT keyword, count(*) AS n_docs, min(doc_id) AS first_id FROM cover
+    WHERE (NOT contains(keyword, 'tion') OR contains(title, 'tion')) AND (NOT contains(keyword, 'es') OR contains(keyword, 'tion') OR contains(title, 'es')) GROUP BY keyword"""))
+def _(spark, sf):
+    """Covering documents whose title is of the class that the keyword names."""
+    docs = shown_articles(spark, sf).select("doc_id", F.concat_ws(" ", "title", "lead").alias("shown"), coverage.classes_of(F.col("title"), [(n, p) for n, p, _ in DEMANDS]).alias("classes"))
+    kw = keywords(spark, sf).where(F.size("tokens") > 0).withColumn("needed", F.concat("tokens", coverage.class_terms(F.col("keyword"), DEMANDS)))
+    found = cut_lineage(coverage.covering(kw, "keyword", "needed", docs, "doc_id", "shown", "classes"))
+    first = coverage.first_documents(found, "keyword", "first_id", 1).drop("rank")
+    return coverage.counted(found, "keyword").join(first, "keyword")
 
 
 @query("jn15_latest_state", """

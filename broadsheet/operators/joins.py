@@ -1,4 +1,4 @@
-"""JN1-JN15 without the similarity joins. No broadcast hints: Spark checks the size of a side itself."""
+"""JN1-JN15 without the similarity joins and keyword coverage. No broadcast hints: Spark checks the size of a side itself."""
 
 from __future__ import annotations
 
@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.urls import host_of, host_suffixes
-from ..session import cut_lineage
 from .dedup import first_per_key
 
 
@@ -60,43 +59,6 @@ def attach_by_id_or_title(tasks: DataFrame, articles: DataFrame, fields: list[st
     return out.withColumn("article", F.coalesce("_by_id", "_by_title")).drop("_by_id", "_by_title")
 
 
-def covering_documents(keywords: DataFrame, docs: DataFrame, keyword: str, tokens: str, doc: str, words: str) -> DataFrame:
-    """JN10. (keyword, doc) pairs where every token of the keyword occurs inside some word of the document.
-
-    The distinct words are cut into sub-strings of the token lengths and joined by equality, so no keyword is tested
-    against every text. Pairs are built from the rarest token of a keyword and verified against the document's tokens.
-    """
-    wanted = keywords.select(F.explode(tokens).alias("token")).distinct()
-    sizes = wanted.select(F.length("token").alias("size")).distinct()
-    vocabulary = docs.select(F.explode(F.array_distinct(F.col(words))).alias("word")).distinct()
-    lengths = sizes.agg(F.collect_set("size")).scalar()  # the different token lengths, a handful of numbers
-    pieces = vocabulary.withColumn("sizes", lengths).select(
-        "word",
-        F.explode(
-            F.array_distinct(
-                F.flatten(
-                    F.transform(
-                        F.filter("sizes", lambda n: n <= F.length("word")),
-                        lambda n: F.transform(
-                            F.sequence(F.lit(1), F.length("word") - n + 1), lambda i: F.substring(F.col("word"), i, n)
-                        ),
-                    )
-                )
-            )
-        ).alias("token"),
-    )
-    word_tokens = pieces.join(wanted, "token")
-    doc_tokens = cut_lineage(
-        docs.select(doc, F.explode(F.array_distinct(F.col(words))).alias("word")).join(word_tokens, "word").select(doc, "token").distinct()
-    )
-    frequency = doc_tokens.groupBy("token").agg(F.count("*").alias("df"))
-    per_doc = doc_tokens.groupBy(doc).agg(F.collect_set("token").alias("held"))
-    keyed = keywords.select(keyword, F.col(tokens).alias("needed"), F.explode(tokens).alias("token")).join(frequency, "token", "left")
-    rarest = keyed.groupBy(keyword, "needed").agg(F.min_by("token", F.struct(F.coalesce("df", F.lit(0)).alias("df"), F.col("token"))).alias("token"))
-    hits = rarest.join(doc_tokens, "token").join(per_doc, doc)
-    return hits.where(F.size(F.array_except("needed", "held")) == 0).select(keyword, doc)
-
-
 def snapshot_diff(previous: DataFrame, current: DataFrame, key: str) -> DataFrame:
     """JN11. Each key as added, removed or kept."""
     p = previous.select(F.col(key).alias("_p")).distinct()

@@ -175,3 +175,7 @@ def best_topics(hits: Column) -> Column:
     )
 
 
+def main_topic(value: Column, topics=TOPICS) -> Column:
+    """JB9. The topic with the most hits in a text, the first of equals; null without a hit."""
+    hits = F.filter(topic_hits(value, F.lit(""), topics), lambda h: h["meta"] > 0)
+    return F.get(F.array_sort(F.transform(hits, lambda h: F.struct((-h["meta"]).alias("m"), h["ord"].alias("o"), h["slug"].alias("slug")))), F.lit(0))["slug"]

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..constants import KEYWORD_STOPWORDS, TOPICS
 from ..functions import html as H
 from ..functions import text as tx
 from ..functions.urls import clean_image_url, image_key, normalize_url, path_of, stable_item_id
-from ..operators import aggregate, dedup, joins, monitor, pages, rules, setops, windows
+from ..operators import aggregate, coverage, dedup, filters, joins, monitor, pages, rules, setops, topk, windows
 
 
 def validate_pages(site: DataFrame, sitemap: DataFrame) -> DataFrame:
@@ -73,21 +74,36 @@ def operations_summary(items: DataFrame, reviews: DataFrame, index_ids: DataFram
     )
 
 
-def keyword_gaps(keywords: DataFrame, docs: DataFrame, doc: str, words: str, minimum: int = 100) -> DataFrame:
-    """JB9, CL42. Keywords (keyword, volume, tokens) with the number of covering documents and a verdict."""
-    cover = joins.covering_documents(keywords.where(F.size("tokens") > 0), docs, "keyword", "tokens", doc, words)
-    counts = cover.groupBy("keyword").agg(F.count("*").alias("articles"))
-    out = keywords.join(counts, "keyword", "left").withColumn("articles", F.coalesce("articles", F.lit(0)))
+def analysed_keywords(rows: DataFrame, context: str | None = None, topics=TOPICS, stopwords=KEYWORD_STOPWORDS) -> DataFrame:
+    """JB9. (keyword, volume, topic, tokens) from rows of (keyword, volume): the largest volume of a keyword, keywords of the
+    context only, and the topic with the most hits (the first of equals)."""
+    best = rows.where(F.col("keyword") != "").groupBy("keyword").agg(F.max("volume").alias("volume"))
+    if context:
+        best = best.where(filters.keyword_in_context(F.col("keyword"), context))
+    return best.withColumns({"topic": topk.main_topic(F.col("keyword"), topics), "tokens": tx.coverage_tokens(F.col("keyword"), stopwords)})
+
+
+def keyword_gaps(keywords: DataFrame, docs: DataFrame, ordinal: str, title: str, lead: str, minimum: int = 100) -> DataFrame:
+    """JB9, CL42. Keywords (keyword, volume, tokens, ..) with the number of documents whose title and lead hold all tokens,
+    and a verdict. Documents without a title and keywords without tokens do not count."""
+    shown = docs.where(F.coalesce(F.col(title), F.lit("")) != "").select(ordinal, F.concat_ws(" ", title, lead).alias("_shown"))
+    found = coverage.covering(keywords, "keyword", "tokens", shown, ordinal, "_shown")
+    out = keywords.join(coverage.counted(found, "keyword", "articles"), "keyword", "left").withColumn("articles", F.coalesce("articles", F.lit(0)))
     wanted = F.col("volume") >= minimum
     return out.withColumn("verdict", F.when(wanted & (F.col("articles") == 0), "gap").when(wanted, "strong").otherwise("small"))
 
 
-def content_kit(keywords: DataFrame, docs: DataFrame, doc: str, words: str, order: list[Column], fits: Column, minimum: int = 500, k: int = 5) -> DataFrame:
-    """JB9. The first ``k`` fitting documents per keyword with enough volume and at least two tokens."""
-    wanted = keywords.where((F.col("volume") >= minimum) & (F.size("tokens") >= 2))
-    cover = joins.covering_documents(wanted, docs, "keyword", "tokens", doc, words)
-    rows = cover.join(docs.drop(words), doc).join(wanted.select("keyword", "volume"), "keyword").where(fits)
-    return joins.top_per_key(rows, "keyword", order, k)
+def content_kit(
+    keywords: DataFrame, docs: DataFrame, ordinal: str, haystack: str, classes: str, terms: str, demands: Column, minimum: int = 500, k: int = 5,
+) -> DataFrame:
+    """JB9. (keyword, ordinal, rank): the first ``k`` documents that hold all known words of a keyword and are of the classes
+    that ``demands`` (class terms over the keyword) asks for. ``terms`` is the pattern of known words, of which a keyword needs
+    two."""
+    known = F.filter(F.array_distinct(F.regexp_extract_all("keyword", F.lit(f"({terms})"), F.lit(1))), lambda t: F.length(t) >= 2)
+    wanted = keywords.where(F.col("volume") >= minimum).withColumn("_known", known).where(F.size("_known") >= 2)
+    wanted = wanted.withColumn("_needed", F.concat("_known", demands))
+    found = coverage.covering(wanted, "keyword", "_needed", docs, ordinal, haystack, classes)
+    return coverage.first_documents(found, "keyword", ordinal, k)
 
 
 def diagnose_feeds(entries: DataFrame, runs: DataFrame, feeds: DataFrame, now: Column) -> DataFrame:
