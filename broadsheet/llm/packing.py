@@ -33,7 +33,7 @@ FIT_ROUNDS = 300
 #: Distinct words that a worker keeps with their ids.
 CACHED_WORDS = 800_000
 #: A single mark between an ASCII letter and white space: the vocabulary's pattern cuts there.
-_MARK_AT_END = re.compile(rb"(?<=[a-z])([.,])(?=[ \n]|$)")
+_MARK_AT_END = re.compile(rb"(?<=[A-Za-z])([.,])(?=[ \n]|$)")
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -86,11 +86,13 @@ def token_buffers(raw: list[bytes], path: str) -> list[bytes]:
 
     The vocabulary is in lower case, drops white space and never joins across it, nor a letter with a mark after it; so the
     ids of a text are those of its words one after another. Words are encoded once per worker while the cache holds them.
+    Only words of ASCII characters are put in lower case here: others are composed first, which lower case may forestall.
     """
     tokenizer, cache = _tokenizer(path)
     if len(cache) > CACHED_WORDS:
         cache.clear()
-    split = [_MARK_AT_END.sub(rb" \1", r.lower()).split() for r in raw]
+    split = [_MARK_AT_END.sub(rb" \1", r).split() for r in raw]
+    split = [[w.lower() if w.isascii() else w for w in words] for words in split]
     new = list({w for words in split for w in words if w not in cache})
     cache.update(zip(new, _encode_words(tokenizer, new)))
     return [b"".join(map(cache.__getitem__, words)) for words in split]

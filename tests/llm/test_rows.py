@@ -95,6 +95,17 @@ def test_words_are_encoded_as_alone():
     assert b"".join(alone) == np.array(joined, dtype="<u4").tobytes()
 
 
+def test_ids_of_whole_texts_equal_the_tokenizer():
+    """Capitals before combining marks, and random texts of many scripts, marks, spaces and punctuation."""
+    tokenizer, _ = packing._tokenizer(packing.TOKENIZER)
+    rng = random.Random(12)
+    pool = [*"abcJHTWYΣİIıßĲǅ", *"\u030c\u0331\u0308\u030a\u0301\u0327\u0345", *" \n\t\x0b\x1c\x85\xa0\u2003", *".,'’!12½٣", "가", "ᄀ", "ᅡ", "ᆨ", "হ", "য়", "\u09bc", "क\u093c", "Å", "ﬁ", "🙂", "'s", "'RE", "<|endoftext|>", "Word", "THE. "]
+    texts = ["J̌a", "H̱a", "T̈a", "W̊a", "Y̊a", "A J̌a. J", "ΑΣ Σ."] + ["".join(rng.choice(pool) for _ in range(rng.randint(0, 24))) for _ in range(20_000)]
+    want = [np.array(e.ids, dtype="<u4").tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    got = packing.token_buffers([t.encode() for t in texts], packing.TOKENIZER)
+    assert [t for t, a, b in zip(texts, got, want) if a != b] == []
+
+
 def test_plan_uses_every_length():
     rng = np.random.default_rng(3)
     for scale in (1, 40):
