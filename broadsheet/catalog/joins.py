@@ -12,7 +12,7 @@ from ..operators import joins as J
 from ..operators import rules as R
 from ..operators import coverage, setops, similarity
 from ..operators.pages import with_meta
-from ..plans import audits
+from ..plans import audits, resolution
 from ..session import cut_lineage
 from ..sources.feeds import official
 from . import query
@@ -180,23 +180,32 @@ def _(spark, sf):
     return j.select("left_key", "right_key", F.abs(F.date_diff("left_day", "right_day")).cast("long").alias("gap"))
 
 
-@query("jn7_resolve_sources", with_sql(SQL_SETS.replace("SELECT doc_id, source, list_sort", "SELECT doc_id, source, lang, ts, list_sort").replace("FROM art)", "FROM dated)").replace(ART, DATED), f"""
-    , c AS (SELECT a.doc_id, b.doc_id AS candidate, {SQL_SIM} AS similarity, round(abs(epoch_us(a.ts) - epoch_us(b.ts)) / 86400000000.0, 1) AS gap FROM ts a JOIN ts b ON a.doc_id % 2 = 0 AND b.doc_id % 2 = 1 AND a.lang = b.lang AND b.lang IN ('en', 'fr')
-       AND len(a.words) > 0 AND len(b.words) > 0 AND len(list_intersect(a.words, b.words)) > 0 WHERE {SQL_SIM} >= 0.62),
-    r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY similarity DESC, gap, candidate) AS rn FROM c)
-    SELECT doc_id, candidate, similarity, gap, rn AS place FROM r WHERE rn <= 5"""))
+SQL_RESOLVED = SQL_SETS.replace("SELECT doc_id, source, list_sort", "SELECT doc_id, source, lang, ts, list_sort").replace("FROM art)", "FROM dated)").replace(ART, DATED) + f"""
+, c AS (SELECT a.doc_id, b.doc_id AS candidate, {SQL_SIM} AS similarity, round(abs(epoch_us(a.ts) - epoch_us(b.ts)) / 86400000000.0, 1) AS gap FROM ts a JOIN ts b ON a.doc_id % 2 = 0 AND b.doc_id % 2 = 1 AND a.lang = b.lang AND b.lang IN ('en', 'fr')
+   AND len(a.words) > 0 AND len(b.words) > 0 AND len(list_intersect(a.words, b.words)) > 0 WHERE {SQL_SIM} >= 0.62),
+r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY similarity DESC, coalesce(gap, 999), candidate) AS place FROM c QUALIFY place <= 5),
+st AS (SELECT d.doc_id, CASE WHEN l.quality = 1 AND d.doc_id % 5 = 0 AND d.lang IN ('en', 'fr') THEN 'manually-approved' WHEN l.quality = 0 THEN 'rejected'
+     WHEN r.similarity >= 0.92 AND (r.gap IS NULL OR r.gap <= 3) THEN 'resolved' WHEN r.similarity IS NOT NULL THEN 'candidate' ELSE 'unresolved' END AS status, d.lang IN ('en', 'fr') AS mapped
+   FROM documents d LEFT JOIN r ON r.doc_id = d.doc_id AND r.place = 1 LEFT JOIN labels l ON l.doc_id = d.doc_id WHERE d.doc_id % 2 = 0)"""
+
+
+@query("jn7_resolve_sources", with_sql(SQL_RESOLVED, """
+    SELECT st.doc_id, r.candidate, r.similarity, r.gap, CAST(r.place AS INTEGER) AS place, st.status,
+      CASE st.status WHEN 'manually-approved' THEN 'explicit-editor-approval' WHEN 'rejected' THEN 'explicit-editor-rejection' WHEN 'resolved' THEN 'high-confidence-official-direct-match'
+        WHEN 'candidate' THEN 'medium-confidence-needs-human-review' ELSE CASE WHEN mapped THEN 'official-domain-mapped-no-verified-candidate' ELSE 'publisher-domain-not-mapped' END END AS reason
+    FROM st LEFT JOIN r ON r.doc_id = st.doc_id"""))
 def _(spark, sf):
-    """Five best direct candidates (odd ids) for each relay item (even ids) of the same source label (the language), on an
-    official domain: most similar first, then nearest in time. The text before the first mark stands for the title."""
+    """The five best direct candidates (odd ids) of each relay item (even ids) of the same source label (the language), on an
+    official domain, with the status that they lead to. The text before the first mark stands for the title, labels for the
+    decisions of editors."""
     url = F.concat(F.lit("https://"), "lang", F.lit(".example.com/a/"), F.col("doc_id").cast("string"))
     d = dated(spark, sf).select("doc_id", F.col("lang").alias("label"), "ts", url.alias("url"), F.array_sort(tx.title_tokens(F.col("title"))).alias("words"))
     domains = F.array(F.lit("en.example.com"), F.lit("fr.example.com"))
-    relay, direct = d.where("doc_id % 2 = 0"), d.where("doc_id % 2 = 1").where(official(F.col("url"), domains))
-    pairs = similarity.similar_pairs(relay, direct, "doc_id", "doc_id", "words", "words", 0.62, ["label"])
-    pairs = pairs.join(relay.select(F.col("doc_id").alias("left_id"), F.col("ts").alias("lt")), "left_id").join(direct.select(F.col("doc_id").alias("right_id"), F.col("ts").alias("rt")), "right_id")
-    pairs = pairs.withColumn("gap", F.round(F.abs(F.unix_micros("lt") - F.unix_micros("rt")) / F.lit(86400000000.0), 1))
-    top = J.top_per_key(pairs, "left_id", [F.col("similarity").desc(), F.col("gap"), F.col("right_id")], 5)
-    return top.select(F.col("left_id").alias("doc_id"), F.col("right_id").alias("candidate"), "similarity", "gap", F.col("rank").alias("place"))
+    relay, direct = d.where("doc_id % 2 = 0"), d.where("doc_id % 2 = 1").where(official(F.col("url"), domains)).select("doc_id", "label", "ts", "words")
+    decision = F.when((F.col("quality") == 1) & (F.col("doc_id") % 5 == 0), "manually-approved").when(F.col("quality") == 0, "rejected")
+    decisions = table(spark, sf, "labels").select("doc_id", decision.alias("decision"))
+    asked = relay.select("doc_id", "label", "ts", "words", official(F.col("url"), domains).alias("mapped")).join(decisions, "doc_id", "left")
+    return resolution.resolve_sources(asked, direct, "doc_id").withColumnRenamed("rank", "place").select("doc_id", "candidate", "similarity", "gap", "place", "status", "reason")
 
 
 @query("jn8_fallback_join", """

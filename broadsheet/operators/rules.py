@@ -482,6 +482,15 @@ def resolution_status(decision: Column, decision_ok: Column, similarity: Column,
     )
 
 
+def resolution_reason(status: Column, mapped: Column) -> Column:
+    """CL21. Why a relay item has its resolution status."""
+    return (
+        F.when(status == "manually-approved", "explicit-editor-approval").when(status == "rejected", "explicit-editor-rejection")
+        .when(status == "resolved", "high-confidence-official-direct-match").when(status == "candidate", "medium-confidence-needs-human-review")
+        .when(mapped, "official-domain-mapped-no-verified-candidate").otherwise("publisher-domain-not-mapped")
+    )
+
+
 def feed_status(retired: Column, enabled: Column, ok: Column, http: Column, parsed: Column, age: Column, gap: Column, items: Column,
                 official: Column, relay_ratio: Column, duplicate_guids: Column, mime_ok: Column, streak: Column | None = None) -> Column:
     """CL22. First matching state; a healthy feed needs three successes in a row."""

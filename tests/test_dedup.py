@@ -78,9 +78,43 @@ def test_similar_pairs_equal_brute_force(spark):
         assert got == want
 
 
-def test_rounding_before_the_threshold():
-    assert similarity._needed(19, 0.9) == 18 and similarity._needed(10, 0.9) == 9
-    assert similarity.largest_subset_size(0.9) == 29
+def test_rounding_before_the_threshold(spark):
+    """188 of 209 words are 0.8995, which rounds up to 0.9; 179 of 199 do not."""
+    wide = [f"a{i}" for i in range(209)], [f"a{i}" for i in range(188)] + [f"b{i}" for i in range(21)]
+    narrow = [f"c{i}" for i in range(199)], [f"c{i}" for i in range(179)] + [f"d{i}" for i in range(20)]
+    df = spark.createDataFrame(list(enumerate([*wide, *narrow])), "id long, words array<string>")
+    got = {r.id: r.similar_to for r in similarity.earliest_similar(df, "id", "id", "words", 0.9).collect()}
+    assert got == {0: None, 1: 0, 2: None, 3: None}
+
+
+def test_a_family_of_2000_near_equal_titles(spark):
+    rnd = random.Random(7)
+    base = [f"w{i}" for i in range(40)]
+    titles = []
+    for i in range(2000):
+        words = list(base)
+        for _ in range(rnd.randrange(4)):
+            words[rnd.randrange(40)] = f"x{i}" if rnd.random() < 0.7 else f"v{rnd.randrange(9)}"
+        titles.append(frozenset(words) if i % 50 else frozenset(f"u{i}{j}" for j in range(8)))
+    want = {i: next((j for j in range(i) if sim(titles[i], titles[j]) >= 0.9), None) for i in range(2000)}
+    df = spark.createDataFrame([(i, sorted(t)) for i, t in enumerate(titles)], "id long, words array<string>").repartition(8)
+    got = similarity.earliest_similar(df, "id", "id", "words", 0.9).collect()
+    assert len(got) == 2000 and {r.id: r.similar_to for r in got} == want
+
+
+def test_top_similar_equals_brute_force(spark):
+    rnd = random.Random(9)
+    titles = families(rnd, 240)
+    rows = [(i, t, rnd.choice("xyy"), rnd.randrange(40) if rnd.random() < 0.9 else None) for i, t in enumerate(titles + [titles[0]] * 30)]
+    left, right = [r for r in rows if r[0] % 2], [r for r in rows if r[0] % 2 == 0]
+    want = {}
+    for i, t, b, at in left:
+        scored = sorted((-sim(t, u), abs((at or 0) - (v or 0)), j) for j, u, c, v in right if c == b and sim(t, u) >= 0.62)
+        want.update({(i, n + 1): (j, -s) for n, (s, _, j) in enumerate(scored[:5])})
+    frame = lambda rs: spark.createDataFrame(rs, "id long, words array<string>, label string, at int")
+    after = lambda a, b: [F.abs(F.coalesce(f"{a}.at", F.lit(0)) - F.coalesce(f"{b}.at", F.lit(0))), F.col(f"{b}.id")]
+    got = similarity.top_similar(frame(left), frame(right), "id", "id", "words", 0.62, 5, after, "label", ["at"]).collect()
+    assert {(r.left_id, r["rank"]): (r.right_id, r.similarity) for r in got} == want and len(got) == len(want)
 
 
 def test_classify_entries(spark):
