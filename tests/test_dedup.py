@@ -4,7 +4,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from broadsheet.operators import dedup, segments, similarity, topk, windows
+from broadsheet.operators import components, dedup, segments, similarity, topk, windows
 
 
 def greedy(rows):
@@ -32,6 +32,24 @@ def test_greedy_equals_scan_with_a_hot_key(spark):
     assert run_greedy(spark, rows) == greedy(rows)
 
 
+def test_greedy_chain_of_5000_and_large_components(spark):
+    chain = [(i, [f"k{i}", f"k{i + 1}"]) for i in range(5000)]
+    assert run_greedy(spark, chain) == list(range(0, 5000, 2))
+    rnd = random.Random(3)
+    rows = [(i, sorted({f"a{i // 3}", f"a{i // 3 + rnd.randrange(2)}", f"b{rnd.randrange(40)}"} if i < 300 else {f"c{i}", f"c{i + 1 if i % 20 else 0}"})) for i in range(500)]
+    df = spark.createDataFrame([(r, r, list(k)) for r, k in rows], "id long, ord long, ks array<string>").repartition(3)
+    # Up to 60 claims: the large component goes on in rounds, the chains of 20 rows are scanned.
+    got = dedup.keep_first_by_keys(df, "id", "ord", F.col("ks"), rounds=2, component_claims=60)
+    assert sorted(r.id for r in got.collect()) == greedy(rows)
+
+
+def test_connected_components(spark):
+    edges = [(i, i + 1) for i in range(200)] + [(500, 900), (901, 500), (7000, 7000)] + [(10_000, 20_000 + i) for i in range(300)]
+    got = {r.node: r.component for r in components.connected(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
+    want = {i: 0 for i in range(201)} | {500: 500, 900: 500, 901: 500, 7000: 7000, 10_000: 10_000} | {20_000 + i: 10_000 for i in range(300)}
+    assert got == want
+
+
 @settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.sets(st.sampled_from("abcdefgh"), max_size=3), min_size=1, max_size=18))
 def test_greedy_property(spark, key_sets):
