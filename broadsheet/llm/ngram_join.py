@@ -1,17 +1,22 @@
 """Self-join of documents on the Jaccard similarity of their word n-grams, and the groups that the links form.
 
 Most documents have no partner, and their n-grams say so: a set that has more n-grams of its own than a link may miss can't
-link. One hash class of the n-grams is counted over all documents; sets with enough n-grams of their own in it are settled.
+link. One hash class of the n-grams is counted over all documents, which settles most sets; of the others all n-grams are
+counted, which settles most of the rest.
 
-Of the others, equal sets are one set from the start. n-grams are ordered rare first; two sets that are similar enough share an n-gram
-among the first few of either (the prefix), so rows meet on prefix n-grams only. Where they meet, the length filter, the
-positional filter and a bound on the Hamming distance of the remaining sets (the suffix filter, from a bitmap of element
-parities) decide inside the join whether the pair goes on. Each remaining pair is verified once, on the whole sets.
+Of what is left, equal sets are one set from the start. n-grams are ordered rare first: those that only one set holds (they meet
+nothing, but count as places), then the others, the most frequent ones by their exact counts at the end. Two sets that are
+similar enough share an n-gram among the first few of either (the prefix), so rows meet on prefix n-grams only. Where they meet,
+the length filter, the positional filter and a bound on the Hamming distance of the remaining sets (the suffix filter, from a
+bitmap of element parities) decide inside the join whether the pair goes on. Each remaining pair is verified once, on the whole
+sets.
 
 A group of near copies must not be written out as all its pairs. So the join runs in two rounds: first every row meets one
 hub per prefix n-gram, the row with the fewest n-grams of its own; then rows meet only rows of another component, and a
 component that holds most of an n-gram's rows is met by the others, not by itself. A link between different sets is either
 found or lies inside one component, so the components are those of all links.
+
+Rows are told apart by a fingerprint of id and set, so different texts under one id stay different documents.
 """
 
 from __future__ import annotations
@@ -21,15 +26,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .base import combine, discard, doc_words, long, mix, slices, store, table, texts
+from .base import combine, discard, doc_words, long, mix, slices, store, table, text_bytes, texts
 from .components import components
 from .queries import query
 
 N = 4
 #: Similarity in percent.
 LEAST = 85
-#: Buckets of the frequency sketch that orders n-grams; it is what reaches the driver and the tasks.
-SKETCH_BITS = 16
+#: The most frequent n-grams, as many at most, come last in the order, by their counts; they are what tasks are sent. Only
+#: n-grams of so many sets are looked at for it.
+MOST_HOT, HELD_OFTEN = 1 << 16, 8
 WORDS_OF_BITS = 8
 #: One in so many hash classes of n-grams is counted to settle sets without partners.
 CLASSES = 4
@@ -60,77 +66,112 @@ def prefix_length(size: int, least: int = LEAST) -> int:
     return size - -(-least * size // 100) + 1
 
 
-def _sketch(docs: DataFrame, n: int) -> np.ndarray:
-    """How often n-grams of each hash bucket occur in all documents. The sum leaves one number per bucket."""
+def _prints(own: np.ndarray) -> tuple[int, int]:
+    return np.sum(mix(own), dtype=_U), np.sum(mix(own ^ _U(0xA5A5F00D12345677)), dtype=_U)
 
-    def run(batches):
-        seen = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
-        for _, raw in slices(batches):
-            for own in ngram_sets(raw, n, unique=False):
-                seen += np.bincount((own >> _U(64 - SKETCH_BITS)).astype(np.int64), minlength=len(seen)) if len(own) > 4096 else 0
-                if len(own) <= 4096:
-                    np.add.at(seen, (own >> _U(64 - SKETCH_BITS)).astype(np.int64), 1)
-        at = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(seen[at])], names=["bucket", "n"])
 
-    out = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
-    for row in docs.mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
-        out[row["bucket"]] = row["n"]
-    return out
+def _row_ids(keys: list, sets: list[np.ndarray]) -> tuple[np.ndarray, list[tuple]]:
+    """64-bit fingerprints of rows, from their ids and sets, and (size, print_a, print_b) of the sets."""
+    prints = [(len(own), *_prints(own)) for own in sets]
+    size, a, b = (np.array(c, dtype=_U) for c in zip(*prints))
+    return combine([size, a, b, np.array([k or 0 for k in keys], dtype=np.int64).view(_U)]), prints
 
 
-def _prints(own: np.ndarray) -> tuple[int, int]:
-    return np.sum(mix(own), dtype=_U), np.sum(mix(own ^ _U(0xA5A5F00D12345677)), dtype=_U)
+def fingerprints(docs: DataFrame, n: int = N) -> DataFrame:
+    """Per row of (doc_id, text, digest): the row's fingerprint, the size of its set and the set's 128-bit fingerprint."""
+
+    def run(batches):
+        for batch in batches:
+            numbered = pa.RecordBatch.from_arrays([pa.array(range(batch.num_rows), pa.int64()), batch.column(1)], names=["place", "text"])
+            for places, raw in slices([numbered]):
+                some = batch.slice(places[0], len(places))
+                rows, prints = _row_ids(some.column(0).to_pylist(), list(ngram_sets(raw, n)))
+                size, a, b = zip(*prints)
+                columns = [some.column(0), some.column(2), long(rows), pa.array(size, pa.int64()), long(np.array(a, dtype=_U)), long(np.array(b, dtype=_U))]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "digest", "row_id", "size", "print_a", "print_b"])
 
+    return docs.mapInArrow(run, "doc_id long, digest long, row_id long, size long, print_a long, print_b long")
 
-def fingerprints(docs: DataFrame, n: int = N) -> DataFrame:
-    """Per row of (doc_id, text): the size of its set and the set's 128-bit fingerprint."""
+
+def _with_row_ids(docs: DataFrame, n: int) -> DataFrame:
+    """(row_id, text) of rows of (doc_id, text)."""
 
     def run(batches):
-        for ids, raw in slices(batches):
-            made = [(len(own), *_prints(own)) for own in ngram_sets(raw, n)]
-            size, a, b = zip(*made)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(size, pa.int64()), long(np.array(a, dtype=_U)), long(np.array(b, dtype=_U))], names=["doc_id", "size", "print_a", "print_b"])
+        for keys, raw in slices(batches):
+            yield pa.RecordBatch.from_arrays([long(_row_ids(keys, list(ngram_sets(raw, n)))[0]), pa.array(raw, pa.binary()).cast(pa.string())], names=["row_id", "text"])
 
-    return docs.mapInArrow(run, "doc_id long, size long, print_a long, print_b long")
+    return docs.mapInArrow(run, "row_id long, text string")
 
 
-def _own_grams(docs: DataFrame, n: int) -> DataFrame:
-    """(doc_id, own): how many n-grams of the counted hash class no other row has."""
+def _holders(docs: DataFrame, n: int, classes: int) -> DataFrame:
+    """(gram, row_id) of the n-grams of one of ``classes`` hash classes; ``docs`` has doc_id or row_id, and the text."""
+    named = docs.columns[0] == "row_id"
 
     def run(batches):
-        for ids, raw in slices(batches):
-            chosen = [own[(own >> _U(20)) % _U(CLASSES) == 0] for own in ngram_sets(raw, n)]
-            keys = pa.array(ids, pa.int64()).take(pa.array(np.repeat(np.arange(len(ids)), [len(c) for c in chosen])))
-            yield pa.RecordBatch.from_arrays([long(np.concatenate(chosen)), keys], names=["gram", "doc_id"])
+        for keys, raw in slices(batches):
+            sets = list(ngram_sets(raw, n))
+            rows = np.array(keys, dtype=np.int64).view(_U) if named else _row_ids(keys, sets)[0]
+            chosen = [own[(own >> _U(20)) % _U(classes) == 0] for own in sets]
+            yield pa.RecordBatch.from_arrays([long(np.concatenate(chosen)), long(np.repeat(rows, [len(c) for c in chosen]))], names=["gram", "row_id"])
+
+    return docs.mapInArrow(run, "gram long, row_id long")
+
 
-    rows = docs.mapInArrow(run, "gram long, doc_id long").groupBy("gram").agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id"))
-    return rows.where("n = 1").groupBy("doc_id").agg(F.count("*").alias("own"))
+def _own(held: DataFrame) -> DataFrame:
+    """(id, own): how many n-grams (gram, low, high: smallest and largest row) no other row has. Repeated rows are one row."""
+    return held.where("low = high").groupBy(F.col("low").alias("id")).agg(F.count("*").alias("own"))
+
+
+def _hot(held: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent n-grams of the stored counts and their counts, by n-gram: ``MOST_HOT`` at most."""
+    often = held.where(F.col("n") >= HELD_OFTEN)
+    least, total = HELD_OFTEN, 0
+    for row in sorted(often.groupBy("n").agg(F.count("*").alias("grams")).collect(), key=lambda r: -r["n"]):
+        total += row["grams"]
+        if total > MOST_HOT:
+            least = row["n"] + 1
+            break
+    found = often.where(F.col("n") >= least).select("gram", "n").collect()
+    grams = np.array([r["gram"] for r in found], dtype=np.int64).view(_U)
+    order = np.argsort(grams)
+    return grams[order], np.array([r["n"] for r in found], dtype=np.int64)[order]
 
 
 _BITS = [f"bits{k}" for k in range(WORDS_OF_BITS)]
 
 
-def features(docs: DataFrame, n: int = N, least: int = LEAST) -> DataFrame:
-    """Per row of (doc_id, text): its set, its prefix rare first, and the bitmap of parities."""
-    counts = docs.sparkSession.sparkContext.broadcast(_sketch(docs, n))
+def features(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray], n: int = N, least: int = LEAST) -> DataFrame:
+    """Per row of (row_id, text, own: its own n-grams): its set, the place where its shared n-grams begin, its prefix of them rare
+    first, and the bitmap of parities."""
+    sent = docs.sparkSession.sparkContext.broadcast(hot)
     width = 64 * WORDS_OF_BITS
 
     def run(batches):
-        for ids, raw in slices(batches):
-            sizes, grams, prefixes, bits = [], [], [], []
-            for own in ngram_sets(raw, n):
-                sizes.append(len(own))
-                grams.append(own.tobytes())
-                order = np.argsort(counts.value[(own >> _U(64 - SKETCH_BITS)).astype(np.int64)], kind="stable")
-                prefixes.append(own[order[: prefix_length(len(own), least) if len(own) else 0]])
-                bits.append(np.packbits((np.bincount((own & _U(width - 1)).astype(np.int64), minlength=width) & 1).astype(np.uint8)).view(np.int64))
-            ends = np.cumsum([0, *map(len, prefixes)]).astype(np.int32)
-            arrays = [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(grams, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), long(np.concatenate(prefixes)))]
-            arrays += [pa.array(column) for column in np.stack(bits).T.copy()]
-            yield pa.RecordBatch.from_arrays(arrays, names=["id", "size", "grams", "prefix", *_BITS])
-
-    return docs.mapInArrow(run, "id long, size long, grams binary, prefix array<long>, " + ", ".join(f"{b} long" for b in _BITS))
+        grams_hot, counts_hot = sent.value
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):
+                some = batch.slice(at, 64)
+                sizes, grams, begins, prefixes, bits = [], [], [], [], []
+                alone = [np.array(x or [], dtype=np.int64).view(_U) for x in some.column(2).to_pylist()]
+                for own, single in zip(ngram_sets(list(text_bytes(some.column(1))), n), alone):
+                    sizes.append(len(own))
+                    grams.append(own.tobytes())
+                    shared = np.setdiff1d(own, single, assume_unique=True)
+                    begins.append(len(own) - len(shared))
+                    place = np.searchsorted(grams_hot, shared)
+                    known = place < len(grams_hot)
+                    known[known] = grams_hot[place[known]] == shared[known]
+                    count = np.zeros(len(shared), dtype=np.int64)
+                    count[known] = counts_hot[place[known]]
+                    order = np.argsort(count, kind="stable")
+                    prefixes.append(shared[order[: max(0, prefix_length(len(own), least) - begins[-1]) if len(own) else 0]])
+                    bits.append(np.packbits((np.bincount((own & _U(width - 1)).astype(np.int64), minlength=width) & 1).astype(np.uint8)).view(np.int64))
+                ends = np.cumsum([0, *map(len, prefixes)]).astype(np.int32)
+                arrays = [some.column(0), pa.array(sizes, pa.int64()), pa.array(grams, pa.binary()), pa.array(begins, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), long(np.concatenate(prefixes)))]
+                arrays += [pa.array(column) for column in np.stack(bits).T.copy()]
+                yield pa.RecordBatch.from_arrays(arrays, names=["id", "size", "grams", "begin", "prefix", *_BITS])
+
+    return docs.mapInArrow(run, "id long, size long, grams binary, begin long, prefix array<long>, " + ", ".join(f"{b} long" for b in _BITS))
 
 
 # ---------------------------------------------------------------- candidates
@@ -173,47 +214,47 @@ def _pairs(joined: DataFrame, a: str, b: str) -> DataFrame:
     return joined.select(F.least(f"{a}.id", f"{b}.id").alias("a"), F.greatest(f"{a}.id", f"{b}.id").alias("b")).distinct()
 
 
-def classes(docs: DataFrame, n: int = N, least: int = LEAST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id (smallest doc_id that links reach, itself included).
-
-    Two documents link when their sets of ``n``-grams have a Jaccard similarity of ``least`` percent or more. A document
-    without words (null, empty or blank text) has an empty set and links with nothing. A row without an id links with
-    nothing and has no component. Rows that share an id count as one document. An empty table gives no rows.
-    """
-    base = texts(docs, id_col, text_col)
+def _grouped(docs: DataFrame, n: int, least: int) -> DataFrame:
+    """Per row of (doc_id, text, digest): doc_id, digest, row_id, size, and of its component the smallest doc_id (component_id) and
+    one row of a set (leader_id) that stands for it."""
     prints = ["size", "print_a", "print_b"]
-    made = store(fingerprints(base, n), "ngram-prints")
+    made = store(fingerprints(docs, n), "ngram-prints")
     full = made.where("size > 0 AND doc_id IS NOT NULL")
-    leaders = store(full.groupBy(*prints).agg(F.min("doc_id").alias("id")), "ngram-leaders")  # equal sets are one set from here on
-
-    own = _own_grams(base.where("doc_id IS NOT NULL"), n).withColumnRenamed("doc_id", "id")
+    # Equal sets are one set from here on, named by one of their rows.
+    leaders = full.groupBy(*prints).agg(F.min("row_id").alias("id"), F.min_by("doc_id", "row_id").alias("of_doc"), F.min("doc_id").alias("least_doc"))
+    leaders = store(leaders, "ngram-leaders")
     longest = F.col("size") - F.ceil(F.col("size") * least / 100) + 1
-    unsure = store(leaders.join(own, "id", "left").where(F.coalesce("own", F.lit(0)) < longest).select(F.col("id").alias("doc_id")), "ngram-unsure")
-    unsure_texts = store(base.join(unsure, "doc_id", "left_semi"), "ngram-texts")
-    sets = store(features(unsure_texts, n, least), "ngram-sets")
-    discard(unsure_texts)
 
-    rows = sets.select("id", "size", F.posexplode("prefix").alias("pos", "gram"))
+    named = docs.where("doc_id IS NOT NULL").select("doc_id", "text")
+    sample = _holders(named, n, CLASSES).groupBy("gram").agg(F.min("row_id").alias("low"), F.max("row_id").alias("high"))
+    unsure = store(leaders.join(_own(sample), "id", "left").where(F.coalesce("own", F.lit(0)) < longest).select("id", "size", F.col("of_doc").alias("doc_id")), "ngram-unsure")
+    unsure_texts = store(_with_row_ids(named.join(unsure, "doc_id", "left_semi"), n), "ngram-texts")
+    held = _holders(unsure_texts, n, 1).groupBy("gram").agg(F.count("*").alias("n"), F.min("row_id").alias("low"), F.max("row_id").alias("high"))
+    held = store(held.where((F.col("low") == F.col("high")) | (F.col("n") >= HELD_OFTEN)), "ngram-held")
+    still = store(unsure.join(_own(held), "id", "left").where(F.coalesce("own", F.lit(0)) < longest).select(F.col("id").alias("row_id")), "ngram-still")
+    alone = held.where("low = high").select(F.col("low").alias("row_id"), "gram").join(still, "row_id", "left_semi").groupBy("row_id").agg(F.collect_list("gram").alias("own"))
+    with_own = unsure_texts.join(still, "row_id", "left_semi").dropDuplicates(["row_id"]).join(alone, "row_id", "left").select("row_id", "text", "own")
+    sets = store(features(with_own, _hot(held), n, least).withColumnRenamed("row_id", "id"), "ngram-sets")
+    discard(unsure, unsure_texts, held, still)
+
+    rows = sets.select("id", "size", "begin", F.posexplode("prefix").alias("pos", "gram")).withColumn("pos", (F.col("pos") + F.col("begin")).cast("long")).drop("begin")
     often = rows.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
-    met = store(rows.join(often, "gram", "left_semi"), "ngram-met")  # prefix n-grams of at least two sets
-    central = met.groupBy("id", "size").agg(F.count("*").alias("n")).select("id", (F.col("n") / longest).alias("central"))
-    narrow = met
+    narrow = store(rows.join(often, "gram", "left_semi"), "ngram-met")  # prefix n-grams of at least two sets
+    central = narrow.groupBy("id", "size").agg(F.count("*").alias("n")).select("id", (F.col("n") / longest).alias("central"))
     met = store(narrow.join(central, "id").join(sets.select("id", *_BITS), "id"), "ngram-rows")
     discard(narrow)
 
-    hubs = met.groupBy("gram").agg(F.max(F.struct("central", (-F.col("id")).alias("order"), "size", "pos", *_BITS)).alias("h"))
-    hubs = hubs.select("gram", (-F.col("h.order")).alias("id"), *[F.col(f"h.{c}").alias(c) for c in ("size", "pos", *_BITS)])
+    hubs = met.groupBy("gram").agg(F.max(F.struct("central", "id", "size", "pos", *_BITS)).alias("h"))
+    hubs = hubs.select("gram", *[F.col(f"h.{c}").alias(c) for c in ("id", "size", "pos", *_BITS)])
     x, y = met.alias("x"), hubs.alias("y")
     starred = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.id") != F.col("y.id")) & _may_link("x", "y", least))
     links = store(_verified(store(_pairs(starred, "x", "y"), "ngram-star"), sets, least), "ngram-links")
     parts = components(links)
 
-    def with_part(df: DataFrame) -> DataFrame:
-        return df.join(parts.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-
-    placed = store(with_part(met), "ngram-placed")
+    placed = met.join(parts.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    placed = store(placed, "ngram-placed")
     discard(met)
-    open_grams = placed.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max(F.struct("central", (-F.col("id")).alias("order"), "component")).alias("h"))
+    open_grams = placed.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max(F.struct("central", "id", "component")).alias("h"))
     open_grams = open_grams.where("low < high").select("gram", F.col("h.component").alias("main"))
     still = store(placed.join(open_grams, "gram"), "ngram-open")
     x, y = still.where("component != main").alias("x"), still.alias("y")
@@ -223,16 +264,39 @@ def classes(docs: DataFrame, n: int = N, least: int = LEAST, id_col: str = "doc_
     if not more.isEmpty():
         parts = components(parts.where("node != component").select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
 
-    final = leaders.join(parts.withColumnRenamed("node", "id"), "id", "left").select(*prints, F.coalesce("component", "id").alias("component_id"))
-    joined = made.select("doc_id", *prints).join(final, prints, "left")
-    alone = F.when((F.col("n_shingles") == 0) | F.col("doc_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return joined.select("doc_id", F.col("size").alias("n_shingles"), "component_id").withColumn("component_id", alone)
+    final = leaders.join(parts.withColumnRenamed("node", "id"), "id", "left").select(*prints, "id", "least_doc", F.coalesce("component", "id").alias("component"))
+    final = store(final, "ngram-final")
+    first = final.groupBy("component").agg(F.min("least_doc").alias("component_id"), F.min_by("id", F.struct("least_doc", "id")).alias("leader"))
+    of_set = final.join(first, "component").select(*prints, "id", "leader", "component_id")
+    joined = made.join(of_set, prints, "left")
+    alone = (F.col("size") == 0) | F.col("doc_id").isNull()
+    return joined.select(
+        "doc_id", "digest", "size", F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        (alone | ((F.col("doc_id") == F.col("component_id")) & (F.col("id") == F.col("leader")))).alias("stays"),
+    )
+
+
+def _read(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return texts(docs, id_col, text_col).withColumn("digest", F.xxhash64("text"))
+
+
+def classes(docs: DataFrame, n: int = N, least: int = LEAST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_shingles, component_id (smallest doc_id that links reach, itself included).
+
+    Two documents link when their sets of ``n``-grams have a Jaccard similarity of ``least`` percent or more. A document
+    without words (null, empty or blank text) has an empty set and links with nothing. A row without an id links with
+    nothing and has no component. Rows that share an id are linked by their own texts, each with its own component. Very long
+    texts are read whole; other columns are not read, so their names can't clash. An empty table gives no rows.
+    """
+    return _grouped(_read(docs, id_col, text_col), n, least).select("doc_id", F.col("size").alias("n_shingles"), "component_id")
 
 
 def keep_one(docs: DataFrame, n: int = N, least: int = LEAST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with the document of the smallest id of each component, all columns unchanged; documents without an id stay."""
-    gone = classes(docs, n, least, id_col, text_col).where("doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col].cast("long") == gone["_gone"], "left_anti")
+    """``docs`` with one document of each component, of the smallest id, all columns unchanged; documents without an id or without
+    words stay. Rows alike in id and text share one decision; other rows that share an id are decided one by one."""
+    gone = store(_grouped(_read(docs, id_col, text_col), n, least).where("NOT stays").select(F.col("doc_id").alias("_gone"), F.col("digest").alias("_gone_digest")).distinct(), "ngram-gone")
+    digest = F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit("")))
+    return docs.join(gone, (docs[id_col].cast("long") == gone["_gone"]) & (digest == gone["_gone_digest"]), "left_anti")
 
 
 @query("op9_ngram_join")
