@@ -111,21 +111,40 @@ def _(spark, sf):
 # --- Updates and source resolution ------------------------------------------------------------------------
 
 
+SQL_NUMBERS = r"array_to_string([trim(regexp_replace(x, '\s+', ' ', 'g')) for x in regexp_extract_all(body, '\b\d+(?:[,.]\d+)?\s*(?:mg|μg|mcg|mL|ml|IU|%|개월|주|일|마리|명|세)?\b', 0, 'i')], '|')"
 SQL_UPDATES = ART + f""",
-c AS (SELECT item_id::VARCHAR AS id, item_id, text AS body, {sql_strip("regexp_extract(text, '^([^.!?\n]*)', 1)")} AS title FROM benchmark),
-cw AS (SELECT *, list_sort({sql_tokens('title')}) AS words FROM c),
-p AS (SELECT doc_id, title, list_sort({sql_tokens('title')}) AS words, text AS body FROM art),
-s AS (SELECT c.id, p.doc_id, round(len(list_intersect(c.words, p.words)) / greatest(len(c.words), len(p.words)), 3) AS sim FROM cw c JOIN p ON len(c.words) > 0 AND len(p.words) > 0 AND len(list_intersect(c.words, p.words)) > 0),
-b AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY sim DESC, doc_id) AS rn FROM s WHERE sim >= 0.72)"""
-
-
-@query("cl19_update_class", with_sql(SQL_UPDATES, """
-    SELECT c.id, b.doc_id::VARCHAR AS match_id, CASE WHEN b.doc_id IS NULL THEN 'separate-story' WHEN b.sim >= 0.9 THEN 'duplicate' ELSE 'unresolved' END AS class FROM cw c LEFT JOIN b ON b.id = c.id AND b.rn = 1"""))
-def _(spark, sf):
-    """Benchmark passages as candidates against the documents."""
-    title = tx.strip(F.regexp_extract("text", r"^([^.!?\n]*)", 1))
-    cand = table(spark, sf, "benchmark").select(F.col("item_id").cast("string").alias("id"), title.alias("title"), F.lit("").alias("url"), F.col("text").alias("body"), F.lit(True).alias("verified"))
-    prior = articles(spark, sf).select(F.col("doc_id").cast("string").alias("id"), F.col("doc_id").alias("ord"), "title", F.lit("").alias("url"), F.col("text").alias("body"))
+k AS (SELECT a.*, doc_id % 7 AS k, coalesce(l.quality, 1) = 1 AS verified FROM art a LEFT JOIN labels l USING (doc_id) WHERE doc_id % 3 = 0),
+c AS (SELECT 'c' || doc_id AS id, verified, CASE WHEN k IN (2, 3, 4) THEN 'Revised note ' || doc_id WHEN k = 6 THEN 'Fresh words of number ' || doc_id WHEN k = 1 AND doc_id % 2 = 1 THEN title || ' extra' ELSE title END AS title,
+    CASE WHEN k IN (0, 2, 3, 4) THEN 'https://' || lang || '.example.com/a/' || doc_id ELSE 'https://new.example.com/' || doc_id END AS url, CASE WHEN k = 5 THEN 'https://raw.example.com/' || doc_id END AS raw,
+    title || ' ' || coalesce(paragraphs[1], '') || ' ' || array_to_string(paragraphs, ' ') || CASE WHEN k = 3 THEN ' 25 mg' WHEN k = 4 THEN ' correction 30 mg' ELSE '' END AS body FROM k),
+p AS (SELECT doc_id, title, 'https://' || lang || '.example.com/a/' || doc_id AS url, 'https://raw.example.com/' || doc_id AS raw, title || ' ' || coalesce(paragraphs[1], '') || ' ' || array_to_string(paragraphs, ' ') AS body FROM art),
+cw AS (SELECT *, list_sort({sql_tokens('title')}) AS words, {SQL_NUMBERS} AS numbers, regexp_matches(body, '{C.CORRECTION_WORDS.replace('(?i)', '')}', 'i') AS corrects FROM c),
+pw AS (SELECT *, list_sort({sql_tokens('title')}) AS words, {SQL_NUMBERS} AS numbers FROM p),
+s AS (SELECT c.id, p.doc_id, CASE WHEN len(c.words) > 0 AND len(p.words) > 0 THEN round(len(list_intersect(c.words, p.words)) / greatest(len(c.words), len(p.words)), 3) ELSE 0.0 END AS sim, c.url = p.url AS same_url, coalesce(c.raw = p.raw, FALSE) AS same_raw, c.numbers = p.numbers AS same_numbers FROM cw c CROSS JOIN pw p),
+b AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY greatest(sim, CASE WHEN same_url THEN 1.0 ELSE 0.0 END) DESC, doc_id) AS rn FROM s WHERE sim >= 0.72 OR same_url),
+u AS (SELECT c.id, b.doc_id::VARCHAR AS match_id, CASE WHEN b.doc_id IS NULL THEN CASE WHEN verified THEN 'separate-story' ELSE 'unresolved' END
+    WHEN (same_url OR same_raw) AND same_numbers THEN CASE WHEN sim >= 0.9 THEN 'duplicate' ELSE 'minor-update' END WHEN (same_url OR same_raw) AND corrects THEN 'correction' WHEN same_url OR same_raw THEN 'substantive-update'
+    WHEN sim >= 0.9 THEN 'duplicate' ELSE 'unresolved' END AS class FROM cw c LEFT JOIN b ON b.id = c.id AND b.rn = 1)"""
+
+
+@query("cl19_update_class", with_sql(SQL_UPDATES, "SELECT id, match_id, class FROM u"))
+def _(spark, sf):
+    """Every third document comes again: with its old title and URL, renamed, with other numbers, as a correction, under another
+    URL that shares the raw one, or as a story of its own."""
+    n, k = F.col("doc_id").cast("string"), F.col("doc_id") % 7
+    own = lambda host: F.concat(F.lit(f"https://{host}.example.com/"), n)
+    none = F.lit(None).cast("string")
+    a = articles(spark, sf).withColumn("lead", F.coalesce(F.try_element_at("paragraphs", F.lit(1)), F.lit("")))
+    url = F.concat(F.lit("https://"), "lang", F.lit(".example.com/a/"), n)
+    body = selection.update_text("title", "lead", "paragraphs")
+    prior = a.select(n.alias("id"), F.col("doc_id").alias("ord"), "title", url.alias("url"), F.array(own("raw"), none).alias("more_urls"), body.alias("body"))
+    verified = table(spark, sf, "labels").select("doc_id", F.col("quality").alias("_q"))
+    title = F.when(k.isin(2, 3, 4), F.concat(F.lit("Revised note "), n)).when(k == 6, F.concat(F.lit("Fresh words of number "), n)).when((k == 1) & (F.col("doc_id") % 2 == 1), F.concat("title", F.lit(" extra"))).otherwise(F.col("title"))
+    added = F.when(k == 3, " 25 mg").when(k == 4, " correction 30 mg").otherwise("")
+    cand = a.where("doc_id % 3 = 0").join(verified, "doc_id", "left").select(
+        F.concat(F.lit("c"), n).alias("id"), title.alias("title"), F.when(k.isin(0, 2, 3, 4), url).otherwise(own("new")).alias("url"), F.array(F.when(k == 5, own("raw")), none).alias("more_urls"),
+        F.concat(body, added).alias("body"), (F.coalesce("_q", F.lit(1)) == 1).alias("verified"),
+    )
     return selection.detect_updates(cand, prior).select("id", "match_id", "class")
 
 
@@ -196,8 +215,7 @@ def _(spark, sf):
     return selection.ingest(d, status, seen, F.lit("2024-01-05").cast("timestamp"), 100, 8, 15, "cat|tion").select("id", "selection_score", "deep")
 
 
-@query("jb14_update_counts", with_sql(SQL_UPDATES, """
-    SELECT CASE WHEN b.doc_id IS NULL THEN 'separate-story' WHEN b.sim >= 0.9 THEN 'duplicate' ELSE 'unresolved' END AS class, count(*) AS n FROM cw c LEFT JOIN b ON b.id = c.id AND b.rn = 1 GROUP BY 1"""))
+@query("jb14_update_counts", with_sql(SQL_UPDATES, "SELECT class, count(*) AS n FROM u GROUP BY 1"))
 def _(spark, sf):
     from . import QUERIES
 

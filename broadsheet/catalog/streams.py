@@ -11,11 +11,45 @@ from . import query
 from .tables import NOW, now, table
 
 
+SLICES = 4
+
+
+def slice_of():
+    """The quarter of the whole time that an event falls into."""
+    us = F.unix_micros("ts")
+    return F.expr(f"(unix_micros(ts) - lo) * {SLICES} div (hi - lo + 1)"), F.min(us).alias("lo"), F.max(us).alias("hi")
+
+
+SQL_SLICES = f"sl AS (SELECT e.*, (epoch_us(ts) - lo) * {SLICES} // (hi - lo + 1) AS slice FROM events e CROSS JOIN (SELECT min(epoch_us(ts)) AS lo, max(epoch_us(ts)) AS hi FROM events))"
+
+
+def event_files(spark, sf):
+    """A folder with events as files in the order of time: each of the ``SLICES`` has the same number of files."""
+    events = table(spark, sf, "events")
+    number, lo, hi = slice_of()
+    ends = events.agg(lo, hi).first()
+    files = max(1, events.rdd.getNumPartitions())
+    folder = shared_folder(spark, "events")
+    sliced = events.withColumns({"lo": F.lit(ends["lo"]), "hi": F.lit(ends["hi"])}).withColumn("slice", number).drop("lo", "hi")
+    for k in range(SLICES):
+        sliced.where(F.col("slice") == k).drop("slice").repartition(files).write.mode("append").parquet(folder)
+    return folder, files
+
+
+def read_files(spark, sf, folder, files):
+    return spark.readStream.schema(table(spark, sf, "events").schema).option("maxFilesPerTrigger", files).parquet(folder)
+
+
 def event_stream(spark, sf):
-    """events as a stream; the other tables in the folder are filtered out by name."""
-    schema = spark.read.parquet(f"{sf}/events.parquet").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
-    return stream.withColumn("ts", F.col("ts").cast("timestamp"))
+    """events as a stream of ``SLICES`` micro-batches in the order of time."""
+    return read_files(spark, sf, *event_files(spark, sf))
+
+
+def heartbeat(spark, sf, folder, days):
+    """A row without a user, so many days after the last event."""
+    events = table(spark, sf, "events")
+    last = F.timestamp_micros(F.lit(events.agg(F.max(F.unix_micros("ts"))).first()[0])) + F.make_dt_interval(F.lit(days))
+    events.limit(1).select(*[(last if c == "ts" else F.lit(None).cast(t)).alias(c) for c, t in events.dtypes]).write.mode("append").parquet(folder)
 
 
 def settled(spark, stream, keys, mode="update"):
@@ -64,12 +98,16 @@ def _(spark, sf):
     s AS (SELECT user_id, ts, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts) AS sid FROM g)
     SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS start, count(*) AS n FROM s GROUP BY user_id, sid""")
 def _(spark, sf):
-    w = settled(spark, S.poll_sessions(event_stream(spark, sf), "ts", "user_id", "12 hours", "40 days"), ["user_id", "session_start"], "append")
-    batch = S.poll_sessions(table(spark, sf, "events"), "ts", "user_id", "12 hours", "40 days")
-    # Sessions that the watermark has not closed yet are not emitted; the batch form of the same plan has all of them.
-    return batch.join(w.select("user_id", "session_start", F.lit(True).alias("closed")), ["user_id", "session_start"], "left").select(
-        "user_id", F.date_format("session_start", "yyyy-MM-dd HH:mm:ss").alias("start"), "n"
-    )
+    """Sessions that the stream has closed. Two heartbeats after the last event close the last ones: the first moves the
+    watermark past their ends, the next one lets the stream act on it."""
+    folder, files = event_files(spark, sf)
+    out = shared_folder(spark, "sessions")
+    for days in (30, 31):
+        heartbeat(spark, sf, folder, days)
+        sessions = S.poll_sessions(read_files(spark, sf, folder, files), "ts", "user_id", "12 hours", "2 days")
+        S.run_available(sessions, S.edition_sink(f"{out}/out"), f"{out}/checkpoint", "append")
+    w = S.read_edition(spark, f"{out}/out", ["user_id", "session_start"])
+    return w.select("user_id", F.date_format("session_start", "yyyy-MM-dd HH:mm:ss").alias("start"), "n")
 
 
 @query("st7_success_streaks", """
@@ -104,6 +142,14 @@ def _(spark, sf):
     return e.withColumn("p", S.progress_counters(F.col("s"), F.col("g"), F.col("f"))).select("user_id", "p.selected", "p.completed", "p.remaining")
 
 
+@query("st10_progress_table", f"WITH {SQL_SLICES} SELECT CAST(slice AS INTEGER) AS batch_id, count(*) AS input_rows FROM sl GROUP BY 1")
+def _(spark, sf):
+    """What a listener wrote about each micro-batch while the stream ran."""
+    folder = shared_folder(spark, "logged")
+    log = S.run_logged(event_stream(spark, sf), S.edition_sink(f"{folder}/out"), f"{folder}/checkpoint", "st10_progress_table", f"{folder}/progress")
+    return log.select("batch_id", "input_rows")
+
+
 @query("st11_stale_alert", "SELECT strftime(max(ts), '%Y-%m-%d') AS latest, count(*) AS n, CASE WHEN DATE '2024-02-05' - CAST(max(ts) AS DATE) > 3 THEN 'latest-stale' ELSE '' END AS codes FROM events")
 def _(spark, sf):
     """The alert reads the table that a stream has written."""

@@ -66,15 +66,17 @@ def ingest(entries: DataFrame, status: DataFrame, seen: DataFrame, now: Column,
 
 
 def detect_updates(candidates: DataFrame, prior: DataFrame) -> DataFrame:
-    """JB14. Best earlier article per candidate (similar title or same URL) and the class of the update.
+    """JB14, CL19. Best earlier article per candidate (similar title or same source URL) and the class of the update.
 
-    Both have id, title, url, body; candidates also verified, prior also ord. Equal titles of earlier articles are
-    collapsed to the first one, so a hot title is one row.
+    Both have id, title, url (of the source), more_urls (raw and canonical ones; nulls and empty ones don't count) and body (all
+    text fields, see ``update_text``); candidates also verified, prior also ord. Each text is read once, for its numbers (kept as
+    one hash) and for words of correction. Equal titles of earlier articles are collapsed to the first one, so a hot title is one
+    row.
     """
     def slim(df: DataFrame, *keep: str) -> DataFrame:
-        """What the comparison needs of the texts, read from them once."""
-        words, numbers = F.array_sort(tx.title_tokens(F.col("title"))), F.array_join(tx.plain_numbers(F.col("body")), "|")
-        return cut_lineage(df.select("id", "url", *keep, words.alias("words"), numbers.alias("numbers"), matches(F.col("body"), CORRECTION_WORDS).alias("corrects")))
+        words, numbers = F.array_sort(tx.title_tokens(F.col("title"))), F.sha2(F.array_join(tx.plain_numbers(F.col("body")), "|"), 256)
+        urls = F.array_distinct(F.filter(F.concat(F.array("url"), "more_urls"), lambda u: F.coalesce(u, F.lit("")) != ""))
+        return cut_lineage(df.select("id", F.coalesce("url", F.lit("")).alias("url"), *keep, words.alias("words"), numbers.alias("numbers"), urls.alias("urls"), matches(F.col("body"), CORRECTION_WORDS).alias("corrects")))
 
     cand, old = slim(candidates, "verified"), slim(prior, "ord")
     firsts = dedup.first_per_key(old.where(F.size("words") > 0), ["words"], [F.col("ord")])
@@ -87,12 +89,16 @@ def detect_updates(candidates: DataFrame, prior: DataFrame) -> DataFrame:
     # A shared URL counts as a score of 1; among equals the earlier article in the list wins.
     use_url = F.col("u_id").isNotNull() & (F.col("t_id").isNull() | (F.col("t_score") < 1) | (F.col("u_ord") < F.col("t_ord")))
     joined = joined.withColumn("match_id", F.when(use_url, F.col("u_id")).otherwise(F.col("t_id")))
-    p = old.select(F.col("id").alias("match_id"), F.col("words").alias("p_words"), F.col("url").alias("p_url"), F.col("numbers").alias("p_numbers"))
+    p = old.select(F.col("id").alias("match_id"), F.col("words").alias("p_words"), F.col("urls").alias("p_urls"), F.col("numbers").alias("p_numbers"))
     full = joined.join(p, "match_id", "left")
-    same_source = (F.col("url") != "") & F.col("url").eqNullSafe(F.col("p_url"))
+    same_source = F.coalesce(F.arrays_overlap("urls", "p_urls"), F.lit(False))
     title_score = F.coalesce(tx.overlap_similarity(F.col("words"), F.col("p_words")), F.lit(0.0))
     return full.select(
         "id", "match_id", F.round(title_score, 3).alias("title_similarity"), same_source.alias("same_source"),
-        rules.update_class(F.col("match_id").isNotNull(), F.col("verified"), same_source, F.col("numbers") == F.col("p_numbers"), title_score, F.col("corrects")).alias("class"),
+        rules.update_class(F.col("match_id").isNotNull(), F.col("verified"), same_source, F.col("numbers") == F.col("p_numbers"), F.round(title_score, 3), F.col("corrects")).alias("class"),
     )
 
+
+def update_text(*fields: str) -> Column:
+    """CL19. The text that updates are compared by: all text fields and paragraphs that are there, joined by blanks."""
+    return F.concat_ws(" ", *[F.when(F.col(f) != "", F.col(f)) if f != "paragraphs" else F.col(f) for f in fields])

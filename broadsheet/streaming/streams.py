@@ -6,11 +6,13 @@ bounded by the watermark; where the bound is a count (the seen list), the state
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..constants import FEED_MAX_AGE_DAYS
@@ -52,8 +54,15 @@ def recent_news(stream: DataFrame, ts: str, keys: list[str], delay: str = "10 da
 
 
 def poll_sessions(stream: DataFrame, ts: str, feed: str, gap: str = "3 days", delay: str = "10 days") -> DataFrame:
-    """ST6. Runs of publications of a feed without a longer pause."""
-    out = stream.withWatermark(ts, delay).groupBy(F.session_window(ts, gap), feed).agg(F.count("*").alias("n"))
+    """ST6. Runs of publications of a feed without a longer pause.
+
+    A session is emitted once the watermark has passed its end. When the feeds fall silent, a heartbeat (a row without a feed and
+    with a later time) moves the watermark on, so the last sessions close as well; rows without a feed make no session.
+    """
+    stream = stream.withWatermark(ts, delay)
+    out = stream.groupBy(F.session_window(ts, gap), feed).agg(F.count("*").alias("n"))
+    # Asked of the count, so that the filter stays above the watermark and heartbeats are seen there.
+    out = out.where(F.when(F.col(feed).isNotNull(), F.col("n")) > 0)
     return out.select(feed, F.col("session_window.start").alias("session_start"), F.col("session_window.end").alias("session_end"), "n")
 
 
@@ -127,13 +136,60 @@ def retry_sink(out_path: str, seen_path: str, key: str, ok: str, order: list[Col
     return write
 
 
-def run_available(stream: DataFrame, sink: Batch, checkpoint: str, mode: str = "append"):
+def run_available(stream: DataFrame, sink: Batch, checkpoint: str, mode: str = "append", name: str | None = None):
     """Process everything there is, then stop; the checkpoint folder must be shared by all executors."""
-    query = stream.writeStream.foreachBatch(sink).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    writer = stream.writeStream.foreachBatch(sink).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    query = (writer.queryName(name) if name else writer).start()
     query.awaitTermination()
     return query
 
 
+class ProgressLog(StreamingQueryListener):
+    """ST10. Writes a row per micro-batch of one named query to a shared table, as the batches end.
+
+    A batch has a folder of its own, so a batch that runs again after a restart replaces its row. Between start and termination
+    the table can be read at any time; ``finished`` waits until the last row is written.
+    """
+
+    def __init__(self, spark: SparkSession, name: str, path: str):
+        self._spark, self._name, self._path, self._run, self._done = spark, name, path, None, threading.Event()
+
+    def onQueryStarted(self, event) -> None:
+        if event.name == self._name:
+            self._run = str(event.runId)
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        if p.name == self._name and p.numInputRows:  # a batch without rows only closes windows
+            row = [(p.numInputRows, float(p.processedRowsPerSecond), p.timestamp)]
+            self._spark.createDataFrame(row, "input_rows long, rows_per_second double, started string").write.mode("overwrite").parquet(f"{self._path}/batch_id={p.batchId}")
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        if str(event.runId) == self._run:
+            self._done.set()
+
+    def finished(self, seconds: float = 60) -> DataFrame:
+        """The table, once the query has ended."""
+        if not self._done.wait(seconds):
+            raise TimeoutError(f"no end of query {self._name} within {seconds} s")
+        return self._spark.read.parquet(self._path)
+
+
+def run_logged(stream: DataFrame, sink: Batch, checkpoint: str, name: str, log_path: str, mode: str = "append") -> DataFrame:
+    """ST10. Run a stream to its end and return its progress table (batch_id, input_rows, rows_per_second, started)."""
+    spark = stream.sparkSession
+    log = ProgressLog(spark, name, log_path)
+    spark.streams.addListener(log)
+    try:
+        run_available(stream, sink, checkpoint, mode, name)
+        return log.finished()
+    finally:
+        spark.streams.removeListener(log)
+
+
 def progress_rows(spark: SparkSession, query) -> DataFrame:
     """ST10. One row per micro-batch from Spark's own progress: selected, and per second; these are a few numbers each."""
     rows = [(p.batchId, p.numInputRows, float(p.processedRowsPerSecond)) for p in query.recentProgress]

@@ -25,3 +25,33 @@ def test_ingest_ranks_by_the_exact_score(spark):
     seen = spark.createDataFrame([], "key string")
     got = selection.ingest(entries, status, seen, F.lit("2024-01-05").cast("timestamp"), 1, 5, 1, "cat").collect()
     assert [r.id for r in got] == [2]  # 90 seconds newer, equal after rounding
+
+
+def test_update_classes(spark):
+    schema = "id string, ord long, title string, url string, more_urls array<string>, title_text string, paragraphs array<string>, verified boolean"
+    prior = [("p1", 1, "feline study of hearts", "u1", ["r1", None], "a", ["10 mg given", "2 cats"], None), ("p2", 2, "canine diet trial results", "", ["r2", "c2"], "b", ["5 %"], None)]
+    cand = [
+        ("duplicate", 0, "feline study of hearts", "u1", [], "a", ["10 mg", "given 2 cats"], True),
+        ("other-url", 0, "feline study of hearts", "x", [None], "a", ["99 mg"], True),
+        ("minor", 0, "renamed altogether", "u1", None, "a", ["10 mg given", "2 cats"], True),
+        ("substantive", 0, "renamed altogether", "u1", [""], "a", ["20 mg", "2"], True),
+        ("correction", 0, "feline study of hearts", "y", ["c9", "r1"], "a", ["an erratum: 20 mg"], True),
+        ("raw", 0, "canine diet trial results", "", ["c2"], "b", ["5 %"], True),
+        ("near", 0, "canine diet trial results again", "z", [], "b", ["5 %"], True),
+        ("new", 0, "entirely different words", None, [], "c", None, True),
+        ("unverified", 0, "", None, [], None, [], False),
+    ]
+    frame = lambda rows: spark.createDataFrame(rows, schema).withColumns({"body": selection.update_text("title_text", "paragraphs"), "more_urls": F.coalesce("more_urls", F.array().cast("array<string>"))})
+    got = {r.id: (r.match_id, r["class"]) for r in selection.detect_updates(frame(cand), frame(prior)).collect()}
+    assert got == {
+        "duplicate": ("p1", "duplicate"), "other-url": ("p1", "duplicate"), "minor": ("p1", "minor-update"), "substantive": ("p1", "substantive-update"), "correction": ("p1", "correction"),
+        "raw": ("p2", "duplicate"), "near": ("p2", "unresolved"), "new": (None, "separate-story"), "unverified": (None, "unresolved"),
+    }
+
+
+def test_all_update_classes_occur(spark):
+    from broadsheet import catalog
+
+    catalog.load_all()
+    got = {r["class"] for r in catalog.QUERIES["jb14_update_counts"](spark, "/root/testdata/sf0.001").collect()}
+    assert got == {"duplicate", "minor-update", "substantive-update", "correction", "separate-story", "unresolved"}

@@ -67,3 +67,31 @@ def test_progress_counters_are_clamped(spark):
     d = S.progress_counters(F.lit(3), F.lit(9), F.lit(9))
     a, b = spark.range(1).select(c.alias("a"), d.alias("b")).first()
     assert (a.completed, a.remaining, a.failed) == (8, 2, 0) and (b.completed, b.remaining, b.share) == (3, 0, 1.0)
+
+
+def test_last_sessions_close_over_several_batches(spark, tmp_path):
+    """A session that spans files stays open until a heartbeat has moved the watermark past its end."""
+    schema = "feed string, t string"
+    hours = lambda f, *hs: [(f, f"2024-01-{1 + h // 24:02d} {h % 24:02d}:00:00") for h in hs]
+    batches = [hours("a", 0, 5), hours("a", 10) + hours("b", 12), hours("a", 40, 45)]
+    stream = lambda: feed
+    feed = feed_in(spark, str(tmp_path), batches, schema).withColumn("ts", F.col("t").cast("timestamp"))
+    out = f"{tmp_path}/out"
+
+    def run():
+        S.run_available(S.poll_sessions(stream(), "ts", "feed", "12 hours", "1 hour"), S.edition_sink(out), f"{tmp_path}/cp")
+        return sorted((r.feed, str(r.session_start), r.n) for r in S.read_edition(spark, out, ["feed", "session_start"]).collect())
+
+    first = run()
+    assert ("a", "2024-01-02 16:00:00", 2) not in first
+    for k in (3, 4):
+        spark.createDataFrame([(None, f"2024-02-0{k} 00:00:00")], schema).coalesce(1).write.parquet(f"{tmp_path}/in/part={k}")
+        last = run()
+    assert last == [("a", "2024-01-01 00:00:00", 3), ("a", "2024-01-02 16:00:00", 2), ("b", "2024-01-01 12:00:00", 1)]
+
+
+def test_progress_log_has_a_row_per_batch(spark, tmp_path):
+    stream = feed_in(spark, str(tmp_path), [[("a",)], [("b",), ("c",)], [("d",)] * 3], "k string")
+    log = S.run_logged(stream, S.edition_sink(f"{tmp_path}/out"), f"{tmp_path}/cp", "logged", f"{tmp_path}/log")
+    assert sorted((r.batch_id, r.input_rows) for r in log.collect()) == [(0, 1), (1, 2), (2, 3)]
+    assert all(r.started for r in log.collect()) and spark.streams.active == []
