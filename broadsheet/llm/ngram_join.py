@@ -37,6 +37,8 @@ LEAST = 85
 #: n-grams of so many sets are looked at for it.
 MOST_HOT, HELD_OFTEN = 1 << 16, 8
 WORDS_OF_BITS = 8
+#: Bits of the filters that let the texts of undecided rows pass.
+BLOOM_BITS = 27
 #: One in so many hash classes of n-grams is counted to settle sets without partners.
 CLASSES = 4
 _U = np.uint64
@@ -93,12 +95,51 @@ def fingerprints(docs: DataFrame, n: int = N) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, digest long, row_id long, size long, print_a long, print_b long")
 
 
-def _with_row_ids(docs: DataFrame, n: int) -> DataFrame:
-    """(row_id, text) of rows of (doc_id, text)."""
+def _places(ids: np.ndarray, bits: int) -> list[np.ndarray]:
+    return [(mix(ids ^ _U(seed)) >> _U(64 - bits)).astype(np.int64) for seed in (0x51ED270B, 0xA24BAED4, 0x9FB21C65)]
+
+
+def bloom(ids: DataFrame, bits: int = BLOOM_BITS) -> np.ndarray:
+    """A Bloom filter of a column of longs, as 64-bit words. It always has 2 ** ``bits`` bits (16 MB), however many ids there are:
+    too many make it useless, not larger and not wrong."""
 
     def run(batches):
-        for keys, raw in slices(batches):
-            yield pa.RecordBatch.from_arrays([long(_row_ids(keys, list(ngram_sets(raw, n)))[0]), pa.array(raw, pa.binary()).cast(pa.string())], names=["row_id", "text"])
+        words = np.zeros(1 << (bits - 6), dtype=_U)
+        for batch in batches:
+            for at in _places(batch.column(0).to_numpy().view(_U), bits):
+                np.bitwise_or.at(words, at >> 6, _U(1) << (at & 63).astype(_U))
+        used = np.flatnonzero(words)
+        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), long(words[used])], names=["word", "mask"])
+
+    found = ids.mapInArrow(run, "word int, mask long").groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()
+    out = np.zeros(1 << (bits - 6), dtype=_U)
+    out[found.column("word").to_numpy()] = found.column("mask").to_numpy().view(_U)
+    return out
+
+
+def _among(ids: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Which ids the filter lets pass."""
+    bits = len(words).bit_length() - 1 + 6
+    out = np.ones(len(ids), dtype=bool)
+    for at in _places(ids, bits):
+        out &= (words[at >> 6] >> (at & 63).astype(_U)) & _U(1) != 0
+    return out
+
+
+def _with_row_ids(docs: DataFrame, chosen: DataFrame, n: int) -> DataFrame:
+    """(row_id, text) of rows of (doc_id, text) that are in ``chosen`` (id, doc_id), and of a few others. The filter stands where
+    the texts are read, so they are not shuffled."""
+    context = docs.sparkSession.sparkContext
+    filters = [context.broadcast(bloom(chosen.select(c))) for c in ("doc_id", "id")]
+
+    def run(batches):
+        of_doc, of_row = (f.value for f in filters)
+        for batch in batches:
+            some = batch.filter(pa.array(_among(batch.column(0).to_numpy().view(_U), of_doc)))
+            for keys, raw in slices([some]):
+                rows = _row_ids(keys, list(ngram_sets(raw, n)))[0]
+                hit = np.flatnonzero(_among(rows, of_row))
+                yield pa.RecordBatch.from_arrays([long(rows[hit]), pa.array([raw[i] for i in hit], pa.binary()).cast(pa.string())], names=["row_id", "text"])
 
     return docs.mapInArrow(run, "row_id long, text string")
 
@@ -140,38 +181,51 @@ def _hot(held: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 _BITS = [f"bits{k}" for k in range(WORDS_OF_BITS)]
 
 
-def features(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray], n: int = N, least: int = LEAST) -> DataFrame:
-    """Per row of (row_id, text, own: its own n-grams): its set, the place where its shared n-grams begin, its prefix of them rare
-    first, and the bitmap of parities."""
-    sent = docs.sparkSession.sparkContext.broadcast(hot)
+def features(docs: DataFrame, chosen: DataFrame, n: int = N) -> DataFrame:
+    """Per row of (row_id, text) in ``chosen`` (row_id), once: its set and the bitmap of parities."""
     width = 64 * WORDS_OF_BITS
+    sent = docs.sparkSession.sparkContext.broadcast(bloom(chosen))
+
+    def run(batches):
+        for batch in batches:
+            some = batch.filter(pa.array(_among(batch.column(0).to_numpy().view(_U), sent.value)))
+            for keys, raw in slices([some]):
+                sets = list(ngram_sets(raw, n))
+                bits = [np.packbits((np.bincount((own & _U(width - 1)).astype(np.int64), minlength=width) & 1).astype(np.uint8)).view(np.int64) for own in sets]
+                arrays = [pa.array(keys, pa.int64()), pa.array([len(own) for own in sets], pa.int64()), pa.array([own.tobytes() for own in sets], pa.binary())]
+                yield pa.RecordBatch.from_arrays(arrays + [pa.array(column) for column in np.stack(bits).T.copy()], names=["row_id", "size", "grams", *_BITS])
+
+    made = docs.mapInArrow(run, "row_id long, size long, grams binary, " + ", ".join(f"{b} long" for b in _BITS))
+    return made.join(chosen, "row_id", "left_semi").dropDuplicates(["row_id"])
+
+
+def prefixes(sets: DataFrame, hot: tuple[np.ndarray, np.ndarray], least: int) -> DataFrame:
+    """(id, size, pos, gram) of the shared n-grams in the prefix of each set (id, size, grams, own: its own n-grams), rare first;
+    its own n-grams take the first places."""
+    sent = sets.sparkSession.sparkContext.broadcast(hot)
 
     def run(batches):
         grams_hot, counts_hot = sent.value
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                some = batch.slice(at, 64)
-                sizes, grams, begins, prefixes, bits = [], [], [], [], []
-                alone = [np.array(x or [], dtype=np.int64).view(_U) for x in some.column(2).to_pylist()]
-                for own, single in zip(ngram_sets(list(text_bytes(some.column(1))), n), alone):
-                    sizes.append(len(own))
-                    grams.append(own.tobytes())
-                    shared = np.setdiff1d(own, single, assume_unique=True)
-                    begins.append(len(own) - len(shared))
-                    place = np.searchsorted(grams_hot, shared)
-                    known = place < len(grams_hot)
-                    known[known] = grams_hot[place[known]] == shared[known]
-                    count = np.zeros(len(shared), dtype=np.int64)
-                    count[known] = counts_hot[place[known]]
-                    order = np.argsort(count, kind="stable")
-                    prefixes.append(shared[order[: max(0, prefix_length(len(own), least) - begins[-1]) if len(own) else 0]])
-                    bits.append(np.packbits((np.bincount((own & _U(width - 1)).astype(np.int64), minlength=width) & 1).astype(np.uint8)).view(np.int64))
-                ends = np.cumsum([0, *map(len, prefixes)]).astype(np.int32)
-                arrays = [some.column(0), pa.array(sizes, pa.int64()), pa.array(grams, pa.binary()), pa.array(begins, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), long(np.concatenate(prefixes)))]
-                arrays += [pa.array(column) for column in np.stack(bits).T.copy()]
-                yield pa.RecordBatch.from_arrays(arrays, names=["id", "size", "grams", "begin", "prefix", *_BITS])
-
-    return docs.mapInArrow(run, "id long, size long, grams binary, begin long, prefix array<long>, " + ", ".join(f"{b} long" for b in _BITS))
+            places, grams, counts = [], [], []
+            for size, whole, single in zip(batch.column(1).to_pylist(), batch.column(2), batch.column(3).to_pylist()):
+                own = np.frombuffer(whole.as_py(), dtype=_U)
+                shared = np.setdiff1d(own, np.array(single or [], dtype=np.int64).view(_U), assume_unique=True)
+                begin = size - len(shared)
+                place = np.searchsorted(grams_hot, shared)
+                known = place < len(grams_hot)
+                known[known] = grams_hot[place[known]] == shared[known]
+                count = np.zeros(len(shared), dtype=np.int64)
+                count[known] = counts_hot[place[known]]
+                first = shared[np.argsort(count, kind="stable")[: max(0, prefix_length(size, least) - begin)]]
+                grams.append(first)
+                places.append(np.arange(begin, begin + len(first)))
+                counts.append(len(first))
+            if counts:
+                taken = pa.array(np.repeat(np.arange(len(counts)), counts))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(taken), batch.column(1).take(taken), pa.array(np.concatenate(places).astype(np.int64)), long(np.concatenate(grams))], names=["id", "size", "pos", "gram"])
+
+    return sets.mapInArrow(run, "id long, size long, pos long, gram long")
 
 
 # ---------------------------------------------------------------- candidates
@@ -228,18 +282,18 @@ def _grouped(docs: DataFrame, n: int, least: int) -> DataFrame:
     named = docs.where("doc_id IS NOT NULL").select("doc_id", "text")
     sample = _holders(named, n, CLASSES).groupBy("gram").agg(F.min("row_id").alias("low"), F.max("row_id").alias("high"))
     unsure = store(leaders.join(_own(sample), "id", "left").where(F.coalesce("own", F.lit(0)) < longest).select("id", "size", F.col("of_doc").alias("doc_id")), "ngram-unsure")
-    unsure_texts = store(_with_row_ids(named.join(unsure, "doc_id", "left_semi"), n), "ngram-texts")
+    unsure_texts = store(_with_row_ids(named, unsure.select("id", "doc_id"), n), "ngram-texts")
     held = _holders(unsure_texts, n, 1).groupBy("gram").agg(F.count("*").alias("n"), F.min("row_id").alias("low"), F.max("row_id").alias("high"))
     held = store(held.where((F.col("low") == F.col("high")) | (F.col("n") >= HELD_OFTEN)), "ngram-held")
     still = store(unsure.join(_own(held), "id", "left").where(F.coalesce("own", F.lit(0)) < longest).select(F.col("id").alias("row_id")), "ngram-still")
-    alone = held.where("low = high").select(F.col("low").alias("row_id"), "gram").join(still, "row_id", "left_semi").groupBy("row_id").agg(F.collect_list("gram").alias("own"))
-    with_own = unsure_texts.join(still, "row_id", "left_semi").dropDuplicates(["row_id"]).join(alone, "row_id", "left").select("row_id", "text", "own")
-    sets = store(features(with_own, _hot(held), n, least).withColumnRenamed("row_id", "id"), "ngram-sets")
+    sets = store(features(unsure_texts, still, n).withColumnRenamed("row_id", "id"), "ngram-sets")
+    alone = held.where("low = high").select(F.col("low").alias("row_id"), "gram").join(still, "row_id", "left_semi").groupBy(F.col("row_id").alias("id")).agg(F.collect_list("gram").alias("own"))
+    rows = store(prefixes(sets.select("id", "size", "grams").join(alone, "id", "left").select("id", "size", "grams", "own"), _hot(held), least), "ngram-prefixes")
     discard(unsure, unsure_texts, held, still)
 
-    rows = sets.select("id", "size", "begin", F.posexplode("prefix").alias("pos", "gram")).withColumn("pos", (F.col("pos") + F.col("begin")).cast("long")).drop("begin")
     often = rows.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
     narrow = store(rows.join(often, "gram", "left_semi"), "ngram-met")  # prefix n-grams of at least two sets
+    discard(rows)
     central = narrow.groupBy("id", "size").agg(F.count("*").alias("n")).select("id", (F.col("n") / longest).alias("central"))
     met = store(narrow.join(central, "id").join(sets.select("id", *_BITS), "id"), "ngram-rows")
     discard(narrow)

@@ -144,6 +144,40 @@ def test_ngram_edges(spark):
     assert kept.columns == docs.columns and sorted(str(r.doc_id) for r in kept.collect()) == ["1", "3", "None"]
 
 
+def test_ngram_rows_that_share_an_id(spark):
+    """Different texts under one id are different documents: a near copy is linked, another text is left alone."""
+    passage, other = prose(40, 80), prose(41, 60)
+    rows = [(1, passage), (5, passage + " word"), (5, other), (5, passage + " word"), (7, other + " end"), (None, passage)]
+    got = sorted(map(tuple, ngram_join.classes(frame(spark, rows, clashing=True)).select("doc_id", "component_id").collect()), key=str)
+    assert got == sorted([(1, 1), (5, 1), (5, 5), (5, 1), (7, 5), (None, None)], key=str)
+    kept = sorted(((str(r.doc_id), r.text) for r in ngram_join.keep_one(frame(spark, rows, clashing=True)).collect()))
+    assert kept == sorted([("1", passage), ("5", other), ("None", passage)])
+
+
+def test_ngram_families_that_share_ngrams(spark):
+    """Overlapping families around common passages, some just below the limit: the groups of brute force, and few pairs."""
+    rng = random.Random(21)
+    common = [prose(500 + k, 40) for k in range(5)]
+    rows = []
+    for k in range(60):
+        base = (rng.choice(common) + " " + prose(600 + k, 60) + " " + rng.choice(common)).split()
+        for _ in range(rng.choice((1, 2, 6))):
+            own = list(base)
+            for _ in range(rng.choice((0, 2, 4, 6))):
+                own[rng.randrange(len(own))] = f"e{rng.random():.9f}"
+            rows.append((len(rows), " ".join(own)))
+    got = {r[0]: (r[1], r[2]) for r in ngram_join.classes(frame(spark, rows)).collect()}
+    assert got == plain_classes(rows, 4, 85)
+
+
+def test_bloom_filter_lets_its_ids_pass(spark):
+    import numpy as np
+
+    words = ngram_join.bloom(spark.range(0, 3000, 3), 16)
+    got = ngram_join._among(np.arange(3000, dtype=np.int64).view(np.uint64), words)
+    assert len(words) == 1 << 10 and got[::3].all() and got.mean() < 0.4
+
+
 def test_components(spark):
     rng = random.Random(5)
     links = [(k, k + 1) for k in range(0, 300)] + [(1000, 1000 + k) for k in range(1, 200)] + [(rng.randrange(2000, 2200), rng.randrange(2000, 2200)) for _ in range(150)]
