@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import aggregate as A
 from ..operators import filters as FL
 from ..operators import rules as R
+from ..session import shared_folder
 from . import query
 from .rules import SQL_DIAGNOSTIC, events_diagnostic
 from .tables import ITEMS, items, table, with_sql
@@ -166,6 +167,20 @@ def _(spark, sf):
     return both.select(F.col("users").alias("user_id"), "event_type", close.alias("close"))
 
 
+@query("ag18_united_sketches", "SELECT event_type, count(DISTINCT user_id) AS users, count(DISTINCT props) AS props, TRUE AS close FROM events GROUP BY 1")
+def _(spark, sf):
+    """Sketches are stored per day and united; the exact counts stand beside the estimates, which have to be within 5 percent (three
+    standard errors), or within one of a few."""
+    e = table(spark, sf, "events")
+    path = shared_folder(spark, "sketches")
+    A.period_sketches(e, F.to_date("ts"), ["event_type"], ["user_id", "props"]).write.partitionBy("period").parquet(path)
+    near = A.united_counts(spark.read.parquet(path), ["event_type"], ["user_id", "props"])
+    exact = e.groupBy(F.col("event_type").alias("type")).agg(F.countDistinct("user_id").alias("users"), F.countDistinct("props").alias("all_props"))
+    both = near.join(exact, near["event_type"].eqNullSafe(exact["type"]))
+    within = lambda a, b: F.abs(F.col(a) - F.col(b)) <= F.greatest(F.col(b) * 0.05, F.lit(1))
+    return both.select("event_type", "users", F.col("all_props").alias("props"), (within("user_id", "users") & within("props", "all_props")).alias("close"))
+
+
 @query("ag19_newest_runs_median", """
     WITH r AS (SELECT user_id, value, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id) AS rn FROM events)
     SELECT user_id, count(*) AS runs, list_sort(list(value))[1 + count(*) // 2] AS value FROM r WHERE rn <= 3 GROUP BY user_id""")

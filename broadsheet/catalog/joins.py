@@ -10,10 +10,10 @@ from ..functions.patterns import compact
 from ..operators import filters as FL
 from ..operators import joins as J
 from ..operators import rules as R
-from ..operators import coverage, setops, similarity
+from ..operators import coverage, search, setops, similarity
 from ..operators.pages import with_meta
 from ..plans import audits, resolution
-from ..session import cut_lineage
+from ..session import cut_lineage, shared_folder
 from ..sources.feeds import official
 from . import query
 from .identity import registry_domains, sql_tokens
@@ -102,6 +102,17 @@ def _(spark, sf):
     return hits.select("doc_id")
 
 
+@query("fl11_indexed_search", with_sql(ITEMS, """
+    SELECT doc_id FROM items WHERE category = 'en' AND contains(lower(concat_ws(' ', title, lead, source_label, text)), 'ther th') AND event_type <> 'view'"""))
+def _(spark, sf):
+    """The search over monthly chunks and their postings, which are written first."""
+    i = items(spark, sf).withColumn("month", F.date_format("date", "yyyy-MM"))
+    path = shared_folder(spark, "search")
+    search.write_index(i.select("doc_id", "month", "category", "event_type", "title", "lead", "source_label", "text"), "doc_id", "month", ["title", "lead", "source_label", "text"], path)
+    seen = spark.read.parquet(f"{path}/chunks").where("event_type = 'view' OR event_type IS NULL").select("doc_id")
+    return search.search_index(spark, path, " Ther tH ", "en", seen, "doc_id").select("doc_id")
+
+
 @query("jn1_attach_scores", "SELECT d.doc_id, d.source, l.quality, l.toxic FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id")
 def _(spark, sf):
     return J.attach_scores(table(spark, sf, "documents"), table(spark, sf, "labels"), "doc_id").select("doc_id", "source", "quality", "toxic")

@@ -156,6 +156,17 @@ def distinct_counts(df: DataFrame, columns: list[str], exact: bool = True) -> Da
     return df.agg(*[F.countDistinct(c).alias(c) for c in columns])
 
 
+def period_sketches(df: DataFrame, period: Column, keys: list[str], columns: list[str], bits: int = 12) -> DataFrame:
+    """AG18. One row per period and keys with a mergeable sketch of the distinct values of each column, to be stored: counts of
+    any span of periods come from these rows, without the values. The standard error is 1.04 / sqrt(2 ** bits)."""
+    return df.groupBy(period.alias("period"), *keys).agg(*[F.hll_sketch_agg(F.col(c), F.lit(bits)).alias(c) for c in columns])
+
+
+def united_counts(sketches: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """AG18. Approximate distinct counts over all periods of stored sketches, per keys."""
+    return sketches.groupBy(*keys).agg(*[F.hll_sketch_estimate(F.hll_union_agg(c)).alias(c) for c in columns])
+
+
 def newest_runs_median(df: DataFrame, key: str, order: list[Column], values: list[str], runs: int = 3) -> DataFrame:
     """AG19. Median by position of the newest runs of each key."""
     recent = df.withColumn("_rn", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where(F.col("_rn") <= runs)

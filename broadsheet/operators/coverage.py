@@ -25,7 +25,7 @@ def words_of(value: Column) -> Column:
     return F.filter(F.array_distinct(F.split(F.coalesce(value, F.lit("")), f"[{WS}·,/]+")), lambda w: w != "")
 
 
-def _grams(value: Column, n: int) -> Column:
+def grams(value: Column, n: int) -> Column:
     """Distinct ``n``-letter grams; none for shorter texts."""
     starts = F.sequence(F.lit(1), F.length(value) - n + 1)
     return F.when(F.length(value) >= n, F.array_distinct(F.transform(starts, lambda i: F.substring(value, i, F.lit(n))))).otherwise(F.array().cast("array<string>"))
@@ -33,9 +33,9 @@ def _grams(value: Column, n: int) -> Column:
 
 def words_with(terms: DataFrame, words: DataFrame) -> DataFrame:
     """(term, word) where the word contains the term. Both sides hold distinct texts, terms at least two letters."""
-    wanted = cut_lineage(terms.select("term", F.explode(F.when(F.length("term") == 2, F.array("term")).otherwise(_grams(F.col("term"), 3))).alias("gram")))
-    grams = words.select("word", F.explode(F.concat(_grams(F.col("word"), 2), _grams(F.col("word"), 3))).alias("gram"))
-    postings = cut_lineage(grams.join(wanted.select("gram").distinct(), "gram", "left_semi"))
+    wanted = cut_lineage(terms.select("term", F.explode(F.when(F.length("term") == 2, F.array("term")).otherwise(grams(F.col("term"), 3))).alias("gram")))
+    cut = words.select("word", F.explode(F.concat(grams(F.col("word"), 2), grams(F.col("word"), 3))).alias("gram"))
+    postings = cut_lineage(cut.join(wanted.select("gram").distinct(), "gram", "left_semi"))
     sizes = postings.groupBy("gram").agg(F.count("*").alias("n"))
     # A gram that no word has settles its term: no word contains it.
     rarest = wanted.join(sizes, "gram", "left").groupBy("term").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("best"))
