@@ -338,6 +338,47 @@ def test_blocks_of_odd_pages(html, want):
     assert wrapper.read_page(html)[0] == want
 
 
+@pytest.mark.parametrize("html,want", [
+    ("<article><section id='search-algorithms'><p>a</p></section><h2 id='related-work'>b</h2><p class='notice-of-terms'>c</p><h3 id='sharing-data'>d</h3><p data-id='login'>e</p></article>", list("abcde")),
+    ("<article><ol><li><a href='#1'>Smith 2001</a></li></ol><table><tr><td><a href='x'>cell</a></td></tr></table></article>", ["Smith 2001", "cell"]),
+    ("<article><p>a <button>Go</button> b</p><select><option>One</option><option>Two</option></select><textarea>t</textarea><label>L</label><dialog><p>D</p></dialog><fieldset><p>F</p></fieldset></article>", ["a b"]),
+    ("<article><p>a</p><div class='ad-box'>x</div><div id='comments'><p>c</p></div><section class='newsletter signup'>n</section><nav>m</nav><aside>s</aside><p>z</p></article>", ["a", "z"]),
+    ("<p>unclosed <label>rest</p><p>more</p>", ["unclosed rest", "more"]),
+])
+def test_content_and_furniture_inside_an_article(html, want):
+    assert wrapper.read_page(html)[0] == want
+
+
+def test_templates_of_short_pages_and_of_two_layouts(spark):
+    """Constant blocks go however much of a page they are, in every layout of a host; rows that share an id, or have none, keep
+    what is theirs."""
+    notice = "This long notice stands on every page of the host, word for word, and is much longer than the articles are."
+    rows = [(k, "https://short.example.com/%d" % k, f"<article><p>Text {k}</p><div><p>{notice}</p></div></article>") for k in range(6)]
+    for k in range(6):
+        rows.append((10 + k, "https://two.example.com/%d" % k, f"<article><h1>A {k}</h1><p>Said here {k}</p><p>Closing line.</p></article>"))
+        rows.append((20 + k, "https://two.example.com/b%d" % k, f"<main><section><div><p>B text {k}</p></div><footer>f</footer></section><p>Closing line.</p></main>"))
+    rows += [(3, "https://short.example.com/x", f"<article><p>p3 differs</p><div><p>{notice}</p></div></article>"), (None, "https://short.example.com/y", f"<article><p>no id</p><div><p>{notice}</p></div></article>")]
+    got = sorted((str(r.page_id), r.url[-2:], r.text) for r in wrapper.main_text(spark.createDataFrame(rows, PAGES)).collect())
+    want = [(str(k), f"/{k}", f"Text {k}") for k in range(6)] + [(str(10 + k), f"/{k}", f"A {k}\n\nSaid here {k}") for k in range(6)] + [(str(20 + k), f"b{k}", f"B text {k}") for k in range(6)]
+    assert got == sorted(want + [("3", "/x", "p3 differs"), ("None", "/y", "no id")])
+
+
+@pytest.mark.parametrize("page_text", ["<b" * 500_000, "<!" * 500_000, "<svg>" * 200_000, '<b "' * 250_000, "<div>" * 60_000 + "</p>" * 60_000, "<article>" + "<div>x" * 30_000])
+def test_odd_pages_take_time_by_their_length(page_text):
+    import time
+
+    started = time.process_time()
+    wrapper.read_page(page_text)
+    assert time.process_time() - started < 5
+
+
+def test_wide_pages_are_aligned_by_equal_children():
+    import json
+
+    a, b = (json.dumps(["body", [[f"p.{i + shift}", []] for i in range(3000)]]) for shift in (0, 7))
+    assert wrapper.align(a, b) == (0, *[-1] * 7, *range(1, 2994))
+
+
 def test_alignment():
     import json
 
