@@ -250,9 +250,9 @@ def _(spark, sf):
     )
 
 
-@query("id24_compact_article", with_sql(ITEMS, "SELECT doc_id, title, substr(lead, 1, 180) AS deck, category, strftime(date, '%Y-%m-%d') AS day, source_url FROM items"))
+@query("id24_compact_article", with_sql(ITEMS, "SELECT doc_id, title, lead AS deck, category, strftime(date, '%Y-%m-%d') AS day, source_url FROM items"))
 def _(spark, sf):
-    return items(spark, sf).select("doc_id", "title", F.substring("lead", 1, 180).alias("deck"), "category", F.date_format("date", "yyyy-MM-dd").alias("day"), "source_url")
+    return items(spark, sf).select("doc_id", "title", F.col("lead").alias("deck"), "category", F.date_format("date", "yyyy-MM-dd").alias("day"), "source_url")
 
 
 @query("id25_evidence_metadata", with_sql(ITEMS, """

@@ -14,7 +14,7 @@ from ..plans import audits, publication, queue, selection
 from . import query
 from .identity import sql_title_key, sql_tokens
 from .joins import DEMANDS, SQL_COVER, SQL_KEYWORDS, keywords, shown_articles
-from .rules import ITEMS_Q, SQL_CLAIMS, SQL_DIAGNOSTIC, SQL_INDEXABLE, joined, rx, sql_codes
+from .rules import ITEMS_Q, SQL_CLAIMS, SQL_DIAGNOSTIC, SQL_EVALUATED, SQL_INDEXABLE, joined, rx, sql_codes
 from .tables import ART, DATED, ITEMS, articles, dated, items, now, sql_normal_url, sql_path, sql_strip, table, with_sql
 from .texts import SQL_PAGE_TITLE, sql_paras
 
@@ -58,9 +58,9 @@ def _(spark, sf):
       || CASE WHEN regexp_matches(html, 'href=["'']/(article|issues/)[^"'']+', 'i') THEN '' ELSE ',homepage-article-links-missing' END AS codes FROM pages""")
 def _(spark, sf):
     n = F.col("page_id") % 3
-    inline = F.when(n == 0, f'<script id="{C.HOME_DATA_ID}" type="application/json">' + '{"count": 3, "articles": [{}, {}]}</script>').when(n == 1, f'<script id="{C.HOME_DATA_ID}">' + '{bad</script>').otherwise("")
+    inline = F.when(n == 0, '<script id="edition-data" type="application/json">' + '{"count": 3, "articles": [{}, {}]}</script>').when(n == 1, '<script id="edition-data">' + '{bad</script>').otherwise("")
     p = table(spark, sf, "pages").select("page_id", F.concat(inline, "html").alias("html"))
-    return pages.homepage_checks(p).select("page_id", joined("codes").alias("codes"))
+    return pages.homepage_checks(p, "edition-data").select("page_id", joined("codes").alias("codes"))
 
 
 @query("ag14_page_reasons", """
@@ -265,7 +265,23 @@ def release_inputs(spark, sf):
     return drafts, i.where("workflow_status = 'published'")
 
 
-@query("jb10_release")
+# The same rules over drafts, whose text stands for their lead.
+SQL_DRAFTS = (
+    ITEMS_Q.replace("iqp AS (", "iqd AS (SELECT * REPLACE (body AS lead, 'brief' AS content_tier) FROM iq0 WHERE workflow_status IN ('draft', 'automated', 'approved')),\niqp AS (").replace("FROM iq0),\niq2", "FROM iqd),\niq2")
+    + ", " + SQL_CLAIMS + "," + SQL_EVALUATED + f""",
+pub AS (SELECT id, date, value, {sql_normal_url('source_url')} AS source_key FROM items WHERE workflow_status = 'published'),
+days AS (SELECT source_key, min(date) AS a, max(date) AS z FROM pub WHERE source_key <> '' GROUP BY 1),
+o0 AS (SELECT e.*, {sql_normal_url('e.source_url')} AS source_key FROM evaluated e),
+o1 AS (SELECT o.*, CASE WHEN EXISTS (SELECT 1 FROM pub p WHERE p.date = o.date AND (p.id = o.id OR (p.source_key = o.source_key AND p.source_key <> ''))) THEN 'published-today' WHEN d.a <> o.date OR d.z <> o.date THEN 'published-before' ELSE status END AS judged
+  FROM o0 o LEFT JOIN days d ON d.source_key = o.source_key),
+o2 AS (SELECT *, CASE WHEN judged = 'ready-public-brief' AND source_key <> '' AND row_number() OVER (PARTITION BY judged, source_key ORDER BY doc_id) > 1 THEN 'published-before' ELSE judged END AS outcome FROM o1)"""
+)
+
+
+@query("jb10_release", with_sql(SQL_DRAFTS, f"""
+    , h AS (SELECT date, count(*) AS have FROM pub WHERE value > 80 GROUP BY 1),
+    k AS (SELECT id, date, grade, row_number() OVER (PARTITION BY date ORDER BY grade = 'index-news' DESC, index_candidate DESC, coalesce(selection_score, 0) DESC, id) AS n FROM o2 WHERE outcome = 'ready-public-brief')
+    SELECT k.id, k.date, k.grade, CAST(k.n AS INTEGER) AS release_rank FROM k LEFT JOIN h ON h.date = k.date WHERE k.n <= greatest(0, {C.DAILY_TARGET} - coalesce(have, 0))"""))
 def _(spark, sf):
     drafts, out = release_inputs(spark, sf)
     evaluated = publication.evaluate_release(drafts, out, "date", F.col("lang").isin("en", "fr"), F.col("doc_id"))
@@ -273,7 +289,7 @@ def _(spark, sf):
     return picked.select("id", "date", "e.grade", "release_rank")
 
 
-@query("jb10_outcomes")
+@query("jb10_outcomes", with_sql(SQL_DRAFTS, "SELECT outcome, count(*) AS n FROM o2 GROUP BY 1"))
 def _(spark, sf):
     drafts, out = release_inputs(spark, sf)
     evaluated = publication.evaluate_release(drafts, out, "date", F.col("lang").isin("en", "fr"), F.col("doc_id"))

@@ -312,14 +312,34 @@ def _(spark, sf):
     return hits.select("doc_id", "h.term", joined("h.matched").alias("matched"), joined("h.forbidden").alias("forbidden"))
 
 
-@query("cl17_warning_triage")
+_ACRONYM = "^[A-Z][A-Z0-9-]{1,8}$"
+_SAFE = "".join(f" WHEN known = '{term}' THEN struct_pack(c := '{kind}', f := {confidence}::DOUBLE, h := FALSE)" for term, kind, confidence in C.SAFE_REPLACEMENTS)
+
+
+@query("cl17_warning_triage", with_sql(ITEMS_Q, f"""
+    , w AS (SELECT doc_id, title, unnest({SQL_LANGUAGE}) AS warning FROM iq), n AS (SELECT *, CASE WHEN starts_with(warning, 'known-error:') THEN substr(warning, 13) END AS known FROM w),
+    k AS (SELECT *, regexp_extract(coalesce(known, '가' || upper(substr(title, 1, 3)) || '나'), '[가-힣]([A-Za-z][A-Za-z0-9·.-]*)[가-힣]', 1) AS token FROM n),
+    t AS (SELECT doc_id, warning, CASE WHEN warning = 'korean-internal-ascii' AND (token IN {C.COMMON_ACRONYMS} OR regexp_matches(token, '{_ACRONYM}')) THEN struct_pack(c := 'false-positive', f := 0.98::DOUBLE, h := FALSE){_SAFE}
+      WHEN warning = 'korean-internal-ascii' AND regexp_matches(token, '[A-Za-z][A-Za-z]') THEN struct_pack(c := 'untranslated-fragment', f := 0.86::DOUBLE, h := TRUE)
+      WHEN warning = 'claim-superlative-review' THEN struct_pack(c := 'title-body-mismatch', f := 0.8::DOUBLE, h := TRUE) ELSE struct_pack(c := 'ambiguous', f := 0.6::DOUBLE, h := TRUE) END AS t FROM k)
+    SELECT doc_id, warning, t.c AS classification, t.f AS confidence, t.h AS human FROM t"""))
 def _(spark, sf):
     w = items(spark, sf).select("doc_id", "title", F.explode(R.language_warnings(KNOWN_DEMO)).alias("warning"))
     t = w.withColumn("t", R.warning_triage(F.col("warning"), F.concat(F.lit("가"), F.upper(F.substring("title", 1, 3)), F.lit("나"))))
     return t.select("doc_id", "warning", "t.classification", "t.confidence", "t.human")
 
 
-@query("cl18_claim_triage")
+def _found(col: str, pattern: str) -> str:
+    return f"regexp_extract_all({col}, '{re2(pattern.replace('(?i)', '', 1))}', 0, 'i')"
+
+
+@query("cl18_claim_triage", with_sql(ITEMS_Q + ", " + SQL_CLAIMS, f"""
+    , b AS (SELECT *, array_to_string(claim_codes, ',') AS j, array_to_string(list_filter([title, lead, body], lambda x: x <> ''), ' ') AS told FROM cw WHERE len(claim_codes) > 0),
+    u AS (SELECT *, list_distinct(list_filter([lower(regexp_replace(x, '[0-9,.{WS}-]', '', 'g')) for x in {_found('told', C.UNIT_NUMBER)}], lambda x: x <> '')) AS units FROM b)
+    SELECT doc_id, CASE WHEN regexp_matches(j, 'unit|mg|μg|mcg|mL|IU|mmHg', 'i') OR (len(units) > 1 AND regexp_matches(array_to_string(units, ' '), 'mg|mL|IU|kg|mmHg', 'i')) THEN 'unit-mismatch'
+        WHEN regexp_matches(j, 'numeric', 'i') THEN 'missing-context' ELSE 'unverifiable' END AS classification,
+      CASE WHEN len({_found('rule_text', C.PLAIN_NUMBER)}) = 0 AND contains(j, 'numeric') THEN 'sample-size-missing' WHEN regexp_matches(rule_text, '사람|인간|보호자|소유주|소유자|반려인') THEN 'human-population-context-missing'
+        WHEN regexp_matches(rule_text, '국내|한국|적용|임상') THEN 'domestic-applicability-missing' ELSE 'acceptable-brief' END AS context FROM u"""))
 def _(spark, sf):
     c = settle(items(spark, sf), w=R.claim_warnings()).where(F.size("w") > 0)
     c = c.withColumn("claim", R.claim(F.col("w")))
@@ -391,16 +411,28 @@ def _(spark, sf):
 OFFICIAL = "lang IN ('en', 'fr')"
 
 
-@query("cl26_release_evaluation", with_sql(ITEMS_Q + ", " + SQL_CLAIMS, f"""
-    , l AS (SELECT *, {OFFICIAL} AND source_status = 'verified' AS sourced, title <> '' AND lead <> '' AND len(paragraphs) > 0 AS written,
-       list_concat({sql_codes([(rx("title", C.TITLE_ENGLISH), "untranslated-title")])}, {sql_codes([(f"len(paragraphs) > 1 AND len(list_distinct([{sql_title('p')} for p in paragraphs])) < len(paragraphs)", "repeated-paragraph")])}) AS bad_lang,
-       lang NOT IN ('en', 'fr') AS bad_claim FROM cw),
-    b AS (SELECT *, len(bad_lang) > 0 AS any_lang, CASE WHEN written THEN quality_codes ELSE ['text-missing'] END AS q FROM l)
-    SELECT doc_id, CASE WHEN duplicate_status <> 'unique' THEN 'duplicate' WHEN NOT sourced THEN 'needs-source-fix' WHEN NOT written OR any_lang THEN 'needs-language-fix' WHEN bad_claim OR len(unsafe) > 0 THEN 'needs-claim-fix'
-       WHEN clinical_risk = 'high' THEN 'rejected' WHEN clinical_risk IS NULL OR len(q) > 0 OR lang = 'es' THEN 'needs-claim-fix' ELSE 'ready-public-brief' END AS status FROM b"""))
+SQL_EVALUATED = f"""
+re0 AS (SELECT *, {OFFICIAL} AND source_status = 'verified' AS sourced, title <> '' AND lead <> '' AND len(paragraphs) > 0 AS written, lang NOT IN ('en', 'fr') AS bad_claim, coalesce(clinical_risk, '') AS stated,
+    {sql_codes([(rx("rule_text", C.INTERNAL_ASCII), "korean-internal-ascii"), (rx("title", C.TITLE_ENGLISH), "untranslated-title"), (rx("rule_text", C.SUPERLATIVE), "claim-superlative-review"),
+                (f"len(paragraphs) > 1 AND len(list_distinct([{sql_title('p')} for p in paragraphs])) < len(paragraphs)", "repeated-paragraph")])} AS language FROM cw),
+re1 AS (SELECT *, len([w for w in language if w <> 'claim-superlative-review']) > 0 AS bad_lang FROM re0),
+re2 AS (SELECT *, list_sort(list_distinct(list_concat({sql_codes([("stated = 'high'", "high-risk"), ("stated = ''", "risk-missing"), ("NOT sourced", "source-not-official"), ("duplicate_status <> 'unique'", "not-unique"),
+    ("NOT written", "draft-text-missing"), ("bad_lang", "language-warning"), ("bad_claim", "claim-warning"), ("len(unsafe) > 0", "unsafe-phrase"), ("lang = 'es'", "image-rights")])},
+    CASE WHEN written THEN quality_codes ELSE ['text-missing'] END))) AS blockers FROM re1),
+re3 AS (SELECT *, len(blockers) = 0 AND len(language) = 0 AND len(claim_codes) = 0 AS clean FROM re2),
+evaluated AS (SELECT *, CASE WHEN duplicate_status <> 'unique' THEN 'duplicate' WHEN NOT sourced THEN 'needs-source-fix' WHEN NOT written OR bad_lang THEN 'needs-language-fix' WHEN bad_claim OR len(unsafe) > 0 THEN 'needs-claim-fix'
+      WHEN stated = 'high' THEN 'rejected' WHEN len(blockers) > 0 THEN 'needs-claim-fix' ELSE 'ready-public-brief' END AS status,
+    CASE WHEN ctier = 'brief' AND stated IN ('low', 'medium') AND clean THEN 'index-news' WHEN stated = 'low' AND ctier IN ('analysis', 'evidence') AND len(language) = 0 AND len(claim_codes) = 0 AND len(unsafe) = 0 THEN 'index-low-risk' ELSE 'public-brief' END AS grade,
+    stated = 'low' AND ctier IN ('analysis', 'evidence') AND clean AS index_candidate FROM re3)"""
+
+
+SQL_RELEASE = ITEMS_Q + ", " + SQL_CLAIMS + "," + SQL_EVALUATED
+
+
+@query("cl26_release_evaluation", with_sql(SQL_RELEASE, "SELECT doc_id, status, array_to_string(blockers, ',') AS blockers, grade, index_candidate FROM evaluated"))
 def _(spark, sf):
-    e = items(spark, sf).withColumn("e", R.release_evaluation(F.col("lang").isin("en", "fr")))
-    return e.select("doc_id", "e.status")
+    e = settle(items(spark, sf), e=R.release_evaluation(F.col("lang").isin("en", "fr")))
+    return e.select("doc_id", "e.status", joined(F.array_sort("e.blockers")).alias("blockers"), "e.grade", "e.index_candidate")
 
 
 @query("cl31_re_review", with_sql(ITEMS, "SELECT doc_id, coalesce(quality = 0, FALSE) AS re_review FROM items"))

@@ -156,8 +156,6 @@ PRIMARY_TYPES = {
     "page": ("WebPage", "AboutPage", "CollectionPage"),
 }
 
-# Element id of the edition data inside a homepage.
-HOME_DATA_ID = "vm-issue"
 
 # --- Fixed values: keywords -------------------------------------------------------------------------
 KEYWORD_STOPWORDS = ("관리", "방법", "정보", "추천", "가격", "비용", "종류", "증상", "원인", "치료")

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import HOME_DATA_ID, PRIMARY_TYPES
+from ..constants import PRIMARY_TYPES
 from ..functions import html as H
 from ..functions.patterns import codes, text
 
@@ -71,9 +73,9 @@ def article_checks(pages: DataFrame) -> DataFrame:
     return p.withColumn("codes", found).drop("_types")
 
 
-def homepage_checks(pages: DataFrame, minimum: int = 40) -> DataFrame:
-    """CL28. Findings on homepages, which carry the edition as inline JSON."""
-    raw = F.regexp_extract("html", rf"(?i)<script\b[^>]*\bid=[\"']{HOME_DATA_ID}[\"'][^>]*>([\s\S]*?)</script>", 1)
+def homepage_checks(pages: DataFrame, data_id: str, minimum: int = 40) -> DataFrame:
+    """CL28. Findings on homepages, which carry the edition as inline JSON in the script element ``data_id``."""
+    raw = F.regexp_extract("html", rf"(?i)<script\b[^>]*\bid=[\"']{re.escape(data_id)}[\"'][^>]*>([\s\S]*?)</script>", 1)
     p = pages.withColumns({"_raw": F.trim(raw), "_issue": F.try_parse_json(F.trim(raw))})
     sizes = [F.coalesce(F.size(F.try_variant_get("_issue", f"$.{n}", "array<variant>")), F.lit(0)) for n in ("articles", "briefs", "stories", "recent")]
     sizes = [F.greatest(s, F.lit(0)) for s in sizes]
