@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import age_days
 from ..operators import topk as K
+from ..operators.segments import row_number
 from . import query
 from .rules import DEMO_TOPICS, with_topics
 from .tables import DATED, ITEMS, NOW, dated, items, now, table, with_sql
@@ -155,7 +156,8 @@ def _(spark, sf):
     SELECT slug, CAST(place AS INTEGER) AS place, doc_id FROM n"""))
 def _(spark, sf):
     t = linked(spark, sf).select("doc_id", "ts", F.explode("topics").alias("slug"))
-    ranked = t.withColumn("place", F.row_number().over(Window.partitionBy("slug").orderBy(F.col("ts").desc(), "doc_id")))
-    return ranked.select("slug", "place", "doc_id")
+    # A topic may hold a large share of all articles, so it is ranked day by day; articles without a time come last.
+    day = F.coalesce(-F.unix_date(F.to_date("ts")), F.lit(1 << 30))
+    return row_number(t, ["slug"], day, [F.col("ts").desc(), F.col("doc_id")], "place").select("slug", F.col("place").cast("int").alias("place"), "doc_id")
 
 

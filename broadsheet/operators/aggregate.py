@@ -135,9 +135,9 @@ def worst_status(feeds: DataFrame, sources: DataFrame, source: str, status: str)
 
 
 def review_batches(rows: DataFrame, source: str) -> DataFrame:
-    """AG15. Numbered batches, one per source, most frequent first. Only one row per source is ranked."""
+    """AG15. Numbered batches, one per source, most frequent first. One row per source is ranked, and in segments of equal counts."""
     counts = rows.groupBy(F.coalesce(F.nullif(F.col(source), F.lit("")), F.lit("unclassified")).alias("source")).agg(F.count("*").alias("n_rows"))
-    return counts.withColumn("batch", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.col("n_rows").desc(), "source")))
+    return segments.row_number(counts, [], -F.col("n_rows"), [F.col("source")], "batch")
 
 
 def last_runs_trend(history: DataFrame, run: str, value: str, runs: int = 7, minimum: int = 2) -> DataFrame:
