@@ -253,7 +253,8 @@ def build_index(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embe
         return pa.concat_tables(out)
 
     kind = nodes.schema["vec"].dataType.simpleString()
-    index = store(dealt.groupBy("shard").applyInArrow(run, f"shard int, node int, start int, vec {kind}, ids array<bigint>, edges array<int>"), "graph-index")
+    # A task per shard: shards are small, and by their size many of them would be put into one task.
+    index = store(dealt.repartitionByRange(shards, "shard").groupBy("shard").applyInArrow(run, f"shard int, node int, start int, vec {kind}, ids array<bigint>, edges array<int>"), "graph-index")
     discard(nodes)
     index.shards = shards
     return index
