@@ -327,7 +327,7 @@ def _(spark, sf):
       count(*) FILTER (idx AND publication_status <> 'index-news' AND NOT reviewed AND risk = 'high') AS high_waiting, count(*) FILTER (idx AND publication_status <> 'index-news' AND NOT reviewed AND risk = 'medium') AS medium_waiting,
       count(*) FILTER (lang = 'es' AND value <= 50) AS images_pending, count(*) FILTER (idx AND publication_status = 'index-news') AS automatic, count(*) FILTER (doc_id IN (SELECT event_id FROM events WHERE event_type = 'view')) AS with_review FROM d"""))
 def _(spark, sf):
-    i = items(spark, sf)
+    i = R.facts(items(spark, sf))
     reviews = table(spark, sf, "events").where("event_type = 'view'").select(F.col("event_id").cast("string").alias("id"), F.col("event_id").alias("review_ord"), F.col("event_type").alias("new_status"))
     out = audits.operations_summary(
         i, reviews, i.where("quality = 1").select("id"), i.where("value > 80").select("id", F.lit("manually-approved").alias("status")), i.where("value > 50").select("id"),
@@ -335,16 +335,18 @@ def _(spark, sf):
     return out.drop("can_increase_index", "needs_people")
 
 
-def editorial_rows(spark, sf, light=False):
-    """Review rows of the items; ``light`` leaves the rule codes out."""
-    i = items(spark, sf)
+def review_facts(spark, sf):
+    """Items with the rule codes that reviews look at, without their texts."""
+    return R.facts(items(spark, sf), quality_codes=R.quality_issues(), review_codes=R.review_issues(), numeric_codes=R.item_numeric_issues())
+
+
+def editorial_rows(i):
+    """Review rows of the items or their facts; without rule codes where these are missing."""
     none = F.array().cast("array<string>")
-    codes = {"quality_codes": none, "review_codes": none, "numeric_codes": none} if light else {
-        "quality_codes": R.quality_issues(), "review_codes": R.review_issues(), "numeric_codes": R.item_numeric_issues(),
-    }
+    codes = [F.col(n) if n in i.columns else none.alias(n) for n in ("quality_codes", "review_codes", "numeric_codes")]
     base = i.select(
         "id", "date", "title", "clinical_risk", "workflow_status", "reviewer_role", "source_label", (F.col("quality") == 1).alias("_idx"), F.col("reviewed_at").isNull().alias("reviewer_needed"),
-        F.lit(False).alias("re_review"), *[c.alias(n) for n, c in codes.items()],
+        F.lit(False).alias("re_review"), *codes,
     )
     return base.withColumn("indexable", F.coalesce("_idx", F.lit(False))).drop("_idx")
 
@@ -363,7 +365,7 @@ tk AS (SELECT * FROM ed
 
 
 def full_queue(spark, sf):
-    i, e = items(spark, sf), table(spark, sf, "events")
+    i, e = review_facts(spark, sf), table(spark, sf, "events")
     unresolved = i.where("source_status = 'unresolved'").select(F.col("id").alias("article_id"), "date", "title", F.lit("unresolved").alias("status"), "source_label", F.lit(None).cast("boolean").alias("indexable"))
     images = R.image_queue(i, i.select("id", F.lit("x").alias("status")).limit(0), i.where("quality = 1").select("id"))
     users = e.select("user_id").distinct()
@@ -376,7 +378,7 @@ def full_queue(spark, sf):
     corrections = e.where("event_type IN ('view', 'click', 'error') AND value > 95").select(
         F.col("event_id").cast("string").alias("id"), F.when(F.col("event_type") == "view", "fact").otherwise("other").alias("kind"), F.when(F.col("event_type") == "error", "closed").otherwise("").alias("status"), F.col("props").alias("message"),
     )
-    return queue.work_queue(editorial_rows(spark, sf), unresolved, images, feeds, drafts, findings, corrections)
+    return queue.work_queue(editorial_rows(i), unresolved, images, feeds, drafts, findings, corrections)
 
 
 @query("jb8_work_queue", with_sql(SQL_TASKS, "SELECT id, type, priority, indexable FROM tk"))
@@ -393,7 +395,7 @@ def _(spark, sf):
 def _(spark, sf):
     from ..operators import tasks
 
-    return tasks.editorial_tasks(editorial_rows(spark, sf)).select("id", "type", "priority", "indexable")
+    return tasks.editorial_tasks(editorial_rows(review_facts(spark, sf))).select("id", "type", "priority", "indexable")
 
 
 @query("cl41_enrich_drafts", with_sql(ITEMS_Q + ", " + SQL_CLAIMS, f"""

@@ -59,7 +59,7 @@ def _(spark, sf):
     from .jobs import editorial_rows
     from ..operators import tasks
 
-    t = tasks.editorial_tasks(editorial_rows(spark, sf, light=True))
+    t = tasks.editorial_tasks(editorial_rows(items(spark, sf)))
     return t.where(FL.queue_filter("correction", "critical", " THER ")).select("id")
 
 

@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions import text as tx
-from ..functions.patterns import codes, compact, java, matches, squeeze, strip, text
+from ..functions.patterns import codes, compact, java, matches, settle, squeeze, strip, text
 from ..functions.urls import is_relay, is_safe_article_url
+from ..session import cut_lineage
 
 ITEM_COLUMNS = {
     "id": "string", "date": "date", "title": "string", "lead": "string", "paragraphs": "array<string>",
@@ -81,6 +82,20 @@ def prepare(df: DataFrame) -> DataFrame:
     return joined.withColumns({"_hangul": matches(F.col("_audit"), C.HANGUL), "_risk": _infer_risk(), "_role": _infer_role()})
 
 
+#: Columns of an item that hold its text, and the joined texts of ``prepare``.
+TEXTS = (
+    "text", "lead", "paragraphs", "key_points", "angle", "radar_clinical", "radar_owner", "radar_evidence", "_title", "_lead", "_body", "_parts", "_points",
+    "_all", "_read", "_audit",
+)
+
+
+def facts(items: DataFrame, **found: Column) -> DataFrame:
+    """Prepared items without their texts, with ``found`` (codes and flags of the rules), stored once: what a job reads many times,
+    joins and shuffles."""
+    coded = settle(items, **found) if found else items
+    return cut_lineage(coded.drop(*TEXTS))
+
+
 def content_tier() -> Column:
     """CL5."""
     explicit = F.lower(_c("content_tier"))

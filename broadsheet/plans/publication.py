@@ -37,16 +37,21 @@ def build_index(items: DataFrame, row: str, key: str, order: list[Column], keep:
     """JB4. Every page with title and body: repeated images cleared (counted over all items), later copies flagged, index
     decision made.
 
-    Copies and images are decided on narrow selections, the rules on the full rows without any shuffle; the three results
-    meet by id, so no text is moved.
+    The rules run once over the full rows; codes, keys and places go on as one narrow table, which copies and images are decided
+    on, so no text is moved.
     """
-    pages = items.where((F.col("title") != "") & (F.size("paragraphs") > 0))
+    page = (F.col("title") != "") & (F.size("paragraphs") > 0)
     place = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])
-    copies = dedup.flag_later_copies(pages.select(row, key, place.alias("_at")), key, [F.col("_at")], "duplicate").select(row, "duplicate")
-    images = dedup.clear_repeated(items.select(row, "image_url", image_key(F.col("image_url")).alias("_image")), "_image", "image_url").select(row, "image_url")
-    alone = pages.withColumn("duplicate", F.lit(False))
-    coded = settle(alone, publish_codes=rules.publish_issues(skip)).select(row, *keep, "publish_codes", rules.indexable(F.col("publish_codes")).alias("_fits"))
-    out = coded.join(copies, row).join(images, row)
+    coded = settle(items.withColumn("duplicate", F.lit(False)), publish_codes=F.when(page, rules.publish_issues(skip)))
+    narrow = coded.select(
+        *dict.fromkeys([row, key, *keep, "image_url"]), place.alias("_at"), page.alias("_page"), image_key(F.col("image_url")).alias("_image"), "publish_codes",
+        rules.indexable(F.col("publish_codes")).alias("_fits"),
+    )
+    narrow = cut_lineage(narrow)
+    pages = narrow.where("_page")
+    copies = dedup.flag_later_copies(pages.select(row, key, "_at"), key, [F.col("_at")], "duplicate").select(row, "duplicate")
+    images = dedup.clear_repeated(narrow.select(row, "image_url", "_image"), "_image", "image_url").select(row, "image_url")
+    out = pages.select(row, *keep, "publish_codes", "_fits").join(copies, row).join(images, row)
     dup = F.when(F.col("duplicate"), F.array(F.lit("duplicate-source"))).otherwise(F.array().cast("array<string>"))
     return out.withColumns({"publish_codes": F.concat("publish_codes", dup), "indexable": F.col("_fits") & ~F.col("duplicate")}).drop("_fits")
 
