@@ -2,8 +2,8 @@
 
 Texts count as equal when they are identical after all white space is deleted. The index keeps, per distinct text, its
 hash key, digest, size and best row. Keys are dealt to buckets by their leading bits; while a bucket holds more than
-``capacity`` distinct keys the directory doubles, so every bucket splits in two. Each bucket is a key range that one owner
-task processes. Different texts with one key form a chain, told apart by comparing their bytes.
+``capacity`` distinct keys the directory doubles, so every bucket splits in two. The bucket is a column of the grouping by key
+and text, which compares the bytes of different texts with one key; no task owns a bucket and no file is laid out by it.
 
 Only DataFrame functions: copies are counted before the shuffle, so a text that a third of the rows share travels once
 per map task, and the join that gives the group back to every row runs over narrow rows that adaptive execution can split.
