@@ -26,9 +26,10 @@ def words_of(value: Column) -> Column:
 
 
 def grams(value: Column, n: int) -> Column:
-    """Distinct ``n``-letter grams; none for shorter texts."""
-    starts = F.sequence(F.lit(1), F.length(value) - n + 1)
-    return F.when(F.length(value) >= n, F.array_distinct(F.transform(starts, lambda i: F.substring(value, i, F.lit(n))))).otherwise(F.array().cast("array<string>"))
+    """Distinct ``n``-letter grams; none for shorter texts. Runs of grams that do not overlap start at each of the first ``n``
+    letters: looking up every gram by its place would read all letters before it."""
+    runs = [F.regexp_extract_all(F.substring(value, k + 1, 2**31 - 1), F.lit("(?s)" + "." * n), F.lit(0)) for k in range(n)]
+    return F.when(F.length(value) >= n, F.array_distinct(F.concat(*runs))).otherwise(F.array().cast("array<string>"))
 
 
 def words_with(terms: DataFrame, words: DataFrame) -> DataFrame:

@@ -29,7 +29,9 @@ def write_index(entries: DataFrame, ordinal: str, month: str, fields: list[str],
     text = F.lower(F.concat_ws(" ", *fields))
     rows = entries.withColumns({"_text": text, "_block": F.floor(F.col(ordinal) / BLOCK)})
     rows.sortWithinPartitions(month, ordinal).write.mode("overwrite").partitionBy(month).parquet(f"{path}/chunks")
-    held = rows.select(month, "_block", F.col(ordinal).cast("long").alias("_ord"), F.explode(grams(F.col("_text"), SIZE)).alias("gram"))
+    # The entries of a block meet before they are cut into grams, so that texts are shuffled once and no grams are.
+    texts = entries.sparkSession.read.parquet(f"{path}/chunks").select(month, "_block", F.col(ordinal).cast("long").alias("_ord"), "_text").repartition("_block")
+    held = texts.select(month, "_block", "_ord", F.explode(grams(F.col("_text"), SIZE)).alias("gram"))
     bit = F.expr(f"shiftleft(1L, CAST(pmod(_ord, {BLOCK}) AS INT))")
     postings = held.groupBy(month, "gram", "_block").agg(F.bit_or(bit).alias("mask")).withColumn("bucket", _bucket(F.col("gram"), buckets))
     postings.sortWithinPartitions(month, "bucket", "gram").write.mode("overwrite").partitionBy(month, "bucket").parquet(f"{path}/postings")

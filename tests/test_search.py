@@ -1,10 +1,11 @@
 """Indexed search against the scan, and counts united from stored sketches."""
 
 import random
+import time
 
 from pyspark.sql import functions as F
 
-from broadsheet.operators import aggregate, filters, search
+from broadsheet.operators import aggregate, coverage, filters, search
 
 
 def entries(spark):
@@ -52,3 +53,13 @@ def test_sketches_unite(spark, tmp_path):
     days = aggregate.united_counts(stored.where("period < '2024-01-04'"), [], ["many"]).first()
     exact = len({m for d, _, m, _ in rows if d < "2024-01-04"})
     assert abs(days.many - exact) <= 0.05 * exact
+
+
+def test_grams_of_long_texts_take_linear_time(spark):
+    rng = random.Random(8)
+    long = "".join(rng.choice("ab é\n😀수") for _ in range(600_000))
+    started = time.monotonic()
+    rows = spark.createDataFrame([(long,), ("a😀b",), ("ab",), ("",), (None,)], "t string").select("t", coverage.grams(F.col("t"), 3).alias("g")).collect()
+    assert time.monotonic() - started < 40  # minutes when every gram is looked up from the start of the text
+    for r in rows:
+        assert sorted(r.g) == sorted({(r.t or "")[i : i + 3] for i in range(len(r.t or "") - 2)})
