@@ -14,14 +14,15 @@ execution can split, and the texts move once, to meet the few pages that lose a
 
 from __future__ import annotations
 
-import bisect
 import functools
 import hashlib
 import html
 import json
+import math
 import re
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,8 +35,8 @@ TEMPLATE_SHARE = 0.6
 LEAST_PAGES = 4
 #: Levels of a tree that are aligned; what lies deeper stands in the slot of its ancestor there.
 LEVELS = 200
-#: Children whose table of matches would be larger are matched by equal subtrees only.
-MOST_CELLS = 1 << 20
+#: Weights of pairs of subtrees that are remembered at a time.
+MOST_WEIGHTS = 1 << 20
 
 # Elements and names by their role.
 HIDDEN = set("script style noscript template svg iframe object canvas head title math audio video button select textarea label datalist".split())
@@ -262,111 +263,133 @@ def outline(root: _Node, levels: int = LEVELS) -> tuple[str, dict[int, int]]:
 def align(page: str, reference: str) -> tuple[int, ...]:
     """Simple tree matching: for each node of one outline the node of the other it is matched with, or -1.
 
-    Two trees match when their roots agree; their children are matched in order so that as many nodes as possible match. Equal
-    subtrees at the begin and at the end of both lists are matched at once, which never matches fewer nodes. Two lists with a
-    table of more than ``MOST_CELLS`` cells are matched by their equal subtrees, the longest common order of those that
-    occur once in each.
+    Two trees match when their roots agree; their children are matched in order so that as many nodes as possible match, however
+    many there are. Equal subtrees at the begin and at the end of both lists are matched at once, which never matches fewer nodes.
+    Between them subtrees are weighed once per pair of different ones with one root, where subtrees count as equal that differ only
+    in names that the other tree lacks; of the table of a level every ``stride``-th row is kept and the others are made again on
+    the way back, so memory does not grow with the table.
     """
+    ids: dict[tuple, int] = {}
+
+    def numbered(tree, others: set[str]):
+        """Size, kind (the same for equal subtrees), name and children of each node; size and kind without what has none of the names
+        in ``others``; and the first node of each such kind."""
+        size, kind, name, below, met, core, first = [], [], [], [], [], [], {}
+
+        def add(t) -> int:
+            k = len(size)
+            for column, value in ((size, 1), (kind, -1), (name, t[0]), (below, None), (met, 1), (core, -1)):
+                column.append(value)
+            below[k] = [add(c) for c in t[1]]
+            size[k] += sum(size[c] for c in below[k])
+            kind[k] = ids.setdefault((t[0], *[kind[c] for c in below[k]]), len(ids))
+            kept = [c for c in below[k] if name[c] in others]
+            met[k] += sum(met[c] for c in kept)
+            core[k] = ids.setdefault((t[0], *[core[c] for c in kept]), len(ids))
+            first.setdefault(core[k], k)
+            return k
+
+        add(tree)
+        return size, kind, name, below, met, core, first
+
+    def names(tree) -> set[str]:
+        found, todo = set(), [tree]
+        while todo:
+            name, children = todo.pop()
+            found.add(name)
+            todo.extend(children)
+        return found
+
     a, b = json.loads(page), json.loads(reference)
+    sa, ka, na, below_a, met_a, core_a, first_a = numbered(a, names(b))
+    _, kb, nb, below_b, _, core_b, first_b = numbered(b, names(a))
+    memo: dict[tuple[int, int], int] = {}
 
-    def sizes(t, out, keys):
-        k = len(out)
-        out.append(0)
-        keys.append("")
-        below = [sizes(c, out, keys) for c in t[1]]
-        out[k] = 1 + sum(n for n, _ in below)
-        keys[k] = hashlib.sha1("\0".join([t[0], *[h for _, h in below]]).encode("utf-8", "replace")).hexdigest()
-        return out[k], keys[k]
-
-    sa, sb, ka, kb = [], [], [], []
-    sizes(a, sa, ka)
-    sizes(b, sb, kb)
-    memo: dict[tuple[int, int], tuple] = {}
-
-    def starts(t, k, s):
-        out, at = [], k + 1
-        for c in t[1]:
-            out.append(at)
-            at += s[at]
-        return out
-
-    def weigh(x, i, y, j) -> int:
-        """Matched nodes of two subtrees; which children are matched is kept in ``memo``."""
-        if x[0] != y[0]:
+    def weigh(i: int, j: int) -> int:
+        """Matched nodes of two subtrees."""
+        if na[i] != nb[j]:
             return 0
-        if ka[i] == kb[j]:
-            return sa[i]
-        if (i, j) not in memo:
-            ai, bj = starts(x, i, sa), starts(y, j, sb)
-            pairs, total, head, tail = [], 1, 0, 0
-            while head < min(len(ai), len(bj)) and ka[ai[head]] == kb[bj[head]]:
-                pairs.append((head, head))
-                total += sa[ai[head]]
-                head += 1
-            while tail < min(len(ai), len(bj)) - head and ka[ai[-1 - tail]] == kb[bj[-1 - tail]]:
-                pairs.append((len(ai) - 1 - tail, len(bj) - 1 - tail))
-                total += sa[ai[-1 - tail]]
-                tail += 1
-            n, m = len(ai) - head - tail, len(bj) - head - tail
-            if n * m > MOST_CELLS:
-                mid = _common_order([ka[k] for k in ai[head : head + n]], [kb[k] for k in bj[head : head + m]])
-                pairs += [(head + p, head + q) for p, q in mid]
-                total += sum(sa[ai[head + p]] for p, _ in mid)
-            elif n and m:
-                best = [[0] * (m + 1) for _ in range(n + 1)]
-                for p in range(1, n + 1):
-                    for q in range(1, m + 1):
-                        w = weigh(x[1][head + p - 1], ai[head + p - 1], y[1][head + q - 1], bj[head + q - 1])
-                        best[p][q] = max(best[p - 1][q], best[p][q - 1], best[p - 1][q - 1] + w if w else 0)
-                total += best[n][m]
-                p, q = n, m
-                while p and q:
-                    if best[p][q] == best[p - 1][q]:
-                        p -= 1
-                    elif best[p][q] == best[p][q - 1]:
-                        q -= 1
-                    else:
-                        pairs.append((head + p - 1, head + q - 1))
-                        p, q = p - 1, q - 1
-            memo[i, j] = (total, pairs, ai, bj)
-        return memo[i, j][0]
+        pair = core_a[i], core_b[j]
+        if pair[0] == pair[1]:
+            return met_a[i]
+        if pair not in memo:
+            total = table(first_a[pair[0]], first_b[pair[1]])[0]
+            if len(memo) >= MOST_WEIGHTS:
+                memo.clear()  # what is needed again is weighed again
+            memo[pair] = total
+        return memo[pair]
+
+    def table(i: int, j: int):
+        """Matched nodes of two elements of one name, the numbers of equal children at both ends, and for those between the kept rows,
+        their distance and the step from a row to the next."""
+        left, right = below_a[i], below_b[j]
+        total, head, tail = 1, 0, 0
+        while head < min(len(left), len(right)) and ka[left[head]] == kb[right[head]]:
+            total += sa[left[head]]
+            head += 1
+        while tail < min(len(left), len(right)) - head and ka[left[-1 - tail]] == kb[right[-1 - tail]]:
+            total += sa[left[-1 - tail]]
+            tail += 1
+        n, m = len(left) - head - tail, len(right) - head - tail
+        if not n or not m:
+            return total, head, tail, [], 1, None
+        kinds, of = np.unique([core_b[q] for q in right[head : head + m]], return_inverse=True)
+        named: dict[str, list[tuple[int, int]]] = {}
+        for at, k in enumerate(kinds.tolist()):
+            named.setdefault(nb[first_b[k]], []).append((at, first_b[k]))
+
+        def after(row, p: int):
+            weights = np.zeros(len(kinds), np.int64)
+            for at, q in named.get(na[left[head + p]], ()):
+                weights[at] = weigh(left[head + p], q)
+            weights = weights[of]
+            out = np.zeros(m + 1, np.int64)
+            np.maximum.accumulate(np.maximum(row[1:], np.where(weights > 0, row[:-1] + weights, 0)), out=out[1:])
+            return out
+
+        stride = math.isqrt(n) + 1
+        row, kept = np.zeros(m + 1, np.int64), []
+        for p in range(n):
+            if p % stride == 0:
+                kept.append(row)
+            row = after(row, p)
+        return total + int(row[m]), head, tail, kept, stride, after
+
+    def matches(i: int, j: int) -> list[tuple[int, int]]:
+        """The children of two elements that are matched."""
+        left, right = below_a[i], below_b[j]
+        _, head, tail, kept, stride, after = table(i, j)
+        pairs = [*zip(left[:head], right[:head]), *zip(left[len(left) - tail :], right[len(right) - tail :])]
+        p, q = (len(left) - head - tail, len(right) - head - tail) if kept else (0, 0)
+        start, rows = p, []
+        while p and q:
+            if p <= start:
+                start = (p - 1) // stride * stride
+                rows = [kept[start // stride]]
+                for k in range(start, p):
+                    rows.append(after(rows[-1], k))
+            here, above = rows[p - start], rows[p - start - 1]
+            if here[q] == above[q]:
+                p -= 1
+            elif here[q] == here[q - 1]:
+                q -= 1
+            else:
+                p, q = p - 1, q - 1
+                pairs.append((left[head + p], right[head + q]))
+        return pairs
 
     matched = [-1] * len(sa)
-    if weigh(a, 0, b, 0):
-        todo = [(a, 0, b, 0)]
-        while todo:
-            x, i, y, j = todo.pop()
-            if ka[i] == kb[j]:
-                matched[i : i + sa[i]] = range(j, j + sa[i])
-                continue
-            matched[i] = j
-            _, pairs, ai, bj = memo[i, j]
-            todo.extend((x[1][p], ai[p], y[1][q], bj[q]) for p, q in pairs)
+    todo = [(0, 0)] if na[0] == nb[0] else []
+    while todo:
+        i, j = todo.pop()
+        if ka[i] == kb[j]:
+            matched[i : i + sa[i]] = range(j, j + sa[i])
+            continue
+        matched[i] = j
+        todo.extend(matches(i, j))
     return tuple(matched)
 
 
-def _common_order(left: list[str], right: list[str]) -> list[tuple[int, int]]:
-    """Places of the values that occur once in both lists, in the longest order that both share."""
-    once_l, once_r = ({v: i for i, v in enumerate(side) if n[v] == 1} for side, n in ((left, Counter(left)), (right, Counter(right))))
-    both = [(i, once_r[v]) for v, i in once_l.items() if v in once_r]
-    ends: list[int] = []
-    heads: list[int] = []
-    before: list[int] = []
-    for k, (_, q) in enumerate(both):
-        at = bisect.bisect_left(ends, q)
-        before.append(heads[at - 1] if at else -1)
-        if at == len(ends):
-            ends.append(q)
-            heads.append(k)
-        else:
-            ends[at], heads[at] = q, k
-    out, k = [], heads[-1] if heads else -1
-    while k >= 0:
-        out.append(both[k])
-        k = before[k]
-    return out[::-1]
-
-
 def read_page(page: str) -> tuple[list[str], list[int], str]:
     """Texts of the article's blocks, the outline node of each, and the outline."""
     root, blocks = parse(page)

@@ -379,6 +379,15 @@ def test_wide_pages_are_aligned_by_equal_children():
     assert wrapper.align(a, b) == (0, *[-1] * 7, *range(1, 2994))
 
 
+@pytest.mark.parametrize("n", [40, 1200, 3000])
+def test_alignment_does_not_depend_on_how_wide_pages_are(n):
+    """Children that differ in one element each are matched at every width, with what else they hold."""
+    import json
+
+    wide = lambda s: json.dumps(["body", [["li", [["p", []], [f"x{s}.{i}", []]]] for i in range(n)]])
+    assert wrapper.align(wide(0), wide(1)) == (0, *[k for i in range(n) for k in (3 * i + 1, 3 * i + 2, -1)])
+
+
 def test_alignment():
     import json
 
