@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..constants import BRIEF_MIN_RELEVANCE, MIN_RELEVANCE, TOPIC_BODY_MIN_HITS, TOPICS
+from ..constants import BRIEF_MIN_RELEVANCE, HANGUL, MIN_RELEVANCE, TOPIC_BODY_MIN_HITS, TOPICS
 from ..functions.dates import iso_week
-from ..functions.patterns import text
+from ..functions.patterns import matches, needs_hangul, once, text
 from ..functions.text import term_count, term_hits
 from ..session import cut_lineage
 from .dedup import first_per_key
@@ -155,13 +155,18 @@ def packet(queues: list[DataFrame], k: int = 10) -> DataFrame:
 
 
 def topic_hits(meta: Column, body: Column, topics=TOPICS) -> Column:
-    """Hits of every topic in title and body, as one array; the dictionary is part of the expression."""
-    return F.array(
-        *[
-            F.struct(F.lit(i).alias("ord"), F.lit(slug).alias("slug"), term_count(meta, match).alias("meta"), term_count(body, match).alias("body"))
-            for i, (slug, match) in enumerate(topics)
-        ]
-    )
+    """Hits of every topic in title and body, as one array; the dictionary is part of the expression. Topics in Hangul are only
+    counted in texts that have any."""
+    def hits(found: Column) -> Column:
+        count = lambda value, match, there: F.when(there, term_count(value, match)).otherwise(F.lit(0)) if needs_hangul(match) else term_count(value, match)
+        return F.array(
+            *[
+                F.struct(F.lit(i).alias("ord"), F.lit(slug).alias("slug"), count(meta, match, found["meta"]).alias("meta"), count(body, match, found["body"]).alias("body"))
+                for i, (slug, match) in enumerate(topics)
+            ]
+        )
+
+    return once(F.struct(matches(meta, HANGUL).alias("meta"), matches(body, HANGUL).alias("body")), hits)
 
 
 def best_topics(hits: Column) -> Column:
