@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions import text as tx
-from ..functions.patterns import codes, compact, java, matches, settle, squeeze, strip, text
+from ..functions.patterns import codes, compact, java, matches, once, settle, squeeze, strip, text
 from ..functions.urls import is_relay, is_safe_article_url
 from ..session import cut_lineage
 
@@ -598,31 +598,49 @@ def source_ok(official: Column) -> Column:
 
 def release_evaluation(official: Column, skip: tuple[str, ...] = ()) -> Column:
     """CL26. Blockers, status and grade of a draft in one struct."""
-    language, claims, safety = language_warnings(), claim_warnings(), safety_issues()
     written, sourced = has_draft_text(), source_ok(official)
     quality = F.when(written, quality_issues(skip)).otherwise(F.array(F.lit("text-missing")))
-    bad_language = F.filter(language, lambda w: F.regexp_like(w, F.lit(C.BLOCKING_LANGUAGE)))
-    bad_claims = F.filter(claims, lambda w: F.regexp_like(w, F.lit(C.BLOCKING_CLAIM)))
+    facts = F.struct(
+        language_warnings().alias("language"), claim_warnings().alias("claims"), safety_issues().alias("safety"), quality.alias("quality"),
+        written.alias("written"), sourced.alias("sourced"),
+    )
+    # What reads the texts is computed once; blockers, status and grade look at it many times.
+    return once(facts, lambda f: once(_release_blockers(f), lambda blockers: _release_verdict(f, blockers)))
+
+
+def _bad_language(facts: Column) -> Column:
+    return F.exists(facts["language"], lambda w: F.regexp_like(w, F.lit(C.BLOCKING_LANGUAGE)))
+
+
+def _bad_claims(facts: Column) -> Column:
+    return F.exists(facts["claims"], lambda w: F.regexp_like(w, F.lit(C.BLOCKING_CLAIM)))
+
+
+def _release_blockers(facts: Column) -> Column:
     risk, unique = _c("clinical_risk"), _c("duplicate_status") == "unique"
     image_bad = (_c("image_url") != "") & ~image_renderable()
-    blockers = F.array_distinct(
+    return F.array_distinct(
         F.concat(
             codes(
-                (risk == "high", "high-risk"), (risk == "", "risk-missing"), (~sourced, "source-not-official"), (~unique, "not-unique"),
-                (~written, "draft-text-missing"), (F.size(bad_language) > 0, "language-warning"), (F.size(bad_claims) > 0, "claim-warning"),
-                (F.size(safety) > 0, "unsafe-phrase"),
+                (risk == "high", "high-risk"), (risk == "", "risk-missing"), (~facts["sourced"], "source-not-official"), (~unique, "not-unique"),
+                (~facts["written"], "draft-text-missing"), (_bad_language(facts), "language-warning"), (_bad_claims(facts), "claim-warning"),
+                (F.size(facts["safety"]) > 0, "unsafe-phrase"),
             ),
-            quality,
+            facts["quality"],
             codes((image_bad, "image-rights")),
         )
     )
+
+
+def _release_verdict(facts: Column, blockers: Column) -> Column:
+    risk, unique, tier = _c("clinical_risk"), _c("duplicate_status") == "unique", content_tier()
+    language, claims, safety = facts["language"], facts["claims"], facts["safety"]
     clean = (F.size(blockers) == 0) & (F.size(language) == 0) & (F.size(claims) == 0)
-    tier = content_tier()
     status = (
         F.when(~unique, F.lit("duplicate"))
-        .when(~sourced, F.lit("needs-source-fix"))
-        .when(~written | (F.size(bad_language) > 0), F.lit("needs-language-fix"))
-        .when((F.size(bad_claims) > 0) | (F.size(safety) > 0), F.lit("needs-claim-fix"))
+        .when(~facts["sourced"], F.lit("needs-source-fix"))
+        .when(~facts["written"] | _bad_language(facts), F.lit("needs-language-fix"))
+        .when(_bad_claims(facts) | (F.size(safety) > 0), F.lit("needs-claim-fix"))
         .when(risk == "high", F.lit("rejected"))
         .when(F.size(blockers) > 0, F.lit("needs-claim-fix"))
         .otherwise(F.lit("ready-public-brief"))
