@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.patterns import settle
+from ..functions.patterns import once, settle
 from ..operators.dedup import first_per_key
 
 
@@ -80,8 +80,8 @@ def publish_blockers(items: DataFrame, contract: Column, publish: Column, now: C
     reasons = F.array_compact(
         F.array(
             F.when(state != "approved", F.concat(F.lit("workflow-status:"), state)),
-            F.when(F.size(contract_left) > 0, F.concat(F.lit("contract:"), F.array_join(contract_left, ","))),
-            F.when(F.size(publish) > 0, F.concat(F.lit("quality:"), F.array_join(publish, ","))),
+            once(contract_left, lambda found: F.when(F.size(found) > 0, F.concat(F.lit("contract:"), F.array_join(found, ",")))),
+            once(publish, lambda found: F.when(F.size(found) > 0, F.concat(F.lit("quality:"), F.array_join(found, ",")))),
             F.when(F.col("scheduled_at") > now, F.lit("scheduled-later")),
         )
     )
