@@ -4,7 +4,8 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from broadsheet.operators import components, dedup, segments, similarity, topk, windows
+from broadsheet.operators import components, dedup, nearest, segments, similarity, topk, windows
+from broadsheet.plans import resolution
 
 
 def greedy(rows):
@@ -223,3 +224,31 @@ def test_best_similar_equals_brute_force(spark):
     frame = lambda rows: spark.createDataFrame([(i, list(t)) for i, t in rows], schema)
     got = similarity.best_similar(frame(left), frame(right), "id", "id", "id", "words", 0.72).collect()
     assert {r.left_id: (r.right_id, r.similarity) for r in got} == want and len(got) == len(want)
+
+
+def test_resolve_sources_equals_brute_force(spark):
+    """Copies of one title on both sides, with unknown, equal and rounded times."""
+    rnd = random.Random(11)
+    titles = families(rnd, 60)
+    ids = rnd.sample(range(10_000), 400)
+    when = lambda: None if rnd.random() < 0.1 else rnd.choice([rnd.randrange(3 * 86_400), rnd.randrange(1_200 * 86_400), 4320 * rnd.randrange(40)])
+    rows = [(i, "xy"[i % 3 == 0], when(), titles[0] if rnd.random() < 0.6 else rnd.choice(titles)) for i in ids]
+    relay, direct = rows[:150], rows[150:]
+    gap = lambda a, b: None if a is None or b is None else (abs(a - b) + 4320) // 8640 / 10
+    want = {}
+    for i, label, at, words in relay:
+        near = [(-sim(words, w), gap(at, t), j) for j, c, t, w in direct if c == label and sim(words, w) >= 0.62]
+        near.sort(key=lambda x: (x[0], 999.0 if x[1] is None else x[1], x[2]))
+        want.update({(i, n + 1): (j, -s, g) for n, (s, g, j) in enumerate(near[:5])})
+    schema = "id long, label string, at long, words array<string>"
+    frame = lambda rs: spark.createDataFrame(rs, schema).withColumn("ts", F.timestamp_seconds("at"))
+    got = resolution.resolve_sources(frame(relay).withColumns({"decision": F.lit(None).cast("string"), "mapped": F.lit(True)}), frame(direct), "id").where("candidate IS NOT NULL").collect()
+    assert {(r.id, r["rank"]): (r.candidate, r.similarity, r.gap) for r in got} == want and len(got) == len(want)
+
+
+def test_nearest_in_time_builds_no_pairs(spark):
+    """4000 rows ask 4000 rows of one key: a few hundred thousand candidates at most, not 16 million."""
+    asked = spark.range(4000).select(F.lit("a").alias("key"), (F.col("id") * 7).alias("at"), F.col("id").alias("row"))
+    held = spark.range(4000).select(F.lit("a").alias("key"), (F.col("id") * 5).alias("at"), F.col("id").alias("id"))
+    got = nearest.nearest_in_time(asked, held, "key", "at", "id", 2, 1000)
+    assert got.count() <= 4000 * 2 * 9 * 2
