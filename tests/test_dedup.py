@@ -252,3 +252,18 @@ def test_nearest_in_time_builds_no_pairs(spark):
     held = spark.range(4000).select(F.lit("a").alias("key"), (F.col("id") * 5).alias("at"), F.col("id").alias("id"))
     got = nearest.nearest_in_time(asked, held, "key", "at", "id", 2, 1000)
     assert got.count() <= 4000 * 2 * 9 * 2
+
+
+def test_best_similar_keeps_frequent_words_apart(spark):
+    """1500 long titles that share frequent words only: the join of the last step stays near the number of titles."""
+    rnd = random.Random(12)
+    title = lambda i: [f"f{n}" for n in rnd.sample(range(30), 14)] + [f"r{i}x{n}" for n in range(16)]
+    rows = [(i, title(i)) for i in range(1500)]
+    rows[1] = (1, rows[0][1][:20] + [f"z{n}" for n in range(10)])
+    frame = lambda part: spark.createDataFrame(part, "id long, words array<string>")
+    sets = frame(rows).select(F.col("id").alias("set_id"), "words")
+    x = similarity._prefixed(sets, similarity._frequency(sets), 0.5).alias("x")
+    y = similarity._prefixed(sets, similarity._frequency(sets), 0.5).alias("y")
+    assert x.join(y, (F.col("x.word") == F.col("y.word")) & similarity._may_be_similar("x", "y", 0.5)).count() < 1500 * 40
+    got = similarity.best_similar(frame(rows[::2]), frame(rows[1::2]), "id", "id", "id", "words", 0.5).collect()
+    assert [(r.left_id, r.right_id, r.similarity) for r in got] == [(0, 1, sim(rows[0][1], rows[1][1]))]
