@@ -51,3 +51,19 @@ def test_rules_on_texts_are_computed_once(spark, judge):
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     spark.conf.unset("spark.sql.debug.maxToStringFields")
     assert plan.count("(?:Invol|ractical)") == 1
+
+
+def test_white_space_helpers_equal_the_plain_patterns(spark):
+    rnd = random.Random(5)
+    texts = ["".join(rnd.choice(["a", "b ", " ", "\n", "\t", "\r\n", "\u0085", "\u00a0", "\u2028", "\u2029", "\ufeff", "가"]) for _ in range(rnd.randrange(9))) for _ in range(800)] + [None, ""]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    t, ws = F.col("t"), patterns.WS
+    plain = {"squeeze": F.trim(F.regexp_replace(t, f"[{ws}]+", " ")), "strip_plain": F.regexp_replace(t, f"^[{ws}]+|[{ws}]+$", ""), "compact": F.regexp_replace(t, f"[{ws}]", "")}
+    for name, want in plain.items():
+        assert df.where(~getattr(patterns, name)(t).eqNullSafe(want)).count() == 0, name
+
+
+def test_single_blanks_are_not_replaced(spark):
+    """White space is replaced where it changes something; in most texts that is nowhere."""
+    df = spark.createDataFrame([("a b c", "a  b\tc \u00a0d",)], "plain string, odd string")
+    assert df.select(F.regexp_count("plain", F.lit(patterns.RUNS)), F.regexp_count("odd", F.lit(patterns.RUNS))).first() == (0, 3)
