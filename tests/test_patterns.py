@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from broadsheet import constants as C
-from broadsheet.functions import patterns
+from broadsheet.functions import hints, patterns, text
 from broadsheet.operators import rules, topk
 from broadsheet.sources import sinks
 
@@ -67,3 +67,46 @@ def test_single_blanks_are_not_replaced(spark):
     """White space is replaced where it changes something; in most texts that is nowhere."""
     df = spark.createDataFrame([("a b c", "a  b\tc \u00a0d",)], "plain string, odd string")
     assert df.select(F.regexp_count("plain", F.lit(patterns.RUNS)), F.regexp_count("odd", F.lit(patterns.RUNS))).first() == (0, 3)
+
+
+def test_hints_keep_every_text_with_a_match(spark):
+    """A clear bit is certain, for the rules' patterns and for odd ones; most texts need no search."""
+    found = tuple(PATTERNS[:13]) + (C.HANGUL, C.FOREIGN_SCRIPT, "(?:ab|cd)e?fgh|(?:a(?:bcd)b)?x", "(?!abc)abcd+e")
+    rows = texts() + [(1000 + k, t) for k, t in enumerate(["xlorem\nIPSUMx", "TODO", "[ 내용 ]", "abfgh", "cdefgh x", "abcdde", "Ж", "STUDY", "병원", "plain text"])]
+    df = spark.createDataFrame(rows, "k int, t string").withColumn("t", F.coalesce("t", F.lit("")))
+    judged = df.select("t", hints.hints(F.col("t"), found).alias("bits"), F.array(*[F.regexp_like("t", F.lit(patterns.java(p))) for p in found]).alias("plain")).collect()
+    for r in judged:
+        assert not [p for k, p in enumerate(found) if r.plain[k] and not r.bits >> k & 1], r.t
+    assert [r.bits & (1 << found.index(C.TEMPLATE)) for r in judged if r.t == "plain text"] == [0]
+    assert hints.pieces(C.CLINICAL_ACTION) == C.HANGUL and hints.pieces(C.REPEATED_WORD) is None and hints.pieces("ab?c") is None
+
+
+def test_repeated_word_equals_the_plain_pattern(spark):
+    rng = random.Random(3)
+    parts = ["an", "An", "ant", "a", "가나", "가나다", "x1", "_", " ", "  ", "\n", " ", "-", "7"]
+    made = [(str(k), "".join(rng.choice(parts) for _ in range(rng.randint(2, 7)))) for k in range(1500)]
+    items = rules.prepare(spark.createDataFrame(made, "id string, title string"))
+    out = items.select("_all", rules.repeated_word(F.col("_all")).alias("got"), F.regexp_like("_all", F.lit(patterns.java(C.REPEATED_WORD))).alias("want")).collect()
+    assert [r._all for r in out if r.got != r.want] == [] and {r.got for r in out} == {True, False}
+
+
+def test_markup_is_dropped_as_by_the_plain_patterns(spark):
+    rng = random.Random(4)
+    parts = ["a", " ", "  ", "\n", " ", "<b>", "</p>", "<", ">", "&", "&amp;", "lt;", "&#8217;", "&#9;", "<SCRIPT>", "</script>", "<style x>", "</style>", "&nbsp;"]
+    df = spark.createDataFrame([("".join(rng.choice(parts) for _ in range(rng.randint(0, 9))),) for _ in range(1500)] + [(None,)], "t string")
+    plain = F.coalesce("t", F.lit(""))
+    for pattern, to in ((r"(?i)<script[\s\S]*?</script>", ""), (r"(?i)<style[\s\S]*?</style>", ""), ("<[^>]+>", " "), *text._ENTITIES):
+        plain = F.regexp_replace(plain, pattern, to)
+    plain = F.trim(F.regexp_replace(plain, f"[{patterns.WS}]+", " "))
+    assert df.where(~text.strip_html(F.col("t")).eqNullSafe(plain)).count() == 0
+
+
+def test_rules_search_a_body_once_and_few_texts(spark):
+    """Numbers of the body are looked for once for all fields, and long patterns stand behind their hint."""
+    spark.conf.set("spark.sql.debug.maxToStringFields", "10000")  # the plan is read as a text
+    items = rules.prepare(spark.createDataFrame([("1", "a title", "b 3%", ["c 3 mg"])], "id string, title string, lead string, paragraphs array<string>"))
+    df = items.select(rules.item_numeric_issues().alias("n"), rules.quality_issues().alias("q"))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    spark.conf.unset("spark.sql.debug.maxToStringFields")
+    assert plan.count("sample(?: size)?") <= 5 and plan.count("_hints#") > 4
+    assert df.first().n == ["numeric-lead-body-mismatch"]
