@@ -38,6 +38,8 @@ ROUNDS = 1
 #: Buckets of the sketch of anchors, and how many rows above twice the mean make a bucket's anchors frequent ones.
 SKETCH_BITS = 16
 FREQUENT = 10_000
+#: Bits of a place that hold the number of windows; the first window is above them.
+PLACE_BITS = 12
 #: Tasks that the rows of a frequent anchor are spread over.
 SPREAD = 64
 _U = np.uint64
@@ -122,17 +124,21 @@ def anchors(words: np.ndarray, offsets: np.ndarray, window: int = WINDOW, rounds
 
 
 def segments(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """One row per run of neighbouring windows with one anchor occurrence: the anchor's fingerprint, the first window and
-    the number of windows."""
+    """One row per run of neighbouring windows with one anchor occurrence: the anchor's fingerprint, and the first window and
+    the number of windows as one number (:func:`_place`), which keeps the rows that are shuffled small."""
 
     def run(batches):
         for ids, raw in slices(batches):
             offsets, (words,) = doc_words(raw)
             owner, first, n, anchor = _segments(words, offsets, window)
             keys = pa.array(ids, pa.int64()).take(pa.array(owner))
-            yield pa.RecordBatch.from_arrays([long(anchor), keys, pa.array(first), pa.array(n)], names=["anchor", "doc_id", "first", "n"])
+            yield pa.RecordBatch.from_arrays([long(anchor), keys, pa.array(_place(first, n))], names=["anchor", "doc_id", "place"])
 
-    return docs.mapInArrow(run, "anchor long, doc_id long, first int, n int")
+    return docs.mapInArrow(run, "anchor long, doc_id long, place long")
+
+
+def _place(first, n):
+    return (first.astype(np.int64) << PLACE_BITS) + n
 
 
 def _segments(words: np.ndarray, offsets: np.ndarray, window: int):
@@ -197,6 +203,7 @@ def _stretches(held: DataFrame, window: int) -> DataFrame:
 
     def run(batches):
         for ids, raw, counts, fields in _with_lists(batches):
+            fields |= {"first": fields["place"] >> PLACE_BITS, "n": fields["place"] & ((1 << PLACE_BITS) - 1)}
             offsets, (words,) = doc_words(raw, seeds=(1,))
             of, start, end, inside = _placed(offsets, counts, fields, window)
             of, start, end = of[inside], start[inside], end[inside]
@@ -233,7 +240,7 @@ def _held(docs: DataFrame, window: int) -> DataFrame:
     rows = rows.withColumn("spread", F.when(spread, 1 + F.pmod(F.xxhash64("doc_id"), F.lit(SPREAD))).otherwise(0).cast("byte"))
     together = Window.partitionBy("anchor", "spread")
     met = rows.withColumn("times", F.count("*").over(together)).where("spread > 0 OR times > 1")
-    lists = store(met.groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "first", "n")).alias("wanted")), "repeats-lists")
+    lists = store(met.groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "place")).alias("wanted")), "repeats-lists")
     held = store(docs.join(lists, "doc_id").select("doc_id", "text", "wanted"), "repeats-held")
     discard(lists)
     return held
@@ -244,7 +251,7 @@ def _spans(held: DataFrame, window: int) -> DataFrame:
     met = store(_stretches(held, window), "repeats-met")
     # The smallest document of a stretch, with a place in it, as one number: it stays in the hash aggregate's buffer.
     wide = F.lit(str(1 << 44)).cast("decimal(20,0)")
-    place = F.shiftleft(F.col("first").cast("long"), 12) + F.col("n")
+    place = F.shiftleft(F.col("first").cast("long"), PLACE_BITS) + F.col("n")
     packed = (F.col("doc_id").cast("decimal(20,0)") * wide + place.cast("decimal(18,0)")).cast("decimal(38,0)")
     packs = met.groupBy("anchor", "stretch").agg(F.min(packed).alias("least"), F.max("doc_id").alias("high")).withColumn("place", F.pmod("least", wide))
     low = ((F.col("least") - F.col("place")) / wide).cast("long")
@@ -253,7 +260,7 @@ def _spans(held: DataFrame, window: int) -> DataFrame:
     mixed = store(stretches.join(several, "anchor", "left_semi").select("anchor", "stretch", "low", "place"), "repeats-mixed")
 
     # Windows of one representative per distinct stretch, in the document with the smallest id that has it.
-    first, n = F.shiftright("place", 12).cast("int"), F.col("place").bitwiseAND(4095).cast("int")
+    first, n = F.shiftright("place", PLACE_BITS).cast("int"), F.col("place").bitwiseAND((1 << PLACE_BITS) - 1).cast("int")
     chosen = mixed.select(F.col("low").alias("doc_id"), "anchor", "stretch", first.alias("first"), n.alias("n"))
     asked = chosen.groupBy("doc_id").agg(F.collect_list(F.struct("anchor", "stretch", "first", "n")).alias("wanted"))
     cut = store(_windows(held.select("doc_id", "text").join(asked, "doc_id").select("doc_id", "text", "wanted"), window), "repeats-windows")
