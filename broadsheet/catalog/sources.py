@@ -11,8 +11,8 @@ from . import query
 from .rules import ITEMS_Q
 from .tables import DATED, ITEMS, NOW, dated, items, now, sql_host, sql_squeeze, table, with_sql
 
-# XML 1.0 allows no control characters but tab and line breaks.
-XML_JUNK = "[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F\\uFFFE\\uFFFF<>&]"
+# XML 1.0 allows no control characters but tab and line breaks. They stand one by one, which Java looks up in one step.
+XML_JUNK = "[" + "".join(f"\\x{c:02X}" for c in (*range(0x09), 0x0B, 0x0C, *range(0x0E, 0x20))) + "<>&\\uFFFE-\\uFFFF]"
 
 
 def xml_safe(col):

@@ -157,3 +157,12 @@ def test_publish_only_without_blockers(spark, tmp_path):
     assert sinks.publish_edition(bad.where("id = 'a'"), none, none, now, "day", path)
     row = spark.read.parquet(path).first()
     assert row.workflow_status == "published" and str(row.first_published_at) == "2024-01-05 00:00:00"
+
+
+def test_xml_junk_is_what_xml_forbids(spark):
+    from broadsheet.catalog.sources import XML_JUNK, xml_safe
+
+    chars = spark.range(1, 0xD800).union(spark.range(0xE000, 0x10010)).select("id", F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32").alias("c"))
+    want = {*range(1, 9), 0x0B, 0x0C, *range(0x0E, 0x20), 0xFFFE, 0xFFFF, *map(ord, "<>&")}
+    assert {r.id for r in chars.where(xml_safe(F.col("c")) != F.col("c")).collect()} == want
+    assert "-" not in XML_JUNK.replace("\\uFFFE-", "")
