@@ -256,3 +256,14 @@ def test_cut_repeats(spark):
     assert rows == {1: (long, len(long)), 2: ("start here end", 14), 3: (None, None), None: (long, len(long)), 5: ("", 0), 6: ("kept\n as it  is", 15)}
     assert substrings.cut_repeats(frame(spark, [])).count() == 0
     assert substrings.removed(texts(frame(spark, []))).count() == 0
+
+
+def test_segments_carry_one_place(spark):
+    """A shuffled segment is an anchor, a document and one number that holds its first window and its windows."""
+    words = [f"w{k % 37}" for k in range(400)]
+    rows = [(1, " ".join(words).encode()), (2, " ".join(words[5:60]).encode()), (3, b"too short")]
+    out = substrings.segments(spark.createDataFrame(rows, "doc_id long, text binary"))
+    assert out.columns == ["anchor", "doc_id", "place"]
+    for doc, n_words in ((1, 400), (2, 55)):
+        at = sorted((r.place >> substrings.PLACE_BITS, r.place % (1 << substrings.PLACE_BITS)) for r in out.where(f"doc_id = {doc}").collect())
+        assert at[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(at, at[1:])) and sum(at[-1]) == n_words - substrings.WINDOW + 1
