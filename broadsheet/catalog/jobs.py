@@ -259,10 +259,13 @@ def _(spark, sf):
 
 
 def release_inputs(spark, sf):
-    i = items(spark, sf).withColumn("source_key", urls.normalize_url(F.col("source_url")))
-    # Long Latin texts never pass the sentence rules, so drafts are judged as briefs with their text as lead.
-    drafts = i.where("workflow_status IN ('draft', 'automated', 'approved')").withColumns({"content_tier": F.lit("brief"), "lead": F.col("_body"), "_lead": F.col("_body")})
-    return drafts, i.where("workflow_status = 'published'")
+    def as_brief(read):
+        # Long Latin texts never pass the sentence rules, so drafts are judged as briefs with their text as lead.
+        return read.withColumns({"content_tier": F.lit("brief"), "lead": F.col("_body"), "_lead": F.col("_body")})
+
+    key = urls.normalize_url(F.col("source_url"))
+    drafts = items(spark, sf, as_brief).withColumn("source_key", key).where("workflow_status IN ('draft', 'automated', 'approved')")
+    return drafts, items(spark, sf).withColumn("source_key", key).where("workflow_status = 'published'")
 
 
 # The same rules over drafts, whose text stands for their lead.

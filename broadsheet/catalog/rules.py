@@ -125,7 +125,7 @@ def _(spark, sf):
 
 @query("cl1_repeated_word", with_sql(ITEMS_Q, "SELECT doc_id, lang FROM iq WHERE repeated"))
 def _(spark, sf):
-    found = settle(items(spark, sf).select("doc_id", "lang", "_all", "_hangul"), repeated=R.repeated_word(F.col("_all")))
+    found = items(spark, sf, lambda read: settle(read, repeated=R.repeated_word(F.col("_all"))))
     return found.where("repeated").select("doc_id", "lang")
 
 

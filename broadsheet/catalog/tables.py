@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import WS
 from ..functions import text as tx
 from ..functions.patterns import once, strip_plain
-from ..operators.rules import prepare
+from ..operators.rules import find, judge, read
 
 NOW = "2024-01-31 00:00:00"
 
@@ -56,46 +58,58 @@ ART = f"""art AS (
   FROM documents)"""
 
 
+def states(spark: SparkSession, sf: str) -> DataFrame:
+    """Time, value and type of events, by the article of the same number."""
+    return table(spark, sf, "events").select(F.col("event_id").alias("doc_id"), "ts", "value", "event_type", "user_id")
+
+
 def dated(spark: SparkSession, sf: str) -> DataFrame:
     """articles with the time, value and type of the event of the same number, if there is one."""
-    events = table(spark, sf, "events").select(F.col("event_id").alias("doc_id"), "ts", "value", "event_type", "user_id")
-    return articles(spark, sf).join(events, "doc_id", "left")
+    return articles(spark, sf).join(states(spark, sf), "doc_id", "left")
 
 
 DATED = ART + """,
 dated AS (SELECT a.*, e.ts, e.value, e.event_type, e.user_id FROM art a LEFT JOIN events e ON e.event_id = a.doc_id)"""
 
 
-def items(spark: SparkSession, sf: str) -> DataFrame:
-    """Articles as items of an edition: scores from labels, states from events, the rest from the text itself."""
-    labels = table(spark, sf, "labels")
-    d = dated(spark, sf).join(labels, "doc_id", "left")
+def items(spark: SparkSession, sf: str, change: Callable[[DataFrame], DataFrame] = lambda read: read) -> DataFrame:
+    """Articles as items of an edition: scores from labels, states from events, the rest from the text itself.
+
+    The rules look at the texts before the join, so texts that nobody asks for afterwards are not shuffled. ``change`` sees the
+    content of the items, with the texts that the rules work on, before that.
+    """
     col = F.col
-    return prepare(
-        d.select(
-            "doc_id", col("doc_id").cast("string").alias("id"), "title", "text", "lang", "value", "event_type", "user_id", "quality", "toxic", "n_chars",
-            F.coalesce(F.try_element_at("paragraphs", F.lit(1)), F.lit("")).alias("lead"),
-            F.slice("paragraphs", 2, F.greatest(F.size("paragraphs"), F.lit(1))).alias("paragraphs"),
-            col("source").alias("source_label"), col("lang").alias("category"),
-            col("ts").alias("published_at"), F.to_date("ts").alias("date"),
-            F.when(col("toxic") == 1, "high").when(col("quality") == 0, "medium").when(col("quality") == 1, "low").alias("clinical_risk"),
-            F.when(col("lang") == "en", "index-news").when(col("lang") == "fr", "index-low-risk").when(col("lang") == "de", "index-analysis").otherwise("public-brief").alias("publication_status"),
-            F.when(col("event_type") == "view", "published").when(col("event_type") == "click", "approved").when(col("event_type") == "error", "correction-required")
-            .when(col("event_type") == "purchase", "automated").otherwise("draft").alias("workflow_status"),
-            F.concat(F.lit("https://"), "lang", F.lit(".example.com/a/"), F.substring(F.md5("text"), 1, 12)).alias("source_url"),
-            F.when(col("quality") == 1, col("ts")).alias("reviewed_at"), F.when(col("quality") == 1, F.concat(F.lit("r"), col("user_id"))).alias("reviewed_by"),
-            F.concat(F.lit("https://img.example.com/"), "source", F.lit("/"), (col("n_chars") % 97).cast("string"), F.lit(".jpg")).alias("image_url"),
-            F.when(col("lang") == "en", "owned").when(col("lang") == "fr", "licensed").when(col("lang") == "de", "official-press").alias("image_ownership"),
-            F.when(col("n_chars") > 1500, col("title")).alias("radar_clinical"),
-            F.when(col("quality") == 0, "exact-duplicate").otherwise("unique").alias("duplicate_status"),
-            F.when(col("event_type") == "error", "unresolved").otherwise("verified").alias("source_status"),
-            F.when((col("toxic") == 1) & (col("quality") == 0), "suppressed").alias("visibility"),
-            F.when(col("event_type") == "signup", col("ts") + F.expr("INTERVAL 5 DAYS")).alias("scheduled_at"),
-            F.when(col("user_id") > 75, "v1").alias("review_policy_version"),
-            F.array(F.lit("en"), F.lit("fr")).alias("species"), col("lang").alias("species_studied"),
-            F.when(col("n_chars") > 3000, "analysis").when(col("n_chars") > 1000, "evidence").when(col("n_chars") > 300, "brief").alias("content_tier"),
-            (col("value") / 100).alias("selection_score"), F.floor("value").cast("int").alias("relevance"),
-        )
+    content = articles(spark, sf).select(
+        "doc_id", col("doc_id").cast("string").alias("id"), "title", "text", "lang", "n_chars",
+        F.coalesce(F.try_element_at("paragraphs", F.lit(1)), F.lit("")).alias("lead"),
+        F.slice("paragraphs", 2, F.greatest(F.size("paragraphs"), F.lit(1))).alias("paragraphs"),
+        col("source").alias("source_label"), col("lang").alias("category"),
+        F.when(col("lang") == "en", "index-news").when(col("lang") == "fr", "index-low-risk").when(col("lang") == "de", "index-analysis").otherwise("public-brief").alias("publication_status"),
+        F.concat(F.lit("https://"), "lang", F.lit(".example.com/a/"), F.substring(F.md5("text"), 1, 12)).alias("source_url"),
+        F.concat(F.lit("https://img.example.com/"), "source", F.lit("/"), (col("n_chars") % 97).cast("string"), F.lit(".jpg")).alias("image_url"),
+        F.when(col("lang") == "en", "owned").when(col("lang") == "fr", "licensed").when(col("lang") == "de", "official-press").alias("image_ownership"),
+        F.when(col("n_chars") > 1500, col("title")).alias("radar_clinical"),
+        F.array(F.lit("en"), F.lit("fr")).alias("species"), col("lang").alias("species_studied"),
+        F.when(col("n_chars") > 3000, "analysis").when(col("n_chars") > 1000, "evidence").when(col("n_chars") > 300, "brief").alias("content_tier"),
+    )
+    found = find(change(read(content)))
+    joined = found.join(states(spark, sf), "doc_id", "left").join(table(spark, sf, "labels"), "doc_id", "left")
+    return judge(
+        joined.withColumns(
+            {
+                "published_at": col("ts"), "date": F.to_date("ts"),
+                "clinical_risk": F.when(col("toxic") == 1, "high").when(col("quality") == 0, "medium").when(col("quality") == 1, "low"),
+                "workflow_status": F.when(col("event_type") == "view", "published").when(col("event_type") == "click", "approved").when(col("event_type") == "error", "correction-required")
+                .when(col("event_type") == "purchase", "automated").otherwise("draft"),
+                "reviewed_at": F.when(col("quality") == 1, col("ts")), "reviewed_by": F.when(col("quality") == 1, F.concat(F.lit("r"), col("user_id"))),
+                "duplicate_status": F.when(col("quality") == 0, "exact-duplicate").otherwise("unique"),
+                "source_status": F.when(col("event_type") == "error", "unresolved").otherwise("verified"),
+                "visibility": F.when((col("toxic") == 1) & (col("quality") == 0), "suppressed"),
+                "scheduled_at": F.when(col("event_type") == "signup", col("ts") + F.expr("INTERVAL 5 DAYS")),
+                "review_policy_version": F.when(col("user_id") > 75, "v1"),
+                "selection_score": col("value") / 100, "relevance": F.floor("value").cast("int"),
+            }
+        ).drop("ts")
     )
 
 

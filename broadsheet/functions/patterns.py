@@ -169,8 +169,12 @@ RUNS = f" {BLANK}+|{ODD}{BLANK}*"
 
 def squeeze(col: Column) -> Column:
     """Collapse white space runs to one space and trim. Runs of blanks are looked for only where two blanks meet."""
-    blanks = F.regexp_replace(col, f"{ODD}+", " ")
-    return F.trim(once(blanks, lambda v: F.when(F.contains(v, F.lit("  ")), F.regexp_replace(v, "  +", " ")).otherwise(v)))
+    return squeeze_blanks(F.regexp_replace(col, f"{ODD}+", " "))
+
+
+def squeeze_blanks(col: Column) -> Column:
+    """:func:`squeeze` of a text without other white space than blanks."""
+    return F.trim(once(col, lambda v: F.when(F.contains(v, F.lit("  ")), F.regexp_replace(v, "  +", " ")).otherwise(v)))
 
 
 def strip(col: Column) -> Column:

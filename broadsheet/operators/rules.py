@@ -1,20 +1,23 @@
 """CL*: rule packs. Each pack is an ``array<string>`` of issue codes, so one pass over the table gives all flags.
 
-The rules read the item columns by name and the joined texts that ``prepare`` adds. Those texts are columns of their own,
-so that a row is joined and cleaned once, however many rules look at it.
+The rules read the item columns by name, the joined texts that ``prepare`` adds and what it finds in them. Those texts are
+columns of their own, so that a row is joined and cleaned once, however many rules look at it. ``read`` and ``find`` need no
+other columns than ``CONTENT``: where the rest of an item comes from other tables, they go before the join and ``judge``
+after it, and no text is shuffled.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions import text as tx
-from ..functions.hints import hints, pieces
-from ..functions.patterns import BLANK, codes, compact, java, matches, once, settle, squeeze, strip, strip_plain, text
+from ..functions.hints import hints, pieces, repeated_words_of
+from ..functions.patterns import BLANK, codes, compact, java, matches, once, settle, squeeze, squeeze_blanks, strip, strip_plain, text
 from ..functions.urls import is_relay, is_safe_article_url
 from ..session import cut_lineage
 
@@ -35,8 +38,15 @@ ITEM_COLUMNS = {
 }
 
 
-def complete(df: DataFrame) -> DataFrame:
-    missing = {n: F.lit(None).cast(t) for n, t in ITEM_COLUMNS.items() if n not in df.columns}
+#: Item columns that :func:`read` and :func:`find` look at: the texts, and what a tier or a claim is judged by.
+CONTENT = (
+    "title", "lead", "paragraphs", "key_points", "angle", "radar_clinical", "radar_owner", "radar_evidence", "category", "content_tier", "tier", "source_type",
+    "doi", "journal", "source_url", "final_url", "source_url_raw", "source_title", "species", "study_type", "species_studied",
+)
+
+
+def complete(df: DataFrame, names: Iterable[str] = ITEM_COLUMNS) -> DataFrame:
+    missing = {n: F.lit(None).cast(ITEM_COLUMNS[n]) for n in names if n not in df.columns}
     return df.withColumns(missing) if missing else df
 
 
@@ -63,25 +73,55 @@ def rule_text(*names: str) -> Column:
 
 
 def prepare(df: DataFrame) -> DataFrame:
-    """Add missing item columns and the texts the rules work on."""
-    full = complete(df)
+    """Add missing item columns, the texts the rules work on and what the rules find in these."""
+    return judge(find(read(df)))
+
+
+def read(df: DataFrame) -> DataFrame:
+    """The texts the rules work on, from the columns of ``CONTENT``."""
+    full = complete(df, CONTENT)
     full = full.withColumns(
         {
             "_title": strip_plain(_c("title")), "_lead": strip_plain(_c("lead")), "_body": F.array_join(_list("paragraphs"), " "),
-            "_parts": F.transform(_list("paragraphs"), compact), "_points": F.array_join(_list("key_points"), " "),
+            "_points": F.array_join(_list("key_points"), " "),
         }
     )
-    joined = full.withColumns(
+    full = full.withColumns(
         {
-            "_chars": F.length(F.array_join("_parts", "")),
-            "_all": squeeze(F.concat_ws(" ", "title", "lead", "_body", "_points", "angle")),
             "_read": rule_text("title", "lead", "_body", "angle", "radar_clinical"),
             "_audit": rule_text("title", "lead", "_body", "_points", "angle", "radar_clinical", "radar_owner", "radar_evidence"),
         }
     )
-    # Rules that cannot match without Hangul or without some word ask these first. All texts above hold words of "_audit" only.
-    known = joined.withColumn("_hints", hints(F.col("_audit"), HINTED)).withColumn("_hangul", _hint(C.HANGUL))
-    return known.withColumns({"_risk": _infer_risk(), "_role": _infer_role()})
+    # Rules that cannot match without Hangul or without some word ask these first. All texts here hold words of "_audit" only.
+    known = full.withColumn("_hints", hints(F.col("_audit"), HINTED)).withColumn("_hangul", _hint(C.HANGUL))
+    # Most texts have no white space but blanks.
+    plain, whole = ~_hint(ODD_SPACE), rule_text("title", "lead", "_body", "_points", "angle")
+    known = known.withColumns(
+        {
+            "_parts": F.when(plain, F.transform(_list("paragraphs"), lambda p: F.replace(p, F.lit(" "), F.lit("")))).otherwise(F.transform(_list("paragraphs"), compact)),
+            "_all": F.when(plain, squeeze_blanks(whole)).otherwise(squeeze(whole)),
+        }
+    )
+    known = known.withColumn("_chars", F.length(F.array_join("_parts", "")))
+    return known.withColumns({"_inferred": _text_risk(), "_acts": _text_acts(), "_echo": repeated_words_of(F.transform(_list("paragraphs"), _unmarked))})
+
+
+def _unmarked(paragraph: Column) -> Column:
+    """A paragraph in lower case without markup. It is not folded: paragraphs are compared with each other, and they are in one form."""
+    marked = F.contains(paragraph, F.lit("<")) | F.contains(paragraph, F.lit("&"))
+    return F.lower(F.when(marked, F.regexp_replace(paragraph, "(?i)<[^>]+>|&(?:amp|nbsp|quot|#39);", " ")).otherwise(paragraph))
+
+
+def find(df: DataFrame) -> DataFrame:
+    """What the rules find in the texts of ``read``, as columns; Spark computes those that are asked for. Whoever changes a text
+    or another column of ``CONTENT`` afterwards has to call it again."""
+    found = df.withColumns({"_quality": _find_quality(), "_unsafe": _find_unsafe(C.UNSAFE_PHRASES), "_numeric": _find_numeric(), "_language": _find_language(C.KNOWN_ERRORS)})
+    return found.withColumn("_claims", _find_claims())
+
+
+def judge(df: DataFrame) -> DataFrame:
+    """The remaining item columns, and the risk and the role that follow from those and from the texts."""
+    return complete(df).withColumns({"_risk": _infer_risk(), "_role": _infer_role()})
 
 
 #: Columns of an item that hold its text, and the joined texts of ``prepare``.
@@ -89,11 +129,15 @@ TEXTS = (
     "text", "lead", "paragraphs", "key_points", "angle", "radar_clinical", "radar_owner", "radar_evidence", "_title", "_lead", "_body", "_parts", "_points",
     "_all", "_read", "_audit",
 )
+#: Columns of ``find``.
+FOUND = ("_quality", "_unsafe", "_numeric", "_language", "_claims")
 
 
+#: White space that is not a blank.
+ODD_SPACE = f"[{C.WS.replace(' ', '')}]"
 BANNED = "(?i)" + "|".join(C.BANNED_TERMS)
 #: Patterns that ``prepare`` scans the texts for. One that can't match without Hangul asks the first.
-HINTED = (C.HANGUL, C.FOREIGN_SCRIPT, C.UNTRANSLATED, BANNED, C.GARBLED, C.TEMPLATE, C.HIGH_RISK, C.MEDIUM_RISK, C.LOW_RISK)
+HINTED = (C.HANGUL, C.FOREIGN_SCRIPT, C.UNTRANSLATED, BANNED, C.GARBLED, C.TEMPLATE, C.HIGH_RISK, C.MEDIUM_RISK, C.LOW_RISK, ODD_SPACE)
 
 
 def _hint(pattern: str) -> Column:
@@ -121,7 +165,7 @@ def facts(items: DataFrame, **found: Column) -> DataFrame:
     """Prepared items without their texts, with ``found`` (codes and flags of the rules), stored once: what a job reads many times,
     joins and shuffles."""
     coded = settle(items, **found) if found else items
-    return cut_lineage(coded.drop(*TEXTS))
+    return cut_lineage(coded.drop(*TEXTS, *FOUND))
 
 
 def content_tier() -> Column:
@@ -146,11 +190,17 @@ def _is_sentence(v: Column) -> Column:
 
 def _title_mismatch(title: Column, body: Column) -> Column:
     words = F.filter(F.split(F.regexp_replace(title, f"[^가-힣A-Za-z0-9{C.WS}]", " "), f"[{C.WS}]+"), lambda w: F.length(w) >= 2)
-    return (F.size(words) >= 2) & (F.length(body) >= 120) & ~F.exists(words, lambda w: F.contains(body, w))
+    # The words of a title are only cut where the body is long enough, and once.
+    missing = once(words, lambda own: (F.size(own) >= 2) & ~F.exists(own, lambda w: F.contains(body, w)))
+    return (F.length(body) >= 120) & missing
 
 
 def quality_issues(skip: tuple[str, ...] = ()) -> Column:
-    """CL1. Quality codes in order; briefs get the shared ones and their own two length checks."""
+    """CL1. Quality codes in order, read from the column that ``find`` adds; briefs get the shared ones and their own two length checks."""
+    return F.filter("_quality", lambda c: ~c.isin(*skip)) if skip else F.col("_quality")
+
+
+def _find_quality() -> Column:
     title, lead, parts = F.col("_title"), F.col("_lead"), _list("paragraphs")
     body, everything, chars, plain = F.col("_body"), F.col("_all"), F.col("_chars"), F.col("_parts")
     banned = _found(everything, BANNED)
@@ -185,8 +235,7 @@ def quality_issues(skip: tuple[str, ...] = ()) -> Column:
         (is_relay(source), "source-relay"),
         ((_c("radar_clinical") == "") & (_c("radar_owner") == "") & (_c("radar_evidence") == ""), "radar-missing"),
     ]
-    keep = lambda pairs: [p for p in pairs if p[1] not in skip]
-    return F.concat(codes(*keep(shared)), F.when(content_tier() == "brief", codes(*keep(brief))).otherwise(codes(*keep(full))))
+    return F.concat(codes(*shared), F.when(content_tier() == "brief", codes(*brief)).otherwise(codes(*full)))
 
 
 def publication_status() -> Column:
@@ -203,16 +252,19 @@ def workflow_status(legacy: bool = False, draft: bool = False) -> Column:
 
 
 def clinical_risk() -> Column:
-    """CL7. Stated or inferred risk, read from the column that ``prepare`` adds."""
+    """CL7. Stated or inferred risk, read from the column that ``judge`` adds."""
     return F.col("_risk")
 
 
 def _infer_risk() -> Column:
     explicit = F.lower(_c("clinical_risk"))
+    return F.when(explicit.isin(*C.RISKS), explicit).otherwise(F.col("_inferred"))
+
+
+def _text_risk() -> Column:
     body = F.col("_read")
     return (
-        F.when(explicit.isin(*C.RISKS), explicit)
-        .when(_found(body, C.HIGH_RISK), F.lit("high"))
+        F.when(_found(body, C.HIGH_RISK), F.lit("high"))
         .when(_found(body, C.LOW_RISK) & ~_found(body, C.MEDIUM_RISK), F.lit("low"))
         .when(_found(body, C.MEDIUM_RISK), F.lit("medium"))
         .otherwise(F.lit("low"))
@@ -220,14 +272,17 @@ def _infer_risk() -> Column:
 
 
 def required_role() -> Column:
-    """CL9. Role that has to review the item, read from the column that ``prepare`` adds."""
+    """CL9. Role that has to review the item, read from the column that ``judge`` adds."""
     return F.col("_role")
 
 
 def _infer_role() -> Column:
     risk = F.lower(F.coalesce(F.nullif(F.col("clinical_risk"), F.lit("")), F.lit("low")))
-    acts = _found(rule_text("title", "lead", "_body", "radar_clinical"), C.CLINICAL_ACTION)
-    return F.when((risk == "high") | ((risk == "medium") & acts), F.lit("vet")).otherwise(F.lit("editor"))
+    return F.when((risk == "high") | ((risk == "medium") & F.col("_acts")), F.lit("vet")).otherwise(F.lit("editor"))
+
+
+def _text_acts() -> Column:
+    return _found(rule_text("title", "lead", "_body", "radar_clinical"), C.CLINICAL_ACTION)
 
 
 def _has_editor() -> Column:
@@ -298,7 +353,11 @@ def contract_issues() -> Column:
 
 
 def safety_issues(patterns: tuple[str, ...] = C.UNSAFE_PHRASES) -> Column:
-    """CL11. The unsafe-phrase patterns that occur."""
+    """CL11. The unsafe-phrase patterns that occur; the usual ones are read from the column that ``find`` adds."""
+    return F.col("_unsafe") if patterns == C.UNSAFE_PHRASES else _find_unsafe(patterns)
+
+
+def _find_unsafe(patterns: tuple[str, ...]) -> Column:
     body = rule_text("title", "lead", "_body", "_points", "angle", "radar_clinical")
     found = F.array_compact(F.array(*[F.when(_found(body, f"(?i){p}"), F.lit(p)) for p in patterns]))
     # Hardly any row has one, so one scan for all of them decides first.
@@ -370,23 +429,30 @@ def numeric_issues(lead: Column, body: Column, key_points: Column, radar: Column
 
 
 def item_numeric_issues() -> Column:
+    return F.col("_numeric")
+
+
+def _find_numeric() -> Column:
     return numeric_issues(
         _c("lead"), F.col("_body"), F.col("_points"), rule_text("radar_clinical", "radar_evidence", "radar_owner"),
     )
 
 
 def language_warnings(known: tuple[str, ...] = C.KNOWN_ERRORS) -> Column:
-    """CL14. Language audit. The superlative code keeps the ASCII word boundary of the rule; see ``superlative``."""
-    body, parts = F.col("_audit"), _list("paragraphs")
-    # No folding inside a lambda: paragraphs are compared with each other, and they are in one form.
-    plain = F.transform(parts, lambda p: tx.title_words(F.regexp_replace(p, "(?i)<[^>]+>|&(?:amp|nbsp|quot|#39);", " ")))
+    """CL14. Language audit; with the usual errors read from the column that ``find`` adds. The superlative code keeps the ASCII
+    word boundary of the rule; see ``superlative``."""
+    return F.col("_language") if known == C.KNOWN_ERRORS else _find_language(known)
+
+
+def _find_language(known: tuple[str, ...]) -> Column:
+    body = F.col("_audit")
     hangul = F.col("_hangul")
     pairs = [(hangul & matches(body, C.INTERNAL_ASCII), "korean-internal-ascii")]
     pairs += [((hangul if _needs_hangul(k) else F.lit(True)) & F.contains(body, F.lit(k)), f"known-error:{k}") for k in known]
     pairs += [
         (matches(_c("title"), C.TITLE_ENGLISH), "untranslated-title"),
         (hangul & matches(body, C.SUPERLATIVE), "claim-superlative-review"),
-        ((F.size(parts) > 1) & (F.size(F.array_distinct(plain)) < F.size(parts)), "repeated-paragraph"),
+        (F.col("_echo"), "repeated-paragraph"),
     ]
     return codes(*pairs)
 
@@ -401,7 +467,11 @@ def superlative() -> Column:
 
 
 def claim_warnings() -> Column:
-    """CL15."""
+    """CL15. Read from the column that ``find`` adds."""
+    return F.col("_claims")
+
+
+def _find_claims() -> Column:
     body = F.col("_audit")
     studied = F.transform(F.split(_c("species_studied"), "[,/·]"), strip)
     has_both = (_c("species_studied") != "") & (F.size(_list("species")) > 0)

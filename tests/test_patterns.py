@@ -110,3 +110,27 @@ def test_rules_search_a_body_once_and_few_texts(spark):
     spark.conf.unset("spark.sql.debug.maxToStringFields")
     assert plan.count("sample(?: size)?") <= 5 and plan.count("_hints#") > 4
     assert df.first().n == ["numeric-lead-body-mismatch"]
+
+
+def test_texts_without_odd_white_space_are_joined_as_by_the_plain_patterns(spark):
+    rng = random.Random(6)
+    parts = ["a", "b.", " ", "  ", "\t", " ", "가", ""]
+    make = lambda: "".join(rng.choice(parts[: rng.choice([4, 8])]) for _ in range(rng.randint(0, 5)))
+    made = [(str(k), make(), rng.choice([make(), None]), [make() for _ in range(rng.randint(0, 3))], make()) for k in range(800)]
+    items = rules.prepare(spark.createDataFrame(made, "id string, title string, lead string, paragraphs array<string>, angle string"))
+    whole = F.concat_ws(" ", "title", "lead", F.array_join("paragraphs", " "), F.lit(""), "angle")
+    plain = F.trim(F.regexp_replace(whole, f"[{patterns.WS}]+", " "))
+    parts = F.transform("paragraphs", lambda p: F.regexp_replace(p, f"[{patterns.WS}]", ""))
+    assert items.where(~F.col("_all").eqNullSafe(plain) | ~F.col("_parts").eqNullSafe(parts)).count() == 0
+    assert {r.odd for r in items.select(rules._hint(rules.ODD_SPACE).alias("odd")).collect()} == {True, False}
+
+
+def test_repeated_paragraphs_equal_the_plain_rule(spark):
+    rng = random.Random(7)
+    parts = ["a", "B", "b", " ", "  ", "-", "<i>", "&amp;", "가", "é", "İ", "7"]
+    made = [([rng.choice(["".join(rng.choice(parts) for _ in range(rng.randint(0, 3))), None]) for _ in range(rng.randint(0, 4))],) for _ in range(1500)] + [(None,), ([],)]
+    df = rules.prepare(spark.createDataFrame(made, "paragraphs array<string>"))
+    own = F.coalesce("paragraphs", F.array().cast("array<string>"))
+    words = F.transform(own, lambda p: text.title_words(F.regexp_replace(p, "(?i)<[^>]+>|&(?:amp|nbsp|quot|#39);", " ")))
+    out = df.select("paragraphs", F.array_contains(rules.language_warnings(), "repeated-paragraph").alias("got"), (F.size(F.array_distinct(words)) < F.size(own)).alias("want")).collect()
+    assert [r.paragraphs for r in out if r.got != r.want] == [] and {r.got for r in out} == {True, False}

@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from broadsheet import constants as C
+from broadsheet.catalog import QUERIES, load_all
 from broadsheet.operators import filters, monitor, pages, rules, tasks, topk
 from broadsheet.plans import audits, queue
 
@@ -171,3 +172,21 @@ def test_work_queue_order_and_filter(spark):
 
 def test_constants_are_whole():
     assert len(C.TOPICS) == 18 and len(C.CHECKLIST) == 6 and len(C.EVIDENCE_FIELDS) == 13
+
+
+def test_texts_are_searched_before_the_join(spark, tmp_path):
+    """The rules look at the texts where they are read: no text is shuffled for the join with events."""
+    spark.createDataFrame([(1, "One two. Three\nfour", "en", "s", 19), (None, None, None, None, None)], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 1, "view", 3.0, "2024-01-05 00:00:00")], "event_id long, user_id long, event_type string, value double, ts string").withColumn("ts", F.to_timestamp("ts")).write.parquet(f"{tmp_path}/events.parquet")
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    load_all()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("cl1_quality_issues", "cl2_publish_issues", "cl39_first_publish_class", "jb3_repair_report"):
+            df = QUERIES[name](spark, str(tmp_path))
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert 0 < plan.index("SortMergeJoin") < plan.index("ArrowEvalPython"), name  # what is below stands behind
+        assert {r.doc_id: r.codes.split(",")[0] for r in QUERIES["cl1_quality_issues"](spark, str(tmp_path)).collect()} == {1: "brief-title-too-short", None: "title-missing"}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
