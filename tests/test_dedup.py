@@ -267,3 +267,42 @@ def test_best_similar_keeps_frequent_words_apart(spark):
     assert x.join(y, (F.col("x.word") == F.col("y.word")) & similarity._may_be_similar("x", "y", 0.5)).count() < 1500 * 40
     got = similarity.best_similar(frame(rows[::2]), frame(rows[1::2]), "id", "id", "id", "words", 0.5).collect()
     assert [(r.left_id, r.right_id, r.similarity) for r in got] == [(0, 1, sim(rows[0][1], rows[1][1]))]
+
+
+def test_best_similar_with_long_sets_and_low_thresholds(spark):
+    """Sets that meet on words, on pairs of words and in sub-sets, with words of one side only, against brute force."""
+    rnd = random.Random(21)
+    sets = sorted({tuple(sorted(set(t))) for t in families(rnd, 50)} | {tuple(sorted({f"w{rnd.randrange(14)}" for _ in range(rnd.randrange(1, 16))})) for _ in range(160)}, key=lambda t: rnd.random())
+    half = len(sets) // 2
+    left = [(i, t + (f"l{i}",) if i % 3 == 0 else t) for i, t in enumerate(sets[:half])]
+    right = [(i, t + (f"r{i}", f"q{i}") if i % 4 == 0 else t) for i, t in enumerate(sets[half:])]
+    frame = lambda rows: spark.createDataFrame([(i, list(t)) for i, t in rows], "id long, words array<string>")
+    for threshold, widest, paired in [(0.5, 24, 64), (0.5, 4, 8), (0.3, 24, 64), (0.72, 6, 9)]:
+        want = {}
+        for i, a in left:
+            best = min(((-sim(a, b), j) for j, b in right if sim(a, b) >= threshold), default=None)
+            if best:
+                want[i] = (best[1], -best[0])
+        got = similarity.best_similar(frame(left), frame(right), "id", "id", "id", "words", threshold, widest, paired=paired).collect()
+        assert {r.left_id: (r.right_id, r.similarity) for r in got} == want and len(got) == len(want), (threshold, widest, paired)
+
+
+def test_short_titles_of_frequent_words_meet_on_pairs(spark):
+    """600 titles a side whose prefixes reach their frequent words: pairs of words keep them apart, single words do not."""
+    rnd = random.Random(22)
+    rare = lambda i: [f"r{i}x{n}" if i % 2 else f"r{2 * rnd.randrange(600) + 1}x{n}" for n in range(4)]
+    rows = [(i, [f"f{n}" for n in rnd.sample(range(60), 5)] + rare(i)) for i in range(1200)]
+    sets = spark.createDataFrame(rows, "set_id long, words array<string>")
+    left, right = sets.where("set_id % 2 = 0"), sets.where("set_id % 2 = 1")
+    shared = similarity._shared_words(left, right)
+    ranked = [similarity._by_rarity(df, shared) for df in (left, right)]
+    keys = lambda width, on: similarity._keyed(ranked[0], 0.5, width).join(similarity._keyed(ranked[1], 0.5, width), on).count()
+    assert keys(1, ["word"]) > 5000 > 5 * keys(2, ["word", "next"])
+
+
+def test_subsets_leave_out_words_of_one_side(spark):
+    """A set with three words that no partner has gives no sub-set, one with two gives one."""
+    left = spark.createDataFrame([(0, ["a", "b", "c", "d", "x", "y", "z"]), (1, ["a", "b", "c", "u", "v"]), (2, ["a", "b", "c"])], "set_id long, words array<string>")
+    right = spark.createDataFrame([(5, ["a", "b", "c", "d"])], "set_id long, words array<string>")
+    got = similarity._subsets(similarity._by_rarity(left, similarity._shared_words(left, right)), 0.5, 24).groupBy("set_id").count().collect()
+    assert {r.set_id: r["count"] for r in got} == {1: 1, 2: 4}
