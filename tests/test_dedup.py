@@ -306,3 +306,13 @@ def test_subsets_leave_out_words_of_one_side(spark):
     right = spark.createDataFrame([(5, ["a", "b", "c", "d"])], "set_id long, words array<string>")
     got = similarity._subsets(similarity._by_rarity(left, similarity._shared_words(left, right)), 0.5, 24).groupBy("set_id").count().collect()
     assert {r.set_id: r["count"] for r in got} == {1: 1, 2: 4}
+
+
+def test_top_similar_ranks_words_once(spark, monkeypatch):
+    """The words of each side are ranked once, not at every level."""
+    calls, ranked = [], similarity._by_rarity
+    monkeypatch.setattr(similarity, "_by_rarity", lambda *a: calls.append(1) or ranked(*a))
+    rows = [(i, ["a", "b", "c", f"w{i // 4}"], "x", i) for i in range(24)]
+    df = spark.createDataFrame(rows, "id long, words array<string>, label string, at int").withColumn("ts", F.timestamp_seconds("at"))
+    got = similarity.top_similar(df.where("id % 2 = 0"), df.where("id % 2 = 1"), "id", "id", "words", 0.62, 5, None, "label", ["ts"], time="ts").collect()
+    assert len(calls) == 2 and len(got) == 12 * 5
